@@ -1,13 +1,13 @@
 """Language identification by word-first backoff.
 
 A known word scores by its log frequency in each language. An unseen word falls back to character
-n-grams of the padded word: at every position the longest known n-gram that ends there counts, each
-step to a shorter one costs ``BACKOFF``. The document's language is the one with the greatest sum.
+n-grams of the padded word: at every position the longest known n-gram that ends there counts. (A
+penalty for each step to a shorter one would be the same for all languages.) The document's language
+is the one with the greatest sum.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 from filing_jobs.llm.common import id_remainder, picked
 
 ORDERS = (5, 4, 3, 2, 1)
-BACKOFF = math.log(0.4)
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 #: Words kept in a task's memo; it only saves time.
-MEMO = 400_000
+MEMO = 700_000
+#: Words looked up at a time.
+PART = 50_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -36,53 +37,74 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies by language: ``words`` and ``grams`` map a key to one value per language."""
+    """Log frequencies by language: ``words`` and ``grams`` give a key's row in ``table``, which has a column for each language."""
 
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
-    memo: dict[str, np.ndarray] = field(default_factory=dict)
+    words: dict[str, int]
+    grams: dict[str, int]
+    table: np.ndarray
+    memo: dict[str, int] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        self.rows = np.zeros((1024, 2 * len(self.languages)))
+        self.nothing = len(self.table) - 1  # the last row is zero
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}}
-
-    def word_scores(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        padded, total = f"^{word}$", np.zeros(len(self.languages))
-        for end in range(1, len(padded) + 1):
-            for step, n in enumerate(ORDERS):
-                if end >= n and (gram := self.grams.get(padded[end - n : end])) is not None:
-                    total = total + gram + step * BACKOFF
-                    break
-        return total
-
-    def row(self, word: str) -> np.ndarray:
-        """Scores and, behind them, the word's share in each language (softmax)."""
-        row = self.memo.get(word)
-        if row is None:
-            scores = self.word_scores(word)
-            share = np.exp(scores - scores.max()) if len(scores) else scores
-            row = np.concatenate([scores, share / max(share.sum(), 1e-300)])
-            if len(self.memo) < MEMO and len(word) < 64:
-                self.memo[word] = row
-        return row
+        return {k: v for k, v in self.__dict__.items() if k not in ("memo", "rows")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state | {"memo": {}}
+        self.__post_init__()
+
+    def learn(self, words: list[str]) -> None:
+        """Put each word into the memo: its scores and, behind them, its share in each language (softmax).
+
+        A known word has its own log frequencies; any other the sum, over its positions, of the longest
+        known n-gram that ends there.
+        """
+        known, grams, found, starts = self.words.get, self.grams.get, [], []
+        for word in words:
+            starts.append(len(found))
+            if (at := known(word)) is not None:
+                found.append(at)
+                continue
+            padded = f"^{word}$"
+            for end in range(1, len(padded) + 1):
+                for n in ORDERS:
+                    if n <= end and (gram := grams(padded[end - n : end])) is not None:
+                        found.append(gram)
+                        break
+            if starts[-1] == len(found):  # nothing in it is known: alike for all languages
+                found.append(self.nothing)
+        scores = np.add.reduceat(self.table[found], starts, axis=0)
+        share = np.exp(scores - scores.max(axis=1, keepdims=True))
+        first = len(self.memo)
+        while len(self.rows) < first + len(words):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[first : first + len(words)] = np.hstack([scores, share / share.sum(axis=1, keepdims=True)])
+        self.memo.update(zip(words, range(first, first + len(words)), strict=True))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and the mean share of the text's words in it; ``und`` and 0 without letters or without a model."""
         words, k = words_of(text), len(self.languages)
         if not words or not k:
             return UNKNOWN, 0.0
-        counts = Counter(words)
-        rows = np.array(list(map(self.row, counts)))
-        total = np.fromiter(counts.values(), float, len(counts)) @ rows
+        total = np.zeros(2 * k)
+        for start in range(0, len(words), PART):
+            part = words[start : start + PART]
+            at = list(map(self.memo.get, part))
+            if None in at:
+                if len(self.memo) + len(part) > MEMO:  # start anew: frequent words come back at once
+                    self.memo.clear()
+                self.learn([w for w in dict.fromkeys(part) if w not in self.memo])
+                at = list(map(self.memo.get, part))
+            total += self.rows[at].sum(axis=0)
         best = int(total[:k].argmax())
         return self.languages[best], float(min(1.0, max(0.0, total[k + best] / len(words))))
 
 
 def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        max_docs_per_language: int = 1500, max_languages: int = 256, min_count: int = 2) -> LanguageModel:
+        max_docs_per_language: int = 400, max_languages: int = 256, min_count: int = 2) -> LanguageModel:
     """Learn from the rows with a non-null language, whole texts.
 
     The classifier is fitted on a bounded sample: about ``max_docs_per_language`` rows of each of the
@@ -92,7 +114,7 @@ def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_c
     rows = picked(df, i=id_col, t=text_col, lang=lang_col).where("lang is not null and t is not null")
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     if not sizes:
-        return LanguageModel([], {}, {})
+        return LanguageModel([], {}, {}, np.zeros((1, 0)))
     languages = sorted(r["lang"] for r in sizes)
     share = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, max_docs_per_language / r["count"])))))
     chosen = rows.where(F.pmod(F.xxhash64(F.coalesce(F.col("i").cast("string"), F.lit(""))), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
@@ -114,21 +136,23 @@ def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_c
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(found), pa.string()), "n": pa.array([n] * len(found), pa.int32()), "gram": pa.array(list(found), pa.string()), "c": pa.array(list(found.values()), pa.int64())})
 
     counted = chosen.select("t", "lang").mapInArrow(grams, "lang string, n int, gram string, c long").groupBy("n", "gram", "lang").agg(F.sum("c").alias("c"))
+    found = counted.where((F.col("n") > 0) | (F.col("c") >= min_count)).toArrow()
     at = {lang: i for i, lang in enumerate(languages)}
-    tables: dict[int, dict[str, np.ndarray]] = {n: {} for n in (0, *ORDERS)}
-    columns = counted.toArrow().to_pydict()
-    for n, gram, lang, c in zip(columns["n"], columns["gram"], columns["lang"], columns["c"], strict=True):
-        tables[n].setdefault(gram, np.zeros(len(languages)))[at[lang]] = c
-    words = logs({w: c for w, c in tables[0].items() if c.sum() >= min_count}, sum(tables[0].values(), np.zeros(len(languages))))
-    found: dict[str, np.ndarray] = {}
-    for n in ORDERS:
-        found |= logs(tables[n], sum(tables[n].values(), np.zeros(len(languages))))
-    return LanguageModel(languages, words, found)
-
-
-def logs(counts: dict[str, np.ndarray], totals: np.ndarray) -> dict[str, np.ndarray]:
-    """Smoothed log frequency in each language; a language without this key counts half an occurrence."""
-    return {k: np.log((c + 0.5) / (totals + 0.5 * len(counts) + 1)) for k, c in counts.items()}
+    lang = np.array([at[x] for x in found["lang"].to_pylist()], int)
+    order, c = found["n"].to_numpy(), found["c"].to_numpy().astype(float)
+    keys: dict[int, dict[str, int]] = {n: {} for n in (0, *ORDERS)}
+    place = np.fromiter((keys[n].setdefault(g, len(keys[n])) for n, g in zip(order.tolist(), found["gram"].to_pylist(), strict=True)), int, len(c))
+    table, start = [], 0
+    words: dict[str, int] = {}
+    rows: dict[str, int] = {}
+    for n in (0, *ORDERS):
+        counts = np.zeros((len(keys[n]), len(languages)))
+        np.add.at(counts, (place[order == n], lang[order == n]), c[order == n])
+        # a language without this key counts half an occurrence
+        table.append(np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * len(counts) + 1)))
+        (words if n == 0 else rows).update((g, start + i) for g, i in keys[n].items())
+        start += len(counts)
+    return LanguageModel(languages, words, rows, np.concatenate([*table, np.zeros((1, len(languages)))]))
 
 
 def predict(df: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
