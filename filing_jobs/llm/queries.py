@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from filing_jobs.llm import langid, spbpe
+from filing_jobs.llm import isomedia, langid, packing, spbpe, tokenfile, topk
+from filing_jobs.llm.common import stored
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,15 +19,40 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.search(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return spbpe.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    written = stored(tokenfile.files(docs, public_tokenizers.path("byte_bpe_50k.json")), "token-files")
+    return tokenfile.read_documents(written)
+
+
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return isomedia.features(isomedia.to_media(docs), carry=("n_bytes",))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_exact_top_k": op2_exact_top_k,
         "op3_sentencepiece": op3_sentencepiece,
+        "op7_token_files": op7_token_files,
+        "op8_media_columns": op8_media_columns,
+        "op9_packing": op9_packing,
     }
 
 
