@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filing_jobs.llm import isomedia, langid, packing, spbpe, tokenfile, topk
+import corpus_pipeline
+from filing_jobs.llm import isomedia, jaccard, langid, packing, pii, ppm, quotes, spbpe, tokenfile, topk
 from filing_jobs.llm.common import stored
 
 
@@ -29,6 +30,21 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spbpe.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return pii.pseudonyms(docs.select("doc_id", "text")).select("doc_id", "text", "pii_count", F.array_join("pii_kinds", ",").alias("pii_kinds"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return ppm.score(docs, ppm.learning())
+
+
+def op6_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quotes.links(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return found.select(F.col("conv").alias("conv_id"), "turn", "role", F.col("body").alias("content"), F.col("n_quotes").cast("long").alias("n_quotes"), F.col("to_conv").alias("reply_conv"), F.col("to_turn").alias("reply_turn"), "by_quote")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     written = stored(tokenfile.files(docs, public_tokenizers.path("byte_bpe_50k.json")), "token-files")
@@ -45,14 +61,23 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_exact_top_k": op2_exact_top_k,
         "op3_sentencepiece": op3_sentencepiece,
+        "op4_pii": op4_pii,
+        "op5_lm_scoring": op5_lm_scoring,
+        "op6_chat_quotes": op6_chat_quotes,
         "op7_token_files": op7_token_files,
         "op8_media_columns": op8_media_columns,
         "op9_packing": op9_packing,
+        "op10_jaccard_join": op10_jaccard_join,
+        "pipeline": corpus_pipeline.run,
     }
 
 
