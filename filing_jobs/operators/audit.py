@@ -116,7 +116,7 @@ def warnings(missing: DataFrame, unknown: DataFrame, per_schedule: DataFrame, d:
     often = unknown.crossJoin(F.broadcast(n_filings.select(F.col("n").alias("n_filings")))).where("filing_count >= greatest(2, n_filings * 0.1)").agg(F.count("*").alias("n"), F.count_if("version_covered").alias("covered")).where("n > 0")
     out = out.unionByName(often.select(*row("HIGH-FREQUENCY UNKNOWNS", F.lit(""), F.col("n"), F.format_string("%d unknown paths occur in 10%% of the filings or more; %d of them in covered versions.", "n", "covered"))))
     if matches is not None:
-        bands = matches.agg(F.count("*").alias("n"), F.count_if("score >= 0.8").alias("high"), F.count_if("score >= 0.6 and score < 0.8").alias("med"), F.count_if("score < 0.6").alias("low")).where("n > 0")
+        bands = matches.agg(F.count("*").alias("n"), F.count_if(F.expr("score >= 0.8")).alias("high"), F.count_if(F.expr("score >= 0.6 and score < 0.8")).alias("med"), F.count_if(F.expr("score < 0.6")).alias("low")).where("n > 0")
         out = out.unionByName(bands.select(*row("FUZZY MATCHES", F.lit(""), F.col("n"), F.format_string("%d unknown paths have probable matches: %d high, %d medium, %d low.", "n", "high", "med", "low"))))
     has = d.fields.select("schedule").distinct().withColumn("has", F.lit(True))
     poor = per_schedule.where("coverage_pct < 50 and total_xpaths > 5").join(F.broadcast(has), "schedule", "left")
@@ -142,7 +142,7 @@ def summary(headers: DataFrame, stats: DataFrame, unknown: DataFrame, unused: Da
     parts = [
         headers.agg(F.count("*").alias("filings_audited")),
         coverage(stats, unknown).select(F.col("seen").alias("unique_xpaths_seen"), F.col("matched").alias("matched_xpaths"), F.col("unknown").alias("unknown_xpaths"), "coverage_pct"),
-        unknown.agg(F.count_if("version_covered").alias("unknowns_version_covered"), F.count_if("not version_covered").alias("unknowns_version_missing")),
+        unknown.agg(F.count_if("version_covered").alias("unknowns_version_covered"), F.count_if(F.expr("not version_covered")).alias("unknowns_version_missing")),
         unused.agg(F.count("*").alias("unused_fields")),
         missing.agg(F.count("*").alias("missing_versions")),
         matches.agg(F.count("*").alias("fuzzy_matched")),

@@ -41,21 +41,21 @@ def merge_renames(fields: DataFrame) -> DataFrame:
     """
     key = ["schedule", "group", F.lower(F.trim("description")).alias("said")]
     last = version_key(F.element_at("versions", -1))
-    member = F.struct(last.alias("last"), F.col("xpath"), F.col("versions"), F.col("xpaths"), F.struct("canonical_name", "label", "type", "raw_type", "description", "repeating").alias("about"))
+    member = F.struct(last.alias("last"), F.col("xpath"), F.col("versions"), F.map_entries("xpaths").alias("xpaths"), F.struct("canonical_name", "label", "type", "raw_type", "description", "repeating").alias("about"))
     sets = fields.where(F.coalesce("description", F.lit("")) != "").groupBy(*key).agg(F.array_sort(F.collect_list(member)).alias("m"))
     primary = F.element_at("m", -1)
     start = F.struct(primary["versions"].alias("versions"), primary["xpaths"].alias("xpaths"), F.array().cast("array<string>").alias("taken"))
 
     def fold(acc: Column, x: Column) -> Column:
         joins = ~F.arrays_overlap(acc["versions"], x["versions"])
-        taken = F.struct(F.concat(acc["versions"], x["versions"]).alias("versions"), F.map_concat(acc["xpaths"], F.map_filter(x["xpaths"], lambda k, _: ~F.array_contains(acc["versions"], k))).alias("xpaths"), F.concat(acc["taken"], F.array(x["xpath"])).alias("taken"))
+        taken = F.struct(F.concat(acc["versions"], x["versions"]).alias("versions"), F.concat(acc["xpaths"], x["xpaths"]).alias("xpaths"), F.concat(acc["taken"], F.array(x["xpath"])).alias("taken"))
         return F.when(joins, taken).otherwise(acc)
 
     merged = sets.withColumn("acc", F.aggregate(F.slice("m", 1, F.size("m") - 1), start, fold))
     rest = F.filter("m", lambda x: ~F.array_contains(F.col("acc.taken"), x["xpath"]) & (x["xpath"] != primary["xpath"]))
     first = F.struct(primary["xpath"].alias("xpath"), sorted_versions(F.col("acc.versions")).alias("versions"), F.col("acc.xpaths").alias("xpaths"), primary["about"].alias("about"))
     others = F.transform(rest, lambda x: F.struct(x["xpath"].alias("xpath"), x["versions"].alias("versions"), x["xpaths"].alias("xpaths"), x["about"].alias("about")))
-    out = merged.select("schedule", "group", F.explode(F.concat(F.array(first), others)).alias("f")).select("schedule", "group", "f.xpath", "f.versions", "f.xpaths", "f.about.*")
+    out = merged.select("schedule", "group", F.explode(F.concat(F.array(first), others)).alias("f")).select("schedule", "group", "f.xpath", "f.versions", F.map_from_entries("f.xpaths").alias("xpaths"), "f.about.*")
     silent = fields.where(F.coalesce("description", F.lit("")) == "")
     return out.select(fields.columns).unionByName(silent)
 

@@ -31,7 +31,7 @@ def classify(forms: DataFrame, d: Dict) -> DataFrame:
 
 def coverage(classified: DataFrame) -> DataFrame:
     """VAL-4. One row: elements, covered ones, and those in percent (0 without elements)."""
-    rows = classified.agg(F.count("*").alias("elements"), F.count_if("found = 'leaf'").alias("leaves"), F.count_if("found = 'group'").alias("groups"), F.count_if("found = 'missing'").alias("missing"))
+    rows = classified.agg(F.count("*").alias("elements"), F.count_if(F.expr("found = 'leaf'")).alias("leaves"), F.count_if(F.expr("found = 'group'")).alias("groups"), F.count_if(F.expr("found = 'missing'")).alias("missing"))
     return rows.withColumn("coverage_pct", F.when(F.col("elements") > 0, (F.col("leaves") + F.col("groups")) * 100.0 / F.col("elements")).otherwise(0.0))
 
 
