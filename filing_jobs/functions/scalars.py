@@ -82,7 +82,7 @@ def group_of(xpath: Column) -> Column:
     at = F.when(xpath.startswith("/"), F.array_max(places))
     return F.struct(
         F.coalesce(F.get(parts, at - 1), F.lit("")).alias("name"),
-        F.coalesce(F.concat(F.lit("/"), joined(parts, 1, at)), F.lit("")).alias("prefix"),
+        F.when(at.isNotNull(), F.concat(F.lit("/"), joined(parts, 1, at))).otherwise("").alias("prefix"),
         F.when(at.isNotNull(), joined(parts, F.coalesce(at, F.lit(1)) + 1, F.size(parts) - at)).otherwise("").alias("relative"),
     )
 
