@@ -6,10 +6,12 @@ which are frequent is a matter of speed only, any order gives the same links.
 
 1. In each tile, neighbours in order of size are candidate pairs; those that link give components.
 2. In tiles that still hold several components, cut into size bands and blocks, all pairs of
-   different components are candidates. Large tiles compare bitmaps in place, small ones emit pairs.
+   different components are candidates.
 
 Each candidate pair passes two tests: the bit counts of the signatures bound the overlap from above,
-and the intersection of the sorted arrays gives it exactly.
+and the intersection of the sorted arrays gives it exactly. In the second step tiles with the same
+smallest node, their home, lie together with one copy of their nodes' bitmaps, so that only pairs that
+the bit counts allow leave a tile.
 """
 
 from __future__ import annotations
@@ -27,14 +29,14 @@ from filing_jobs.llm.common import picked, stored
 from filing_jobs.llm.components import components
 
 WORDS = 5
-#: Link when NUMERATOR * union <= 100 * intersection.
+#: Link when PERCENT * union <= 100 * intersection.
 PERCENT = 75
 #: Frequent shingles are those that make up at least this part of all, so there are no more of them than this.
 FREQUENT = 1 << 21
 #: Shingles counted at a time for that, and the least number among them that is reported.
 FLUSH, LOCAL = 1 << 22, 4
-#: Rows of a tile's block; tiles of more rows than LARGE compare bitmaps in place.
-BLOCK, LARGE = 2048, 256
+#: Rows of a tile's block.
+BLOCK = 2048
 #: Bits of the filter that thins out the texts to be read again (8 MB whatever the input).
 FILTER_BITS = 1 << 26
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -70,8 +72,8 @@ def node_of(own: np.ndarray) -> int:
 
 
 def bitmap_of(own: np.ndarray) -> bytes:
-    """Parity bits of the hashes, about two for each; a signature folds to a shorter one by exclusive or."""
-    bits = 1 << max(6, (2 * len(own) - 1).bit_length())
+    """Parity bits of the hashes, one or two for each; a signature folds to a shorter one by exclusive or."""
+    bits = 1 << max(6, (len(own) - 1).bit_length())
     odd = np.bincount((own & np.uint64(bits - 1)).astype("i8"), minlength=bits) & 1
     return np.packbits(odd.astype("u1"), bitorder="little").tobytes()
 
@@ -235,43 +237,72 @@ def tested(pairs: DataFrame, known: DataFrame, rows: DataFrame, percent: int) ->
     return close.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").mapInArrow(exact, "a long, b long")
 
 
+def folded(bits: bytes, words: int) -> np.ndarray:
+    own = np.frombuffer(bits, "u8")
+    while len(own) > words:
+        own = own[: len(own) // 2] ^ own[len(own) // 2 :]
+    return own
+
+
 def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components in tiles (token, band, i, j): rows sorted by tile, a tile's rows together."""
+    """Pairs of different components that the bit counts allow, from rows sorted by (home, kind, token, band, i, j).
 
-    names = ("token", "band", "i", "j", "node", "n", "component", "guest", "block")
+    A home's rows of kind 0 give the bitmaps of its nodes, those of kind 1 are the rows of its tiles.
+    """
+    names = ("home", "kind", "token", "band", "i", "j", "node", "n", "component", "guest", "block")
 
-    def pairs(col: list[np.ndarray], bits: list) -> Iterator[tuple[int, int]]:
-        _, _, i, j, _, n, component, guest, block = col
-        step = max(1, (1 << 18) // len(n))
+    def pairs(col: list[np.ndarray], bits: dict[int, bytes]) -> Iterator[tuple[int, int]]:
+        _, _, _, _, i, j, node, n, component, guest, block = col
+        step, matrix = max(1, (1 << 18) // len(n)), None
         for k in range(0, len(n), step):
             one = (slice(k, k + step), None)
             ok = (component[one] != component) & ~(guest[one] & guest) & (100 * np.minimum(n[one], n) >= percent * np.maximum(n[one], n))
             if i[0] != j[0]:
                 ok &= block[one] != block
-            for x, y in zip(*np.nonzero(ok), strict=True):
-                x += k
-                if x < y and (bits[x] is None or bits[y] is None or may_link(n[x] + n[y], differing_bits(bits[x], bits[y]), percent)):
-                    yield x, y
+            x, y = np.nonzero(ok)
+            x, y = x[x + k < y] + k, y[x + k < y]
+            if len(x) and matrix is None:
+                own = [bits[v] for v in node.tolist()]
+                words = min(map(len, own)) // 8
+                matrix = np.stack([folded(b, words) for b in own])
+            for at in range(0, len(x), 1 << 16):
+                p, q = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
+                close = may_link(n[p] + n[q], np.bitwise_count(matrix[p] ^ matrix[q]).sum(axis=1, dtype="i8"), percent)
+                yield from zip(node[p[close]].tolist(), node[q[close]].tolist(), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[list[np.ndarray], list] | None = None
-
-        def out(col: list[np.ndarray], bits: list, starts: np.ndarray) -> pa.RecordBatch:
-            found = [(a + x, a + y) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1 for x, y in pairs([c[a:b] for c in col], bits[a:b])]
-            at = np.array(found, int).reshape(-1, 2)
-            x, y = col[4][at[:, 0]], col[4][at[:, 1]]
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+        home, bits = None, {}
+        sent: set[tuple[int, int]] = set()
+
+        def out(col: list[np.ndarray], maps: list, starts: np.ndarray) -> pa.RecordBatch:
+            nonlocal home, bits
+            found = []
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                if col[0][a] != home:
+                    home, bits = col[0][a], {}
+                    sent.clear()
+                if col[1][a] == 0:
+                    bits.update(zip(col[6][a:b].tolist(), maps[a:b], strict=True))
+                elif b - a > 1:
+                    for x, y in pairs([c[a:b] for c in col], bits):
+                        pair = (min(x, y), max(x, y))
+                        if pair not in sent:  # it may meet in many tiles of one home
+                            sent.add(pair)
+                            found.append(pair)
+            at = np.array(found, "i8").reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1])], ["a", "b"])
 
         for batch in batches:
-            col, bits = [batch[c].to_numpy(zero_copy_only=False) for c in names], batch["bitmap"].to_pylist()
+            col, maps = [batch[c].to_numpy(zero_copy_only=False) for c in names], batch["bitmap"].to_pylist()
             if held is not None:  # the last tile may go on
-                col, bits = [np.concatenate(x) for x in zip(held[0], col, strict=True)], held[1] + bits
-            if not bits:
+                col, maps = [np.concatenate(x) for x in zip(held[0], col, strict=True)], held[1] + maps
+            if not maps:
                 continue
-            key = np.stack(col[:4])
+            key = np.stack(col[:6])
             starts = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
-            yield out(col, bits, starts)
-            held = [c[starts[-1] :] for c in col], bits[starts[-1] :]
+            yield out(col, maps, starts)
+            held = [c[starts[-1] :] for c in col], maps[starts[-1] :]
         if held is not None:
             yield out(*held, np.array([0, len(held[1])]))
 
@@ -291,34 +322,33 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", perce
     total = documents.agg(F.sum("n")).first()[0] or 0
     known = stored(documents.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")).where("id is not null"), "known")
 
-    order = Window.partitionBy("token").orderBy("n", "node")
-    beside = tile_rows(rows, frequent(rows, total), percent).withColumn("prev", F.lag(F.struct("node", "n")).over(order)).withColumn("next", F.lead("node").over(order))
-    shared = stored(beside.where("prev.node != node or next != node").selectExpr("token", "node", "n", "prev.node as p", "prev.n as p_n"), "tiles")
-    chain = shared.where(f"p != node and 100 * p_n >= {percent} * n").select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
+    each = Window.partitionBy("token")
+    before = F.lag(F.struct("node", "n")).over(each.orderBy("n", "node"))
+    beside = tile_rows(rows, frequent(rows, total), percent).withColumns({"p": before, "least": F.min("node").over(each), "most": F.max("node").over(each)})
+    shared = stored(beside.where("least != most and (p is null or p.node != node)").selectExpr("token", "node", "n", "p.node as p", "p.n as p_n"), "tiles")
+    chain = shared.where(f"p is not null and 100 * p_n >= {percent} * n").select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
     first = stored(chain, "chain")
     links = stored(tested(first, known, rows, percent), "links")
-    if not links.isEmpty():
-        found = components(links)
-        named = shared.select("token", "node", "n").distinct().join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = shared.select("token", "node", "n")
+    if links.isEmpty():
+        named = named.withColumn("component", F.col("node"))
     else:
-        named = shared.select("token", "node", "n").distinct().withColumn("component", F.col("node"))
-    named = stored(named, "named-tiles")
+        named = named.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-    # two nodes alone in a tile were neighbours; one component needs no more links
-    open_ = named.groupBy("token").agg(F.count("*").alias("rows"), F.min("component").alias("least"), F.max("component").alias("most")).where("least != most and rows > 2").select("token", "rows")
+    # all windows are inside a token, so its rows are shuffled once
+    several = lambda w: {"size": F.count("*").over(w), "least": F.min("component").over(w), "most": F.max("component").over(w)}
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(1.01 * 100 / percent))).cast("long")
-    banded = named.join(open_, "token").withColumn("own", band).withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
-    counted = banded.groupBy("token", "band").agg(F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("token", "band", "size")
+    # two nodes alone in a tile were neighbours; one component needs no more links
+    open_ = named.withColumns(several(each)).where("size > 2 and least != most")
+    banded = open_.withColumn("own", band).withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1))).withColumns(several(Window.partitionBy("token", "band"))).where("least != most")
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("long")
-    cells = (
-        banded.join(counted, ["token", "band"])
-        .withColumn("block", F.pmod(F.xxhash64("node"), blocks))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        .select("token", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", (F.col("own") != F.col("band")).alias("guest"), "node", "n", "component", "size")
-    )
-    large, bits = cells.where(F.col("size") > LARGE), known.select("node", "bitmap")
-    tiles = large.join(bits, "node").drop("size").unionByName(cells.where(F.col("size") <= LARGE).withColumn("bitmap", F.lit(None).cast("binary")).drop("size"))
-    tiles = tiles.repartition("token", "band", "i", "j").sortWithinPartitions("token", "band", "i", "j")
+    cells = banded.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    cells = cells.select("token", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", (F.col("own") != F.col("band")).alias("guest"), "node", "n", "component")
+    cells = stored(cells.withColumn("home", F.min("node").over(Window.partitionBy("token", "band", "i", "j"))).withColumn("kind", F.lit(1)), "cells")
+    maps = cells.select("home", "node").distinct().join(known.select("node", "bitmap"), "node").withColumn("kind", F.lit(0))
+    zero = {c: F.lit(0).cast("long") for c in ("token", "band", "i", "j", "n", "component", "block")}
+    tiles = cells.withColumn("bitmap", F.lit(None).cast("binary")).unionByName(maps.withColumns(zero | {"guest": F.lit(False)}))
+    tiles = tiles.repartition("home").sortWithinPartitions("home", "kind", "token", "band", "i", "j")
     second = stored(tile_pairs(tiles, percent).distinct().join(first, ["a", "b"], "left_anti"), "more-pairs")
     if not second.isEmpty():
         links = stored(links.union(tested(second, known, rows, percent)), "links")

@@ -53,9 +53,8 @@ def corpus(seed):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("seed,large,block", [(1, 256, 2048), (2, 2, 3)])
-def test_join_equals_brute_force(spark, monkeypatch, seed, large, block):
-    monkeypatch.setattr(jaccard, "LARGE", large)
+@pytest.mark.parametrize("seed,block", [(1, 2048), (2, 3)])
+def test_join_equals_brute_force(spark, monkeypatch, seed, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     rows = corpus(seed)
     df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], "doc_id long, text string, node string, n int, id int").repartition(4)
