@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from filing_jobs.llm import isomedia, jaccard, langid, packing, pii, ppm, quotes, spbpe, tokenfile, topk
 from filing_jobs.llm.common import stored
+from filing_jobs.llm.oracles import oracle_sql as oracle_sql
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +80,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_jaccard_join": op10_jaccard_join,
         "pipeline": corpus_pipeline.run,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
