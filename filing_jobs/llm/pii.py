@@ -122,12 +122,21 @@ def social(text: str, change: Callable) -> str | None:
     return f"{area + 1 + (area >= 665):03d}-{group + 1:02d}-{serial + 1:04d}"
 
 
+#: Addresses that are no one's: unspecified, this machine, broadcast.
+NO_ONE = (0, 0x7F000001, 0xFFFFFFFF)
+
+
 def address(text: str, change: Callable) -> str | None:
-    """IPv4; loopback, unspecified and broadcast addresses are no one's."""
+    """IPv4, but for those that are no one's."""
     parts = [int(x) for x in text.split(".")]
-    if any(p > 255 for p in parts) or parts[0] in (0, 127) or parts == [255] * 4:
+    if any(p > 255 for p in parts):
+        return None
+    value = int.from_bytes(bytes(parts), "big")
+    if value in NO_ONE:
         return None
-    value = change(int.from_bytes(bytes(parts), "big"), 1 << 32, "address")
+    value = change(value - sum(x < value for x in NO_ONE), (1 << 32) - len(NO_ONE), "address")
+    for x in NO_ONE:
+        value += value >= x
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
@@ -186,7 +195,7 @@ KINDS: dict[str, tuple[str, Callable]] = {
     "social": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", social),
     "address": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", address),
     "card": (r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?!\d|[.-]\d)", card),
-    "phone": (r"(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w.(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])", phone),
+    "phone": (r"(?<![\w.])\+1[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w.(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])", phone),
 }
 PATTERN = re.compile("|".join(f"(?P<{name}>{pattern})" for name, (pattern, _) in KINDS.items()), re.ASCII)
 #: Every kind has one of these; most texts have none.
