@@ -72,8 +72,11 @@ def node_of(own: np.ndarray) -> int:
 
 
 def bitmap_of(own: np.ndarray) -> bytes:
-    """Parity bits of the hashes, one or two for each; a signature folds to a shorter one by exclusive or."""
-    bits = 1 << max(6, (len(own) - 1).bit_length())
+    """Parity bits of the hashes, four to eight for each; a signature folds to a shorter one by exclusive or.
+
+    With so few collisions the bound rejects nearly all pairs that are not close to the threshold.
+    """
+    bits = 1 << max(6, (4 * len(own) - 1).bit_length())
     odd = np.bincount((own & np.uint64(bits - 1)).astype("i8"), minlength=bits) & 1
     return np.packbits(odd.astype("u1"), bitorder="little").tobytes()
 
