@@ -205,7 +205,7 @@ def tested(pairs: DataFrame, known: DataFrame, rows: DataFrame, percent: int) ->
     sized = pairs.join(of.toDF("a", "a_n", "a_bits"), "a").join(of.toDF("b", "b_n", "b_bits"), "b")
     close = stored(sized.select("a", "b", "a_bits", "b_bits", (F.col("a_n") + F.col("b_n")).alias("total")).mapInArrow(bound, "a long, b long"), "close-pairs")
 
-    needed = close.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(known.select("node", "id"), "node")
+    needed = close.select(F.col("a").alias("node")).distinct().union(close.select("b").distinct()).distinct().join(known.select("node", "id"), "node")
     place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
     bits = needed.groupBy(F.bitmap_bucket_number(place + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place + 1)).alias("bits")).collect()
     table = np.zeros(FILTER_BITS, bool)
