@@ -6,8 +6,10 @@ that was seen; if it was not seen there, the context's escape probability is pai
 context predicts among the symbols that the longer one has not excluded. Below order 0 all symbols
 that are left are equally likely.
 
-The trie that goes to the executors has at most ``max_grams`` entries of each order: those of at least
-the count that bounds them so. What is left out adds to its context's escape, so probabilities sum to 1.
+Scores are those of the whole model, which stays in tables and grows with the corpus. To the executors
+go the probabilities of at most ``max_grams`` grams, the most frequent ones; all others are joined by gram.
+``train`` gives the same model as a trie in memory, or, if that is bounded, a pruned one: what is left
+out adds to its context's escape, so probabilities sum to 1.
 """
 
 from __future__ import annotations
@@ -172,8 +174,8 @@ class Trie:
         return out
 
 
-def train(rows: DataFrame, *, order: int = ORDER, max_grams: int = 1 << 20) -> Trie:
-    """The trie of all texts of rows (t); no rows give an empty trie, which predicts all symbols alike."""
+def gram_tables(rows: DataFrame, order: int) -> list[DataFrame]:
+    """(gram, c) of all texts of rows (t), for 0 to ``order`` bytes of context and a symbol."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -197,6 +199,12 @@ def train(rows: DataFrame, *, order: int = ORDER, max_grams: int = 1 << 20) -> T
     for j in range(order - 1, -1, -1):  # forget the first byte of the context
         mask = F.lit((1 << 8 * (j + 1)) - 1)
         counted[j] = stored(counted[j + 1].groupBy(F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("c").alias("c")), f"grams{j}")
+    return counted
+
+
+def train(rows: DataFrame, *, order: int = ORDER, max_grams: int = 1 << 20) -> Trie:
+    """The trie of all texts of rows (t) in memory; no rows give an empty trie, which predicts all symbols alike."""
+    counted = gram_tables(rows, order)
     least = max(bounding_count(g, max_grams) for g in counted)
     grams, totals = [], []
     for g in counted:
@@ -208,6 +216,49 @@ def train(rows: DataFrame, *, order: int = ORDER, max_grams: int = 1 << 20) -> T
     return Trie(grams, totals)
 
 
+def context_of(gram: Column, j: int | None = None) -> Column:
+    """The bytes before the gram's symbol, or the last ``j`` of them."""
+    whole = F.shiftrightunsigned(gram, 8)
+    return whole if j is None else whole.bitwiseAND(F.lit((1 << 8 * j) - 1))
+
+
+def contexts(counted: list[DataFrame], j: int) -> DataFrame:
+    """(context, n, q, seen) of j > 0 bytes: all its symbols, the distinct ones, and how often those follow the shorter context."""
+    below = counted[j - 1].toDF("below", "b")
+    return counted[j].join(below, F.col("gram").bitwiseAND(F.lit((1 << 8 * j) - 1)) == F.col("below")).groupBy(context_of(F.col("gram")).alias("context")).agg(F.sum("c").alias("n"), F.count("*").alias("q"), F.sum("b").alias("seen"))
+
+
+def unseen_logs(grams: DataFrame, counted: list[DataFrame], longest: DataFrame) -> DataFrame:
+    """(gram, log) of grams of the longest order that no training text has; ``longest``: the contexts of that order."""
+    order = len(counted) - 1
+    n0, q0 = counted[0].agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    of = {0: (F.lit(n0), F.lit(q0), None)} if n0 else {}
+    for j in range(order, 0, -1):
+        if not n0:
+            break
+        bounded = F.broadcast if j < 2 else lambda df: df  # 256 contexts, 65536 grams
+        table = (longest if j == order else contexts(counted, j)).toDF(f"k{j}", f"n{j}", f"q{j}", f"s{j}")
+        grams = grams.join(bounded(table), context_of(F.col("gram"), j) == F.col(f"k{j}"), "left")
+        bounded = F.broadcast if j < 3 else lambda df: df
+        grams = grams.join(bounded(counted[j - 1].toDF(f"g{j - 1}", f"c{j - 1}")), F.col("gram").bitwiseAND(F.lit((1 << 8 * j) - 1)) == F.col(f"g{j - 1}"), "left")
+        of[j] = F.col(f"n{j}"), F.col(f"q{j}"), F.col(f"s{j}")
+    # without: what is paid from here down if no longer context was seen; after: if the next longer one was
+    rest = F.lit(-math.log10(SYMBOLS - q0) if q0 < SYMBOLS else 0.0)
+    without = after = rest
+    for j in range(len(of)):
+        n, q, _ = of[j]
+        c = F.col(f"c{j}") if j < order else F.lit(None).cast("long")
+        own = F.when(c.isNotNull(), F.log10(c / (n + q))).otherwise(F.log10(q / (n + q)) + after)
+        without = own if not j else F.when(n.isNotNull(), own).otherwise(without)
+        if j < order:
+            _, longer, seen = of[j + 1]
+            fresh = q - longer
+            whole = n - seen + fresh
+            paid = F.when(whole > 0, F.log10(fresh / whole)).otherwise(0.0)
+            after = F.when(c.isNotNull(), F.log10(c) - F.log10(whole)).otherwise(paid + after)
+    return grams.select("gram", without.alias("log"))
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """(word, c) of all tokens of rows (t); END_WORD stands for the ends."""
 
@@ -235,9 +286,9 @@ def score(df: DataFrame, learns: Column, *, id_col: str = "doc_id", text_col: st
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Models learn from all rows for which ``learns`` holds. ``base_score``: add-one word unigram;
-    ``score``: the trie's log10 probability of the text in ASCII lower case, its words joined by
-    single blanks, and its end. Null counts as empty. The ``max_words`` most frequent words go to the
-    executors; all others are joined by word and added up by document.
+    ``score``: the whole model's log10 probability of the text in ASCII lower case, its words joined by
+    single blanks, and its end. Null counts as empty. The ``max_words`` most frequent words and the
+    ``max_grams`` most frequent grams go to the executors; all others are joined and added up by document.
     """
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t"), F.coalesce(learns, F.lit(False)).alias("learns"))
     training = rows.where("learns")
@@ -249,21 +300,33 @@ def score(df: DataFrame, learns: Column, *, id_col: str = "doc_id", text_col: st
     for row in words.where(F.col("word") == END_WORD).collect():
         frequent[END_WORD.encode()] = row["c"]
     context = df.sparkSession.sparkContext
-    trie, common = context.broadcast(train(training, order=order, max_grams=max_grams)), context.broadcast(frequent)
+    counted = gram_tables(training, order)
+    longest = stored(contexts(counted, order), "contexts")
+    least_gram = bounding_count(counted[order], max_grams)
+    direct = counted[order].join(longest, context_of(F.col("gram")) == F.col("context")).select("gram", "c", F.log10(F.col("c") / (F.col("n") + F.col("q"))).alias("log"))
+    top = direct.where(F.col("c") >= least_gram).select("gram", "log").toArrow()
+    table = Table(top["gram"].to_numpy().astype("i8").view("u8")), top["log"].to_numpy().astype("f8")
+    grams, common = context.broadcast(table), context.broadcast(frequent)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = trie.value, common.value
+        (places, values), known = grams.value, common.value
         logs = {w: math.log10(c + 1) for w, c in known.items()}
         for batch in batches:
-            tokens, found, base, own = [], [], [], []
+            tokens, found, base, own, rest, times = [], [], [], [], [], []
             for text in batch["t"].to_pylist():
                 split = words_of(text)
                 each = [x for w in (*split, b"") if (x := logs.get(w)) is not None]
                 tokens.append(len(split) + 1)
                 found.append(len(each))
                 base.append(math.fsum(each))
-                own.append(float(model.logs(codes_of(split, order)).sum()))
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["h"], batch["learns"], pa.array(tokens, pa.int64()), pa.array(found, pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64())], ["id", "h", "learns", "n_tokens", "found", "base", "score"])
+                codes = codes_of(split, order)
+                place = places.find(codes)
+                hit = place >= 0
+                own.append(float(values[place[hit]].sum()))
+                left, often = np.unique(codes[~hit], return_counts=True)
+                rest.append(left.view("i8"))
+                times.append(often)
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["h"], batch["learns"], pa.array(tokens, pa.int64()), pa.array(found, pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), pa.array(rest, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))], ["id", "h", "learns", "n_tokens", "found", "base", "own", "grams", "times"])
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = common.value
@@ -279,7 +342,13 @@ def score(df: DataFrame, learns: Column, *, id_col: str = "doc_id", text_col: st
 
     named = rows.withColumn("h", F.xxhash64("t"))
     kind = rows.schema["id"].dataType.simpleString()
-    scored = named.mapInArrow(whole, f"id {kind}, h long, learns boolean, n_tokens long, found long, base double, score double")
+    scored = named.mapInArrow(whole, f"id {kind}, h long, learns boolean, n_tokens long, found long, base double, own double, grams array<long>, times array<long>")
+    scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    asked = scored.select("row", "learns", F.explode(F.arrays_zip("grams", "times")).alias("g")).select("row", "learns", F.col("g.grams").alias("gram"), F.col("g.times").alias("times"))
+    new = stored(asked.where("not learns").select("gram").distinct().join(counted[order], "gram", "left_anti"), "unseen")  # a text that is learnt has none
+    others_logs = direct.where(F.col("c") < least_gram).select("gram", "log").union(unseen_logs(new, counted, longest))
+    gram_logs = asked.join(others_logs, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("gram_logs"))
+    scored = scored.drop("grams", "times").join(gram_logs, "row", "left").withColumn("score", F.col("own") + F.coalesce("gram_logs", F.lit(0.0)))
     rare = named.select("id", "h", "t").mapInArrow(others, f"id {kind}, h long, word string, times long")
     rest = rare.join(words.where(F.col("c") < least), "word").groupBy("id", "h").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("logs"))
     # a repeated row has added its words once for each copy

@@ -89,6 +89,17 @@ def test_score(spark, max_words):
         assert r["base_score"] == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in tokens)) and r["score"] < 0
 
 
+@pytest.mark.parametrize("max_grams", [0, 5, 1000])
+def test_scores_are_those_of_the_whole_model(spark, max_grams):
+    rows = [*enumerate(TEXTS * 3), (50, "zz cat"), (51, "the\u00e9 sat"), (52, "abcabd cab"), (53, "abcabd cab"), (53, "abcabd cab")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    learns = F.col("doc_id") < 40
+    trie = ppm.train(df.where(learns).select(F.col("text").alias("t")), order=3, max_grams=1 << 20)
+    got = ppm.score(df, learns, order=3, max_grams=max_grams).collect()
+    want = {i: trie.logs(ppm.codes_of(ppm.words_of(t), 3)).sum() for i, t in rows}
+    assert len(got) == len(rows) and all(r["score"] == pytest.approx(want[r["doc_id"]]) for r in got)
+
+
 def test_score_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert ppm.score(empty, ppm.learning()).count() == 0
