@@ -194,40 +194,65 @@ KINDS: dict[str, tuple[str, Callable]] = {
     "date": (r"(?<![\d.])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?![\d]|[./-]\d)", date),
     "social": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", social),
     "address": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", address),
-    "card": (r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?!\d|[.-]\d)", card),
-    "phone": (r"(?<![\w.])\+1[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w.(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])", phone),
+    "card": (r"(?<![\d.+])\d(?:[ -]?\d){12,18}(?!\d|\.\d)", card),
+    "phone": (r"(?<![\w.])\+1[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w.(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])(?:1[ .-])?(?:\d{3}[ .-]|\(\d{3}\) ?)\d{3}[ .-]\d{4}(?![\w-])", phone),
 }
 PATTERN = re.compile("|".join(f"(?P<{name}>{pattern})" for name, (pattern, _) in KINDS.items()), re.ASCII)
+PATTERNS = {name: re.compile(pattern, re.ASCII) for name, (pattern, _) in KINDS.items()}
+#: Where a card or an IBAN may end inside its longest match: never inside a word or a number.
+ENDS = {"card": re.compile(r"(?<=\d)[ -]"), "iban": re.compile(r"(?<=[A-Z0-9]) ")}
+TOKEN = re.compile(r"[^A-Za-z0-9]+")
 #: Every kind has one of these; most texts have none.
 HINT = re.compile(r"[0-9@]|AKIA|gh[pousr]_|sk-|[Pp]assword|[Tt]oken|[Ss]ecret|[Aa]pi_?[Kk]ey")
 
 
 def pseudonymise(text: str, cipher: Feistel, back: bool = False) -> tuple[str, list[str]]:
-    """The text with pseudonyms, and the kinds found in order; ``back`` restores the values."""
+    """The text with pseudonyms, and the kinds found in order; ``back`` restores the values.
+
+    Where other digits stand right beside a card, its pseudonym and they may happen to form a valid number
+    of another length; that place is then not restored.
+    """
     if not HINT.search(text):
         return text, []
     found: list[str] = []
     change = cipher.restore if back else cipher.permute
 
-    def replace(m: re.Match) -> str:
-        new = KINDS[m.lastgroup][1](m.group(), change)
+    out, at, low = [], 0, 0
+    while m := PATTERN.search(text, low):
+        kind, end, new = valid(text, m, change)
         if new is None:
-            return again(m)
-        found.append(m.lastgroup)
-        return new
-
-    def again(m: re.Match) -> str:
-        """A candidate that is not valid may still hold or be one of a later kind."""
-        later = list(KINDS)[list(KINDS).index(m.lastgroup) + 1 :]
-        for name in later:
-            own = re.fullmatch(KINDS[name][0], m.group(), re.ASCII)
-            new = KINDS[name][1](m.group(), change) if own else None
+            low = next_token(text, m)
+            continue
+        out += text[at : m.start()], new
+        at = low = end
+        found.append(kind)
+    return "".join([*out, text[at:]]), found
+
+
+def valid(text: str, m: re.Match, change: Callable) -> tuple[str, int, str | None]:
+    """The kind, the end and the new value of what begins where ``m`` does; no value if nothing there is valid.
+
+    Its own kind first, then later ones. A card or an IBAN may end before its longest match does.
+    """
+    start = m.start()
+    for name in list(KINDS)[list(KINDS).index(m.lastgroup) :]:
+        own = PATTERNS[name].match(text, start)
+        if own is None:
+            continue
+        ends = [own.end()]
+        if name in ENDS:
+            ends += [k for k in range(own.end() - 1, start, -1) if ENDS[name].match(text, k)]
+        for end in ends:
+            new = KINDS[name][1](text[start:end], change)
             if new is not None:
-                found.append(name)
-                return new
-        return m.group()
+                return name, end, new
+    return m.lastgroup, m.end(), None
+
 
-    return PATTERN.sub(replace, text), found
+def next_token(text: str, m: re.Match) -> int:
+    """Where a candidate that is not valid is searched again: at its next token."""
+    token = TOKEN.search(text, m.start(), m.end())
+    return token.end() if token else m.end()
 
 
 def pseudonyms(df: DataFrame, *, key: str = DEFAULT_KEY, text_col: str = "text", kinds_col: str = "pii_kinds", count_col: str = "pii_count") -> DataFrame:

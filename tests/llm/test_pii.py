@@ -46,6 +46,18 @@ def test_neighbouring_values_stay_apart():
     assert found == ["phone", "address", "address", "phone", "card"] and "555-4081" not in new and "190.137.223.204" not in new
 
 
+@pytest.mark.parametrize("before,value,after,kind", [
+    ("", "4111 1111 1111 1111", " 123", "card"), ("", "4111111111111111", " 12 items", "card"), ("", "4111111111111111", "-12", "card"),
+    ("", "4111-1111-1111-1111", "-12345", "card"), ("12 ", "4111 1111 1111 1111", "", "card"), ("12-", "4111-1111-1111-1111", "", "card"),
+    ("", "AT611904300234573201", " FROM", "iban"), ("AT62 1904 ABCD ", "GB82 WEST 1234 5698 7654 32", " AND MORE", "iban"),
+    ("call ", "555 123 4567", " now", "phone"), ("call ", "1-555-123-4567", " now", "phone"), ("", "1 (555) 123-4567", "", "phone"),
+])
+def test_values_beside_other_tokens_are_replaced(before, value, after, kind):
+    new, found = pii.pseudonymise(before + value + after, pii.Feistel("k"))
+    alone, _ = pii.pseudonymise(value, pii.Feistel("k"))
+    assert found == [kind] and new == before + alone + after and alone != value
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000])
 def test_permutation(size):
     cipher = pii.Feistel("k")
