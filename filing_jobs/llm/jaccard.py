@@ -221,12 +221,14 @@ def tested(pairs: DataFrame, known: DataFrame, rows: DataFrame, percent: int) ->
             for batch in batches:
                 at = batch["place"].to_numpy(zero_copy_only=False)
                 hit = pa.array((held[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
-                ids, texts = batch["id"].filter(hit), batch["t"].filter(hit).to_pylist()
-                yield pa.RecordBatch.from_arrays([ids, pa.array([shingles(t).tobytes() for t in texts], pa.binary())], ["id", "items"])
+                ids, own = batch["id"].filter(hit), [shingles(t) for t in batch["t"].filter(hit).to_pylist()]
+                node = [node_of(x) if len(x) else None for x in own]
+                yield pa.RecordBatch.from_arrays([ids, pa.array(node, pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], ["id", "node", "items"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    again = rows.where("id is not null").select("id", "t", place.alias("place")).mapInArrow(thin, f"id {kind}, items binary")
-    sets = stored(again.join(needed, "id").groupBy("node").agg(F.first("items").alias("items")), "sets")
+    again = rows.where("id is not null").select("id", "t", place.alias("place")).mapInArrow(thin, f"id {kind}, node long, items binary")
+    # an id may have several texts
+    sets = stored(again.join(needed, ["id", "node"]).groupBy("node").agg(F.first("items").alias("items")), "sets")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,7 +320,8 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", perce
     Two documents link when 100 * intersection >= ``percent`` * union of their sets of distinct 5-word
     shingles. Null and empty texts have no shingles and link with nothing: their component is their own
     id. Repeated rows stay and share their class. Sets and shingles are told apart by 64-bit hashes.
-    A component's id is the smallest id in it; null ids don't count.
+    A component's id is the smallest id in it; null ids don't count: a row without id shares the component
+    of rows with an id and an equal set, but links with no other set.
     """
     rows = picked(df, id=id_col, t=text_col)
     documents = stored(classes(rows), "classes")
@@ -327,7 +330,8 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", perce
 
     each = Window.partitionBy("token")
     before = F.lag(F.struct("node", "n")).over(each.orderBy("n", "node"))
-    beside = tile_rows(rows, frequent(rows, total), percent).withColumns({"p": before, "least": F.min("node").over(each), "most": F.max("node").over(each)})
+    # every node of a row with an id is in known
+    beside = tile_rows(rows.where("id is not null"), frequent(rows, total), percent).withColumns({"p": before, "least": F.min("node").over(each), "most": F.max("node").over(each)})
     shared = stored(beside.where("least != most and (p is null or p.node != node)").selectExpr("token", "node", "n", "p.node as p", "p.n as p_n"), "tiles")
     chain = shared.where(f"p is not null and 100 * p_n >= {percent} * n").select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
     first = stored(chain, "chain")

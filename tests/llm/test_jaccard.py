@@ -74,6 +74,23 @@ def test_join_of_little(spark):
     assert sorted((r["doc_id"] for r in jaccard.keep_first(same).collect()), key=str) == sorted([3, 9, None, None], key=str)
 
 
+def test_repeated_id_with_different_texts(spark):
+    one, two = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(1, one), (1, two), (2, one + " more"), (3, two + " more"), (4, "c d e f g h")]
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
+def test_null_ids_among_near_copies(spark):
+    rows = [(None if i % 3 == 1 else i, t) for i, t in corpus(3)]
+    want = brute([(i, t) for i, t in rows if i is not None])
+    equal = {frozenset(brute_set(t)): want[i][1] for i, t in rows if i is not None and brute_set(t)}
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None} == want
+    nulls = [equal.get(frozenset(brute_set(t))) for i, t in rows if i is None]
+    assert sorted(map(str, nulls)) == sorted(str(r["component_id"]) for r in got if r["doc_id"] is None)
+
+
 def test_components(spark):
     r = random.Random(4)
     chain = [(k, k + 1) for k in range(100, 140)]
