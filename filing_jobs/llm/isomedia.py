@@ -185,6 +185,19 @@ def feature_of(tracks: list[Track]) -> str:
     return "; ".join(out)
 
 
+#: Every track's codec, seconds and samples, and the byte ranges of all its keyframes.
+TRACKS = pa.list_(pa.struct([("handler", pa.string()), ("codec", pa.string()), ("duration", pa.float64()), ("samples", pa.int64()), ("keyframes", pa.list_(pa.struct([("offset", pa.int64()), ("size", pa.int64())])))]))
+TRACKS_DDL = "array<struct<handler:string,codec:string,duration:double,samples:bigint,keyframes:array<struct<offset:bigint,size:bigint>>>>"
+
+
+def columns_of(tracks: list[Track]) -> list[dict]:
+    """The tracks as TRACKS."""
+    return [
+        {"handler": t.handler, "codec": t.codec, "duration": t.duration / t.timescale if t.timescale else 0.0, "samples": t.samples, "keyframes": [{"offset": a, "size": n} for a, n in t.keyframes().tolist()]}
+        for t in tracks
+    ]
+
+
 def to_media(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes long, media binary): every whole text (null: empty) as UTF-8, padded, in a container."""
 
@@ -201,9 +214,10 @@ def to_media(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def features(df: DataFrame, *, id_col: str = "doc_id", media_col: str = "media", tail: int = PAD, carry: tuple[str, ...] = ()) -> DataFrame:
-    """What the stored bytes say: payload size, sha256 and tail crc32, the container's size and sha256, and the feature.
+    """What the stored bytes say: payload size, sha256 and tail crc32, the container's size and sha256, the feature,
+    and of every track the codec, duration and all keyframe byte ranges.
 
-    Null and broken containers give a payload of 0 bytes and an empty feature. ``carry``: columns of
+    Null and broken containers give a payload of 0 bytes, an empty feature and no tracks. ``carry``: columns of
     ``df`` to keep. Equal bytes give equal values.
     """
     carried = {f"carried_{k}": name for k, name in enumerate(carry)}
@@ -215,12 +229,12 @@ def features(df: DataFrame, *, id_col: str = "doc_id", media_col: str = "media",
                 data = data or b""
                 tracks = read_media(data)
                 payload = payload_of(data, tracks[0]) if tracks else b""
-                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-tail:]), len(data), hashlib.sha256(data).hexdigest(), feature_of(tracks)))
-            columns = list(zip(*out, strict=True)) if out else [()] * 6
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch["id"], *(batch[c] for c in carried), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["id", *carried, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-tail:]), len(data), hashlib.sha256(data).hexdigest(), feature_of(tracks), columns_of(tracks)))
+            columns = list(zip(*out, strict=True)) if out else [()] * 7
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), TRACKS]
+            yield pa.RecordBatch.from_arrays([batch["id"], *(batch[c] for c in carried), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["id", *carried, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tracks"])
 
     rows = picked(df, id=id_col, m=media_col, **carried)
     kept = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carried)
-    schema = f"id {rows.schema['id'].dataType.simpleString()}{kept}, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    schema = f"id {rows.schema['id'].dataType.simpleString()}{kept}, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tracks {TRACKS_DDL}"
     return rows.mapInArrow(run, schema).withColumnsRenamed({"id": id_col} | carried)

@@ -54,7 +54,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return isomedia.features(isomedia.to_media(docs), carry=("n_bytes",))
+    written = stored(isomedia.to_media(docs), "media")
+    return isomedia.features(written, carry=("n_bytes",))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

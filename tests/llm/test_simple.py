@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from filing_jobs.llm import isomedia, langid, packing, spbpe, tokenfile, topk
+from filing_jobs.llm import isomedia, langid, packing, queries, spbpe, tokenfile, topk
 from filing_jobs.llm.common import stored
 from filing_jobs.llm.tokens import encoder
 
@@ -103,6 +103,18 @@ def test_media(spark):
     assert [r["payload_bytes"] for r in isomedia.features(broken).orderBy("doc_id").collect()] == [0, 0, 0]
 
 
+def test_media_query_gives_all_keyframe_ranges_of_what_it_stored(spark, tmp_path, monkeypatch):
+    text = "ab " * 100_000
+    frame(spark, [text, None]).write.parquet(str(tmp_path / "documents.parquet"))
+    names = []
+    monkeypatch.setattr(queries, "stored", lambda df, name: names.append(name) or stored(df, name))
+    rows = {r["doc_id"]: r for r in queries.op8_media_columns(spark, str(tmp_path)).collect()}
+    (track,) = rows[0]["tracks"]
+    (own,) = isomedia.read_media(isomedia.write_media(isomedia.padded(text.encode())))
+    assert names == ["media"] and [tuple(x) for x in track["keyframes"]] == [tuple(x) for x in own.keyframes().tolist()] and len(track["keyframes"]) == 5
+    assert (track["codec"], track["samples"], track["duration"]) == ("raw", 300_032, 300_032 / 8000) and len(rows[1]["tracks"]) == 1
+
+
 def test_media_keyframes_of_several_samples_in_a_chunk():
     b, f = isomedia.box, isomedia.full
     u = lambda *x: b"".join(v.to_bytes(4, "big") for v in x)
