@@ -42,8 +42,9 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quotes.links(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    return found.select(F.col("conv").alias("conv_id"), "turn", "role", F.col("body").alias("content"), F.col("n_quotes").cast("long").alias("n_quotes"), F.col("to_conv").alias("reply_conv"), F.col("to_turn").alias("reply_turn"), "by_quote")
+    chats = stored(quotes.chats(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "chats")
+    found = chats.select("conv_id", F.explode("messages").alias("m")).select("conv_id", "m.*")
+    return found.select("conv_id", "turn", "role", "content", F.col("n_quotes").cast("long").alias("n_quotes"), F.col("to_conv").alias("reply_conv"), F.col("to_turn").alias("reply_turn"), "by_quote")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

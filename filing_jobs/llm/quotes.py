@@ -113,9 +113,9 @@ def chats(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", r
     A part holds the turns of one range of RANGE, so that a very long conversation is never in one row;
     the parts in order, and in them the messages, stand in reply order: a link inside a conversation
     always leads to an earlier turn. ``reply_to`` is null for a first message and for a reply to another
-    conversation. No rows, no chats.
+    conversation; ``to_conv`` and ``to_turn`` give the message replied to wherever it is. No rows, no chats.
     """
     found = links(df, conv_col=conv_col, turn_col=turn_col, role_col=role_col, text_col=text_col)
-    message = F.struct("turn", "role", F.col("body").alias("content"), F.when(F.col("to_conv").eqNullSafe(F.col("conv")), F.col("to_turn")).alias("reply_to"))
+    message = F.struct("turn", "role", F.col("body").alias("content"), F.when(F.col("to_conv").eqNullSafe(F.col("conv")), F.col("to_turn")).alias("reply_to"), "to_conv", "to_turn", "n_quotes", "by_quote")
     part = F.floor(F.col("turn") / RANGE).alias("part")
     return found.groupBy(F.col("conv").alias(conv_col), part).agg(F.array_sort(F.collect_list(message)).alias("messages"))

@@ -1,6 +1,6 @@
 """Linking quotes to original messages."""
 
-from filing_jobs.llm import quotes
+from filing_jobs.llm import queries, quotes
 
 
 def test_links(spark):
@@ -47,3 +47,14 @@ def test_long_conversations(spark):
     got = {r["turn"]: r["to_turn"] for r in quotes.links(df).collect()}
     assert got == {7 * k: 7 * (k - 1) if k else None for k in range(700)}
     assert sum(len(r["messages"]) for r in quotes.chats(df).collect()) == 700 and quotes.chats(df).count() == 5
+
+
+def test_query_is_that_of_the_built_conversations(spark, tmp_path, monkeypatch):
+    rows = [(1, 1, "b", "> Boil it for ten minutes.\nYes"), (1, 0, "a", "Where is it?"), (2, 0, "a", "Boil it for ten minutes."), (None, 3, "a", None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    built = []
+    monkeypatch.setattr(quotes, "chats", lambda df, own=quotes.chats: built.append(own(df)) or built[0])
+    got = {(r["conv_id"], r["turn"]): tuple(r)[3:] for r in queries.op6_chat_quotes(spark, str(tmp_path)).collect()}
+    assert len(built) == 1 and got == {(1, 0): ("Where is it?", 0, None, None, False), (1, 1): ("Yes", 1, 2, 0, True), (2, 0): ("Boil it for ten minutes.", 0, None, None, False), (None, 3): ("", 0, None, None, False)}
+    (chat,) = [r for r in built[0].collect() if r["conv_id"] == 1]
+    assert [(m["turn"], m["to_conv"], m["to_turn"]) for m in chat["messages"]] == [(0, None, None), (1, 2, 0)]
