@@ -2,47 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filing_jobs.store import stored as stored
+
 #: ASCII white space, as the word definition ``[^\x20\x09-\x0D]+`` excludes it. ``bytes.split()`` splits at exactly these.
 ASCII_SPACE = "\x20\x09-\x0d"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where that is unset (a local test session) a new temporary folder is made, once per session.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        own = spark.sparkContext.getCheckpointDir()
-        if own:
-            return own
-        found = tempfile.mkdtemp(prefix="spark-checkpoint-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext.getCheckpointDir()
-    return found
-
-
-def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    It cuts the lineage and survives lost executors. The folder goes when the session's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def id_remainder(id_col: str, n: int) -> Column:
     """crc32 of the id as text, mod ``n``; a null id counts as the empty text (remainder 0)."""
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))) % F.lit(n)
@@ -51,3 +19,19 @@ def id_remainder(id_col: str, n: int) -> Column:
 def picked(df: DataFrame, **columns: str) -> DataFrame:
     """Only the wanted columns under the operator's own names, so that other columns can't clash with them."""
     return df.select(*(F.col(f"`{source}`").alias(name) for name, source in columns.items()))
+
+
+def bounding_count(counted: DataFrame, most: int) -> int:
+    """The least count that at most ``most`` rows of (.., c) reach; 1 if all may stay."""
+    top = 1 << 16
+    sizes = {r["c"]: r["n"] for r in counted.groupBy(F.least(F.col("c"), F.lit(top)).alias("c")).agg(F.count("*").alias("n")).collect()}
+    if sizes.get(top, 0) > most:
+        total = counted.agg(F.sum("c")).first()[0]
+        return max(top, -(-total // most)) if most else total + 1
+    reached, least = 0, top
+    for c in sorted(sizes, reverse=True):
+        reached += sizes[c]
+        if reached > most:
+            break
+        least = c
+    return least if reached > most else 1

@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filing_jobs.llm.common import id_remainder, picked, stored
+from filing_jobs.llm.common import bounding_count, id_remainder, stored
 
 ORDER = 5
 SYMBOLS = 256
@@ -48,22 +48,6 @@ def codes_of(words: list[bytes], order: int) -> np.ndarray:
     return codes
 
 
-def bounding_count(counted: DataFrame, most: int) -> int:
-    """The least count that at most ``most`` rows of (.., c) reach; 1 if all may stay."""
-    top = 1 << 16
-    sizes = {r["c"]: r["n"] for r in counted.groupBy(F.least(F.col("c"), F.lit(top)).alias("c")).agg(F.count("*").alias("n")).collect()}
-    if sizes.get(top, 0) > most:
-        total = counted.agg(F.sum("c")).first()[0]
-        return max(top, -(-total // most)) if most else total + 1
-    reached, least = 0, top
-    for c in sorted(sizes, reverse=True):
-        reached += sizes[c]
-        if reached > most:
-            break
-        least = c
-    return least if reached > most else 1
-
-
 class Table:
     """A hash table from 64-bit keys to places 0..n-1; looks up whole arrays."""
 
@@ -287,8 +271,9 @@ def score(df: DataFrame, learns: Column, *, id_col: str = "doc_id", text_col: st
 
     Models learn from all rows for which ``learns`` holds. ``base_score``: add-one word unigram;
     ``score``: the whole model's log10 probability of the text in ASCII lower case, its words joined by
-    single blanks, and its end. Null counts as empty. The ``max_words`` most frequent words and the
-    ``max_grams`` most frequent grams go to the executors; all others are joined and added up by document.
+    single blanks, and its end. Null counts as empty; null ids and repeated rows each have their own row.
+    The ``max_words`` most frequent words and the ``max_grams`` most frequent grams go to the executors;
+    all others are joined and added up by row. No training text: every byte is equally likely.
     """
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t"), F.coalesce(learns, F.lit(False)).alias("learns"))
     training = rows.where("learns")
@@ -312,56 +297,45 @@ def score(df: DataFrame, learns: Column, *, id_col: str = "doc_id", text_col: st
         (places, values), known = grams.value, common.value
         logs = {w: math.log10(c + 1) for w, c in known.items()}
         for batch in batches:
-            tokens, found, base, own, rest, times = [], [], [], [], [], []
+            tokens, found, base, own, rest, times, names, often = [], [], [], [], [], [], [], []
             for text in batch["t"].to_pylist():
                 split = words_of(text)
                 each = [x for w in (*split, b"") if (x := logs.get(w)) is not None]
                 tokens.append(len(split) + 1)
                 found.append(len(each))
                 base.append(math.fsum(each))
+                others = Counter(w for w in split if w not in logs)
+                names.append([w.decode() for w in others])
+                often.append(list(others.values()))
                 codes = codes_of(split, order)
                 place = places.find(codes)
                 hit = place >= 0
                 own.append(float(values[place[hit]].sum()))
-                left, often = np.unique(codes[~hit], return_counts=True)
+                left, each = np.unique(codes[~hit], return_counts=True)
                 rest.append(left.view("i8"))
-                times.append(often)
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["h"], batch["learns"], pa.array(tokens, pa.int64()), pa.array(found, pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), pa.array(rest, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))], ["id", "h", "learns", "n_tokens", "found", "base", "own", "grams", "times"])
+                times.append(each)
+            longs = pa.list_(pa.int64())
+            columns = zip((tokens, found, base, own, rest, times, names, often), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), longs, longs, pa.list_(pa.string()), longs), strict=True)
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["learns"], *(pa.array(x, kind) for x, kind in columns)], ["id", "learns", "n_tokens", "found", "base", "own", "grams", "times", "words", "often"])
 
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = common.value
-        for batch in batches:
-            at, names, times = [], [], []
-            for k, text in enumerate(batch["t"].to_pylist()):
-                rest = Counter(w for w in words_of(text) if w not in known)
-                at.extend([k] * len(rest))
-                names.extend(rest)
-                times.extend(rest.values())
-            where = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch["id"].take(where), batch["h"].take(where), pa.array(names, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())], ["id", "h", "word", "times"])
-
-    named = rows.withColumn("h", F.xxhash64("t"))
     kind = rows.schema["id"].dataType.simpleString()
-    scored = named.mapInArrow(whole, f"id {kind}, h long, learns boolean, n_tokens long, found long, base double, own double, grams array<long>, times array<long>")
+    scored = rows.mapInArrow(whole, f"id {kind}, learns boolean, n_tokens long, found long, base double, own double, grams array<long>, times array<long>, words array<string>, often array<long>")
     scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     asked = scored.select("row", "learns", F.explode(F.arrays_zip("grams", "times")).alias("g")).select("row", "learns", F.col("g.grams").alias("gram"), F.col("g.times").alias("times"))
     new = stored(asked.where("not learns").select("gram").distinct().join(counted[order], "gram", "left_anti"), "unseen")  # a text that is learnt has none
     others_logs = direct.where(F.col("c") < least_gram).select("gram", "log").union(unseen_logs(new, counted, longest))
     gram_logs = asked.join(others_logs, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("gram_logs"))
-    scored = scored.drop("grams", "times").join(gram_logs, "row", "left").withColumn("score", F.col("own") + F.coalesce("gram_logs", F.lit(0.0)))
-    rare = named.select("id", "h", "t").mapInArrow(others, f"id {kind}, h long, word string, times long")
-    rest = rare.join(words.where(F.col("c") < least), "word").groupBy("id", "h").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("logs"))
-    # a repeated row has added its words once for each copy
-    copies = F.count("*").over(Window.partitionBy("id", "h"))
-    joined = scored.withColumn("copies", copies).join(rest.withColumnsRenamed({"id": "r_id", "h": "r_h"}), F.col("id").eqNullSafe(F.col("r_id")) & (F.col("h") == F.col("r_h")), "left")
+    rare = scored.select("row", F.explode(F.arrays_zip("words", "often")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.often").alias("times"))
+    word_logs = rare.join(words.where(F.col("c") < least), "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("logs"))
+    joined = scored.drop("grams", "times", "words", "often").join(gram_logs, "row", "left").join(word_logs, "row", "left")
     return joined.select(
         F.col("id").alias(id_col),
         (~F.col("learns")).alias("held_out"),
         "n_tokens",
-        (F.col("found") + F.coalesce((F.col("more") / F.col("copies")).cast("long"), F.lit(0))).alias("n_known"),
+        (F.col("found") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce(F.col("logs") / F.col("copies"), F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(n + v + 1))).alias("base_score"),
-        "score",
+        (F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(n + v + 1))).alias("base_score"),
+        (F.col("own") + F.coalesce("gram_logs", F.lit(0.0))).alias("score"),
     )
 
 
