@@ -25,18 +25,20 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from filing_jobs.llm.common import picked, stored
+from filing_jobs.llm.common import bounding_count, picked, stored
 from filing_jobs.llm.components import components
 
 WORDS = 5
 #: Link when PERCENT * union <= 100 * intersection.
 PERCENT = 75
-#: Frequent shingles are those that make up at least this part of all, so there are no more of them than this.
-FREQUENT = 1 << 21
+#: So many of the most frequent shingles are known as such; none that fewer sets than this hold.
+FREQUENT, RARE = 1 << 20, 8
 #: Shingles counted at a time for that, and the least number among them that is reported.
-FLUSH, LOCAL = 1 << 22, 4
+FLUSH, LOCAL = 1 << 22, 2
 #: Rows of a tile's block.
 BLOCK = 2048
+#: Names that a task remembers at most; they only save work.
+REMEMBER = 1_000_000
 #: Bits of the filter that thins out the texts to be read again (8 MB whatever the input).
 FILTER_BITS = 1 << 26
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -115,42 +117,52 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view("i8"), pa.int64())
 
 
-def classes(rows: DataFrame) -> DataFrame:
-    """(id, n, node, bitmap): every document; node and bitmap are null for empty sets."""
+def read_texts(rows: DataFrame) -> DataFrame:
+    """(id, n, node, bitmap, token, c): a row for every document, and others for shingles that many sets of a task hold.
 
-    def run(batches):
-        for ids, sets in batches:
-            own = list(sets)
-            node = [node_of(s) if len(s) else None for s in own]
-            bits = [bitmap_of(s) if len(s) else None for s in own]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(list(map(len, own)), pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary())], ["id", "n", "node", "bitmap"])
-
-    return batches_of(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, n long, node long, bitmap binary")
-
-
-def frequent(rows: DataFrame, total: int) -> np.ndarray:
-    """(2, n) array: the sorted frequent shingles and their counts; at most FREQUENT of them."""
+    Documents have no token; node and bitmap are null for empty sets. The others have only the shingle
+    and how many sets hold it; equal sets of a task count once.
+    """
+    names = ["id", "n", "node", "bitmap", "token", "c"]
 
     def run(batches):
         held, size = [], 0
+        seen: set[int] = set()
 
-        def out():
+        def out(kind: pa.DataType) -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             chosen = counts >= LOCAL
-            return pa.RecordBatch.from_arrays([signed(values[chosen]), pa.array(counts[chosen], pa.int64())], ["token", "c"])
+            k = int(chosen.sum())
+            return pa.RecordBatch.from_arrays([pa.nulls(k, kind), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), signed(values[chosen]), pa.array(counts[chosen], pa.int64())], names)
 
-        for _, sets in batches:
+        for ids, sets in batches:
+            n, nodes, bits = [], [], []
             for own in sets:
-                held.append(own)
-                size += len(own)
-                if size >= FLUSH:
-                    yield out()
-                    held, size = [], 0
+                node = node_of(own) if len(own) else None
+                n.append(len(own))
+                nodes.append(node)
+                bits.append(bitmap_of(own) if len(own) else None)
+                if node is not None and node not in seen:
+                    if len(seen) > REMEMBER:
+                        seen.clear()
+                    seen.add(node)
+                    held.append(own)
+                    size += len(own)
+                    if size >= FLUSH:
+                        yield out(ids.type)
+                        held, size = [], 0
+            k = len(n)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names)
         if held:
-            yield out()
+            yield out(ids.type)
+
+    return batches_of(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, n long, node long, bitmap binary, token long, c long")
+
 
-    least = max(16, -(-total // FREQUENT))
-    found = batches_of(rows, run, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") >= least).toArrow()
+def frequent(counted: DataFrame) -> np.ndarray:
+    """(2, n) array: the sorted frequent shingles and their counts of (token, c); at most FREQUENT of them."""
+    summed = stored(counted.groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") >= RARE), "frequent")
+    found = summed.where(F.col("c") >= bounding_count(summed, FREQUENT)).toArrow()
     token, c = found["token"].to_numpy().view("u8"), found["c"].to_numpy().astype("u8")
     order = np.argsort(token)
     return np.stack([token[order], c[order]])
@@ -169,7 +181,7 @@ def tile_rows(rows: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
                 node = node_of(own) if len(own) else None
                 if node is None or node in seen:
                     continue
-                if len(seen) > 1_000_000:
+                if len(seen) > REMEMBER:
                     seen.clear()
                 seen.add(node)
                 first = own[: prefix_length(len(own), percent)]
@@ -252,7 +264,7 @@ def folded(bits: bytes, words: int) -> np.ndarray:
 def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that the bit counts allow, from rows sorted by (home, kind, token, band, i, j).
 
-    A home's rows of kind 0 give the bitmaps of its nodes, those of kind 1 are the rows of its tiles.
+    A pair may come more than once. A home's rows of kind 0 give the bitmaps of its nodes, those of kind 1 are the rows of its tiles.
     """
     names = ("home", "kind", "token", "band", "i", "j", "node", "n", "component", "guest", "block")
 
@@ -293,6 +305,8 @@ def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
                     for x, y in pairs([c[a:b] for c in col], bits):
                         pair = (min(x, y), max(x, y))
                         if pair not in sent:  # it may meet in many tiles of one home
+                            if len(sent) > REMEMBER:
+                                sent.clear()
                             sent.add(pair)
                             found.append(pair)
             at = np.array(found, "i8").reshape(-1, 2)
@@ -324,14 +338,15 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", perce
     of rows with an id and an equal set, but links with no other set.
     """
     rows = picked(df, id=id_col, t=text_col)
-    documents = stored(classes(rows), "classes")
-    total = documents.agg(F.sum("n")).first()[0] or 0
+    read = stored(read_texts(rows), "classes")
+    documents = read.where("token is null").select("id", "n", "node", "bitmap")
+    common = frequent(read.where("token is not null").select("token", "c"))
     known = stored(documents.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")).where("id is not null"), "known")
 
     each = Window.partitionBy("token")
     before = F.lag(F.struct("node", "n")).over(each.orderBy("n", "node"))
     # every node of a row with an id is in known
-    beside = tile_rows(rows.where("id is not null"), frequent(rows, total), percent).withColumns({"p": before, "least": F.min("node").over(each), "most": F.max("node").over(each)})
+    beside = tile_rows(rows.where("id is not null"), common, percent).withColumns({"p": before, "least": F.min("node").over(each), "most": F.max("node").over(each)})
     shared = stored(beside.where("least != most and (p is null or p.node != node)").selectExpr("token", "node", "n", "p.node as p", "p.n as p_n"), "tiles")
     chain = shared.where(f"p is not null and 100 * p_n >= {percent} * n").select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
     first = stored(chain, "chain")

@@ -56,6 +56,10 @@ def corpus(seed):
 @pytest.mark.parametrize("seed,block", [(1, 2048), (2, 3)])
 def test_join_equals_brute_force(spark, monkeypatch, seed, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    if block < 10:
+        monkeypatch.setattr(jaccard, "REMEMBER", 3)
+        monkeypatch.setattr(jaccard, "FLUSH", 500)
+        monkeypatch.setattr(jaccard, "FREQUENT", 20)
     rows = corpus(seed)
     df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], "doc_id long, text string, node string, n int, id int").repartition(4)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()}
