@@ -34,7 +34,7 @@ def pack(df: DataFrame, tokenizer_path: str, *, end_id: int = 1, window: int = 2
     """One row per piece: id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     Each document's ids are those of its whole text and ``end_id``; null and empty texts give that one
-    token. ``window`` is a power of two. ``offset`` is always 0. Sequence ids sort by bucket; they are
+    token; repeated rows each have their pieces; texts are whole however long. ``window`` is a power of two. ``offset`` is always 0. Sequence ids sort by bucket; they are
     unique, and a task's retry gives the same ones for the same input partition. Nothing is shuffled.
     Without ``with_ids`` the column ``ids_crc32`` (unsigned) stands in place of ``ids``.
     """
@@ -48,8 +48,8 @@ def pack(df: DataFrame, tokenizer_path: str, *, end_id: int = 1, window: int = 2
             raise ValueError("too many partitions for sequence ids")
         for batch in batches:
             which, start, length, ids, total, sequence = [], [], [], [], [], []
-            for k, text in enumerate(batch["t"].to_pylist()):
-                tokens = own.encode(text) + end
+            for k, tokens in enumerate(own.encode_all(batch["t"].to_pylist())):
+                tokens += end
                 n, at = len(tokens) // 4, 0
                 for size in lengths(n, window):
                     piece = tokens[4 * at : 4 * (at + size)]

@@ -84,7 +84,8 @@ def files(df: DataFrame, tokenizer_path: str, *, end_id: int = 0, id_col: str =
     """Rows (part, file, docs array<id>, ids long, content binary) in ascending order of the id.
 
     Each document's ids are those of its whole text (null: empty) and ``end_id``. The order is made by
-    a range partitioning on the id, ties by the text; null ids come first. A file holds whole documents:
+    a range partitioning on the id and, for rows of one id, a hash of the text, so that many of them are
+    spread too; null ids come first, a null text is the end id alone. A file holds whole documents:
     it ends with the document that takes it beyond ``file_ids``. No rows, no files.
     """
     end = end_id.to_bytes(4, "little")
@@ -103,8 +104,8 @@ def files(df: DataFrame, tokenizer_path: str, *, end_id: int = 0, id_col: str =
 
         for batch in batches:
             key = batch["id"].type
-            for name, text in zip(batch["id"].to_pylist(), batch["t"].to_pylist(), strict=True):
-                tokens = own.encode(text) + end
+            for name, tokens in zip(batch["id"].to_pylist(), own.encode_all(batch["t"].to_pylist()), strict=True):
+                tokens += end
                 names.append(name)
                 documents.append(tokens)
                 held += len(tokens) // 4
@@ -114,7 +115,8 @@ def files(df: DataFrame, tokenizer_path: str, *, end_id: int = 0, id_col: str =
         if names:
             yield out()
 
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "t")
+    spread = rows.withColumn("spread", F.xxhash64("t"))
+    ordered = spread.repartitionByRange("id", "spread").sortWithinPartitions("id", "spread", "t").select("id", "t")
     return ordered.mapInArrow(run, f"part int, file int, docs array<{kind}>, ids long, content binary")
 
 

@@ -2,13 +2,17 @@
 
 Both pre-tokenizers used here match their pattern from left to right and never over the pieces cut
 below, so a text's ids are its pieces' ids one after the other. Each distinct piece goes to the
-library once per Python worker (until the memo is full), which is most of the saving.
+library once per Python worker (until the memo is full), which is most of the saving. Texts are taken
+many at a time, so that all new pieces among them go to the library in one call.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable, Iterator
+from itertools import islice
+from struct import pack
 
 import numpy as np
 
@@ -17,16 +21,17 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has one worker
 #: White space as the library's patterns have it (``\s`` there lacks U+001C to U+001F).
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Letters of which a run is one match of ``\p{L}+`` if an ASCII character that is no letter, a space or the end follows.
-LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
-FOLLOWS = rf"(?![^{SPACE}!-@\[-`{{-~])"
+LATIN, FOLLOWS = "A-Za-zÀ-ÖØ-öø-ɏ", rf"(?![^{SPACE}!-@\[-`{{-~])"
 #: A byte-level pattern keeps one blank in front of a word; of other white space the last character stands alone.
 BYTE_PIECES = re.compile(rf" ?[{LATIN}]+{FOLLOWS}| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: A pattern that drops white space.
-WORD_PIECES = re.compile(rf"[{LATIN}]+{FOLLOWS}|[^{SPACE}]+")
+#: A pattern that drops white space. Without U+0130: its lower case ends in a mark, which would join what follows the run.
+WORD_PIECES = re.compile(rf"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+{FOLLOWS}|[^{SPACE}]+")
 #: Only characters for which lower case is the same letter by letter and NFC changes nothing.
 PLAIN = re.compile("[^\x00-įı-ɏ]")
-#: Pieces kept in a worker's memo.
-MEMO = 600_000
+#: Pieces kept in a worker's memo, how many of them stay when it is full, and pieces looked up at a time.
+MEMO, STAY, AT_ONCE = 600_000, 200_000, 250_000
+#: Longer pieces are not kept.
+LONGEST = 64
 
 
 class PieceEncoder:
@@ -45,23 +50,52 @@ class PieceEncoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
-        """Null counts as empty. A text that holds the string of a special token goes to the library as a whole."""
-        if not text:
-            return b""
-        if any(s in text for s in self.special):
-            return self.whole(text)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: Iterable[str | None]) -> list[bytes]:
+        """The ids of each text. Null counts as empty. A text that holds the string of a special token goes to the library as a whole."""
+        out: list[list[bytes]] = []
+        held: list[tuple[list[bytes], list[str]]] = []
+        size = 0
+        for text in texts:
+            own: list[bytes] = []
+            out.append(own)
+            if not text:
+                continue
+            if any(s in text for s in self.special):
+                own.append(self.whole(text))
+                continue
+            for pieces in self.cut(text):
+                held.append((own, pieces))
+                size += len(pieces)
+                if size >= AT_ONCE:
+                    self.look_up(held)
+                    held, size = [], 0
+        self.look_up(held)
+        return [b"".join(own) for own in out]
+
+    def cut(self, text: str) -> Iterator[list[str]]:
+        """The text's pieces, so many at a time: a very long text is never in pieces as a whole."""
         if self.drops_space and not PLAIN.search(text):
             text = text.lower()
-        pieces, memo = self.pieces.findall(text), self.memo
-        found = list(map(memo.get, pieces))
-        if None in found:
-            if len(memo) > MEMO:  # start anew: frequent pieces come back at once
-                memo.clear()
-            new = [p for p in dict.fromkeys(pieces) if p not in memo]
-            own = dict(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-            memo.update((p, x) for p, x in own.items() if len(p) < 64)
-            found = [memo.get(p) or own[p] if p in own else memo[p] for p in pieces]
-        return b"".join(found)
+        if len(text) <= AT_ONCE:
+            yield self.pieces.findall(text)
+            return
+        found = map(re.Match.group, self.pieces.finditer(text))
+        while part := list(islice(found, AT_ONCE)):
+            yield part
+
+    def look_up(self, held: list[tuple[list[bytes], list[str]]]) -> None:
+        """Put the ids of each list of pieces behind those of its text."""
+        memo = self.memo
+        found = [list(map(memo.get, pieces)) for _, pieces in held]
+        new = list({p for (_, pieces), ids in zip(held, found, strict=True) if None in ids for p, x in zip(pieces, ids, strict=True) if x is None})
+        known = dict(zip(new, (pack(f"<{len(x)}I", *x) for x in (e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False))), strict=True))
+        for (own, pieces), ids in zip(held, found, strict=True):
+            own.append(b"".join([known[p] if x is None else x for p, x in zip(pieces, ids, strict=True)] if None in ids else ids))
+        if len(memo) + len(new) > MEMO:  # those that came first are the most frequent ones
+            self.memo = memo = dict(islice(memo.items(), STAY))
+        memo.update((p, x) for p, x in known.items() if len(p) < LONGEST)
 
 
 _encoders: dict[str, PieceEncoder] = {}

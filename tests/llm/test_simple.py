@@ -3,7 +3,9 @@
 import hashlib
 import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -12,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from filing_jobs.llm import isomedia, langid, packing, queries, spbpe, tokenfile, topk
+from filing_jobs.llm import isomedia, langid, packing, queries, spbpe, tokenfile, tokens, topk
 from filing_jobs.llm.common import stored
 from filing_jobs.llm.tokens import encoder
 
@@ -37,6 +39,24 @@ def test_pieces_equal_the_library(name):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:80])
 
 
+MARKS = [chr(c) for c in range(32, 128) if not chr(c).isalnum()]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_mixed_texts_in_batches_equal_the_library(name, monkeypatch):
+    monkeypatch.setattr(tokens, "AT_ONCE", 700)
+    monkeypatch.setattr(tokens, "MEMO", 5000)
+    monkeypatch.setattr(tokens, "STAY", 1000)
+    r = random.Random(11)
+    changing = "İIıiŞşĞğẞßΣσςŐőÅKſŉǅǰΐΰﬁﬃÉ\u0301\u0307\u0338\u0327\u0345"
+    pool = changing * 2 + "".join(MARKS) + "abcXYZ012 \t\n\xa0 中あ😀é़́ः"
+    texts = ["".join(r.choice(pool) if r.random() < 0.7 else chr(r.choice([r.randrange(0x20, 0x250), r.randrange(0x370, 0x600), r.randrange(0x1E00, 0x2100), r.randrange(0x1F000, 0x1F700)])) for _ in range(r.randint(0, 30))) for _ in range(20_000)]
+    texts += [f"BİLGİ{m}{x}" for m in MARKS for x in ("", "a", " İ", "1")] + ["BİLGİ.", None, "word " * 4000, "<|endoftext|>"]
+    own, library = tokens.PieceEncoder(P.path(name)), Tokenizer.from_file(P.path(name))
+    for text, got in zip(texts, own.encode_all(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
 def test_prefix_table_equals_the_library(spark):
     path = P.path("piece_bpe_32k.model")
     own, library = spbpe.encoder(path), sentencepiece.SentencePieceProcessor(model_file=path)
@@ -44,6 +64,7 @@ def test_prefix_table_equals_the_library(spark):
         ids = library.encode(text, add_bos=True, add_eos=True)
         assert np.frombuffer(own.encode(text), "<u4").tolist() == ids, repr(text[:80])
     got = {r["doc_id"]: r for r in spbpe.encode(frame(spark, ODD), path).collect()}
+    assert spbpe.encode(frame(spark, []), path).count() == 0 and spbpe.digests(frame(spark, []), path).count() == 0
     digests = {r["doc_id"]: r for r in spbpe.digests(frame(spark, ODD), path).collect()}
     for i, text in enumerate(ODD):
         ids = library.encode(text or "", add_bos=True, add_eos=True)
@@ -129,6 +150,31 @@ def test_media_keyframes_of_several_samples_in_a_chunk():
     assert isomedia.payload_of(media, track) == data and len(track.keyframes()) == 256
 
 
+def test_broken_containers_have_defined_results(spark):
+    good = isomedia.write_media(b"abc" * 50, chunk=40)
+    u = lambda *x: b"".join(v.to_bytes(4, "big") for v in x)
+    b, f = isomedia.box, isomedia.full
+    video = b(b"moov", b(b"trak", b(b"mdia", f(b"mdhd", bytes(16)), b(b"minf", b(b"stbl", f(b"stts", u(1, 5, 10)), f(b"stsc", u(2, 1, 2, 1, 3, 1, 1)), f(b"stsz", u(0, 5, 10, 20, 30, 40, 50)), f(b"stco", u(3, 1000, 2000, 3000)), f(b"stss", u(3, 1, 4, 5)))))))
+    r = random.Random(8)
+    broken = [whole[:n] for whole in (good, video) for n in range(len(whole))]
+    for whole in (good, video):
+        for at in range(len(whole)):
+            for four in (b"\xff" * 4, bytes(4), b"\x11\xe1\xa3\x00", b"\x80\0\0\0"):
+                broken.append(whole[:at] + four + whole[at + 4 :])
+        broken += [bytes(r.choice([x, 0, 255]) if r.random() < 0.05 else x for x in whole) for _ in range(500)]
+    short = [b(b"moov", b(b"trak", b(b"mdia", f(kind, bytes(n), version=v)))) for kind in (b"stsz", b"stts", b"stsc", b"stco", b"co64", b"stss", b"mdhd", b"hdlr", b"stsd") for n in range(40) for v in (0, 1)]
+    deep = b""
+    for _ in range(3000):
+        deep = b(b"moov", deep)
+    for data in [*broken, *short, deep]:
+        tracks = isomedia.read_media(data)
+        assert isinstance(isomedia.feature_of(tracks), str) and len(isomedia.columns_of(tracks)) == len(tracks)
+        assert all(len(isomedia.payload_of(data, t)) <= len(data) for t in tracks)
+    large = isomedia.Track(samples=300_000_000, fixed_size=1, runs=np.array([[1, 300_000_000, 1]]), chunks=np.array([8]), sync=np.array([7]))
+    assert large.ranges().tolist() == [[8, 300_000_000]] and large.keyframes().tolist() == [[14, 1]]
+    assert isomedia.features(isomedia.to_media(frame(spark, []))).count() == 0
+
+
 def brute_top(rows, k):
     valid = {i: v for i, v in rows if i is not None and v is not None and None not in v and all(math.isfinite(x) for x in v)}
     quantised = {i: [math.floor(64 * x) for x in v] for i, v in valid.items()}
@@ -157,6 +203,72 @@ def test_top_k_of_nothing_and_of_huge_components(spark):
     assert [x["vec_id"] for x in topk.search(huge, F.col("vec_id") % 20 == 0).orderBy("rank").collect()] == [1, 2]
 
 
+def test_top_k_of_scores_near_the_end_of_longs(spark):
+    top = 2.0**62 - 2**10
+    rows = [(0, [top, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 5.0]), (3, [1.0, -9.0]), (4, [-1.0, 3.0]), (5, [2.0, -3.0]), (6, [-2.0, 1.0]), (7, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.search(df, F.col("vec_id") == 0, k=4, scale=1.0, bins=8, block=3).orderBy("rank").collect()
+    score = {i: int(top) * int(v[0]) + int(v[1]) for i, v in rows[1:]}
+    want = sorted(score, key=lambda i: (-score[i], i))[:4]
+    assert [(r["vec_id"], r["score"]) for r in got] == [(i, score[i]) for i in want] and score[want[0]] > 1 << 62
+    assert topk.products(np.array([[top]]), np.array([[4.0], [-4.0]])).tolist() == [[topk.MOST, -topk.MOST]]
+
+
+def brute_language(rows, text):
+    """Words by their log frequency, unseen ones by the longest known n-gram that ends at each place; all rows teach."""
+    split = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    langs = sorted({lang for _, lang in rows})
+    words = {lang: Counter(w for t, x in rows if x == lang for w in split(t)) for lang in langs}
+    grams = {n: {lang: Counter() for lang in langs} for n in range(1, 6)}
+    for lang in langs:
+        for w, c in words[lang].items():
+            for n in grams:
+                for at in range(len(w) + 3 - n):
+                    grams[n][lang][f"^{w}$"[at : at + n]] += c
+    words = {lang: Counter({w: c for w, c in found.items() if c >= 2}) for lang, found in words.items()}
+    log = lambda table, key, lang: math.log((table[lang][key] + 0.5) / (sum(table[lang].values()) + 0.5 * len(set().union(*table.values())) + 1))
+    total, shares = dict.fromkeys(langs, 0.0), dict.fromkeys(langs, 0.0)
+    for w in split(text):
+        if any(w in words[lang] for lang in langs):
+            own = {lang: log(words, w, lang) for lang in langs}
+        else:
+            own, padded = dict.fromkeys(langs, 0.0), f"^{w}$"
+            for end in range(1, len(padded) + 1):
+                n = next((n for n in range(min(5, end), 0, -1) if any(padded[end - n : end] in grams[n][lang] for lang in langs)), None)
+                if n:
+                    for lang in langs:
+                        own[lang] += log(grams[n], padded[end - n : end], lang)
+        whole = sum(math.exp(v - max(own.values())) for v in own.values())
+        for lang in langs:
+            total[lang] += own[lang]
+            shares[lang] += math.exp(own[lang] - max(own.values())) / whole
+    best = max(langs, key=lambda lang: total[lang])
+    return best, shares[best] / len(split(text))
+
+
+def test_language_scores_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PART", 3)
+    monkeypatch.setattr(langid, "MEMO", 20)
+    r = random.Random(9)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(1, 6)))
+    rows = [(" ".join(word(letters) for _ in range(r.randint(1, 15))), lang) for _ in range(15) for lang, letters in (("aa", "abcd"), ("bb", "cdef"), ("cc", "aefé"))]
+    df = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string").repartition(3)
+    model = langid.fit(df)
+    asked = [t for t, _ in rows[:9]] + ["ABCD zz q", "fed. cab, 7 é", "z", " ".join(word("abcdefé") for _ in range(40))]
+    got = {x["doc_id"]: x for x in langid.predict(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(asked):
+        lang, score = brute_language(rows, text)
+        assert got[i]["lang_pred"] == lang and got[i]["score"] == pytest.approx(score), text
+    assert langid.predict(df.limit(0), model).count() == 0
+    with pytest.raises(ValueError):
+        langid.fit(df, max_languages=2)
+    low = langid.keep_identified(df, min_score=0.9).count()
+    fitted = langid.fit(df.where(~langid.held_out()))
+    assert low == sum(x["score"] >= 0.9 for x in langid.predict(df, fitted).collect()) < len(rows)
+    unlabelled = spark.createDataFrame([(1, "abc", None), (2, "12 !", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [x["doc_id"] for x in langid.keep_identified(unlabelled).collect()] == [1]
+
+
 def test_language_id(spark):
     r = random.Random(1)
     parts = {"aa": ["the", "ing", "tion", "wh"], "bb": ["sch", "keit", "ung", "der"], "cc": ["eau", "oux", "elle", "que"]}
