@@ -12,12 +12,14 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import secrets
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT_KEY = "change-this-key"
+#: The session's setting that holds the key.
+KEY_SETTING = "spark.filing_jobs.pseudonym.key"
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -151,7 +153,11 @@ def phone(text: str, change: Callable) -> str | None:
 
 
 def date(text: str, change: Callable) -> str | None:
-    """Calendar days of 1900 to 2099, year first or last."""
+    """Calendar days of 1900 to 2099, year first or last.
+
+    A spelling that can be read with the day first is. Days up to the twelfth stay such days and later ones
+    later ones, so the new spelling is read as the old one was, and a day has one pseudonym in all spellings.
+    """
     mark = next(c for c in text if c not in DIGITS)
     parts = text.split(mark)
     order = (0, 1, 2) if len(parts[0]) == 4 else (2, 1, 0)
@@ -167,7 +173,12 @@ def date(text: str, change: Callable) -> str | None:
             return None
     if not FIRST_DAY <= day <= LAST_DAY:
         return None
-    new = datetime.date.fromordinal(FIRST_DAY + change(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date"))
+    early, number = datetime.date.fromordinal(day).day <= 12, day - FIRST_DAY
+    while True:  # walk on to a day of the same half
+        number = change(number, LAST_DAY - FIRST_DAY + 1, "date")
+        new = datetime.date.fromordinal(FIRST_DAY + number)
+        if (new.day <= 12) == early:
+            break
     out = ["", "", ""]
     for k, value in zip(order, (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"), strict=True):
         out[k] = value
@@ -255,12 +266,24 @@ def next_token(text: str, m: re.Match) -> int:
     return token.end() if token else m.end()
 
 
-def pseudonyms(df: DataFrame, *, key: str = DEFAULT_KEY, text_col: str = "text", kinds_col: str = "pii_kinds", count_col: str = "pii_count") -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key in KEY_SETTING. Where it is unset, a random one is made and set: values are linked in this session alone."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
+def pseudonyms(df: DataFrame, *, key: str, text_col: str = "text", kinds_col: str = "pii_kinds", count_col: str = "pii_count") -> DataFrame:
     """All rows and columns of ``df`` with the text's personal data replaced, and what was found.
 
-    Null stays null with no kinds; texts without valid personal data stay as they are. Adds
-    ``kinds_col`` (distinct, sorted) and ``count_col``; columns of those names are replaced.
+    Null stays null with no kinds; texts without valid personal data stay as they are. Repeated rows stay
+    repeated, an empty table stays empty. Adds ``kinds_col`` (distinct, sorted) and ``count_col``; columns
+    of those names are replaced.
     """
+    if not key:
+        raise ValueError("a key is needed")
     fields = [f for f in df.schema.fields if f.name not in (kinds_col, count_col)]
     at = [f.name for f in fields].index(text_col)
     inner = df.select(*(df[f"`{f.name}`"].alias(f"c{k}") for k, f in enumerate(fields)))

@@ -1,6 +1,8 @@
 """Format-preserving pseudonyms."""
 
 import datetime
+import random
+import string
 
 import pytest
 
@@ -65,6 +67,69 @@ def test_permutation(size):
     assert sorted(image) == list(range(size)) and [cipher.restore(v, size, "x") for v in image] == list(range(size))
 
 
+def test_dates_of_all_days_and_spellings_stay_different_and_are_restored():
+    cipher = pii.Feistel("k")
+    days = [datetime.date.fromordinal(n) for n in range(pii.FIRST_DAY, pii.LAST_DAY + 1)]
+    one: dict[tuple, int] = {}
+    for back in (False, True):  # the permutation once for each day
+        change = cipher.restore if back else cipher.permute
+        one |= {(n, back): change(n, len(days), "date") for n in range(len(days))}
+    there, again = lambda n, *_: one[n, False], lambda n, *_: one[n, True]
+    for day_first, month_first in (("%d/%m/%Y", "%m/%d/%Y"), ("%d-%m-%Y", "%m-%d-%Y"), ("%Y-%m-%d", "%Y/%m/%d"), ("%d.%m.%Y", "%d.%m.%Y")):
+        values = {d.strftime(f) for d in days for f in (day_first, month_first)}
+        new = {v: pii.date(v, there) for v in values}
+        assert len(set(new.values())) == len(values) and None not in new.values()
+        assert all(pii.date(x, again) == v for v, x in new.items())
+    iso, slash = pii.date("1999-12-25", there).split("-"), pii.date("12/25/1999", there).split("/")
+    assert iso == [slash[2], slash[0], slash[1]]
+
+
+def brute_value(kind, value):
+    """Whether the value is valid, written out for each format."""
+    digits = [int(c) for c in value if c.isdigit()]
+    if kind == "card":
+        doubled = [sum(divmod(2 * d, 10)) if k % 2 else d for k, d in enumerate(reversed(digits))]
+        return 13 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+    if kind == "iban":
+        plain = value.replace(" ", "")
+        number = 0
+        for c in plain[4:] + plain[:4]:
+            number = (number * (10 if c.isdigit() else 100) + int(c, 36)) % 97
+        return number == 1
+    if kind == "social":
+        a, g, s = value.split("-")
+        return a not in ("000", "666") and a < "900" and g != "00" and s != "0000"
+    if kind == "address":
+        return all(0 <= int(x) <= 255 for x in value.split(".")) and value not in ("0.0.0.0", "127.0.0.1", "255.255.255.255")
+    return True
+
+
+@pytest.mark.parametrize("kind", VALUES)
+def test_many_values_of_each_format_by_brute_force(kind):
+    r, cipher, change = random.Random(kind), pii.Feistel("k"), pii.KINDS[kind][1]
+    seen: dict[str, str] = {}
+    for _ in range(3000):
+        value = "".join(r.choice(string.digits) if c.isdigit() else c for c in r.choice(VALUES[kind]))
+        new = change(value, cipher.permute)
+        if kind in ("card", "iban", "social", "address"):
+            digits = {c for c in value if c.isdigit()}
+            assert (new is not None) == (brute_value(kind, value) and not (kind == "card" and len(digits) == 1)), value
+        if new is None:
+            continue
+        assert brute_value(kind, new) and change(new, cipher.restore) == change(value, lambda n, *_: n)
+        assert seen.setdefault(new, change(value, lambda n, *_: n)) == change(value, lambda n, *_: n)
+    assert seen
+
+
+def test_a_key_is_needed(spark):
+    df = spark.createDataFrame([(1, "8.8.8.8")], "doc_id long, text string")
+    with pytest.raises(TypeError):
+        pii.pseudonyms(df)
+    with pytest.raises(ValueError):
+        pii.pseudonyms(df, key="")
+    assert pii.session_key(spark) == pii.session_key(spark) != ""
+
+
 def test_formats_stay_valid():
     cipher = pii.Feistel("k")
     for k in range(200):
@@ -80,7 +145,7 @@ def test_formats_stay_valid():
 def test_frame(spark):
     rows = [(1, None, 5, ["x"]), (2, "", 6, None), (3, "mail bosbt.42@mail8.example.com", 7, ["y"]), (4, "x " * 50_000 + "8.8.8.8", None, []), (3, "mail bosbt.42@mail8.example.com", 7, ["y"])]
     df = spark.createDataFrame(rows, "doc_id long, text string, n long, pii_kinds array<string>")
-    got = sorted(pii.pseudonyms(df).collect(), key=lambda r: r["doc_id"])
+    got = sorted(pii.pseudonyms(df, key="k").collect(), key=lambda r: r["doc_id"])
     assert [r["pii_count"] for r in got] == [0, 0, 1, 1, 1] and [list(r["pii_kinds"]) for r in got] == [[], [], ["email"], ["email"], ["address"]]
     assert got[0]["text"] is None and got[2]["text"] == got[3]["text"] and got[2]["n"] == 7 and got[2]["text"].endswith("@mail8.example.com")
-    assert pii.pseudonyms(df.limit(0)).count() == 0
+    assert pii.pseudonyms(df.limit(0), key="k").count() == 0
