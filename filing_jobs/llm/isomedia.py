@@ -22,6 +22,10 @@ from filing_jobs.llm.common import picked
 #: Boxes that only hold other boxes.
 CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta", b"mvex", b"moof", b"traf"}
 RATE, CHUNK, PAD = 8000, 65_536, 64
+#: Levels of boxes that are walked; real files have about ten.
+DEEPEST = 32
+#: Bytes of a box's body that its fixed fields take.
+FIXED = {b"hdlr": 12, b"stsd": 16, b"stsz": 12, b"stts": 8, b"stsc": 8, b"stco": 8, b"co64": 8, b"stss": 8}
 MATRIX = pack(">9i", 0x10000, 0, 0, 0, 0x10000, 0, 0, 0, 0x40000000)
 
 
@@ -69,9 +73,15 @@ def write_media(payload: bytes, rate: int = RATE, chunk: int = CHUNK) -> bytes:
 
 
 def boxes(data: bytes, start: int = 0, end: int | None = None, path: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
-    """(path, body start, body end) of every box, parents before children; stops at a broken size."""
-    end = len(data) if end is None else end
-    while start + 8 <= end:
+    """(path, body start, body end) of every box, parents before children.
+
+    A broken size ends the box it is in; boxes below DEEPEST levels are not walked.
+    """
+    open_ = [(start, len(data) if end is None else end, path)]
+    while open_:
+        start, end, path = open_.pop()
+        if start + 8 > end:
+            continue
         size, kind = unpack_from(">I4s", data, start)
         head = 8
         if size == 1 and start + 16 <= end:
@@ -79,12 +89,12 @@ def boxes(data: bytes, start: int = 0, end: int | None = None, path: tuple[bytes
         elif size == 0:
             size = end - start
         if size < head or start + size > end:
-            return
+            continue
         own = (*path, kind)
         yield own, start + head, start + size
-        if kind in CONTAINERS:
-            yield from boxes(data, start + head, start + size, own)
-        start += size
+        open_.append((start + size, end, path))
+        if kind in CONTAINERS and len(own) < DEEPEST:
+            open_.append((start + head, start + size, own))
 
 
 @dataclass
@@ -105,19 +115,26 @@ class Track:
 
     def per_chunk(self) -> np.ndarray:
         """Samples of each chunk: a run of the table holds up to the next run's first chunk."""
+        counts = np.zeros(len(self.chunks), "i8")
         if not len(self.runs):
-            return np.zeros(len(self.chunks), "i8")
-        last = np.append(self.runs[1:, 0], len(self.chunks) + 1)
-        return np.repeat(self.runs[:, 1], np.maximum(last - self.runs[:, 0], 0))[: len(self.chunks)]
+            return counts
+        # chunks count from 1; a broken table may go beyond them or backwards
+        first = np.maximum.accumulate(np.clip(self.runs[:, 0], 1, len(self.chunks) + 1) - 1)
+        counts[first[0] :] = np.repeat(self.runs[:, 1], np.diff(first, append=len(self.chunks)))
+        return counts
 
     def ranges(self) -> np.ndarray:
         """Byte ranges (offset, size) of the chunks; samples in a chunk lie one after the other."""
         counts = self.per_chunk()
+        upto = np.cumsum(counts)
+        return np.stack([self.chunks, self.bytes_before(upto) - self.bytes_before(upto - counts)], axis=1)
+
+    def bytes_before(self, sample: np.ndarray) -> np.ndarray:
+        """How many bytes the samples before each one have together; there are no more than the table has."""
+        sample = np.minimum(sample, self.samples)
         if self.fixed_size:
-            return np.stack([self.chunks, counts * self.fixed_size], axis=1) if len(self.chunks) else np.zeros((0, 2), "i8")
-        ends = np.concatenate([[0], np.cumsum(self.sizes)])
-        upto = np.minimum(np.cumsum(counts), len(self.sizes))
-        return np.stack([self.chunks, ends[upto] - ends[np.minimum(upto - counts, len(self.sizes))]], axis=1)
+            return sample * self.fixed_size
+        return np.concatenate([[0], np.cumsum(self.sizes)])[np.minimum(sample, len(self.sizes))]
 
     def keyframes(self) -> np.ndarray:
         """Byte ranges of keyframes. Without a sync table every sample is one; those of a chunk are given as one range."""
@@ -125,15 +142,20 @@ class Track:
             return self.ranges()
         counts = self.per_chunk()
         first = np.cumsum(counts) - counts
-        sizes = self.sizes if not self.fixed_size else np.full(self.samples, self.fixed_size)
-        before = np.concatenate([[0], np.cumsum(sizes)])
         sample = self.sync[(self.sync > 0) & (self.sync <= min(self.samples, counts.sum()))] - 1
+        if not len(sample):
+            return np.zeros((0, 2), "i8")
         of = np.searchsorted(first, sample, side="right") - 1
-        return np.stack([self.chunks[of] + before[sample] - before[first[of]], sizes[sample]], axis=1) if len(sample) else np.zeros((0, 2), "i8")
+        before = self.bytes_before(sample)
+        return np.stack([self.chunks[of] + before - self.bytes_before(first[of]), self.bytes_before(sample + 1) - before], axis=1)
 
 
 def read_media(data: bytes) -> list[Track]:
-    """All tracks of a container. Bytes that are no container give no tracks."""
+    """All tracks of a container. Bytes that are no container give no tracks.
+
+    A box too short for its fields is passed over, a table that says it is longer than its box is empty, and
+    offsets beyond 2^62 count as 2^62. Time and memory follow the length of ``data``, whatever its numbers say.
+    """
     tracks: list[Track] = []
     for path, a, b in boxes(data):
         kind = path[-1]
@@ -142,15 +164,21 @@ def read_media(data: bytes) -> list[Track]:
         if not tracks or b"trak" not in path:
             continue
         own = tracks[-1]
-        if kind == b"mdhd" and b - a >= 20:
-            own.timescale, own.duration = unpack_from(">IQ", data, a + 20) if data[a] == 1 else unpack_from(">II", data, a + 12)
+        if b - a < FIXED.get(kind, 0):
+            continue
+        if kind == b"mdhd":
+            if b - a >= 20 and data[a] != 1:
+                own.timescale, own.duration = unpack_from(">II", data, a + 12)
+            elif b - a >= 32:
+                own.timescale, own.duration = unpack_from(">IQ", data, a + 20)
         elif kind == b"hdlr":
             own.handler = data[a + 8 : a + 12].decode("latin-1")
-        elif kind == b"stsd" and b - a >= 16:
+        elif kind == b"stsd":
             own.codec = data[a + 12 : a + 16].decode("latin-1").strip()
         elif kind == b"stsz":
             own.fixed_size, own.samples = unpack_from(">II", data, a + 4)
             own.sizes = _table(data, a + 12, b, ">u4", 0 if own.fixed_size else own.samples)
+            own.samples = min(own.samples, (1 << 61) // own.fixed_size) if own.fixed_size else len(own.sizes)
         elif kind in (b"stts", b"stsc", b"stco", b"co64", b"stss"):
             (n,) = unpack_from(">I", data, a + 4)
             if kind == b"stts":
@@ -166,12 +194,18 @@ def read_media(data: bytes) -> list[Track]:
 
 def _table(data: bytes, start: int, end: int, kind: str, n: int) -> np.ndarray:
     room = max(0, end - start) // np.dtype(kind).itemsize
-    return np.frombuffer(data, kind, n if n <= room else 0, start).astype("i8")
+    return np.minimum(np.frombuffer(data, kind, n, start).astype("u8"), np.uint64(1 << 62)).astype("i8") if n and n <= room else np.zeros(0, "i8")
 
 
 def payload_of(data: bytes, track: Track) -> bytes:
-    """The track's bytes, chunk by chunk."""
-    return b"".join(data[a : a + n] for a, n in track.ranges().tolist())
+    """The track's bytes, chunk by chunk; no more than the file has, should broken chunks overlap."""
+    parts, left = [], len(data)
+    for a, n in track.ranges().tolist():
+        parts.append(data[a : a + min(n, left)])
+        left -= len(parts[-1])
+        if not left:
+            break
+    return b"".join(parts)
 
 
 def feature_of(tracks: list[Track]) -> str:
