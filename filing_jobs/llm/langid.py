@@ -104,19 +104,23 @@ class LanguageModel:
 
 
 def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        max_docs_per_language: int = 400, max_languages: int = 256, min_count: int = 2) -> LanguageModel:
+        max_docs_per_language: int = 400, max_chars_per_language: int = 8_000_000, max_languages: int = 256,
+        min_count: int = 2) -> LanguageModel:
     """Learn from the rows with a non-null language, whole texts.
 
-    The classifier is fitted on a bounded sample: about ``max_docs_per_language`` rows of each of the
-    ``max_languages`` most frequent languages, chosen by a hash of the id, so the model that goes to
-    the executors is bounded too. Rows without text or language teach nothing; no rows, no languages.
+    The classifier is fitted on a bounded sample: of each language about ``max_docs_per_language`` rows, fewer
+    if they had more than about ``max_chars_per_language`` characters together, chosen by a hash of the id, so
+    the model that goes to the executors is bounded too. All languages are learned; more than ``max_languages``
+    are an error. Rows without text or language teach nothing; no rows, no languages.
     """
     rows = picked(df, i=id_col, t=text_col, lang=lang_col).where("lang is not null and t is not null")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"), F.sum(F.length("t")).alias("chars")).limit(max_languages + 1).collect()
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     if not sizes:
         return LanguageModel([], {}, {}, np.zeros((1, 0)))
     languages = sorted(r["lang"] for r in sizes)
-    share = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, max_docs_per_language / r["count"])))))
+    share = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, max_docs_per_language / r["rows"], max_chars_per_language / max(1, r["chars"]))))))
     chosen = rows.where(F.pmod(F.xxhash64(F.coalesce(F.col("i").cast("string"), F.lit(""))), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +187,8 @@ def keep_identified(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``df`` whose text is in a language: those predicted ``und`` or with less than ``min_score`` go.
 
     The model is fitted on ``df`` itself (rows that are not held out); all columns of ``df`` stay as they are.
+    If nothing can be learned from ``df``, every text with letters stays. ``min_score`` is meant for a handful
+    of languages; a text that could be in any of k of them scores about 1 / k.
     """
     model = fit(df.where(~held_out(id_col)), id_col=id_col, text_col=text_col, lang_col=lang_col)
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -191,7 +197,10 @@ def keep_identified(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     def identified(texts):
         import pandas as pd
 
-        found = (shared.value.predict(t) for t in texts)
+        own = shared.value
+        if not own.languages:
+            return pd.Series([bool(words_of(t)) for t in texts], dtype=bool)
+        found = (own.predict(t) for t in texts)
         return pd.Series([lang != UNKNOWN and score >= min_score for lang, score in found], dtype=bool)
 
     return df.where(identified(F.col(f"`{text_col}`")))
