@@ -20,8 +20,8 @@ from filing_jobs.llm.common import picked, stored
 
 #: Rows of a block, and bins of a pass.
 BLOCK, BINS = 2048, 1024
-#: Scores saturate here; what is below every score.
-MOST, NEVER = 1 << 61, -(1 << 63)
+#: The greatest long, and what is below every score.
+MOST, NEVER = (1 << 63) - 1, -(1 << 63)
 
 
 def matrix_of(data: bytes, dim: int, kind: str) -> np.ndarray:
@@ -29,17 +29,17 @@ def matrix_of(data: bytes, dim: int, kind: str) -> np.ndarray:
 
 
 def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Exact integer inner products as int64; beyond its range they saturate."""
+    """Exact integer inner products as int64; those that do not fit one are MOST or -MOST."""
     dim = queries.shape[1]
     most = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, dim)
     if most < 1 << 24 and queries.dtype == rows.dtype == np.float32:
         return (queries @ rows.T).astype("i8")
     if most < 1 << 53:
         return (queries.astype("f8") @ rows.T.astype("f8")).astype("i8")
-    if most < MOST:
+    if most < 1 << 62:
         return queries.astype("i8") @ rows.T.astype("i8")
     exact = np.array([[int(x) for x in q] for q in queries], object) @ np.array([[int(x) for x in r] for r in rows], object).T
-    return np.array([[max(-MOST, min(MOST, v)) for v in line] for line in exact], "i8")
+    return np.array([[max(-MOST, min(MOST, v)) for v in line] for line in exact], "i8").reshape(exact.shape)
 
 
 def blocks(df: DataFrame, id_col: str, vector_col: str, scale: float, block: int) -> DataFrame:
@@ -88,7 +88,8 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
 
     Vectors of another length than the query's are no candidates. A row with the query's id is its own
     and no candidate; repeated rows of other ids each count. A repeated query id asks once, with its
-    least vector. Fewer candidates give fewer rows; no queries, none.
+    least vector. Fewer candidates give fewer rows; no queries, none. A score that does not fit
+    a long counts as the nearest one that does; such scores tie.
     """
     rows = picked(df, id=id_col, v=vector_col)
     asked = df.where(is_query).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").alias("v")).groupBy("id").agg(F.min("v").alias("v"))
@@ -96,7 +97,8 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
     queries = stored(blocks(asked, "id", "v", scale, block), "topk-queries")
     sizes = queries.agg(F.count("*"), F.max("most"), F.max("dim")).first(), candidates.agg(F.count("*"), F.max("most")).first()
     n_queries, n_rows = sizes[0][0], sizes[1][0]
-    bound = int(min(float(MOST), float(sizes[0][1] or 0) * float(sizes[1][1] or 0) * max(1, sizes[0][2] or 0))) if n_queries and n_rows else 0
+    bound = float(sizes[0][1] or 0) * float(sizes[1][1] or 0) * max(1, sizes[0][2] or 0) if n_queries and n_rows else 0.0
+    bound = min(MOST, int(min(2e19, bound * (1 + 1e-9))) + 1)
 
     # a grid of cells: every pair of blocks meets in one, the many candidates are copied less often than the queries
     cells = max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_queries * n_rows // 64)
@@ -113,7 +115,7 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
         else:
             left = left.withColumn("ranges", F.lit(None).cast("array<struct<at:int,lo:long,width:long,above:long>>"))
         left = left.withColumn("down", F.pmod(F.xxhash64("block"), F.lit(down)).cast("int")).withColumn("across", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(across - 1).cast("long"))))
-        return left.join(right.hint("shuffle_hash"), ["dim", "down", "across"])
+        return left.join(right, ["dim", "down", "across"])
 
     def scored(batch: pa.RecordBatch, row: int, first: int) -> tuple:
         """Scores of a pair of blocks (own rows below everything) and each query's range."""
@@ -122,8 +124,8 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
         scores = products(matrix_of(get("q_data"), dim, get("q_kind")), matrix_of(get("c_data"), dim, get("c_kind")))
         scores[q[:, None] == c[None, :]] = NEVER
         lo, width, above = np.full(len(q), -bound, "i8"), np.full(len(q), first, "i8"), np.zeros(len(q), "i8")
-        for at, *own in (x.values() for x in get("ranges") or ()):
-            lo[at], width[at], above[at] = own
+        for at, *found in (x.values() for x in get("ranges") or ()):
+            lo[at], width[at], above[at] = found
         return q, c, scores, lo, width, above
 
     def count(first: int):
@@ -133,9 +135,9 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
                     q, c, scores, lo, width, _ = scored(batch, row, first)
                     own_kth = np.partition(scores, -k, axis=1)[:, -k] if len(c) > k else np.full(len(q), -bound)
                     # the k-th score of all rows is no lower than that of these, so lower bins don't matter
-                    bin_of = (scores - lo[:, None]) // width[:, None]
+                    bin_of = (scores.view("u8") - lo.view("u8")[:, None]) // width.view("u8")[:, None]  # unsigned: the range may be as wide as all longs
                     at, col = np.nonzero((scores >= np.maximum(own_kth, lo)[:, None]) & (bin_of < bins))
-                    keys, counts = np.unique(at * bins + bin_of[at, col], return_counts=True)
+                    keys, counts = np.unique(at * bins + bin_of[at, col].astype("i8"), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), batch["block"][row].as_py()), pa.int64()), pa.array(keys // bins, pa.int32()), pa.array(keys % bins, pa.int64()), pa.array(counts, pa.int64())], ["block", "at", "bin", "n"])
 
         return run
@@ -153,7 +155,8 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
         last = F.row_number().over(Window.partitionBy("block", "at").orderBy(F.desc("reached"), F.when(F.col("reached"), -F.col("bin")).otherwise(F.col("bin"))))
         # the first bin from above that reaches k; a query with fewer candidates keeps its lowest bin
         found = summed.withColumn("reached", F.col("above") + F.col("upto") >= k).withColumn("last", last).where("last = 1")
-        state = stored(found.select("block", "at", (F.col("lo") + F.col("bin") * width).alias("lo"), (F.col("above") + F.col("upto") - F.col("n")).alias("above"), (F.col("above") + F.col("upto")).alias("upto"), F.lit(max(1, width // bins)).cast("long").alias("width")), "topk-ranges")
+        wide = lambda x: x.cast("decimal(38,0)")
+        state = stored(found.select("block", "at", (wide(F.col("lo")) + wide(F.col("bin")) * wide(F.lit(width))).cast("long").alias("lo"), (F.col("above") + F.col("upto") - F.col("n")).alias("above"), (F.col("above") + F.col("upto")).alias("upto"), F.lit(max(1, width // bins)).cast("long").alias("width")), "topk-ranges")
         if width == 1 or (state.agg(F.max("upto")).first()[0] or 0) <= 4 * k:
             break
         width = max(1, width // bins)
