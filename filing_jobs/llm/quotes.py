@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filing_jobs.llm.common import stored
+
 MARKS = r"^[ \t]*((?:>[ \t]?)+)"
-#: A passage shorter than this many characters, normalised, names no message.
+#: A passage shorter than this many characters, normalised, names messages of its own conversation only.
 SHORTEST = 12
 #: Turns of a conversation that are put in order at a time.
 RANGE = 1024
@@ -29,8 +31,13 @@ def normal(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(plain, r"\s+", " ")))
 
 
-def hashed(text: Column) -> Column:
-    return F.sha2(text, 256)
+def names_messages(text: Column, conv: Column) -> Column:
+    return (F.length(text) >= SHORTEST) | ((F.length(text) > 0) & conv.isNotNull())
+
+
+def hashed(text: Column, conv: Column) -> Column:
+    """The passage's hash; that of a short one belongs to its conversation."""
+    return F.sha2(F.when(F.length(text) >= SHORTEST, text).otherwise(F.concat(F.to_json(F.struct(conv.alias("conv"))), text)), 256)
 
 
 def parsed(df: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
@@ -61,7 +68,7 @@ def originals(messages: DataFrame) -> DataFrame:
     """(hash, conv, turn) of what each message itself says: all of it, its paragraphs, its lines."""
     said = F.array_distinct(F.concat(F.array("body"), F.split("body", r"\n[ \t]*\n"), F.split("body", "\n")))
     rows = messages.select("conv", "turn", F.explode(F.transform(said, normal)).alias("part"))
-    return rows.where(F.length("part") >= SHORTEST).select(hashed(F.col("part")).alias("hash"), "conv", "turn")
+    return rows.where(names_messages(F.col("part"), F.col("conv"))).select(hashed(F.col("part"), F.col("conv")).alias("hash"), "conv", "turn")
 
 
 def links(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -69,35 +76,36 @@ def links(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", r
 
     Of its quoted passages the outermost level counts first, then the longest, then the last one; a
     passage that is found nowhere is tried line by line. A passage said in the same conversation before
-    links there (latest such turn); otherwise to the first message anywhere, in order of conversation and
-    turn, that says it, if that is not the message itself. Without such a link: the turn before, if any.
-    Repeated (conv, turn) rows stay, each with its own text. Null text counts as empty; a null
-    conversation is one of its own (its quotes are only looked up among all messages); a message with a null turn comes first in it.
+    links there (latest such turn), however short it is; otherwise, from SHORTEST characters on, to the first
+    message anywhere, in order of conversation and turn, that says it, if that is not the message itself.
+    Without such a link: the turn before, if any. Repeated (conv, turn) rows stay, each with its own text.
+    Null text counts as empty; a message with a null turn comes first in its conversation; one without a
+    conversation stands alone (its quotes are only looked up among all messages).
     """
     messages = parsed(df, conv_col, turn_col, role_col, text_col).withColumn("row", F.struct(F.col("conv"), F.col("turn"), F.xxhash64("role", "body", F.to_json("passages"))))
     whole = F.transform("passages", lambda p: F.struct(p["level"].alias("level"), F.lit(0).alias("part"), normal(p["text"]).alias("text")))
     each = F.flatten(F.transform("passages", lambda p: F.transform(F.split(p["text"], "\n"), lambda x: F.struct(p["level"].alias("level"), F.lit(1).alias("part"), normal(x).alias("text")))))
-    asked = messages.where(F.size("passages") > 0).select("row", F.posexplode(F.concat(whole, each)).alias("pos", "q")).where(F.length("q.text") >= SHORTEST)
-    asked = asked.select("row", F.col("row.conv").alias("own_conv"), F.col("row.turn").alias("own_turn"), "pos", F.col("q.level").alias("level"), F.col("q.part").alias("part"), F.length("q.text").alias("size"), hashed(F.col("q.text")).alias("hash"))
+    asked = messages.where(F.size("passages") > 0).select("row", F.posexplode(F.concat(whole, each)).alias("pos", "q")).where(names_messages(F.col("q.text"), F.col("row.conv")))
+    asked = asked.select("row", F.col("row.conv").alias("own_conv"), F.col("row.turn").alias("own_turn"), "pos", F.col("q.level").alias("level"), F.col("q.part").alias("part"), F.length("q.text").alias("size"), hashed(F.col("q.text"), F.col("row.conv")).alias("hash"))
 
     # one message stands for all that say the same: the first anywhere, and the latest before in the conversation
     said = originals(messages).join(asked.select("hash").distinct(), "hash", "left_semi")
     first = said.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("first"))
-    both = asked.withColumn("asks", F.lit(0)).unionByName(said.select("hash", F.col("conv").alias("own_conv"), F.col("turn").alias("own_turn"), F.lit(1).alias("asks")), allowMissingColumns=True)
+    both = asked.where("own_conv is not null").withColumn("asks", F.lit(0)).unionByName(said.where("conv is not null").select("hash", F.col("conv").alias("own_conv"), F.col("turn").alias("own_turn"), F.lit(1).alias("asks")), allowMissingColumns=True)
     upto = Window.partitionBy("hash", "own_conv").orderBy("own_turn", "asks").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = F.max(F.when(F.col("asks") == 1, F.col("own_turn"))).over(upto)
-    found = both.withColumn("earlier", earlier).where("asks = 0").join(first, "hash", "left")
+    earlier = both.withColumn("earlier", F.max(F.when(F.col("asks") == 1, F.col("own_turn"))).over(upto)).where("asks = 0").drop("asks")
+    found = earlier.unionByName(asked.where("own_conv is null"), allowMissingColumns=True).join(first, "hash", "left")
     elsewhere = F.when(~F.col("first.conv").eqNullSafe(F.col("own_conv")) | (F.col("first.turn") < F.col("own_turn")), F.col("first"))
     target = F.when(F.col("earlier").isNotNull(), F.struct(F.col("own_conv").alias("conv"), F.col("earlier").alias("turn"))).otherwise(elsewhere)
     best = found.withColumn("target", target).where("target is not null").groupBy("row").agg(F.min_by("target", F.struct("level", "part", -F.col("size"), -F.col("pos"))).alias("target"))
 
     # the turn before, also where one conversation has very many: inside ranges of turns, then over the ranges
-    turns = messages.select("conv", "turn").distinct().withColumn("range", F.floor(F.col("turn") / RANGE))
+    turns = messages.where("conv is not null").select("conv", "turn").distinct().withColumn("range", F.floor(F.col("turn") / RANGE))
     over = Window.partitionBy("conv").orderBy("range")
     ranges = turns.groupBy("conv", "range").agg(F.max("turn").alias("most")).withColumn("most", F.lag("most").over(over)).toDF("r_conv", "r_range", "most")
     inside = turns.withColumn("last", F.lag("turn").over(Window.partitionBy("conv", "range").orderBy("turn")))
-    before_turn = inside.join(ranges, F.col("conv").eqNullSafe(F.col("r_conv")) & F.col("range").eqNullSafe(F.col("r_range"))).select(F.col("conv").alias("l_conv"), F.col("turn").alias("l_turn"), F.coalesce("last", "most").alias("last"))
-    joined = messages.join(best.withColumnRenamed("row", "b_row"), F.col("row").eqNullSafe(F.col("b_row")), "left").join(before_turn, F.col("conv").eqNullSafe(F.col("l_conv")) & F.col("turn").eqNullSafe(F.col("l_turn")), "left")
+    before_turn = inside.join(ranges, (F.col("conv") == F.col("r_conv")) & F.col("range").eqNullSafe(F.col("r_range"))).select(F.col("conv").alias("l_conv"), F.col("turn").alias("l_turn"), F.coalesce("last", "most").alias("last"))
+    joined = messages.join(best.withColumnRenamed("row", "b_row"), F.col("row").eqNullSafe(F.col("b_row")), "left").join(before_turn, (F.col("conv") == F.col("l_conv")) & F.col("turn").eqNullSafe(F.col("l_turn")), "left")
     quoted = F.col("target").isNotNull()
     return joined.select(
         "conv", "turn", "role", "body", F.size("passages").alias("n_quotes"),
@@ -112,10 +120,11 @@ def chats(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", r
 
     A part holds the turns of one range of RANGE, so that a very long conversation is never in one row;
     the parts in order, and in them the messages, stand in reply order: a link inside a conversation
-    always leads to an earlier turn. ``reply_to`` is null for a first message and for a reply to another
+    always leads to an earlier turn. Messages without a conversation each are one. ``reply_to`` is null for a first message and for a reply to another
     conversation; ``to_conv`` and ``to_turn`` give the message replied to wherever it is. No rows, no chats.
     """
-    found = links(df, conv_col=conv_col, turn_col=turn_col, role_col=role_col, text_col=text_col)
+    found = stored(links(df, conv_col=conv_col, turn_col=turn_col, role_col=role_col, text_col=text_col), "links")
     message = F.struct("turn", "role", F.col("body").alias("content"), F.when(F.col("to_conv").eqNullSafe(F.col("conv")), F.col("to_turn")).alias("reply_to"), "to_conv", "to_turn", "n_quotes", "by_quote")
     part = F.floor(F.col("turn") / RANGE).alias("part")
-    return found.groupBy(F.col("conv").alias(conv_col), part).agg(F.array_sort(F.collect_list(message)).alias("messages"))
+    of = found.where("conv is not null").groupBy(F.col("conv").alias(conv_col), part).agg(F.array_sort(F.collect_list(message)).alias("messages"))
+    return of.unionByName(found.where("conv is null").select(F.col("conv").alias(conv_col), part, F.array(message).alias("messages")))

@@ -17,6 +17,8 @@ def test_links(spark):
         (None, 0, "user", "> How do I cook the rice?"),
         (4, None, "user", "hello there everybody"),
         (4, 1, "user", "> hello there everybody\r\n> hello there everybody"),
+        (6, 0, "a", "Yes?"), (6, 1, "b", "Yes please\nnow"), (6, 2, "a", "fine"), (6, 3, "b", "> yes PLEASE\nmore"), (6, 4, "b", "> ok\nsaid elsewhere only"),
+        (None, 1, "user", "alone"), (None, 2, "user", "> alone\ntoo"),
         (5, 0, "a", "same again and again"), (5, 0, "b", "same again and again"), (5, 1, "a", "> same again and again"),
     ]
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, conv int, hash string").repartition(3)
@@ -25,13 +27,15 @@ def test_links(spark):
     to = {k: (r["to_conv"], r["to_turn"], r["by_quote"]) for k, r in got.items()}
     assert to[1, 0, "user"] == (None, None, False) and to[1, 1, "assistant"] == (1, 0, False)
     assert to[1, 2, "user"] == (1, 1, True) and to[1, 3, "assistant"] == (1, 2, True) and to[1, 4, "user"] == (1, 0, True)
-    assert to[2, 0, "user"] == (1, 1, True) and to[2, 1, "assistant"] == (2, 0, False) and to[None, 0, "user"] == (1, 0, True)
+    assert to[2, 0, "user"] == (1, 1, True) and to[2, 1, "assistant"] == (2, 0, False) and to[6, 3, "b"] == (6, 1, True) and to[6, 4, "b"] == (6, 3, False) and to[None, 0, "user"] == (1, 0, True)
     assert to[3, 0, "user"] == (None, None, False) and to[3, 1, None] == (3, 0, False)
     assert to[4, None, "user"] == (None, None, False) and to[5, 1, "a"] == (5, 0, True)
     assert got[1, 2, "user"]["body"] == "Thanks, and then?\n\nBye" and got[1, 3, "assistant"]["n_quotes"] == 2 and got[3, 0, "user"]["body"] == ""
     assert got[2, 0, "user"]["body"] == "Somebody wrote\nbut > this is no quote"
     chats = {r["conv_id"]: r for r in quotes.chats(df.where("turn is not null")).collect()}
-    assert len(chats) == 6
+    assert to[None, 1, "user"] == (None, None, False) and to[None, 2, "user"] == (None, None, False)
+    nulls = [r["messages"] for r in quotes.chats(df.where("turn is not null")).collect() if r["conv_id"] is None]
+    assert len(chats) == 7 and len(nulls) == 3 and all(len(m) == 1 for m in nulls)
     assert [m["turn"] for m in chats[1]["messages"]] == [0, 1, 2, 3, 4] and [m["reply_to"] for m in chats[1]["messages"]] == [None, 0, 1, 2, 0]
     assert quotes.chats(df.limit(0)).count() == 0
 
