@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from filing_jobs.functions.scalars import bigrams, dice, leaf_of, parent_of, part_score, plain_words, schedule_of
 from filing_jobs.sources.io import Dict
+from filing_jobs.store import stored
 
 RULES = ("leaf", "words", "part", "similar", "parent")
+#: Fixed values. A rule counts below this score of the rules before it.
+GATES = (2.0, 0.8, 0.7, 0.6, 0.5)
 
 
 def dictionary_leaves(d: Dict) -> DataFrame:
@@ -87,21 +90,26 @@ def by_parent(unknown: DataFrame, d: Dict, unused: DataFrame) -> DataFrame:
     return best(rows, "parent")
 
 
-def cascade() -> Column:
+def cascade(now: Column, names: tuple[str, ...]) -> Column:
     """FUZ-6. A later rule counts only below its gate, and only with a higher score."""
-    now = F.struct(F.lit(0.0).alias("score"), F.lit("").alias("match"), F.lit("").alias("reason"))
-    for name, gate in zip(RULES, (2.0, 0.8, 0.7, 0.6, 0.5), strict=True):
+    for name in names:
         own = F.col(name)
-        now = F.when((now["score"] < gate) & own.isNotNull() & (own["score"] > now["score"]), own).otherwise(now)
+        now = F.when((now["score"] < GATES[RULES.index(name)]) & own.isNotNull() & (own["score"] > now["score"]), own).otherwise(now)
     return now
 
 
 def match_unknowns(unknown: DataFrame, d: Dict, unused: DataFrame) -> DataFrame:
     """FUZ-1 to 7. (xpath, match, score, reason) of the unknown paths that have a probable match (0.45 or more), best first."""
-    leaves = dictionary_leaves(d)
-    rules = [by_leaf(unknown, leaves), by_words(unknown, leaves), by_part(unknown, leaves), by_similarity(unknown, leaves), by_parent(unknown, d, unused)]
-    rows = unknown.select("xpath")
-    for rule in rules:
-        rows = rows.join(rule, "xpath", "left")
-    found = rows.withColumn("b", cascade()).where("b.score >= 0.45")
+    leaves = stored(dictionary_leaves(d), "leaves")
+    nothing = F.struct(F.lit(0.0).alias("score"), F.lit("").alias("match"), F.lit("").alias("reason"))
+    rows = unknown.select("xpath", "element_name", "schedule", "parent_xpath").withColumn("b", nothing)
+    steps = [("leaf", "words"), ("part",), ("similar",), ("parent",)]
+    for names in steps:  # the dearer rules see only what is still below their gate
+        below = rows.where(F.col("b.score") < max(GATES[RULES.index(n)] for n in names)).drop("b")
+        rules = {"leaf": lambda x: by_leaf(x, leaves), "words": lambda x: by_words(x, leaves), "part": lambda x: by_part(x, leaves), "similar": lambda x: by_similarity(x, leaves), "parent": lambda x: by_parent(x, d, unused)}
+        joined = rows
+        for name in names:
+            joined = joined.join(rules[name](below), "xpath", "left")
+        rows = stored(joined.withColumn("b", cascade(F.col("b"), names)).drop(*names), "matches")
+    found = rows.where("b.score >= 0.45")
     return found.select("xpath", "b.match", F.round("b.score", 3).alias("score"), "b.reason").orderBy(F.desc("score"), "xpath")

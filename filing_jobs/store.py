@@ -17,14 +17,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the session's JVM ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage and survives lost executors.
 
     The folder goes when the session's JVM ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
