@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filing_jobs.functions.scalars import confidence, form_title
+from filing_jobs.operators.categories import tree
 from filing_jobs.operators.dictionary import sorted_versions
 from filing_jobs.sources.io import Dict
 
@@ -118,5 +119,6 @@ def write_table(df: DataFrame, out: str, format: str = "parquet") -> None:
 
 
 def write_categories(labels: DataFrame, out: str) -> None:
-    """SNK-9. The category paths of fields as JSON lines: one small object per field."""
-    labels.select("canonical_name", "paths").write.mode("overwrite").json(out)
+    """SNK-9. JSON lines: the category paths of fields, one small object per field, and the tree, one per node."""
+    labels.select("canonical_name", "paths").write.mode("overwrite").json(f"{out}/fields")
+    tree(labels).write.mode("overwrite").json(f"{out}/tree")

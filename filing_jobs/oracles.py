@@ -121,23 +121,23 @@ def fuzzy(unknown: str, leaves: str, unused: str) -> str:
 lv AS (SELECT split_part(xpath, '/', -1) AS leaf, split_part(xpath, '/', 2) AS sched, min(xpath) AS cand FROM lx GROUP BY ALL),
 lf AS (SELECT leaf, min(cand) AS cand, arg_min(sched, cand) AS sched, list(sched) AS scheds FROM lv GROUP BY leaf),
 free AS ({unused}),
-r1 AS (SELECT u.xpath, CASE WHEN schedule = sched THEN 0.9 ELSE 0.7 END AS score, cand FROM u JOIN lv ON element_name = leaf QUALIFY row_number() OVER (PARTITION BY u.xpath ORDER BY score DESC, cand) = 1),
+r1 AS (SELECT u.xpath, CASE WHEN schedule = sched THEN 0.9 ELSE 0.7 END AS score, CASE WHEN schedule = sched THEN 'exact leaf name, same schedule, different path' ELSE 'exact leaf name in different schedule' END AS reason, cand FROM u JOIN lv ON element_name = leaf QUALIFY row_number() OVER (PARTITION BY u.xpath ORDER BY score DESC, cand) = 1),
 uw AS (SELECT *, {worded("element_name")} AS words FROM u), lw AS (SELECT *, {worded("leaf")} AS words FROM lf),
-r2 AS (SELECT uw.xpath, CASE WHEN schedule = sched THEN 0.85 ELSE 0.65 END AS score, cand FROM uw JOIN lw USING (words) QUALIFY row_number() OVER (PARTITION BY uw.xpath ORDER BY score DESC, cand) = 1),
+r2 AS (SELECT uw.xpath, CASE WHEN schedule = sched THEN 0.85 ELSE 0.65 END AS score, 'abbreviation match, ' || CASE WHEN schedule = sched THEN 'same' ELSE 'different' END || ' schedule' AS reason, cand FROM uw JOIN lw USING (words) QUALIFY row_number() OVER (PARTITION BY uw.xpath ORDER BY score DESC, cand) = 1),
 pairs AS (SELECT DISTINCT element_name, leaf FROM u, lf),
-p3 AS (SELECT xpath, {part("u.element_name", "lf.leaf", "list_contains(scheds, u.schedule)")} AS score, cand FROM u, lf),
-r3 AS (SELECT * FROM p3 WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY xpath ORDER BY score DESC, cand) = 1),
+p3 AS (SELECT xpath, {part("u.element_name", "lf.leaf", "list_contains(scheds, u.schedule)")} AS score, cand, element_name AS en, leaf, length(element_name) > 5 AND length(leaf) > 5 AS long FROM u, lf),
+r3 AS (SELECT xpath, score, CASE WHEN long AND contains(lower(leaf), lower(en)) THEN '''' || en || ''' is substring of ''' || leaf || '''' WHEN long AND contains(lower(en), lower(leaf)) THEN '''' || leaf || ''' is substring of ''' || en || '''' ELSE 'shared suffix ''' || right(en, 8) || '''' END AS reason, cand FROM p3 WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY xpath ORDER BY score DESC, cand) = 1),
 p4 AS (SELECT element_name, leaf, {dice("element_name", "leaf")} AS sim FROM pairs),
-r4 AS (SELECT u.xpath, sim AS score, lv.cand FROM u JOIN p4 USING (element_name) JOIN lv ON lv.leaf = p4.leaf AND lv.sched = u.schedule WHERE sim >= 0.6 QUALIFY row_number() OVER (PARTITION BY u.xpath ORDER BY score DESC, lv.cand) = 1),
+r4 AS (SELECT u.xpath, sim AS score, 'name similarity' AS reason, lv.cand FROM u JOIN p4 USING (element_name) JOIN lv ON lv.leaf = p4.leaf AND lv.sched = u.schedule WHERE sim >= 0.6 QUALIFY row_number() OVER (PARTITION BY u.xpath ORDER BY score DESC, lv.cand) = 1),
 f5 AS (SELECT candidate, regexp_replace(candidate, '/[^/]*$', '') AS parent, split_part(candidate, '/', -1) AS leaf FROM free),
 p5 AS (SELECT u.xpath, candidate AS cand, {dice("u.element_name", "f5.leaf")} AS sim FROM u JOIN f5 ON u.parent_xpath = f5.parent WHERE u.parent_xpath IN (SELECT xpath FROM lx)),
-r5 AS (SELECT xpath, CASE WHEN sim > 0.3 THEN greatest(0.5, sim) ELSE 0.45 END AS score, cand FROM p5 QUALIFY row_number() OVER (PARTITION BY xpath ORDER BY score DESC, cand) = 1),
-c1 AS (SELECT u.xpath, coalesce(r1.score, 0.0) AS score, coalesce(r1.cand, '') AS cand FROM u LEFT JOIN r1 ON u.xpath = r1.xpath),
-c2 AS (SELECT c1.xpath, CASE WHEN c1.score < 0.8 AND r2.score > c1.score THEN r2.score ELSE c1.score END AS score, CASE WHEN c1.score < 0.8 AND r2.score > c1.score THEN r2.cand ELSE c1.cand END AS cand FROM c1 LEFT JOIN r2 ON c1.xpath = r2.xpath),
-c3 AS (SELECT c2.xpath, CASE WHEN c2.score < 0.7 AND r3.score > c2.score THEN r3.score ELSE c2.score END AS score, CASE WHEN c2.score < 0.7 AND r3.score > c2.score THEN r3.cand ELSE c2.cand END AS cand FROM c2 LEFT JOIN r3 ON c2.xpath = r3.xpath),
-c4 AS (SELECT c3.xpath, CASE WHEN c3.score < 0.6 AND r4.score > c3.score THEN r4.score ELSE c3.score END AS score, CASE WHEN c3.score < 0.6 AND r4.score > c3.score THEN r4.cand ELSE c3.cand END AS cand FROM c3 LEFT JOIN r4 ON c3.xpath = r4.xpath),
-c5 AS (SELECT c4.xpath, CASE WHEN c4.score < 0.5 AND r5.score > c4.score THEN r5.score ELSE c4.score END AS score, CASE WHEN c4.score < 0.5 AND r5.score > c4.score THEN r5.cand ELSE c4.cand END AS cand FROM c4 LEFT JOIN r5 ON c4.xpath = r5.xpath),
-fz AS (SELECT xpath, cand AS match, round(CAST(score AS DOUBLE), 3) AS score FROM c5 WHERE score >= 0.45)"""
+r5 AS (SELECT xpath, CASE WHEN sim > 0.3 THEN greatest(0.5, sim) ELSE 0.45 END AS score, 'same parent, unused field' AS reason, cand FROM p5 QUALIFY row_number() OVER (PARTITION BY xpath ORDER BY score DESC, cand) = 1),
+c1 AS (SELECT u.xpath, coalesce(r1.score, 0.0) AS score, coalesce(r1.cand, '') AS cand, coalesce(r1.reason, '') AS reason FROM u LEFT JOIN r1 ON u.xpath = r1.xpath),
+c2 AS (SELECT c1.xpath, CASE WHEN c1.score < 0.8 AND r2.score > c1.score THEN r2.score ELSE c1.score END AS score, CASE WHEN c1.score < 0.8 AND r2.score > c1.score THEN r2.cand ELSE c1.cand END AS cand, CASE WHEN c1.score < 0.8 AND r2.score > c1.score THEN r2.reason ELSE c1.reason END AS reason FROM c1 LEFT JOIN r2 ON c1.xpath = r2.xpath),
+c3 AS (SELECT c2.xpath, CASE WHEN c2.score < 0.7 AND r3.score > c2.score THEN r3.score ELSE c2.score END AS score, CASE WHEN c2.score < 0.7 AND r3.score > c2.score THEN r3.cand ELSE c2.cand END AS cand, CASE WHEN c2.score < 0.7 AND r3.score > c2.score THEN r3.reason ELSE c2.reason END AS reason FROM c2 LEFT JOIN r3 ON c2.xpath = r3.xpath),
+c4 AS (SELECT c3.xpath, CASE WHEN c3.score < 0.6 AND r4.score > c3.score THEN r4.score ELSE c3.score END AS score, CASE WHEN c3.score < 0.6 AND r4.score > c3.score THEN r4.cand ELSE c3.cand END AS cand, CASE WHEN c3.score < 0.6 AND r4.score > c3.score THEN r4.reason ELSE c3.reason END AS reason FROM c3 LEFT JOIN r4 ON c3.xpath = r4.xpath),
+c5 AS (SELECT c4.xpath, CASE WHEN c4.score < 0.5 AND r5.score > c4.score THEN r5.score ELSE c4.score END AS score, CASE WHEN c4.score < 0.5 AND r5.score > c4.score THEN r5.cand ELSE c4.cand END AS cand, CASE WHEN c4.score < 0.5 AND r5.score > c4.score THEN r5.reason ELSE c4.reason END AS reason FROM c4 LEFT JOIN r5 ON c4.xpath = r5.xpath),
+fz AS (SELECT xpath, cand AS match, round(CAST(score AS DOUBLE), 3) AS score, reason FROM c5 WHERE score >= 0.45)"""
 
 
 FUZZY_CORPUS = fuzzy("SELECT xpath, element_name, schedule, parent_xpath FROM unk", "SELECT xpath FROM idx", "SELECT DISTINCT xpath AS candidate FROM dict WHERE field IN (SELECT field FROM unused)")
@@ -172,15 +172,15 @@ cp AS (SELECT cname, schedule, unnest(paths) AS path FROM cats)"""
 CHOSEN = "['Brand', 'IRS990ScheduleD > S', 'IRS990ScheduleE > R > Brand3Grp']"
 CAND = f"""{CATS}, hit AS (SELECT DISTINCT cname FROM cp WHERE list_contains(list_transform({CHOSEN}, lambda c: array_to_string(path, ' > ') = c OR starts_with(array_to_string(path, ' > '), c || ' > ') OR starts_with(c, array_to_string(path, ' > ') || ' > ')), true)),
 cand AS (SELECT * FROM fields WHERE schedule = 'IRS990ScheduleC' OR cname IN (SELECT cname FROM hit))"""
-SELECTION = """sel AS (SELECT CASE WHEN seq % 15 = 0 THEN lower(schedule || '_' || grp || '_' || name) ELSE schedule || '_' || grp || '_' || name END AS field_name, ['high', 'medium', 'low'][min(seq) % 3 + 1] AS priority FROM e WHERE seq % 5 = 0 GROUP BY 1)"""
+SELECTION = """sel AS (SELECT CASE WHEN seq % 15 = 0 THEN lower(schedule || '_' || grp || '_' || name) ELSE schedule || '_' || grp || '_' || name END AS field_name, ['high', 'medium', 'low'][min(seq) % 3 + 1] AS priority FROM e GROUP BY 1)"""
 DOCS = f"""{ELEMENTS}, leaf AS (SELECT version, schedule, grp, name, arg_min(raw, seq) AS raw, arg_min(doc, seq) AS doc FROM e WHERE raw <> '(group)' GROUP BY ALL)"""
 NAMED = f"""{DOCS}, named AS (
   SELECT DISTINCT version, schedule AS name, schedule || '.xsd' AS file, 'complexType[sequence]' AS pattern, schedule AS context, schedule AS schedule FROM leaf
   UNION ALL SELECT DISTINCT version, grp, schedule || '.xsd', 'simple_typed', schedule || '/' || grp, schedule FROM leaf
   UNION ALL SELECT version, name, schedule || '.xsd', 'simple_typed', '[type:' || grp || 'Type]/' || name, '' FROM leaf)"""
-CLASSIFIED = f"""{NAMED}, kn AS (SELECT DISTINCT xpath FROM x WHERE seq % 4 = 0), leaves AS (SELECT DISTINCT split_part(xpath, '/', -1) AS name FROM kn), inside AS (SELECT DISTINCT unnest(string_split(xpath, '/')) AS name FROM kn),
+CLASSIFIED = f"""{NAMED}, kn AS (SELECT DISTINCT regexp_replace(xpath, '^/IRS990ScheduleC/', '/IRS990ScheduleCOld/') AS xpath FROM x), leaves AS (SELECT DISTINCT split_part(xpath, '/', -1) AS name FROM kn), inside AS (SELECT DISTINCT unnest(string_split(xpath, '/')) AS name FROM kn),
 dx AS (SELECT name, pattern, schedule FROM named QUALIFY row_number() OVER (PARTITION BY name ORDER BY length(context) DESC, file) = 1),
-cl AS (SELECT name, pattern, schedule, CASE WHEN name IN (SELECT name FROM leaves) THEN 'leaf' WHEN name IN (SELECT name FROM inside) THEN 'group' ELSE 'missing' END AS found FROM dx)"""
+cl AS (SELECT name, pattern, schedule, CASE WHEN name IN (SELECT name FROM leaves) THEN 'leaf' WHEN name IN (SELECT name FROM inside) THEN 'group' ELSE 'missing' END AS found FROM dx WHERE schedule <> '')"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -256,12 +256,20 @@ def oracle_sql() -> dict[str, str]:
         "xsd_elements": f"WITH {DOCS} SELECT '/' || schedule || '/' || grp || '/' || name AS xpath, name AS element_name, raw AS xsd_type, doc AS documentation, grp AS parent_group, true AS is_repeating, '' AS min_occurs, '' AS max_occurs, schedule, version FROM leaf UNION ALL SELECT DISTINCT '/' || schedule || '/' || grp, grp, '(group)', '', '', true, '', 'unbounded', schedule, version FROM leaf",
         "val_named": f"WITH {NAMED} SELECT * FROM named",
         "val_dedup": f"WITH {NAMED} SELECT name, max(length(context)) AS size FROM named GROUP BY name",
+        "val_shared": f"WITH {CLASSIFIED} SELECT schedule <> '' AS in_form, count(*) AS n FROM dx GROUP BY 1",
+        "snk_missing": f"WITH {CLASSIFIED} SELECT name AS element_name, pattern, schedule FROM cl WHERE found = 'missing'",
+        "snk_tables": scalars,
+        "snk_categories": f"WITH {CATS}, nd AS (SELECT cname, path, unnest(range(1, len(path) + 1)) AS d FROM cp) SELECT array_to_string(path[1:d], ' > ') AS path, coalesce(string_agg(DISTINCT CASE WHEN d = len(path) THEN cname END, ';' ORDER BY CASE WHEN d = len(path) THEN cname END), '') AS fields, count(DISTINCT cname) AS fields_below, d AS depth FROM nd GROUP BY array_to_string(path[1:d], ' > '), d",
+        "src_filing_files": f"WITH {BASE} SELECT status, count(*) AS filings FROM base GROUP BY status",
+        "src_lookup_file": f"WITH {MERGE} SELECT xpath, max(cname) AS canonical_name FROM fx GROUP BY xpath",
+        "src_categories_file": f"WITH {CATS} SELECT array_to_string(path, ' > ') AS path, count(*) AS n FROM cp GROUP BY 1",
+        "ext_export_specs": "WITH p AS (SELECT p_brand AS file, p_partkey AS pos, p_name, p_type FROM part), g AS (SELECT p_name, count(DISTINCT file) AS sources FROM p GROUP BY p_name), f AS (SELECT p_name, p_type FROM p QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY file, pos) = 1) SELECT p_name AS field_name, p_type AS label, sources, '/' || replace(p_name, ' ', '') AS sample_xpath FROM f JOIN g USING (p_name)",
         "val_classify": f"WITH {CLASSIFIED} SELECT name, found FROM cl",
         "val_missing_by_pattern": f"WITH {CLASSIFIED}, m AS (SELECT *, row_number() OVER (PARTITION BY pattern ORDER BY name) AS k FROM cl WHERE found = 'missing') SELECT pattern, count(*) AS n, string_agg(name, ';' ORDER BY name) FILTER (k <= 10) AS examples FROM m GROUP BY pattern",
         "val_missing_by_schedule": f"WITH {CLASSIFIED} SELECT schedule, count(*) AS n FROM cl WHERE found = 'missing' GROUP BY schedule",
         "w3_dictionary": f"WITH {DOCS}, lx AS (SELECT '/' || schedule || '/' || grp || '/' || name AS xpath, *, list_position({listed(PART_VERSIONS)}, version) AS vk FROM leaf), ex AS (SELECT xpath, any_value(schedule) AS schedule, any_value(grp) AS grp, any_value(name) AS name, arg_max(doc, vk) FILTER (doc <> '') AS doc, list_sort(list(DISTINCT vk)) AS vks FROM lx GROUP BY xpath UNION ALL SELECT '/' || schedule || '/' || grp, schedule, '', grp, NULL, list_sort(list(DISTINCT vk)) FROM lx GROUP BY schedule, grp), s AS (SELECT xpath, schedule, grp, CASE WHEN grp = '' THEN name ELSE grp || '_' || name END AS cname, coalesce(doc, {spaced('name')} || ' (within ' || {spaced(chr(39).join(['CASE WHEN grp = ', '', ' THEN schedule ELSE grp END']))} || ')') AS description, vks FROM ex), r AS (SELECT *, row_number() OVER (PARTITION BY schedule, grp, lower(trim(description)) ORDER BY vks[-1], xpath) AS rn, count(*) OVER (PARTITION BY schedule, grp, lower(trim(description))) AS n FROM s), m AS (SELECT p.*, coalesce(o.vks, []) AS ovks FROM r p LEFT JOIN r o ON p.schedule = o.schedule AND p.grp = o.grp AND lower(trim(p.description)) = lower(trim(o.description)) AND p.rn = 2 AND o.rn = 1 AND NOT list_has_any(p.vks, o.vks) WHERE NOT (p.rn = 1 AND p.n = 2 AND EXISTS (SELECT 1 FROM r q WHERE q.schedule = p.schedule AND q.grp = p.grp AND lower(trim(q.description)) = lower(trim(p.description)) AND q.rn = 2 AND NOT list_has_any(p.vks, q.vks)))) SELECT CASE WHEN count(*) OVER (PARTITION BY cname) > 1 THEN schedule || '_' || cname ELSE cname END AS canonical_name, schedule, description, {listed(PART_VERSIONS)}[list_min(list_concat(vks, ovks))] AS version_start, {listed(PART_VERSIONS)}[list_max(list_concat(vks, ovks))] AS version_end FROM m",
         "val_coverage": f"WITH {CLASSIFIED} SELECT count(*) AS elements, count(*) FILTER (found = 'leaf') AS leaves, count(*) FILTER (found = 'group') AS groups, count(*) FILTER (found = 'missing') AS missing, round(count(*) FILTER (found <> 'missing') * 100.0 / count(*), 6) AS coverage_pct FROM cl",
-        "snk_unknown": f"{full} SELECT unk.xpath, element_name, schedule, parent_xpath, filing_count, filing_count * CAST(100 AS DOUBLE) / (SELECT count(*) FROM base) AS pct_of_filings, array_to_string(versions, ';') AS versions_seen, version_covered, guess AS data_type_guess, sample AS sample_value, coalesce(match, '') AS fuzzy_match, coalesce(score, 0.0) AS fuzzy_score FROM unk LEFT JOIN fz USING (xpath)",
+        "snk_unknown": f"{full} SELECT unk.xpath, element_name, schedule, parent_xpath, filing_count, filing_count * CAST(100 AS DOUBLE) / (SELECT count(*) FROM base) AS pct_of_filings, array_to_string(versions, ';') AS versions_seen, version_covered, guess AS data_type_guess, sample AS sample_value, coalesce(match, '') AS fuzzy_match, coalesce(score, 0.0) AS fuzzy_score, coalesce(reason, '') AS fuzzy_reason FROM unk LEFT JOIN fz USING (xpath)",
     }
 
 

@@ -12,6 +12,7 @@ from filing_jobs.operators import audit, browse, categories, dictionary, extract
 from filing_jobs.operators.resolve import resolve_paths
 from filing_jobs.plans.workloads import build_dictionary
 from filing_jobs.sources import io, samples, shred, xsd
+from filing_jobs.store import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -246,7 +247,7 @@ def fuz_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     unknown = x.select("xpath", fn.leaf_of(F.col("xpath")).alias("element_name"), fn.schedule_of(F.col("xpath")).alias("schedule"), fn.parent_of(F.col("xpath")).alias("parent_xpath"))
     parents = e.where("seq % 2 = 0").select(F.concat_ws("/", F.lit(""), "schedule", "parent_group").alias("xpath")).distinct()
     d = d._replace(xpath_index=d.xpath_index.unionByName(parents.withColumn("canonical_name", F.col("xpath"))))
-    return fuzzy.match_unknowns(unknown, d, d.fields).select("xpath", "match", "score")
+    return fuzzy.match_unknowns(unknown, d, d.fields).select("xpath", "match", "score", "reason")
 
 
 # --- browsing, categories, selection
@@ -331,7 +332,7 @@ def sel_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A selection from parts: element names as field names, some of which no dictionary has."""
-    e = samples.schema_elements(spark, sf_dir).where("seq % 5 = 0")
+    e = samples.schema_elements(spark, sf_dir)
     name = F.concat_ws("_", "schedule", "parent_group", "element_name")
     return e.groupBy(F.when(F.col("seq") % 15 == 0, F.lower(name)).otherwise(name).alias("field_name")).agg(F.lit("asked").alias("relevance"), F.get(F.array(F.lit("high"), F.lit("medium"), F.lit("?")), (F.min("seq") % 3).cast("int")).alias("priority"))
 
@@ -399,11 +400,71 @@ def val_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Named elements of the schema files against the dictionary of parts with even keys."""
-    known = samples.schema_elements(spark, sf_dir).where("seq % 4 = 0").select("xpath", F.lit("x").alias("canonical_name")).distinct()
+    """Named elements of the schema files against a dictionary of all parts that knows one schedule by an older name."""
+    older = F.regexp_replace("xpath", "^/IRS990ScheduleC/", "/IRS990ScheduleCOld/").alias("xpath")
+    known = samples.schema_elements(spark, sf_dir).select(older, F.lit("x").alias("canonical_name")).distinct()
     d = io.Dict(known, known, known)
     named = validate.dedup(xsd.named_elements(samples.schema_documents(spark, sf_dir)))
-    return validate.classify(named, d)
+    forms, _ = validate.split_shared(named)
+    return validate.classify(forms, d)
+
+
+def val_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forms, shared = validate.split_shared(validate.dedup(xsd.named_elements(samples.schema_documents(spark, sf_dir))))
+    both = forms.select(F.lit(True).alias("in_form")).unionAll(shared.select(F.lit(False)))
+    return both.groupBy("in_form").agg(F.count("*").alias("n"))
+
+
+def snk_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outputs.missing_report(classified(spark, sf_dir)).select("element_name", "pattern", "schedule")
+
+
+# --- files: tables are written below the shared folder and read back by the library's readers
+
+
+def src_filing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every filing in a file of its own."""
+    out = new_folder(spark, "filing-files")
+    samples.filings(spark, sf_dir).select(F.coalesce(F.col("content").cast("string"), F.lit(""))).write.option("maxRecordsPerFile", 1).text(out)
+    return shred.status_counts(shred.headers(io.read_filings(spark, out, pattern="*.txt")))
+
+
+def src_lookup_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_folder(spark, "lookup-file")
+    outputs.write_table(outputs.lookup_document(part_dictionary(spark, sf_dir)), out, "text")
+    return io.read_lookup(spark, out).xpath_index
+
+
+def src_categories_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON object of the dictionary's fields, as the labelling leaves it."""
+    out, labels = new_folder(spark, "categories-file"), samples.categories(part_fields(spark, sf_dir))
+    whole = labels.agg(F.map_from_entries(F.collect_list(F.struct("canonical_name", "paths"))).alias("field_categories"))
+    whole.select(F.to_json(F.struct("field_categories"))).write.text(out)
+    return categories.path_counts(io.read_categories(spark, out))
+
+
+def snk_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_folder(spark, "extracted")
+    outputs.write_tables(out, ext_scalars(spark, sf_dir), {"ContractorCompensationGrp": ext_groups(spark, sf_dir)})
+    return spark.read.parquet(f"{out}/scalar_fields")
+
+
+def snk_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_folder(spark, "categories")
+    outputs.write_categories(samples.categories(part_fields(spark, sf_dir)), out)
+    found = spark.read.schema("path array<string>, fields array<string>, fields_below long, depth int").json(f"{out}/tree")
+    return found.select(F.array_join("path", " > ").alias("path"), F.array_join("fields", ";").alias("fields"), "fields_below", F.col("depth").cast("long").alias("depth"))
+
+
+def ext_export_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One export file for each brand of parts, in order of brand."""
+    part, out = spark.read.parquet(f"{sf_dir}/part.parquet"), new_folder(spark, "exports")
+    xpaths = lambda name: F.create_map(F.lit("2020v1.0"), F.concat(F.lit("/"), F.replace(name, F.lit(" "), F.lit(""))))
+    ordered = F.array_sort(F.collect_list(F.struct("p_partkey", "p_name", "p_type")))
+    fields = F.transform(ordered, lambda x: F.struct(x["p_name"].alias("field_name"), x["p_type"].alias("label"), xpaths(x["p_name"]).alias("xpaths")))
+    files = part.groupBy(F.col("p_brand").alias("query")).agg(fields.alias("fields"))
+    files.repartition(1).sortWithinPartitions("query").write.option("maxRecordsPerFile", 1).json(out)
+    return specs.from_exports(spark, out).select("field_name", "label", F.size("sources").cast("long").alias("sources"), "sample_xpath")
 
 
 def val_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -429,7 +490,7 @@ fn_similarity aud_filing_counts aud_path_stats aud_frequency aud_unknown aud_mis
 aud_warnings aud_proposals aud_summary snk_unknown fuz_parts brw_schedules brw_per_schedule brw_schedule_stats brw_overall brw_filter
 brw_categories brw_category_counts brw_path_runs brw_facets cat_batches cat_tree cat_paths sel_candidates sel_overflow sel_lines sel_check
 snk_selection snk_dictionary snk_reference snk_lookup snk_specs ext_spec_groups ext_exports xsd_elements w3_dictionary val_named val_dedup
-val_classify val_coverage val_missing_by_pattern val_missing_by_schedule""".split()
+val_shared snk_missing src_filing_files src_lookup_file src_categories_file snk_tables snk_categories ext_export_specs val_classify val_coverage val_missing_by_pattern val_missing_by_schedule""".split()
 
 
 def queries() -> dict[str, Query]:
