@@ -107,13 +107,13 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
     right = candidates.select("dim", F.col("ids").alias("c_ids"), F.col("kind").alias("c_kind"), F.col("data").alias("c_data"), F.pmod(F.xxhash64("block"), F.lit(across)).alias("across"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("down"))
 
     def pairs(state: DataFrame | None) -> DataFrame:
-        """Block pairs; with the queries' ranges (lo, width, above) once there are any."""
+        """Block pairs; with the queries' ranges (lo, width of a bin, span of all bins) once there are any."""
         left = queries.select("dim", "block", F.col("ids").alias("q_ids"), F.col("kind").alias("q_kind"), F.col("data").alias("q_data"))
         if state is not None:
-            listed = state.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "lo", "width", "above"))).alias("ranges"))  # at most a block's rows
+            listed = state.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "lo", "width", "span"))).alias("ranges"))  # at most a block's rows
             left = left.join(listed, "block", "left")
         else:
-            left = left.withColumn("ranges", F.lit(None).cast("array<struct<at:int,lo:long,width:long,above:long>>"))
+            left = left.withColumn("ranges", F.lit(None).cast("array<struct<at:int,lo:long,width:long,span:long>>"))
         left = left.withColumn("down", F.pmod(F.xxhash64("block"), F.lit(down)).cast("int")).withColumn("across", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(across - 1).cast("long"))))
         return left.join(right, ["dim", "down", "across"])
 
@@ -123,20 +123,23 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
         q, c, dim = np.frombuffer(get("q_ids"), "<i8"), np.frombuffer(get("c_ids"), "<i8"), get("dim")
         scores = products(matrix_of(get("q_data"), dim, get("q_kind")), matrix_of(get("c_data"), dim, get("c_kind")))
         scores[q[:, None] == c[None, :]] = NEVER
-        lo, width, above = np.full(len(q), -bound, "i8"), np.full(len(q), first, "i8"), np.zeros(len(q), "i8")
+        lo, width, span = np.full(len(q), -bound, "i8"), np.full(len(q), first, "i8"), np.full(len(q), NEVER, "i8")
         for at, *found in (x.values() for x in get("ranges") or ()):
-            lo[at], width[at], above[at] = found
-        return q, c, scores, lo, width, above
+            lo[at], width[at], span[at] = found
+        return q, c, scores, lo, width, span
 
     def count(first: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in range(batch.num_rows):
-                    q, c, scores, lo, width, _ = scored(batch, row, first)
+                    q, c, scores, lo, width, span = scored(batch, row, first)
                     own_kth = np.partition(scores, -k, axis=1)[:, -k] if len(c) > k else np.full(len(q), -bound)
                     # the k-th score of all rows is no lower than that of these, so lower bins don't matter
-                    bin_of = (scores.view("u8") - lo.view("u8")[:, None]) // width.view("u8")[:, None]  # unsigned: the range may be as wide as all longs
-                    at, col = np.nonzero((scores >= np.maximum(own_kth, lo)[:, None]) & (bin_of < bins))
+                    # unsigned: the range may be as wide as all longs. What is beyond the span is counted already
+                    beyond = scores.view("u8") - lo.view("u8")[:, None]
+                    bin_of = beyond // width.view("u8")[:, None]
+                    inside = (span == NEVER)[:, None] | (beyond < span.view("u8")[:, None])
+                    at, col = np.nonzero((scores >= np.maximum(own_kth, lo)[:, None]) & inside)
                     keys, counts = np.unique(at * bins + bin_of[at, col].astype("i8"), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), batch["block"][row].as_py()), pa.int64()), pa.array(keys // bins, pa.int32()), pa.array(keys % bins, pa.int64()), pa.array(counts, pa.int64())], ["block", "at", "bin", "n"])
 
@@ -149,17 +152,18 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
         upto = Window.partitionBy("block", "at").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
         summed = counted.withColumn("upto", F.sum("n").over(upto))
         if state is None:
-            summed = summed.select("*", F.lit(-bound).cast("long").alias("lo"), F.lit(0).cast("long").alias("above"))
+            summed = summed.select("*", F.lit(-bound).cast("long").alias("lo"), F.lit(0).cast("long").alias("above"), F.lit(None).cast("long").alias("span"))
         else:
-            summed = summed.join(state.select("block", "at", "lo", "above"), ["block", "at"])
+            summed = summed.join(state.select("block", "at", "lo", "above", "span"), ["block", "at"])
         last = F.row_number().over(Window.partitionBy("block", "at").orderBy(F.desc("reached"), F.when(F.col("reached"), -F.col("bin")).otherwise(F.col("bin"))))
         # the first bin from above that reaches k; a query with fewer candidates keeps its lowest bin
         found = summed.withColumn("reached", F.col("above") + F.col("upto") >= k).withColumn("last", last).where("last = 1")
         wide = lambda x: x.cast("decimal(38,0)")
-        state = stored(found.select("block", "at", (wide(F.col("lo")) + wide(F.col("bin")) * wide(F.lit(width))).cast("long").alias("lo"), (F.col("above") + F.col("upto") - F.col("n")).alias("above"), (F.col("above") + F.col("upto")).alias("upto"), F.lit(max(1, width // bins)).cast("long").alias("width")), "topk-ranges")
+        own_span = F.when(F.col("span").isNull(), F.lit(width)).otherwise(F.least(F.lit(width), F.col("span") - F.col("bin") * F.lit(width)))  # the last bin may be cut
+        state = stored(found.select("block", "at", (wide(F.col("lo")) + wide(F.col("bin")) * wide(F.lit(width))).cast("long").alias("lo"), (F.col("above") + F.col("upto") - F.col("n")).alias("above"), (F.col("above") + F.col("upto")).alias("upto"), F.lit(-(-width // bins)).cast("long").alias("width"), own_span.cast("long").alias("span")), "topk-ranges")
         if width == 1 or (state.agg(F.max("upto")).first()[0] or 0) <= 4 * k:
             break
-        width = max(1, width // bins)
+        width = -(-width // bins)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

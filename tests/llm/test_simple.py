@@ -196,6 +196,16 @@ def test_top_k(spark, k, scale, block):
     assert sorted(tuple(x) for x in got) == brute_top(rows, k)
 
 
+@pytest.mark.parametrize("bins", [1024, 100, 7])
+def test_top_k_where_many_scores_share_few_values(spark, bins):
+    r = random.Random(6)
+    rows = [(i, [float(r.randint(-4, 4)) for _ in range(12)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = topk.search(df, F.col("vec_id") % 20 == 0, k=5, scale=1.0, block=100, bins=bins).collect()
+    quantised = [(i, [x / 64 for x in v]) for i, v in rows]
+    assert len(got) == 150 and sorted(tuple(x) for x in got) == brute_top(quantised, 5)
+
+
 def test_top_k_of_nothing_and_of_huge_components(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.search(empty, F.col("vec_id") % 20 == 0).count() == 0
