@@ -11,7 +11,8 @@ which are frequent is a matter of speed only, any order gives the same links.
 Each candidate pair passes two tests: the bit counts of the signatures bound the overlap from above,
 and the intersection of the sorted arrays gives it exactly. In the second step tiles with the same
 smallest node, their home, lie together with one copy of their nodes' bitmaps, so that only pairs that
-the bit counts allow leave a tile.
+the bit counts allow leave a tile. A home with very many rows is cut by its nodes: each pair of parts is
+a task of its own, so that every pair of nodes still meets in one place only.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ FREQUENT, RARE = 1 << 20, 8
 FLUSH, LOCAL = 1 << 22, 2
 #: Rows of a tile's block.
 BLOCK = 2048
+#: Rows of a home that lie in one task; so many homes at most are split (others hold fewer rows than one of SPLIT parts of all).
+HOME, SPLIT = 1 << 14, 1 << 16
 #: Names that a task remembers at most; they only save work.
 REMEMBER = 1_000_000
 #: Bits of the filter that thins out the texts to be read again (8 MB whatever the input).
@@ -261,21 +264,37 @@ def folded(bits: bytes, words: int) -> np.ndarray:
     return own
 
 
+TILE = ("home", "p_i", "p_j", "kind", "token", "band", "i", "j")
+
+
+def in_parts(cells: DataFrame) -> DataFrame:
+    """The rows of tiles with ``part``, ``p_i`` and ``p_j``: a home of more than HOME rows is cut by its nodes, and each row goes to every pair of parts that has its own."""
+    held = stored(cells.groupBy("home").agg(F.count("*").alias("c")).where(F.col("c") > HOME), "homes")
+    # at most SPLIT homes reach this count
+    least = max(HOME, bounding_count(held, SPLIT))
+    hot = held.where(F.col("c") >= least).select("home", F.ceil(2 * F.col("c") / F.lit(least)).cast("long").alias("parts"))
+    cut = cells.join(F.broadcast(hot), "home", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))).withColumn("meets", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    return cut.withColumns({"p_i": F.least("part", "meets"), "p_j": F.greatest("part", "meets")}).drop("parts", "meets")
+
+
 def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that the bit counts allow, from rows sorted by (home, kind, token, band, i, j).
+    """Pairs of different components that the bit counts allow, from rows sorted by TILE.
 
     A pair may come more than once. A home's rows of kind 0 give the bitmaps of its nodes, those of kind 1 are the rows of its tiles.
     """
-    names = ("home", "kind", "token", "band", "i", "j", "node", "n", "component", "guest", "block")
+    names = (*TILE, "node", "n", "component", "guest", "block", "part")
 
     def pairs(col: list[np.ndarray], bits: dict[int, bytes]) -> Iterator[tuple[int, int]]:
-        _, _, _, _, i, j, node, n, component, guest, block = col
+        _, p_i, p_j, _, _, _, i, j, node, n, component, guest, block, part = col
         step, matrix = max(1, (1 << 18) // len(n)), None
         for k in range(0, len(n), step):
             one = (slice(k, k + step), None)
             ok = (component[one] != component) & ~(guest[one] & guest) & (100 * np.minimum(n[one], n) >= percent * np.maximum(n[one], n))
             if i[0] != j[0]:
                 ok &= block[one] != block
+            if p_i[0] != p_j[0]:
+                ok &= part[one] != part
             x, y = np.nonzero(ok)
             x, y = x[x + k < y] + k, y[x + k < y]
             if len(x) and matrix is None:
@@ -296,11 +315,11 @@ def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
             nonlocal home, bits
             found = []
             for a, b in zip(starts[:-1], starts[1:], strict=True):
-                if col[0][a] != home:
-                    home, bits = col[0][a], {}
+                if tuple(c[a] for c in col[:3]) != home:
+                    home, bits = tuple(c[a] for c in col[:3]), {}
                     sent.clear()
-                if col[1][a] == 0:
-                    bits.update(zip(col[6][a:b].tolist(), maps[a:b], strict=True))
+                if col[3][a] == 0:
+                    bits.update(zip(col[8][a:b].tolist(), maps[a:b], strict=True))
                 elif b - a > 1:
                     for x, y in pairs([c[a:b] for c in col], bits):
                         pair = (min(x, y), max(x, y))
@@ -318,7 +337,7 @@ def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
                 col, maps = [np.concatenate(x) for x in zip(held[0], col, strict=True)], held[1] + maps
             if not maps:
                 continue
-            key = np.stack(col[:6])
+            key = np.stack(col[: len(TILE)])
             starts = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
             yield out(col, maps, starts)
             held = [c[starts[-1] :] for c in col], maps[starts[-1] :]
@@ -367,10 +386,11 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", perce
     cells = banded.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     cells = cells.select("token", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", (F.col("own") != F.col("band")).alias("guest"), "node", "n", "component")
     cells = stored(cells.withColumn("home", F.min("node").over(Window.partitionBy("token", "band", "i", "j"))).withColumn("kind", F.lit(1)), "cells")
-    maps = cells.select("home", "node").distinct().join(known.select("node", "bitmap"), "node").withColumn("kind", F.lit(0))
-    zero = {c: F.lit(0).cast("long") for c in ("token", "band", "i", "j", "n", "component", "block")}
+    cells = in_parts(cells)
+    maps = cells.select("home", "p_i", "p_j", "node").distinct().join(known.select("node", "bitmap"), "node").withColumn("kind", F.lit(0))
+    zero = {c: F.lit(0).cast("long") for c in ("token", "band", "i", "j", "n", "component", "block", "part")}
     tiles = cells.withColumn("bitmap", F.lit(None).cast("binary")).unionByName(maps.withColumns(zero | {"guest": F.lit(False)}))
-    tiles = tiles.repartition("home").sortWithinPartitions("home", "kind", "token", "band", "i", "j")
+    tiles = tiles.repartition("home", "p_i", "p_j").sortWithinPartitions(*TILE)
     second = stored(tile_pairs(tiles, percent).distinct().join(first, ["a", "b"], "left_anti"), "more-pairs")
     if not second.isEmpty():
         links = stored(links.union(tested(second, known, rows, percent)), "links")

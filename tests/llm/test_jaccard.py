@@ -57,6 +57,7 @@ def corpus(seed):
 def test_join_equals_brute_force(spark, monkeypatch, seed, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     if block < 10:
+        monkeypatch.setattr(jaccard, "HOME", 12)
         monkeypatch.setattr(jaccard, "REMEMBER", 3)
         monkeypatch.setattr(jaccard, "FLUSH", 500)
         monkeypatch.setattr(jaccard, "FREQUENT", 20)
