@@ -7,10 +7,18 @@ from pyspark.sql import functions as F
 
 from filing_jobs.functions.scalars import canonical_name, guessed_type, leaf_of, nontrivial, parent_of, rename_status, schedule_of, segments
 from filing_jobs.sources.io import Dict, versions_of
+from filing_jobs.sources.shred import path_counts
+from filing_jobs.store import stored
 
 SAMPLE = 100
 
 
+def digests(filings: DataFrame, **columns: str) -> tuple[DataFrame, DataFrame]:
+    """AUD-1. Header rows, and the rows of ``filing_paths``, of one stored pass: a filing lies whole in one row, so nothing is shuffled."""
+    rows = stored(path_counts(filings, SAMPLE, **columns), "filing-digests")
+    return rows.drop("paths"), rows.select("path", "return_version", F.inline("paths"))
+
+
 def filing_paths(elements: DataFrame) -> DataFrame:
     """AUD-1. (path, return_version, xpath, n, sample, sample_ord) per filing and path; the first text that is not empty, cut to 100 characters."""
     said = F.col("text") != ""

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from filing_jobs.functions.scalars import joined, older_name, segments
 from filing_jobs.operators.resolve import resolve_paths
 from filing_jobs.operators.specs import scalars_of, spec_xpaths
-from filing_jobs.sources.shred import first_texts
+from filing_jobs.sources.shred import first_texts, texts_and_boxes
+from filing_jobs.store import stored
 
 HEADER = ["ein", "tax_period", "org_name", "return_version", "form_type"]
+#: Versions are a filer's free text; a table by version is broadcast only if it has at most so many rows.
+MANY = 10_000
 
 
 def names_of(specs: DataFrame) -> list[str]:
@@ -28,19 +31,51 @@ def by_version(headers: DataFrame, xpaths: DataFrame) -> DataFrame:
     return resolved.groupBy("version").agg(F.map_from_entries(F.collect_list(F.struct("field", "xpath"))).alias("paths"))
 
 
+def for_versions(df: DataFrame) -> DataFrame:
+    """A table by version, broadcast if it is small."""
+    held = stored(df, "by-version")
+    return F.broadcast(held) if held.count() <= MANY else held
+
+
+def scalars_of_rows(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """EXT-5 from stored rows of first texts."""
+    paths = for_versions(by_version(rows.select("return_version").distinct(), spec_xpaths(chosen)))
+    found = rows.join(paths, F.col("return_version") == F.col("version"), "left")
+    return found.select("path", *HEADER, *(F.coalesce(F.col("texts")[F.col("paths")[name]], F.lit("")).alias(name) for name in names_of(chosen)))
+
+
 def scalars_of_filings(filings: DataFrame, specs: DataFrame, **columns: str) -> DataFrame:
     """EXT-5. One row per usable filing, one column per scalar field; "" where a filing lacks it.
 
-    Parses and extracts in one pass, without a shuffle of the filings: every filing's row holds its own
-    first texts, and the paths of each version are joined to it.
+    Parses each filing once, without a shuffle of the filings: every filing's row holds its own first
+    texts, is stored, and the paths of the versions that occur are joined to it.
     """
     chosen = scalars_of(specs)
-    xpaths = spec_xpaths(chosen)
-    wanted = [r["xpath"] for r in xpaths.select("xpath").distinct().collect()]  # dictionary-sized
-    rows = usable(first_texts(filings, wanted, **columns))
-    versions = rows.select("return_version").distinct()
-    found = rows.join(F.broadcast(by_version(versions, xpaths)), F.col("return_version") == F.col("version"), "left")
-    return found.select("path", *HEADER, *(F.coalesce(F.col("texts")[F.col("paths")[name]], F.lit("")).alias(name) for name in names_of(chosen)))
+    wanted = [r["xpath"] for r in spec_xpaths(chosen).select("xpath").distinct().collect()]  # dictionary-sized
+    return scalars_of_rows(stored(usable(first_texts(filings, wanted, **columns)), "first-texts"), chosen)
+
+
+def tables_of_filings(filings: DataFrame, specs: DataFrame, **columns: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """EXT-5, EXT-6. The scalar table and one table per group, of one pass over the filings and without a shuffle of them.
+
+    A group's table has path, ein, tax_period, instance_num (in document order) and one column per field, "" where missing.
+    """
+    chosen, grouped = scalars_of(specs), specs.where("group_name != ''")
+    wanted = [r["xpath"] for r in spec_xpaths(chosen).select("xpath").distinct().collect()]  # dictionary-sized, as are the next ones
+    possible = possible_children(grouped).collect()
+    rows = stored(usable(texts_and_boxes(filings, wanted, {r["container"] for r in possible}, {r["child"] for r in possible}, **columns)), "extracted")
+    containers, children = group_paths(rows, grouped)
+    kids = children.groupBy("group_name", "return_version").agg(F.map_from_entries(F.collect_list(F.struct("field_name", "child"))).alias("kids"))
+    paths = stored(containers.join(kids, ["group_name", "return_version"], "left"), "group-paths").withColumnRenamed("return_version", "version")
+    members = grouped.select("group_name", "field_name", "ord").orderBy("ord", "field_name").collect()
+    out = {}
+    for group in dict.fromkeys(r["group_name"] for r in members):
+        own = for_versions(paths.where(F.col("group_name") == group))
+        found = rows.join(own, F.col("return_version") == F.col("version"))
+        each = found.select("path", "ein", "tax_period", "kids", F.posexplode(F.filter("boxes", lambda b: b["container"] == F.col("container"))).alias("pos", "box"))
+        names = [r["field_name"] for r in members if r["group_name"] == group]
+        out[group] = each.select("path", "ein", "tax_period", (F.col("pos") + 1).alias("instance_num"), *(F.coalesce(F.col("box.texts")[F.col("kids")[n]], F.lit("")).alias(n) for n in names))
+    return scalars_of_rows(rows, chosen), out
 
 
 def resolved_for(headers: DataFrame, specs: DataFrame) -> DataFrame:
@@ -64,21 +99,47 @@ def upto_group(xpath: Column, group: Column) -> Column:
     return F.when(at > 0, F.concat(F.lit("/"), joined(parts, 1, at))).otherwise(F.concat(F.lit("/"), F.array_join(parts, "/")))
 
 
+def child_of(container: Column, xpath: Column, relative: Column) -> Column:
+    """A field's path in a container: its own if that is below, else by its relative path."""
+    below = F.when(xpath.startswith(F.concat(container, F.lit("/"))), F.substring(xpath, F.length(container) + 2, F.length(xpath))).otherwise(relative)
+    return F.concat(container, F.lit("/"), below)
+
+
+def first_members(members: DataFrame) -> DataFrame:
+    """The field of each group whose path names the container."""
+    return members.groupBy("group_name").agg(F.min_by("field_name", F.struct("ord", "field_name")).alias("field_name"))
+
+
+def members_of(grouped: DataFrame) -> DataFrame:
+    return grouped.select("field_name", "group_name", "relative_xpath", "ord")
+
+
+def possible_children(grouped: DataFrame) -> DataFrame:
+    """(container, child): all that groups can have in whatever version, for every combination of a group's own paths."""
+    members = members_of(grouped)
+    xpaths = spec_xpaths(grouped).select(F.col("canonical_name").alias("field_name"), "xpath").distinct().join(members, "field_name")
+    containers = xpaths.join(first_members(members), ["group_name", "field_name"]).select("group_name", upto_group(F.col("xpath"), F.col("group_name")).alias("container")).distinct()
+    return xpaths.join(containers, "group_name").select("container", child_of(F.col("container"), F.col("xpath"), F.col("relative_xpath")).alias("child")).distinct()
+
+
+def group_paths(headers: DataFrame, grouped: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(group_name, return_version, container) and (.., field_name, child) for the versions that occur."""
+    members = members_of(grouped)
+    resolved = resolved_for(headers, grouped).withColumnRenamed("field", "field_name").join(members, "field_name")
+    first = resolved.join(first_members(members), ["group_name", "field_name"])
+    containers = first.select("group_name", F.col("version").alias("return_version"), upto_group(F.col("xpath"), F.col("group_name")).alias("container"))
+    children = resolved.withColumnRenamed("version", "return_version").join(containers, ["group_name", "return_version"])
+    children = children.withColumn("child", child_of(F.col("container"), F.col("xpath"), F.col("relative_xpath")))
+    return containers, children.select("group_name", "return_version", "container", "field_name", "child").where("child != concat(container, '/')")
+
+
 def group_values(headers: DataFrame, elements: DataFrame, specs: DataFrame) -> DataFrame:
     """EXT-6. (path, group_name, instance_num, field, text): every group instance with the fields it has.
 
     An instance without any field still has a row, with a null field. Instances are numbered per filing
     and group in document order.
     """
-    heads = usable(headers)
-    members = specs.where("group_name != ''").select("field_name", "group_name", "relative_xpath", "ord")
-    resolved = resolved_for(heads, specs.where("group_name != ''")).withColumnRenamed("field", "field_name").join(members, "field_name")
-    first = resolved.join(members.groupBy("group_name").agg(F.min_by("field_name", F.struct("ord", "field_name")).alias("field_name")), ["group_name", "field_name"])
-    containers = first.select("group_name", F.col("version").alias("return_version"), upto_group(F.col("xpath"), F.col("group_name")).alias("container"))
-    inside = F.col("xpath").startswith(F.concat("container", F.lit("/")))
-    relative = F.when(inside, F.expr("substring(xpath, length(container) + 2)")).otherwise(F.col("relative_xpath"))
-    children = resolved.withColumnRenamed("version", "return_version").join(containers, ["group_name", "return_version"]).withColumn("child", F.concat("container", F.lit("/"), relative))
-    children = children.select("group_name", "return_version", "container", "field_name", "child").where("child != concat(container, '/')")
+    containers, children = group_paths(usable(headers), specs.where("group_name != ''"))
 
     own = elements.where("section = 'data' and in_root_ns and status = 'ok'")
     boxes = own.join(F.broadcast(containers), (own["xpath"] == containers["container"]) & (own["return_version"] == containers["return_version"]))

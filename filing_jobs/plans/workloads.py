@@ -8,23 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filing_jobs.operators import audit, dictionary, extract, fuzzy
-from filing_jobs.operators.specs import spec_xpaths
-from filing_jobs.sources import shred, xsd
+from filing_jobs.sources import xsd
 from filing_jobs.sources.io import Dict
 from filing_jobs.store import stored
 
 
 def extract_tables(filings: DataFrame, specs: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """W1. The scalar table and one table per group. Only wanted elements leave the parser."""
-    scalars = extract.scalars_of_filings(filings, specs)
-    paths = [r["xpath"] for r in spec_xpaths(specs.where("group_name != ''")).select("xpath").distinct().collect()]
-    if not paths:
-        return scalars, {}
-    # groups need their containers too: all prefixes of the wanted paths
-    wanted = {"/".join(p.split("/")[:k]) for p in paths for k in range(2, len(p.split("/")) + 1)}
-    heads = stored(shred.headers(filings), "headers")
-    elements = stored(shred.shred_filings(filings, wanted), "elements")
-    return scalars, extract.groups(heads, elements, specs)
+    """W1. The scalar table and one table per group, of one pass over the filings. Only wanted texts leave the parser."""
+    return extract.tables_of_filings(filings, specs)
 
 
 class Audit(NamedTuple):
@@ -43,9 +34,8 @@ class Audit(NamedTuple):
 
 
 def audit_corpus(filings: DataFrame, d: Dict) -> Audit:
-    """W2. Elements are aggregated to paths per filing before anything is stored or shuffled further."""
-    heads = stored(shred.headers(filings), "headers")
-    paths = stored(audit.filing_paths(shred.shred_filings(filings).select("path", "return_version", "xpath", "doc_ord", "text")), "filing-paths")
+    """W2. Elements are aggregated to paths per filing before anything is stored or shuffled."""
+    heads, paths = audit.digests(filings)
     n = heads.agg(F.count("*").alias("n"))
     stats = stored(audit.path_stats(paths, d), "path-stats")
     missing = audit.missing_versions(heads, d)

@@ -76,7 +76,7 @@ def ext_scalars_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ext_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.groups(src_headers(spark, sf_dir), elements(spark, sf_dir), sample_specs(spark))["ContractorCompensationGrp"]
+    return extract.tables_of_filings(samples.filings(spark, sf_dir), sample_specs(spark))[1]["ContractorCompensationGrp"]
 
 
 def ext_group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,9 +169,8 @@ def fn_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, io.Dict, DataFrame]:
-    heads, d = src_headers(spark, sf_dir), samples.dictionary(spark)
-    paths = audit.filing_paths(elements(spark, sf_dir).select("path", "return_version", "xpath", "doc_ord", "text"))
-    return heads, paths, d, heads.agg(F.count("*").alias("n"))
+    heads, paths = audit.digests(samples.filings(spark, sf_dir))
+    return heads, paths, samples.dictionary(spark), heads.agg(F.count("*").alias("n"))
 
 
 def unknowns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, io.Dict, DataFrame, DataFrame]:
@@ -181,7 +180,8 @@ def unknowns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, io
 
 
 def aud_filing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.filing_counts(corpus(spark, sf_dir)[1])
+    """From the table of elements; the other audits take the paths that the shredder counts."""
+    return audit.filing_counts(audit.filing_paths(elements(spark, sf_dir).select("path", "return_version", "xpath", "doc_ord", "text")))
 
 
 def aud_path_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -445,7 +445,7 @@ def src_categories_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snk_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "extracted")
-    outputs.write_tables(out, ext_scalars(spark, sf_dir), {"ContractorCompensationGrp": ext_groups(spark, sf_dir)})
+    outputs.write_tables(out, *extract.tables_of_filings(samples.filings(spark, sf_dir), sample_specs(spark)))
     return spark.read.parquet(f"{out}/scalar_fields")
 
 

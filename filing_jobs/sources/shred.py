@@ -7,7 +7,7 @@ document order and its enclosing elements. Everything after that is DataFrame op
 from __future__ import annotations
 
 import io
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -182,28 +182,85 @@ def forms_present(elements: DataFrame) -> DataFrame:
     return top.groupBy("path").agg(F.array_sort(F.collect_set("tag")).alias("schedules"), F.coalesce(F.max_by("tag", main), F.lit("")).alias("form_type"))
 
 
-def first_texts(filings: DataFrame, wanted: Iterable[str], *, path_col: str = "path", content_col: str = "content") -> DataFrame:
-    """Header rows with ``texts``: map of each wanted path to the text of its first element in the root's namespace.
+TEXTS = ("texts", "map<string,string>", pa.map_(pa.string(), pa.string()))
+BOXES = ("boxes", "array<struct<container:string,texts:map<string,string>>>", pa.list_(pa.struct([("container", pa.string()), TEXTS[::2]])))
+PATHS = ("paths", "array<struct<xpath:string,n:long,sample:string>>", pa.list_(pa.struct([("xpath", pa.string()), ("n", pa.int64()), ("sample", pa.string())])))
+
+
+def per_filing(filings: DataFrame, columns: tuple, extra: Callable[[ElementTree.Element | None], tuple[list, ...]], path_col: str, content_col: str) -> DataFrame:
+    """Header rows with further list columns, which ``extra`` makes of a parsed document (None: malformed).
 
-    One row per filing and no shuffle: a filing lies whole in one row. Paths that do not occur are not in the map.
+    One row per filing and no shuffle: a filing lies whole in one row.
     """
-    shared = filings.sparkSession.sparkContext.broadcast(frozenset(wanted))
-    names = [x.split()[0] for x in HEADERS.split(", ")]
+    heads = f"{HEADERS}, {LEGACY}"
+    names, added = [x.split()[0] for x in heads.split(", ")], [name for name, _, _ in columns]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = shared.value
         for batch in batches:
-            rows, texts = [], []
+            rows: list[dict] = []
+            size = 0
+
+            def out() -> pa.RecordBatch:
+                arrays = [pa.array([r[n] for r in rows], pa.string()) for n in names]  # noqa: B023
+                return pa.RecordBatch.from_arrays([*arrays, *(pa.array([r[n] for r in rows], kind) for n, _, kind in columns)], [*names, *added])  # noqa: B023
+
             for k in range(batch.num_rows):
                 root = parse(batch["content"][k].as_py())
-                own: dict[str, str] = {}
-                rows.append(header_of(root))
-                if root is not None:
-                    for section, xpath, _, text, _, inside in elements_of(root, only):
-                        if inside and section == "data":
-                            own.setdefault(xpath, text)
-                texts.append(list(own.items()))
-            columns = [batch["path"], *(pa.array([r[n] for r in rows], pa.string()) for n in names[1:])]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.map_(pa.string(), pa.string()))], [*names, "texts"])
+                found = extra(root)
+                rows.append(header_of(root) | {"path": batch["path"][k].as_py()} | dict(zip(added, found, strict=True)))
+                size += 1 + sum(map(len, found))
+                if size >= BATCH:
+                    yield out()
+                    rows, size = [], 0
+            if rows:
+                yield out()
+
+    schema = ", ".join([heads, *(f"{name} {ddl}" for name, ddl, _ in columns)])
+    return filings.select(F.col(path_col).cast("string").alias("path"), F.col(content_col).alias("content")).mapInArrow(run, schema)
+
+
+def texts_and_boxes(filings: DataFrame, wanted: Iterable[str], containers: Iterable[str] = (), members: Iterable[str] = (), *, path_col: str = "path", content_col: str = "content") -> DataFrame:
+    """Header rows with ``texts``: map of each wanted path to the text of its first element in the root's namespace,
+    and ``boxes``: every element of ``containers`` in document order, with the first text of each of ``members`` inside it.
+
+    Paths that do not occur are not in the maps.
+    """
+    shared = filings.sparkSession.sparkContext.broadcast(tuple(map(frozenset, (wanted, containers, members))))
+
+    def extra(root: ElementTree.Element | None) -> tuple[list, list]:
+        only, holders, inner = shared.value
+        texts: dict[str, str] = {}
+        boxes: dict[int, tuple[str, dict[str, str]]] = {}
+        for section, xpath, number, text, anc, inside in elements_of(root, only | holders | inner) if root is not None else ():
+            if not inside or section != "data":
+                continue
+            if xpath in only:
+                texts.setdefault(xpath, text)
+            if xpath in inner:
+                for _, at in anc:
+                    if at in boxes:
+                        boxes[at][1].setdefault(xpath, text)
+            if xpath in holders:
+                boxes[number] = xpath, {}
+        return list(texts.items()), [{"container": xpath, "texts": list(own.items())} for xpath, own in boxes.values()]
+
+    return per_filing(filings, (TEXTS, BOXES), extra, path_col, content_col)
+
+
+def first_texts(filings: DataFrame, wanted: Iterable[str], *, path_col: str = "path", content_col: str = "content") -> DataFrame:
+    """``texts_and_boxes`` without containers."""
+    return texts_and_boxes(filings, wanted, path_col=path_col, content_col=content_col).drop("boxes")
+
+
+def path_counts(filings: DataFrame, sample: int, *, path_col: str = "path", content_col: str = "content") -> DataFrame:
+    """Header rows with ``paths``: each path of the filing, how often it occurs and its first text that is not empty, cut to ``sample`` characters."""
+
+    def extra(root: ElementTree.Element | None) -> tuple[list]:
+        held: dict[str, list] = {}
+        for _, xpath, _, text, _, _ in elements_of(root, None) if root is not None else ():
+            own = held.setdefault(xpath, [0, ""])
+            own[0] += 1
+            own[1] = own[1] or text[:sample]
+        return ([{"xpath": xpath, "n": n, "sample": text} for xpath, (n, text) in held.items()],)
 
-    return filings.select(F.col(path_col).cast("string").alias("path"), F.col(content_col).alias("content")).mapInArrow(run, f"{HEADERS}, texts map<string,string>")
+    return per_filing(filings, (PATHS,), extra, path_col, content_col)
