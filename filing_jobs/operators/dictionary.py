@@ -36,14 +36,18 @@ def merge_renames(fields: DataFrame) -> DataFrame:
     """DIC-2. Fields of one schedule, group and description in versions that don't overlap become one.
 
     In each such set the field with the greatest last version (then the greatest path) takes the others in,
-    in ascending order, as far as their versions are new to what it has taken so far. Sets hold the names
-    that one description has had, so they are small.
+    in ascending order, as far as their versions are new to what it has taken so far. Of fields with equal
+    versions only the first can be taken, so a set is folded over one field for each list of versions it has,
+    however many fields share a description.
     """
-    key = ["schedule", "group", F.lower(F.trim("description")).alias("said")]
+    said = F.lower(F.trim("description")).alias("said")
     last = version_key(F.element_at("versions", -1))
-    member = F.struct(last.alias("last"), F.col("xpath"), F.col("versions"), F.map_entries("xpaths").alias("xpaths"), F.struct("canonical_name", "label", "type", "raw_type", "description", "repeating").alias("about"))
-    sets = fields.where(F.coalesce("description", F.lit("")) != "").groupBy(*key).agg(F.array_sort(F.collect_list(member)).alias("m"))
-    primary = F.element_at("m", -1)
+    member = F.struct(last.alias("last"), F.col("xpath"), F.col("versions"), F.map_entries("xpaths").alias("xpaths"))
+    spoken = fields.where(F.coalesce("description", F.lit("")) != "")
+    ends = spoken.groupBy("schedule", "group", said, "versions").agg(F.min(member).alias("first"), F.max(member).alias("most"))
+    sets = ends.groupBy("schedule", "group", "said").agg(F.array_sort(F.collect_list("first")).alias("firsts"), F.max("most").alias("primary"))
+    sets = sets.withColumn("m", F.filter("firsts", lambda x: x["xpath"] != F.col("primary.xpath")))
+    primary = F.col("primary")
     start = F.struct(primary["versions"].alias("versions"), primary["xpaths"].alias("xpaths"), F.array().cast("array<string>").alias("taken"))
 
     def fold(acc: Column, x: Column) -> Column:
@@ -51,11 +55,15 @@ def merge_renames(fields: DataFrame) -> DataFrame:
         taken = F.struct(F.concat(acc["versions"], x["versions"]).alias("versions"), F.concat(acc["xpaths"], x["xpaths"]).alias("xpaths"), F.concat(acc["taken"], F.array(x["xpath"])).alias("taken"))
         return F.when(joins, taken).otherwise(acc)
 
-    merged = sets.withColumn("acc", F.aggregate(F.slice("m", 1, F.size("m") - 1), start, fold))
-    rest = F.filter("m", lambda x: ~F.array_contains(F.col("acc.taken"), x["xpath"]) & (x["xpath"] != primary["xpath"]))
-    first = F.struct(primary["xpath"].alias("xpath"), sorted_versions(F.col("acc.versions")).alias("versions"), F.col("acc.xpaths").alias("xpaths"), primary["about"].alias("about"))
-    others = F.transform(rest, lambda x: F.struct(x["xpath"].alias("xpath"), x["versions"].alias("versions"), x["xpaths"].alias("xpaths"), x["about"].alias("about")))
-    out = merged.select("schedule", "group", F.explode(F.concat(F.array(first), others)).alias("f")).select("schedule", "group", "f.xpath", "f.versions", F.map_from_entries("f.xpaths").alias("xpaths"), "f.about.*")
+    merged = sets.withColumn("acc", F.aggregate("m", start, fold))
+    # the first of a set has all versions, those it took are gone, the others stay as they are
+    roles = F.concat(F.array(F.struct(primary["xpath"].alias("xpath"), F.lit(True).alias("leads"))), F.transform("acc.taken", lambda x: F.struct(x.alias("xpath"), F.lit(False).alias("leads"))))
+    roles = merged.select("schedule", "group", F.col("said"), F.explode(roles).alias("r"), sorted_versions(F.col("acc.versions")).alias("all_versions"), F.col("acc.xpaths").alias("all_xpaths"))
+    lead = F.col("leads")
+    roles = roles.select(*(F.col(c).alias(f"r_{c}") for c in ("schedule", "group", "said")), F.col("r.xpath").alias("r_xpath"), F.col("r.leads").alias("leads"), F.when(F.col("r.leads"), F.col("all_versions")).alias("all_versions"), F.when(F.col("r.leads"), F.map_from_entries("all_xpaths")).alias("all_xpaths"))
+    same = F.col("schedule").eqNullSafe(F.col("r_schedule")) & F.col("group").eqNullSafe(F.col("r_group")) & (said == F.col("r_said")) & (F.col("xpath") == F.col("r_xpath"))
+    found = spoken.join(roles, same, "left").where(F.coalesce(lead, F.lit(True)))
+    out = found.withColumns({"versions": F.coalesce("all_versions", "versions"), "xpaths": F.coalesce("all_xpaths", "xpaths")})
     silent = fields.where(F.coalesce("description", F.lit("")) == "")
     return out.select(fields.columns).unionByName(silent)
 
