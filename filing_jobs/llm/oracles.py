@@ -51,6 +51,22 @@ comp AS (SELECT rep, least(rep, coalesce((SELECT min(b) FROM reach WHERE reach.a
 of AS (SELECT doc_id, rep FROM (SELECT doc_id, list_sort(sh) AS key FROM s WHERE len(sh) > 0) JOIN reps USING (key))
 SELECT n.doc_id AS doc_id, n.n AS n_shingles, coalesce(c, n.doc_id) AS component_id FROM n LEFT JOIN of USING (doc_id) LEFT JOIN comp USING (rep)"""
 
+# Failed conditions as five bits, counted per part; every order and step is a sum over those counts.
+FILTERS = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '') AS w, coalesce(doc_id > min(doc_id) OVER (PARTITION BY x), false) AS again FROM t),
+lb AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, CAST(len(w) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 80 * len(w) AS INT) + 4 * CAST(100 * len(regexp_replace(x, '[^A-Z]', '', 'g')) > 10 * len(x) AS INT) + 8 * CAST(regexp_matches(x, '[#$%&*|]') AS INT) + 16 * CAST(again AS INT) AS mask,
+  coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM w LEFT JOIN lb USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY ALL),
+l(f, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits FROM l a, l b, l c, l d, l e WHERE (a.b | b.b | c.b | d.b | e.b) = 31),
+s AS (SELECT filter_order, s AS step, bits[s] AS own, CAST(list_sum(bits[1:s]) AS BIGINT) - bits[s] AS before FROM (SELECT *, unnest(range(1, 6)) AS s FROM o)),
+r AS (SELECT part, filter_order, step, own, CAST(sum(CASE WHEN mask & (before | own) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept, CAST(sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+  CAST(sum(CASE WHEN mask & before <> 0 AND mask & own <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant, CAST(sum(CASE WHEN mask = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost, CAST(sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost FROM c, s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": TOP_K, "op6_chat_quotes": QUOTES, "op10_jaccard_join": JACCARD}
+    return {"op2_exact_top_k": TOP_K, "op6_chat_quotes": QUOTES, "op10_jaccard_join": JACCARD, "op13_filter_audit": FILTERS}
