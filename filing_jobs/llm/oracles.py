@@ -67,6 +67,24 @@ r AS (SELECT part, filter_order, step, own, CAST(sum(CASE WHEN mask & (before |
   CAST(sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost, CAST(sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost FROM c, s GROUP BY ALL)
 SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""
 
+# All n-grams of pieces counted; cuts and longer phrases looked up among the frequent ones.
+PHRASES = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS phrase FROM w, (VALUES (1), (2), (3), (4)) v(n) WHERE len(w) >= n),
+f AS (SELECT lang, n, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+tot AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS total FROM w GROUP BY lang),
+c AS (SELECT lang, n, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE n > 1),
+k AS (SELECT *, unnest(range(1, n)) AS k FROM c),
+s AS (SELECT k.lang, k.phrase, k.k, k.a, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * k.a // (x.f + y.f) AS BIGINT) AS score FROM k
+  JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.ws[1:k.k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.ws[k.k + 1:k.n], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT *, unnest(range(1, n - m + 2)) AS i FROM (SELECT *, unnest(range(2, n)) AS m FROM c)),
+h AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM i GROUP BY ALL),
+r AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, score FROM b LEFT JOIN h ON b.lang = h.lang AND b.phrase = h.phrase WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT r.lang AS lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, total AS n, score FROM r JOIN tot ON tot.lang = r.lang WHERE rank <= 2000"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": TOP_K, "op6_chat_quotes": QUOTES, "op10_jaccard_join": JACCARD, "op13_filter_audit": FILTERS}
+    return {"op2_exact_top_k": TOP_K, "op6_chat_quotes": QUOTES, "op10_jaccard_join": JACCARD, "op11_phrase_collocations": PHRASES, "op13_filter_audit": FILTERS}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from filing_jobs.llm import filters, isomedia, jaccard, langid, packing, pii, ppm, quotes, spbpe, tokenfile, topk
+from filing_jobs.llm import filters, isomedia, jaccard, langid, packing, phrases, pii, ppm, quotes, spbpe, tokenfile, topk
 from filing_jobs.llm.common import stored
 from filing_jobs.llm.oracles import oracle_sql as oracle_sql
 
@@ -78,6 +78,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 best phrases; null texts count as empty, null languages as ``und``, repeated rows each count, no words give no rows."""
+    return phrases.collocations(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders and steps of the five filters per language; null texts count as empty, null languages as the empty string, no rows give none."""
     return filters.audit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_media_columns": op8_media_columns,
         "op9_packing": op9_packing,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_phrase_collocations": op11_phrase_collocations,
         "op13_filter_audit": op13_filter_audit,
         "pipeline": corpus_pipeline.run,
     }
