@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from filing_jobs.llm import filters, isomedia, jaccard, langid, packing, phrases, pii, ppm, quotes, spbpe, tokenfile, topk
+from filing_jobs.llm import filters, isomedia, jaccard, langid, packing, phrases, pii, ppm, quotes, secrets, spbpe, tokenfile, topk
 from filing_jobs.llm.common import stored
 from filing_jobs.llm.oracles import oracle_sql as oracle_sql
 
@@ -83,6 +83,12 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets; null texts have none, repeated rows each have a row, texts are whole however long."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return secrets.digests(secrets.scan(docs, secrets.fit(docs)))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders and steps of the five filters per language; null texts count as empty, null languages as the empty string, no rows give none."""
     return filters.audit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -101,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": op9_packing,
         "op10_jaccard_join": op10_jaccard_join,
         "op11_phrase_collocations": op11_phrase_collocations,
+        "op12_secret_scan": op12_secret_scan,
         "op13_filter_audit": op13_filter_audit,
         "pipeline": corpus_pipeline.run,
     }
