@@ -14,12 +14,13 @@ import hashlib
 import re
 import secrets
 from collections.abc import Callable, Iterator
+from math import prod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: The session's setting that holds the key.
-KEY_SETTING = "spark.filing_jobs.pseudonym.key"
+#: The session's setting that holds the key; by this name Spark shows it nowhere.
+KEY_SETTING = "spark.filing_jobs.pseudonym.secret"
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -102,10 +103,24 @@ def card(text: str, change: Callable) -> str | None:
     return fill(text, new + str(luhn(new)))
 
 
+#: Fixed values. Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24,
+    "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27,
+    "GT": 28, "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24,
+    "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25,
+    "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
+
+
 def iban(text: str, change: Callable) -> str | None:
+    """Of a country's length, without blanks or with one after every four characters."""
     plain = text.replace(" ", "")
+    if len(plain) != IBAN_LENGTHS.get(plain[:2]) or text not in (plain, " ".join(plain[k : k + 4] for k in range(0, len(plain), 4))):
+        return None
     number = "".join(str(int(c, 36)) for c in plain[4:] + plain[:4])
-    if not 15 <= len(plain) <= 34 or int(number) % 97 != 1:
+    if int(number) % 97 != 1:
         return None
     body = characters(plain[4:], change, f"iban{plain[:2]}")
     check = 98 - int("".join(str(int(c, 36)) for c in body + plain[:2] + "00")) % 97
@@ -129,27 +144,54 @@ NO_ONE = (0, 0x7F000001, 0xFFFFFFFF)
 
 
 def address(text: str, change: Callable) -> str | None:
-    """IPv4, but for those that are no one's."""
-    parts = [int(x) for x in text.split(".")]
-    if any(p > 255 for p in parts):
+    """IPv4, but for those that are no one's. One with leading zeros becomes another one with leading zeros, of the same widths."""
+    parts = text.split(".")
+    value = [int(x) for x in parts]
+    if max(value) > 255 or int.from_bytes(bytes(value), "big") in NO_ONE:
         return None
-    value = int.from_bytes(bytes(parts), "big")
-    if value in NO_ONE:
-        return None
-    value = change(value - sum(x < value for x in NO_ONE), (1 << 32) - len(NO_ONE), "address")
-    for x in NO_ONE:
-        value += value >= x
-    return ".".join(map(str, value.to_bytes(4, "big")))
+    if text == ".".join(map(str, value)):
+        number = int.from_bytes(bytes(value), "big")
+        number = change(number - sum(x < number for x in NO_ONE), (1 << 32) - len(NO_ONE), "address")
+        for x in NO_ONE:
+            number += number >= x
+        return ".".join(map(str, number.to_bytes(4, "big")))
+    sizes = [min(256, 10 ** len(x)) for x in parts]
+    number = 0
+    for v, size in zip(value, sizes, strict=True):
+        number = number * size + v
+    while True:  # walk on to one with leading zeros
+        number = change(number, prod(sizes), "address" + "".join(str(len(x)) for x in parts))
+        rest, new = number, []
+        for size in reversed(sizes):
+            rest, v = divmod(rest, size)
+            new.append(v)
+        out = ".".join(str(v).zfill(len(x)) for v, x in zip(reversed(new), parts, strict=True))
+        if out != ".".join(map(str, reversed(new))) and int.from_bytes(bytes(reversed(new)), "big") not in NO_ONE:
+            return out
+
+
+#: Fixed values. Country codes of two digits; 1 and 7 are codes of one digit, all others have three.
+TWO_DIGITS = (20, 27, 30, 31, 32, 33, 34, 36, 39, 40, 41, 43, 44, 45, 46, 47, 48, 49, 51, 52, 53, 54, 55, 56, 57, 58, 60, 61, 62, 63, 64, 65, 66, 81, 82, 84, 86, 90, 91, 92, 93, 94, 95, 98)
+
+
+def country_code(digits: str) -> str:
+    return digits[:1] if digits[0] in "17" else digits[:2] if int(digits[:2]) in TWO_DIGITS else digits[:3]
 
 
 def phone(text: str, change: Callable) -> str | None:
-    """The country code of an international number stays; of a national one the first digit of the area."""
+    """The country code of an international number stays. A number of ten digits without code, or with code 1, has the
+    same pseudonym in all its spellings."""
     digits = only_digits(text)
-    if not 10 <= len(digits) <= 15:
+    national = digits[1:] if digits[0] == "1" and len(digits) == 11 else digits
+    if len(national) == 10 and (text[0] != "+" or len(digits) == 11):
+        return fill(text, digits[: len(digits) - 10] + str(change(int(national), 10**10, "phone1")).zfill(10))
+    if text[0] != "+" or not 10 <= len(digits) <= 15:
+        return None
+    code = country_code(digits)
+    body = digits[len(code) :]
+    if code == "1":  # of another length than numbers with this code have
         return None
-    keep = len(digits) - 10 + 1 if len(digits) > 10 else 1
-    body = digits[keep:]
-    return fill(text, digits[:keep] + str(change(int(body), 10 ** len(body), f"phone{digits[:keep]}")).zfill(len(body)))
+    return fill(text, code + str(change(int(body), 10 ** len(body), f"phone{code}")).zfill(len(body)))
 
 
 def date(text: str, change: Callable) -> str | None:
@@ -205,24 +247,20 @@ KINDS: dict[str, tuple[str, Callable]] = {
     "date": (r"(?<![\d.])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?![\d]|[./-]\d)", date),
     "social": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", social),
     "address": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", address),
-    "card": (r"(?<![\d.+])\d(?:[ -]?\d){12,18}(?!\d|\.\d)", card),
-    "phone": (r"(?<![\w.])\+1[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w.(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])(?:1[ .-])?(?:\d{3}[ .-]|\(\d{3}\) ?)\d{3}[ .-]\d{4}(?![\w-])", phone),
+    "card": (r"(?<![\d.+])(?:\d{13,19}|\d{4}(?:(?: \d{4}){3}|(?:-\d{4}){3}| \d{6} \d{4,5}|-\d{6}-\d{4,5}))(?!\d|\.\d)", card),
+    "phone": (r"(?<![\w.])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w)|(?<![\w.])\+(?!1)\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w.])(?:1[ .-])?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])", phone),
 }
 PATTERN = re.compile("|".join(f"(?P<{name}>{pattern})" for name, (pattern, _) in KINDS.items()), re.ASCII)
 PATTERNS = {name: re.compile(pattern, re.ASCII) for name, (pattern, _) in KINDS.items()}
-#: Where a card or an IBAN may end inside its longest match: never inside a word or a number.
-ENDS = {"card": re.compile(r"(?<=\d)[ -]"), "iban": re.compile(r"(?<=[A-Z0-9]) ")}
+#: Where an IBAN or an international telephone number may end inside its longest match: never inside a word or a number.
+ENDS = {"iban": re.compile(r"(?<=[A-Z0-9]) "), "phone": re.compile(r"(?<=[0-9])[ .-]")}
 TOKEN = re.compile(r"[^A-Za-z0-9]+")
 #: Every kind has one of these; most texts have none.
 HINT = re.compile(r"[0-9@]|AKIA|gh[pousr]_|sk-|[Pp]assword|[Tt]oken|[Ss]ecret|[Aa]pi_?[Kk]ey")
 
 
 def pseudonymise(text: str, cipher: Feistel, back: bool = False) -> tuple[str, list[str]]:
-    """The text with pseudonyms, and the kinds found in order; ``back`` restores the values.
-
-    Where other digits stand right beside a card, its pseudonym and they may happen to form a valid number
-    of another length; that place is then not restored.
-    """
+    """The text with pseudonyms, and the kinds found in order; ``back`` restores the values."""
     if not HINT.search(text):
         return text, []
     found: list[str] = []
@@ -240,20 +278,43 @@ def pseudonymise(text: str, cipher: Feistel, back: bool = False) -> tuple[str, l
     return "".join([*out, text[at:]]), found
 
 
+def same(value: int, size: int, name: str) -> int:
+    return value
+
+
+def ends_of(name: str, text: str, start: int, end: int) -> list[int]:
+    """Where a value that matches up to ``end`` may end, in the order in which it is tried.
+
+    An IBAN or an international number may end at a whole word before that. Such a number ends before another value
+    that begins inside its match: digits after a blank may as well be the next number, date or address.
+    """
+    if name not in ENDS or (name == "phone" and text[start] != "+"):
+        return [end]
+    inner = [k for k in range(start + 1, end) if ENDS[name].match(text, k)]
+    if name == "phone":
+        others = (k for k in inner if text[k] == " " and any(other_begins(n, text, k + 1) for n in KINDS))
+        cut = next((k for k in others if phone(text[start:k], same) is not None), None)
+        if cut is not None:
+            return [cut]
+    return [end, *reversed(inner)]
+
+
+def other_begins(name: str, text: str, at: int) -> bool:
+    m = PATTERNS[name].match(text, at)
+    return m is not None and any(KINDS[name][1](text[at:e], same) is not None for e in ([m.end()] if name != "iban" else ends_of(name, text, at, m.end())))
+
+
 def valid(text: str, m: re.Match, change: Callable) -> tuple[str, int, str | None]:
     """The kind, the end and the new value of what begins where ``m`` does; no value if nothing there is valid.
 
-    Its own kind first, then later ones. A card or an IBAN may end before its longest match does.
+    Its own kind first, then later ones.
     """
     start = m.start()
     for name in list(KINDS)[list(KINDS).index(m.lastgroup) :]:
         own = PATTERNS[name].match(text, start)
         if own is None:
             continue
-        ends = [own.end()]
-        if name in ENDS:
-            ends += [k for k in range(own.end() - 1, start, -1) if ENDS[name].match(text, k)]
-        for end in ends:
+        for end in ends_of(name, text, start, own.end()):
             new = KINDS[name][1](text[start:end], change)
             if new is not None:
                 return name, end, new
