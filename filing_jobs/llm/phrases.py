@@ -25,7 +25,7 @@ from filing_jobs.llm.common import picked, stored
 #: Words of a phrase at most.
 LONGEST = 4
 #: Tokens that a task counts at a time, and bytes of a text taken at a time.
-CHUNK, BLOCK = 2_000_000, 4 << 20
+CHUNK, BLOCK = 1_000_000, 4 << 20
 #: Entries that are merged into a summary at a time, besides those that it holds.
 MERGED = 1 << 20
 #: N-grams of a hash partition, about; and the most hash partitions, as a power of two: beyond that their summaries grow.
@@ -82,7 +82,7 @@ def chunks(batches: Iterable[pa.RecordBatch], size: int = CHUNK) -> Iterator[Tok
 
     def out(repeated: int) -> Tokens:
         ids = np.concatenate(parts)
-        return Tokens(list(langs), list(numbers), ids, np.repeat(np.array([k for k, _ in of], np.int64), [m for _, m in of]), len(ids) - repeated)
+        return Tokens(list(langs), list(numbers), ids, np.repeat(np.array([k for k, _ in of], np.int32), [m for _, m in of]), len(ids) - repeated)
 
     for batch in batches:
         for value, lang in zip(batch["text"], batch["lang"].to_pylist(), strict=True):
@@ -95,7 +95,7 @@ def chunks(batches: Iterable[pa.RecordBatch], size: int = CHUNK) -> Iterator[Tok
                     found = [done.words[i] for i in done.ids[done.starts :]] + found
                     numbers, langs, parts, of, n, own = Numbered(), {}, [], [], 0, 0
                 if found:
-                    parts.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
+                    parts.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
                     of.append((langs.setdefault(lang, len(langs)), len(found)))
                     n += len(found)
                     own += len(found)
@@ -108,15 +108,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def hashes(t: Tokens) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For n = 1 to 4: 64 bits of the n-gram that begins at each token, with its language, and whether one does."""
-    word = np.array([xxhash.xxh64_intdigest(w) for w in t.words], np.uint64)[t.ids]
-    lang = np.array([xxhash.xxh64_intdigest(x.encode(), 1) for x in t.langs], np.uint64)[t.of]
-    h, ok = [word ^ lang], [t.ids != 0]
-    for n in range(1, LONGEST):
-        h.append(mixed(h[-1][:-1] * C1 + word[n:] + np.uint64(n)))
-        ok.append(ok[-1][:-1] & ok[0][n:])
-    return [mixed(x) for x in h], ok
+def levels(t: Tokens) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For n = 1 to 4: n, 64 bits of the n-gram that begins at each token, with its language, and whether one does."""
+    word = np.fromiter(map(xxhash.xxh64_intdigest, t.words), np.uint64, len(t.words))[t.ids]
+    own = word ^ np.fromiter((xxhash.xxh64_intdigest(x.encode(), 1) for x in t.langs), np.uint64, len(t.langs))[t.of]
+    good = first = t.ids != 0
+    for n in range(1, LONGEST + 1):
+        if n > 1:
+            own = mixed(own[:-1] * C1 + word[n - 1 :] + np.uint64(n))
+            good = good[:-1] & first[n - 1 :]
+        yield n, mixed(own), good
 
 
 def passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -134,16 +135,23 @@ def summaries(rows: DataFrame, sizes: tuple[int, ...], power: int, bits: object
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in chunks(batches):
-            h, ok = hashes(t)
-            if bits is not None:
-                pair = ok[1] & passes(bits.value, h[1])
-                for n in range(3, LONGEST + 1):
-                    for k in range(n - 1):
-                        ok[n - 1] = ok[n - 1] & pair[k : len(ok[n - 1]) + k]
-            keys, counts = np.unique(np.concatenate([h[n - 1][: t.starts][ok[n - 1][: t.starts]] for n in sizes]) >> np.uint64(32 - power), return_counts=True)
-            bucket = (keys >> np.uint64(32)).astype(np.int64)
+            found, pair = [], None
+            for n, h, ok in levels(t):
+                if bits is not None and n == 2:
+                    pair = ok & passes(bits.value, h)
+                if n in sizes:
+                    if pair is not None:
+                        for k in range(n - 1):
+                            ok = ok & pair[k : len(ok) + k]
+                    found.append(h[: t.starts][ok[: t.starts]] >> np.uint64(32 - power))
+            keys = np.concatenate(found)
+            del found, pair, h, ok
+            keys.sort()
+            firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+            counts = np.diff(firsts, append=len(keys)).astype("<u4")
+            keys = keys[firsts]
+            bucket, low = (keys >> np.uint64(32)).astype(np.int64), keys.astype("<u4")
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)) if len(bucket) else []
-            low, counts = keys.astype("<u4"), counts.astype("<u4")
             spans = list(zip(cuts[:-1], cuts[1:], strict=True))
             for at in range(0, len(spans), 4096):
                 some = spans[at : at + 4096]
@@ -231,15 +239,15 @@ def counted(rows: DataFrame, bits: object) -> DataFrame:
     """
 
     def of_chunk(t: Tokens) -> Iterator[pa.RecordBatch]:
-        h, ok = hashes(t)
         words, ids = len(t.words), t.ids
-        totals = np.bincount(t.of[: t.starts][ok[0][: t.starts]], minlength=len(t.langs))
-        kept = np.flatnonzero(totals)
-        yield batch_of([t.langs[k] for k in kept], [b""] * len(kept), 0, totals[kept])
-        name = t.of * words + ids  # exact: language and word
+        name = t.of.astype(np.int64) * words + ids  # exact: language and word
         before = None
-        for n in range(1, LONGEST + 1):
-            good = ok[n - 1] & passes(bits.value, h[n - 1])
+        for n, h, ok in levels(t):
+            if n == 1:
+                totals = np.bincount(t.of[: t.starts][ok[: t.starts]], minlength=len(t.langs))
+                kept = np.flatnonzero(totals)
+                yield batch_of([t.langs[k] for k in kept], [b""] * len(kept), 0, totals[kept])
+            good = ok & passes(bits.value, h)
             if before is not None:
                 good &= before[: len(good)] & before[1 : len(good) + 1]
             at = np.flatnonzero(good[: t.starts])

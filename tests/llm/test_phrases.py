@@ -69,9 +69,8 @@ def test_collocations_equal_plain_counting(spark, monkeypatch, seed, chunk, bloc
     batch = pa.RecordBatch.from_arrays([pa.array([(t or "").encode() for t, _ in rows], pa.binary()), pa.array([g or "und" for _, g in rows])], ["text", "lang"])
     seen = Counter()
     for t in chunks([batch], chunk):
-        _, ok = phrases.hashes(t)
-        for n in range(1, 5):
-            seen.update((t.langs[t.of[p]], b" ".join(t.words[i] for i in t.ids[p : p + n]).decode()) for p in np.flatnonzero(ok[n - 1][: t.starts]))
+        for n, _, ok in phrases.levels(t):
+            seen.update((t.langs[t.of[p]], b" ".join(t.words[i] for i in t.ids[p : p + n]).decode()) for p in np.flatnonzero(ok[: t.starts]))
     assert seen == grams(rows)[0]
 
 
