@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filing_jobs.store import new_folder
 from filing_jobs.store import stored as stored
 
 #: ASCII white space, as the word definition ``[^\x20\x09-\x0D]+`` excludes it. ``bytes.split()`` splits at exactly these.
@@ -21,6 +25,16 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{source}`").alias(name) for name, source in columns.items()))
 
 
+@contextmanager
+def while_stored(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``stored`` for the time of a block: its files go at the end, so nothing may be read from it later."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def bounding_count(counted: DataFrame, most: int) -> int:
     """The least count that at most ``most`` rows of (.., c) reach; 1 if all may stay."""
     top = 1 << 16

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filing_jobs.llm.common import picked, stored
+from filing_jobs.llm.common import picked, stored, while_stored
 
 #: Words of a phrase at most.
 LONGEST = 4
@@ -202,8 +202,7 @@ class Summary:
 def survivors(found: DataFrame, power: int, least: int) -> np.ndarray:
     """The filter's bits: the keys of each hash partition that a summary of sufficient capacity keeps.
 
-    ``found`` is stored. Rows come to a task sorted by bucket and are merged one after the other, so a task holds one
-    summary. To the driver go the masses of at most 2^16 buckets, and the filter's 16 MB.
+    ``found`` is stored. Each bucket comes to one task, whose rows are merged one after the other. To the driver go the masses of at most 2^16 buckets, and the filter's 16 MB.
     """
     masses = {r["bucket"]: r["mass"] for r in found.groupBy("bucket").agg(F.sum("mass").alias("mass")).collect()}
 
@@ -225,7 +224,7 @@ def survivors(found: DataFrame, power: int, least: int) -> np.ndarray:
         if bucket is not None:
             yield out()
 
-    dealt = found.select("bucket", "keys", "counts").repartition(max(1, min(len(masses), 1 << MOST)), "bucket").sortWithinPartitions("bucket")
+    dealt = found.select("bucket", "keys", "counts").repartitionById(1 << power, F.col("bucket"))
     bits, width = np.zeros(1 << (BITS - 3), np.uint8), 1 << (BITS - power - 3)
     for r in dealt.mapInArrow(run, "bucket int, bits binary").collect():
         bits[r["bucket"] * width : (r["bucket"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
@@ -281,9 +280,11 @@ def frequent(docs: DataFrame, least: int, *, text_col: str = "text", lang_col: s
     rows = picked(docs, text=text_col, lang=lang_col).select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     power = min(MOST, max(5, int(size // (3 * MASS)).bit_length()))  # pairs and words: about one n-gram for three bytes
-    pairs = survivors(stored(summaries(rows, (1, 2), power, None), "phrase-summaries"), power, least)
+    with while_stored(summaries(rows, (1, 2), power, None), "phrase-summaries") as found:
+        pairs = survivors(found, power, least)
     shared = spark.sparkContext.broadcast(pairs)
-    longer = survivors(stored(summaries(rows, (3, 4), power, shared), "phrase-summaries"), power, least)
+    with while_stored(summaries(rows, (3, 4), power, shared), "phrase-summaries") as found:
+        longer = survivors(found, power, least)
     bits = spark.sparkContext.broadcast(pairs | longer)
     return counted(rows, bits).groupBy("lang", "phrase", "n").agg(F.sum("f").alias("f")).where((F.col("n") == 0) | (F.col("f") >= least))
 
