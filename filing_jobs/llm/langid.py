@@ -3,7 +3,9 @@
 A known word scores by its log frequency in each language. An unseen word falls back to character
 n-grams of the padded word: at every position the longest known n-gram that ends there counts. (A
 penalty for each step to a shorter one would be the same for all languages.) The document's language
-is the one with the greatest sum.
+is the one with the greatest sum. What a language never had counts the same for all languages, less
+than anything that one of them had, so little text is no advantage. A document's score is how much more
+probable its words are in its language than in all others pooled, which many small languages hardly change.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ from filing_jobs.llm.common import id_remainder, picked
 ORDERS = (5, 4, 3, 2, 1)
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
-#: Words kept in a task's memo; it only saves time.
-MEMO = 700_000
-#: Words looked up at a time.
-PART = 50_000
+#: Words kept in a task's memo (it only saves time) and words looked up at a time; both less where languages are many.
+MEMO, PART = 700_000, 50_000
+#: Numbers that a memo may hold: two for each word and language.
+CELLS = 8 * MEMO
 
 
 def words_of(text: str | None) -> list[str]:
@@ -37,17 +39,30 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies by language: ``words`` and ``grams`` give a key's row in ``table``, which has a column for each language."""
+    """Log frequencies by language. ``words`` and ``grams`` give a key's row; only the languages that have it are held.
+
+    ``first`` has where each row's entries begin, ``lang`` their languages, ``gain`` the log frequency above the floor
+    and ``less`` what the pooled count loses without that language. ``pooled`` and ``order`` are those of a row;
+    ``floors`` and ``sums`` of an order: log frequency of what a language never had, and log of the others' counts.
+    """
 
     languages: list[str]
     words: dict[str, int]
     grams: dict[str, int]
-    table: np.ndarray
+    first: np.ndarray
+    lang: np.ndarray
+    gain: np.ndarray
+    less: np.ndarray
+    pooled: np.ndarray
+    order: np.ndarray
+    floors: np.ndarray
+    sums: np.ndarray
     memo: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.rows = np.zeros((1024, 2 * len(self.languages)))
-        self.nothing = len(self.table) - 1  # the last row is zero
+        self.rows = np.zeros((16, 2 * len(self.languages)))
+        most = CELLS // max(1, 2 * len(self.languages))
+        self.most, self.part = min(MEMO, max(4, most)), min(PART, max(2, most // 8))
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("memo", "rows")}
@@ -56,45 +71,50 @@ class LanguageModel:
         self.__dict__ |= state | {"memo": {}}
         self.__post_init__()
 
+    def keys_of(self, word: str) -> list[int]:
+        """The rows of a known word, or of the longest known n-gram that ends at each of its places."""
+        if (at := self.words.get(word)) is not None:
+            return [at]
+        padded, found, grams = f"^{word}$", [], self.grams.get
+        for end in range(1, len(padded) + 1):
+            for n in ORDERS:
+                if n <= end and (gram := grams(padded[end - n : end])) is not None:
+                    found.append(gram)
+                    break
+        return found
+
     def learn(self, words: list[str]) -> None:
-        """Put each word into the memo: its scores and, behind them, its share in each language (softmax).
-
-        A known word has its own log frequencies; any other the sum, over its positions, of the longest
-        known n-gram that ends there.
-        """
-        known, grams, found, starts = self.words.get, self.grams.get, [], []
-        for word in words:
-            starts.append(len(found))
-            if (at := known(word)) is not None:
-                found.append(at)
-                continue
-            padded = f"^{word}$"
-            for end in range(1, len(padded) + 1):
-                for n in ORDERS:
-                    if n <= end and (gram := grams(padded[end - n : end])) is not None:
-                        found.append(gram)
-                        break
-            if starts[-1] == len(found):  # nothing in it is known: alike for all languages
-                found.append(self.nothing)
-        scores = np.add.reduceat(self.table[found], starts, axis=0)
-        share = np.exp(scores - scores.max(axis=1, keepdims=True))
-        first = len(self.memo)
-        while len(self.rows) < first + len(words):
+        """Put each word into the memo: its log frequency in each language above the floor, and how it compares with the others'."""
+        k, n = len(self.languages), len(words)
+        keys = [self.keys_of(w) for w in words]
+        row = np.array([x for found in keys for x in found], np.int64)
+        word = np.repeat(np.arange(n), [len(found) for found in keys])
+        size = self.first[row + 1] - self.first[row]
+        entry = np.repeat(self.first[row] - np.concatenate([[0], size.cumsum()[:-1]]) if len(row) else row, size) + np.arange(size.sum())
+        cell = np.repeat(word, size) * k + self.lang[entry]
+        gain = np.bincount(cell, self.gain[entry], n * k).reshape(n, k)
+        orders = np.bincount(word * len(self.floors) + self.order[row], minlength=n * len(self.floors)).reshape(n, -1)
+        others = np.bincount(word, self.pooled[row], n)[:, None] - orders @ self.sums - np.bincount(cell, self.less[entry], n * k).reshape(n, k)
+        ahead = gain + (orders @ self.floors)[:, None] - others
+        share = 1 / (1 + np.exp(-np.clip(ahead, -700, 700)))
+        at = len(self.memo)
+        while len(self.rows) < at + n:
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[first : first + len(words)] = np.hstack([scores, share / share.sum(axis=1, keepdims=True)])
-        self.memo.update(zip(words, range(first, first + len(words)), strict=True))
+        self.rows[at : at + n] = np.hstack([gain, share])
+        self.memo.update(zip(words, range(at, at + n), strict=True))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The language and the mean share of the text's words in it; ``und`` and 0 without letters or without a model."""
+        """The language and the mean over the text's words of the share p / (p + q), p being the word's probability in it and q
+        in the others; ``und`` and 0 without letters or without a model."""
         words, k = words_of(text), len(self.languages)
         if not words or not k:
             return UNKNOWN, 0.0
         total = np.zeros(2 * k)
-        for start in range(0, len(words), PART):
-            part = words[start : start + PART]
+        for start in range(0, len(words), self.part):
+            part = words[start : start + self.part]
             at = list(map(self.memo.get, part))
             if None in at:
-                if len(self.memo) + len(part) > MEMO:  # start anew: frequent words come back at once
+                if len(self.memo) + len(part) > self.most:  # start anew: frequent words come back at once
                     self.memo.clear()
                 self.learn([w for w in dict.fromkeys(part) if w not in self.memo])
                 at = list(map(self.memo.get, part))
@@ -104,24 +124,31 @@ class LanguageModel:
 
 
 def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        max_docs_per_language: int = 400, max_chars_per_language: int = 8_000_000, max_languages: int = 256,
-        min_count: int = 2) -> LanguageModel:
+        max_docs_per_language: int = 400, max_chars_per_language: int = 8_000_000, max_chars: int = 64_000_000, most_languages: int = 1000,
+        max_languages: int | None = None, min_count: int = 2) -> LanguageModel:
     """Learn from the rows with a non-null language, whole texts.
 
     The classifier is fitted on a bounded sample: of each language about ``max_docs_per_language`` rows, fewer
-    if they had more than about ``max_chars_per_language`` characters together, chosen by a hash of the id, so
-    the model that goes to the executors is bounded too. All languages are learned; more than ``max_languages``
-    are an error. Rows without text or language teach nothing; no rows, no languages.
+    if they had more than about ``max_chars_per_language`` characters together, or than the language's equal part
+    of ``max_chars``, chosen by a hash of the id, so the model that goes to the executors is bounded too. Of more
+    than ``most_languages`` values of the label the most frequent are learned (ties: in order of the value), the
+    others are never predicted; more than ``max_languages``, where it is given, are an error. Rows without text or
+    language teach nothing; no rows, no languages.
     """
     rows = picked(df, i=id_col, t=text_col, lang=lang_col).where("lang is not null and t is not null")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"), F.sum(F.length("t")).alias("chars")).limit(max_languages + 1).collect()
-    if len(sizes) > max_languages:
+    counts = rows.groupBy("lang").agg(F.count("*").alias("rows"), F.sum(F.length("t")).alias("chars"))
+    sizes = counts.orderBy(F.desc("rows"), "lang").limit(max(most_languages, max_languages or 0) + 1).collect()
+    if max_languages is not None and len(sizes) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
+    sizes = sizes[:most_languages]
     if not sizes:
-        return LanguageModel([], {}, {}, np.zeros((1, 0)))
+        nothing = np.zeros(0)
+        return LanguageModel([], {}, {}, np.zeros(1, np.int64), np.zeros(0, np.int64), nothing, nothing, nothing, np.zeros(0, np.int64), nothing, np.zeros((0, 0)))
     languages = sorted(r["lang"] for r in sizes)
-    share = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, max_docs_per_language / r["rows"], max_chars_per_language / max(1, r["chars"]))))))
-    chosen = rows.where(F.pmod(F.xxhash64(F.coalesce(F.col("i").cast("string"), F.lit(""))), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    chars = min(max_chars_per_language, max_chars // len(sizes))
+    shares = [(r["lang"], int((1 << 20) * min(1.0, max_docs_per_language / r["rows"], chars / max(1, r["chars"])))) for r in sizes]
+    shares = df.sparkSession.createDataFrame([(lang, max(1, x)) for lang, x in shares], "lang string, share long")  # at most most_languages rows
+    chosen = rows.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64(F.coalesce(F.col("i").cast("string"), F.lit(""))), F.lit(1 << 20)) < F.col("share"))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, int], Counter] = {}
@@ -146,17 +173,24 @@ def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_c
     order, c = found["n"].to_numpy(), found["c"].to_numpy().astype(float)
     keys: dict[int, dict[str, int]] = {n: {} for n in (0, *ORDERS)}
     place = np.fromiter((keys[n].setdefault(g, len(keys[n])) for n, g in zip(order.tolist(), found["gram"].to_pylist(), strict=True)), int, len(c))
-    table, start = [], 0
-    words: dict[str, int] = {}
-    rows: dict[str, int] = {}
-    for n in (0, *ORDERS):
-        counts = np.zeros((len(keys[n]), len(languages)))
-        np.add.at(counts, (place[order == n], lang[order == n]), c[order == n])
-        # a language without this key counts half an occurrence
-        table.append(np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * len(counts) + 1)))
-        (words if n == 0 else rows).update((g, start + i) for g, i in keys[n].items())
-        start += len(counts)
-    return LanguageModel(languages, words, rows, np.concatenate([*table, np.zeros((1, len(languages)))]))
+    starts = dict(zip(keys, np.cumsum([0, *(len(x) for x in keys.values())])[:-1].tolist(), strict=True))
+    row = place + np.array([starts.get(n, 0) for n in range(max(ORDERS) + 1)])[order]
+    n_rows, k = sum(map(len, keys.values())), len(languages)
+    pooled = np.bincount(row, c, n_rows)
+    row_order = np.concatenate([np.full(len(x), i) for i, x in enumerate(keys.values())]).astype(np.int64)
+    slot = np.array([list(keys).index(n) for n in range(max(ORDERS) + 1)])[order]
+    mass = np.bincount(slot * k + lang, c, len(keys) * k).reshape(len(keys), k)
+    known = np.bincount(slot * k + lang, minlength=len(keys) * k).reshape(len(keys), k)
+    total = mass + 0.5 * known + 1  # half an occurrence more of each key that a language has
+    floors = np.log(0.5) - np.log(total.max(axis=1))
+    sums = np.log(mass.sum(axis=1, keepdims=True) - mass + 0.5 * np.array([[len(x)] for x in keys.values()]) + 1)
+    by_row = np.argsort(row, kind="stable")
+    gain = np.log(c + 0.5) - np.log(total[slot, lang]) - floors[slot]
+    less = np.log(pooled[row] + 0.5) - np.log(pooled[row] - c + 0.5)
+    words = {g: starts[0] + i for g, i in keys[0].items()}
+    rows = {g: starts[n] + i for n in ORDERS for g, i in keys[n].items()}
+    first = np.concatenate([[0], np.bincount(row, minlength=n_rows).cumsum()]).astype(np.int64)
+    return LanguageModel(languages, words, rows, first, lang[by_row].astype(np.int64), gain[by_row], less[by_row], np.log(pooled + 0.5), row_order, floors, sums)
 
 
 def predict(df: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,8 +221,8 @@ def keep_identified(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``df`` whose text is in a language: those predicted ``und`` or with less than ``min_score`` go.
 
     The model is fitted on ``df`` itself (rows that are not held out); all columns of ``df`` stay as they are.
-    If nothing can be learned from ``df``, every text with letters stays. ``min_score`` is meant for a handful
-    of languages; a text that could be in any of k of them scores about 1 / k.
+    If nothing can be learned from ``df``, every text with letters stays. A text that is as probable in the other
+    languages together as in its own scores 0.5, however many languages there are; ``min_score`` 0.3 asks for odds of 3 to 7.
     """
     model = fit(df.where(~held_out(id_col)), id_col=id_col, text_col=text_col, lang_col=lang_col)
     shared = df.sparkSession.sparkContext.broadcast(model)
