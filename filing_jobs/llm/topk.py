@@ -50,35 +50,42 @@ def blocks(df: DataFrame, id_col: str, vector_col: str, scale: float, block: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
-        held: dict[int, tuple[list, list]] = {}
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        sizes: dict[int, int] = {}
 
-        def out(dim: int) -> pa.RecordBatch:
+        def out(dim: int, ids: np.ndarray, data: np.ndarray) -> pa.RecordBatch:
             nonlocal number
-            ids, rows = held.pop(dim)
-            data = np.array(rows, "f8").reshape(len(ids), dim)
             most = float(np.abs(data).max(initial=0))
             kind = "<f4" if most < 1 << 24 else "<f8"
             packed = data.astype(kind).tobytes() if dim else bytes(len(ids))
             number += 1
-            columns = {"dim": dim, "block": part << 32 | number - 1, "n": len(ids), "most": most, "ids": np.array(ids, "<i8").tobytes(), "kind": kind, "data": packed}
+            columns = {"dim": dim, "block": part << 32 | number - 1, "n": len(ids), "most": most, "ids": ids.astype("<i8").tobytes(), "kind": kind, "data": packed}
             return pa.RecordBatch.from_pylist([columns], schema=pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), ("most", pa.float64()), ("ids", pa.binary()), ("kind", pa.string()), ("data", pa.binary())]))
 
+        def full(dim: int, least: int) -> Iterator[pa.RecordBatch]:
+            while sizes.get(dim, 0) >= least:
+                ids, data = (np.concatenate(x) for x in zip(*held[dim], strict=True))
+                yield out(dim, ids[:block], data[:block])
+                held[dim], sizes[dim] = [(ids[block:], data[block:])], max(0, len(ids) - block)
+
         for batch in batches:
-            for name, vector in zip(batch["id"].to_pylist(), batch["v"].to_pylist(), strict=True):
-                if name is None or vector is None or None in vector:
-                    continue
-                row = np.floor(np.array(vector, "f8") * scale)
-                if not np.isfinite(row).all():
-                    continue
-                ids, rows = held.setdefault(len(row), ([], []))
-                ids.append(name)
-                rows.append(row)
-                if len(ids) == block:
-                    yield out(len(row))
+            lists = batch["v"]
+            lengths = np.where(lists.is_valid(), lists.value_lengths().fill_null(0), 0)
+            starts = np.concatenate([[0], lengths.cumsum()])
+            with np.errstate(invalid="ignore", over="ignore"):
+                flat = np.floor(lists.flatten().to_numpy(zero_copy_only=False) * scale)  # a null component is NaN
+            broken = np.concatenate([[0], (~np.isfinite(flat)).cumsum()])
+            good = lists.is_valid().to_numpy(zero_copy_only=False) & batch["id"].is_valid().to_numpy(zero_copy_only=False) & (broken[starts[1:]] == broken[starts[:-1]])
+            names = batch["id"].fill_null(0).to_numpy(zero_copy_only=False)
+            for dim in np.unique(lengths[good]).tolist():
+                at = np.flatnonzero(good & (lengths == dim))
+                held.setdefault(dim, []).append((names[at], flat[starts[at][:, None] + np.arange(dim)] if dim else np.zeros((len(at), 0))))
+                sizes[dim] = sizes.get(dim, 0) + len(at)
+                yield from full(dim, block)
         for dim in sorted(held):
-            yield out(dim)
+            yield from full(dim, 1)
 
-    rows = picked(df, id=id_col, v=vector_col).withColumn("id", F.col("id").cast("long"))
+    rows = picked(df, id=id_col, v=vector_col).select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"))
     return rows.mapInArrow(run, "dim int, block long, n int, most double, ids binary, kind string, data binary")
 
 
@@ -87,12 +94,12 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
     """(query_id, rank, vec_id, score): the k highest integer inner products of each query among all other rows.
 
     Vectors of another length than the query's are no candidates. A row with the query's id is its own
-    and no candidate; repeated rows of other ids each count. A repeated query id asks once, with its
-    least vector. Fewer candidates give fewer rows; no queries, none. A score that does not fit
+    and no candidate; repeated rows of other ids each count. Every valid row of a query id asks, and the id's
+    k highest are those of all its rows. Fewer candidates give fewer rows; no queries, none. A score that does not fit
     a long counts as the nearest one that does; such scores tie.
     """
     rows = picked(df, id=id_col, v=vector_col)
-    asked = df.where(is_query).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").alias("v")).groupBy("id").agg(F.min("v").alias("v"))
+    asked = df.where(is_query).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").alias("v"))
     candidates = stored(blocks(rows, "id", "v", scale, block), "topk-rows")
     queries = stored(blocks(asked, "id", "v", scale, block), "topk-queries")
     sizes = queries.agg(F.count("*"), F.max("most"), F.max("dim")).first(), candidates.agg(F.count("*"), F.max("most")).first()
@@ -175,8 +182,10 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
                 at, col, value = at[order], col[order], value[order]
                 place = np.arange(len(at)) - np.searchsorted(at, at)  # beyond the k best of these rows none is among the k best of all
                 at, col, value = at[place < k], col[place < k], value[place < k]
-                yield pa.RecordBatch.from_arrays([pa.array(q[at], pa.int64()), pa.array(c[col], pa.int64()), pa.array(value, pa.int64())], ["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(q[at], pa.int64()), pa.array(c[col], pa.int64()), pa.array(value, pa.int64()), pa.array(np.full(len(at), batch["block"][row].as_py()), pa.int64())], ["query_id", "vec_id", "score", "block"])
 
-    found = pairs(state).mapInArrow(keep, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = pairs(state).mapInArrow(keep, "query_id long, vec_id long, score long, block long")
+    for keys in (("query_id", "block"), ("query_id",)):  # an id of many rows is ranked block by block before all of it is
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), "vec_id"))
+        found = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return found.select("query_id", "rank", "vec_id", "score")

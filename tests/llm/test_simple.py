@@ -196,6 +196,20 @@ def test_top_k(spark, k, scale, block):
     assert sorted(tuple(x) for x in got) == brute_top(rows, k)
 
 
+def test_top_k_of_repeated_ids_with_broken_rows(spark):
+    r = random.Random(15)
+    odd = lambda v: r.choice([v, v, v, v, None, [None, *v[1:]], [*v[:-1], math.nan], [math.inf, *v[1:]], v[:2], []])
+    rows = [(r.choice([None, *range(50)]), odd([r.gauss(0, 1) for _ in range(3)])) for _ in range(400)] + [(40, [None, 1.0]), (40, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    valid = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v is not None and None not in v and all(map(math.isfinite, v))]
+    want = []
+    for q in sorted({i for i, _ in valid if i % 20 == 0}):  # as the SQL: all pairs of all rows of an id
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for p, a in valid if p == q for i, b in valid if i != q and len(a) == len(b))
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:6], 1)]
+    for block in (7, 4096):
+        assert sorted(tuple(x) for x in topk.search(df, F.col("vec_id") % 20 == 0, k=6, block=block, bins=16).collect()) == want
+
+
 @pytest.mark.parametrize("bins", [1024, 100, 7])
 def test_top_k_where_many_scores_share_few_values(spark, bins):
     r = random.Random(6)
@@ -236,22 +250,27 @@ def brute_language(rows, text):
                 for at in range(len(w) + 3 - n):
                     grams[n][lang][f"^{w}$"[at : at + n]] += c
     words = {lang: Counter({w: c for w, c in found.items() if c >= 2}) for lang, found in words.items()}
-    log = lambda table, key, lang: math.log((table[lang][key] + 0.5) / (sum(table[lang].values()) + 0.5 * len(set().union(*table.values())) + 1))
+    half = lambda table, lang: sum(table[lang].values()) + 0.5 * len([x for x in table[lang].values() if x]) + 1
+    log = lambda table, key, lang: math.log((table[lang][key] + 0.5) / half(table, lang) if table[lang][key] else 0.5 / max(half(table, x) for x in langs))
+
+    def others(table, key, lang):
+        rest = [x for x in langs if x != lang]
+        every = {g for x in table.values() for g in x}
+        return math.log((sum(table[x][key] for x in rest) + 0.5) / (sum(sum(table[x].values()) for x in rest) + 0.5 * len(every) + 1))
+
     total, shares = dict.fromkeys(langs, 0.0), dict.fromkeys(langs, 0.0)
     for w in split(text):
-        if any(w in words[lang] for lang in langs):
-            own = {lang: log(words, w, lang) for lang in langs}
-        else:
-            own, padded = dict.fromkeys(langs, 0.0), f"^{w}$"
-            for end in range(1, len(padded) + 1):
-                n = next((n for n in range(min(5, end), 0, -1) if any(padded[end - n : end] in grams[n][lang] for lang in langs)), None)
-                if n:
-                    for lang in langs:
-                        own[lang] += log(grams[n], padded[end - n : end], lang)
-        whole = sum(math.exp(v - max(own.values())) for v in own.values())
+        own, other, padded = dict.fromkeys(langs, 0.0), dict.fromkeys(langs, 0.0), f"^{w}$"
+        found = [(words, w)] if any(w in words[lang] for lang in langs) else []
+        for end in range(1, len(padded) + 1) if not found else ():
+            n = next((n for n in range(min(5, end), 0, -1) if any(padded[end - n : end] in grams[n][lang] for lang in langs)), None)
+            found += [(grams[n], padded[end - n : end])] if n else []
         for lang in langs:
+            for table, key in found:
+                own[lang] += log(table, key, lang)
+                other[lang] += others(table, key, lang)
             total[lang] += own[lang]
-            shares[lang] += math.exp(own[lang] - max(own.values())) / whole
+            shares[lang] += 1 / (1 + math.exp(other[lang] - own[lang]))
     best = max(langs, key=lambda lang: total[lang])
     return best, shares[best] / len(split(text))
 
@@ -279,6 +298,29 @@ def test_language_scores_equal_brute_force(spark, monkeypatch):
     assert [x["doc_id"] for x in langid.keep_identified(unlabelled).collect()] == [1]
 
 
+def test_many_labels_change_little(spark):
+    r = random.Random(6)
+    parts = {"aa": ["the", "ing", "tion", "wh"], "bb": ["sch", "keit", "ung", "der"], "cc": ["eau", "oux", "elle", "que"]}
+    word = lambda lang: "".join(r.choice(parts[lang]) for _ in range(r.randint(1, 3)))
+    rows = [(i, " ".join(word(lang) for _ in range(60)), lang) for i, lang in enumerate(r.choice("aa bb cc".split()) for _ in range(600))]
+    letters = lambda: "".join(r.choice("bdfgjkmpqvxz") for _ in range(r.randint(2, 6)))
+    small = [(10_000 + i, " ".join(letters() for _ in range(8)), f"small{i % 20}") for i in range(80)]
+    junk = [(20_000 + i, " ".join(word(r.choice(list(parts))) for _ in range(5)), f"junk{i % 1000}") for i in range(2000)]
+    ids = {i for i, _, _ in rows}
+    means, right = [], []
+    for more in ([], small, junk):
+        df = spark.createDataFrame(rows + more, "doc_id long, text string, lang string")
+        model = langid.fit(df, most_languages=1500)
+        assert len(model.languages) == 3 + len({x for _, _, x in more})
+        found = [x for x in langid.predict(df, model).collect() if x["doc_id"] in ids]
+        means.append(sum(x["score"] for x in found) / len(found))
+        right.append(sum(x["lang_pred"] == rows[x["doc_id"]][2] for x in found))
+        kept = {x["doc_id"] for x in langid.keep_identified(df).collect()}
+        assert ids <= kept
+    assert abs(means[1] - means[0]) < 0.02 and right[0] == right[1] == len(rows) and right[2] > 0.95 * len(rows), (means, right)
+    assert len(langid.fit(spark.createDataFrame(rows + junk, "doc_id long, text string, lang string"), most_languages=3).languages) == 3
+
+
 def test_language_id(spark):
     r = random.Random(1)
     parts = {"aa": ["the", "ing", "tion", "wh"], "bb": ["sch", "keit", "ung", "der"], "cc": ["eau", "oux", "elle", "que"]}
