@@ -59,25 +59,35 @@ def tables_of_filings(filings: DataFrame, specs: DataFrame, **columns: str) -> t
     """EXT-5, EXT-6. The scalar table and one table per group, of one pass over the filings and without a shuffle of them.
 
     A group's table has path, ein, tax_period, instance_num (in document order) and one column per field, "" where missing.
+    The instances of all groups are written once, a folder for each group, and each table reads its own folder.
     """
     chosen, grouped = scalars_of(specs), specs.where("group_name != ''")
     wanted = [r["xpath"] for r in spec_xpaths(chosen).select("xpath").distinct().collect()]  # dictionary-sized, as are the next ones
     possible = possible_children(grouped).collect()
     rows = stored(usable(texts_and_boxes(filings, wanted, {r["container"] for r in possible}, {r["child"] for r in possible}, **columns)), "extracted")
-    containers, children = group_paths(rows, grouped)
-    kids = children.groupBy("group_name", "return_version").agg(F.map_from_entries(F.collect_list(F.struct("field_name", "child"))).alias("kids"))
-    paths = stored(containers.join(kids, ["group_name", "return_version"], "left"), "group-paths").withColumnRenamed("return_version", "version")
     members = grouped.select("group_name", "field_name", "ord").orderBy("ord", "field_name").collect()
     out = {}
-    for group in dict.fromkeys(r["group_name"] for r in members):
-        own = for_versions(paths.where(F.col("group_name") == group))
-        found = rows.join(own, F.col("return_version") == F.col("version"))
-        each = found.select("path", "ein", "tax_period", "kids", F.posexplode(F.filter("boxes", lambda b: b["container"] == F.col("container"))).alias("pos", "box"))
-        names = [r["field_name"] for r in members if r["group_name"] == group]
-        out[group] = each.select("path", "ein", "tax_period", (F.col("pos") + 1).alias("instance_num"), *(F.coalesce(F.col("box.texts")[F.col("kids")[n]], F.lit("")).alias(n) for n in names))
+    if members:
+        held = stored(group_rows(rows, grouped), "group-rows", by="group_name")
+        for group in dict.fromkeys(r["group_name"] for r in members):
+            names = [r["field_name"] for r in members if r["group_name"] == group]
+            out[group] = held.where(F.col("group_name") == group).select("path", "ein", "tax_period", "instance_num", *(F.coalesce(F.col("texts")[n], F.lit("")).alias(n) for n in names))
     return scalars_of_rows(rows, chosen), out
 
 
+def group_rows(rows: DataFrame, grouped: DataFrame) -> DataFrame:
+    """EXT-6. (path, ein, tax_period, instance_num, texts: map field -> text, group_name): every instance of every group, in one pass over stored rows."""
+    containers, children = group_paths(rows, grouped)
+    kids = children.groupBy("group_name", "return_version").agg(F.map_from_entries(F.collect_list(F.struct("field_name", "child"))).alias("kids"))
+    own = F.struct("group_name", "container", "kids")
+    paths = containers.join(kids, ["group_name", "return_version"], "left").groupBy(F.col("return_version").alias("version")).agg(F.collect_list(own).alias("groups"))  # as many as the dictionary has
+    found = rows.join(for_versions(paths), F.col("return_version") == F.col("version"))
+    each = found.select("path", "ein", "tax_period", "groups", F.explode("boxes").alias("box"))
+    each = each.select("path", "ein", "tax_period", "box", F.explode(F.filter("groups", lambda g: g["container"] == F.col("box.container"))).alias("g"))
+    texts = F.map_filter(F.transform_values("g.kids", lambda _, child: F.col("box.texts")[child]), lambda _, text: text.isNotNull())
+    return each.select("path", "ein", "tax_period", F.col("box.number").alias("instance_num"), texts.alias("texts"), F.col("g.group_name").alias("group_name"))
+
+
 def resolved_for(headers: DataFrame, specs: DataFrame) -> DataFrame:
     return resolve_paths(spec_xpaths(specs), headers.select(F.col("return_version").alias("version")))
 

@@ -183,12 +183,21 @@ dx AS (SELECT name, pattern, schedule FROM named QUALIFY row_number() OVER (PART
 cl AS (SELECT name, pattern, schedule, CASE WHEN name IN (SELECT name FROM leaves) THEN 'leaf' WHEN name IN (SELECT name FROM inside) THEN 'group' ELSE 'missing' END AS found FROM dx WHERE schedule <> '')"""
 
 
+# first-fit decreasing file by file: the first bin with room takes it
+PACKED = """WITH RECURSIVE f AS (SELECT row_number() OVER (ORDER BY u DESC, path) AS i, * FROM (SELECT lpad(CAST(doc_id AS VARCHAR), 12, '0') AS path, strlen(coalesce(text, '')) AS size, least(greatest((size + 63) // 64, 1), 1024) AS u FROM documents)),
+r AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS loads, CAST(0 AS BIGINT) AS bin, CAST(0 AS BIGINT) AS size
+  UNION ALL SELECT i, list_concat(list_concat(loads[1:k - 1], [coalesce(loads[k], 0) + u]), loads[k + 1:]), k, size
+  FROM (SELECT f.i, f.u, f.size, r.loads, coalesce(nullif(list_position(list_transform(r.loads, lambda x: x + f.u <= 1024), true), 0), len(r.loads) + 1) AS k FROM r JOIN f ON f.i = r.i + 1))
+SELECT CAST(bin - 1 AS INT) AS bin, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM r WHERE i > 0 GROUP BY bin"""
+
+
 def oracle_sql() -> dict[str, str]:
     scalar_columns = ", ".join(
         f"coalesce(max(CASE WHEN field = {quoted(n)} THEN text END), '') AS \"{n}\"" for n in SCALARS
     )
     scalars = f"WITH {BASE}, {DICT}, {RESOLVE}, f AS (SELECT e.k, r.field, e.text FROM els e JOIN res r ON e.version = r.version AND e.xpath = r.xpath WHERE e.section = 'data' AND e.status = 'ok' AND e.num = 0), w AS (SELECT k, {scalar_columns} FROM base LEFT JOIN f USING (k) WHERE status = 'ok' GROUP BY k) SELECT {PATH} AS path, {HEADER}, {FORM}, w.* EXCLUDE (k) FROM w JOIN base USING (k)"
     groups = f"WITH {BASE} SELECT {PATH} AS path, lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS ein, strftime(o_orderdate, '%Y-%m-%d') AS tax_period, CAST(num AS INT) AS instance_num, qty AS \"ContractorCompensationGrp_CompensationAmt\", city AS \"ContractorCompensationGrp_ContractorAddress_USAddress_CityNm\", flag AS \"ContractorCompensationGrp_ServicesDesc\" FROM base JOIN li USING (k) WHERE status = 'ok'"
+    headers = f"WITH {BASE} SELECT {PATH} AS path, status, {HEADER}, {FORM}, CASE WHEN status IN ('malformed', 'no_header') THEN '' ELSE lpad(CAST(o_custkey AS VARCHAR), 9, '0') END AS legacy_ein, CASE WHEN status IN ('malformed', 'no_header') THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS legacy_period, CASE WHEN status IN ('malformed', 'no_header') THEN '' ELSE c_name END AS legacy_name FROM base"
     w = f"WITH {BASE}, {INDEX}, "
     full = f"{w}{UNKNOWN}, {FUZZY_CORPUS} "
     title = case("schedule", {k: v for k, v in FORM_TITLES.items() if k.startswith("IRS990Schedule")}, "schedule")
@@ -196,7 +205,9 @@ def oracle_sql() -> dict[str, str]:
     top = "CASE WHEN path IS NULL THEN 'Uncategorized' ELSE path[1] END"
     sub = "CASE WHEN path IS NULL OR len(path) = 1 THEN '(General)' ELSE array_to_string(path[2:], ' > ') END"
     return {
-        "src_headers": f"WITH {BASE} SELECT {PATH} AS path, status, {HEADER}, {FORM}, CASE WHEN status IN ('malformed', 'no_header') THEN '' ELSE lpad(CAST(o_custkey AS VARCHAR), 9, '0') END AS legacy_ein, CASE WHEN status IN ('malformed', 'no_header') THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS legacy_period, CASE WHEN status IN ('malformed', 'no_header') THEN '' ELSE c_name END AS legacy_name FROM base",
+        "src_headers": headers,
+        "src_headers_by_schema": headers,
+        "src_packed": PACKED,
         "src_status": f"WITH {BASE} SELECT status, count(*) AS filings FROM base GROUP BY status",
         "src_first_filings": f"WITH {BASE} SELECT {PATH} AS path, status FROM base ORDER BY path LIMIT 500",
         "src_elements": f"WITH {BASE} SELECT xpath, section, true AS in_root_ns, count(*) AS n, count(DISTINCT k) AS filings, CAST(sum(length(text)) AS BIGINT) AS characters, CAST(sum(depth) AS BIGINT) AS depth FROM els GROUP BY xpath, section",

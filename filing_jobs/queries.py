@@ -30,6 +30,17 @@ def src_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred.headers(samples.filings(spark, sf_dir))
 
 
+def src_headers_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shred.headers_by_schema(samples.filings(spark, sf_dir))
+
+
+def src_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files of their texts' bytes, dealt into read partitions of 64 KB."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    files = docs.select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("length"))
+    return io.pack_files(files, 1 << 16).groupBy("bin").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
 def src_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred.status_counts(src_headers(spark, sf_dir))
 
@@ -484,7 +495,7 @@ def val_missing_by_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.missing_by_schedule(classified(spark, sf_dir))
 
 
-NAMES = """src_headers src_status src_first_filings src_elements src_forms_present ext_resolve ext_scalars ext_scalars_pivot ext_groups
+NAMES = """src_headers src_headers_by_schema src_packed src_status src_first_filings src_elements src_forms_present ext_resolve ext_scalars ext_scalars_pivot ext_groups
 ext_group_counts ext_preset_revenue ext_preset_pay dic_exact dic_merge dic_fields dic_index dic_aliases dic_counts fn_names fn_versions fn_values
 fn_similarity aud_filing_counts aud_path_stats aud_frequency aud_unknown aud_missing_versions aud_unused aud_coverage aud_schedule_coverage
 aud_warnings aud_proposals aud_summary snk_unknown fuz_parts brw_schedules brw_per_schedule brw_schedule_stats brw_overall brw_filter

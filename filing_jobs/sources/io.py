@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from filing_jobs.store import stored
+
 
 class Dict(NamedTuple):
     """A dictionary as tables: fields, (canonical_name, version, xpath), (xpath, canonical_name)."""
@@ -40,6 +42,90 @@ def first_filings(filings: DataFrame, limit: int) -> DataFrame:
     return filings.join(F.broadcast(chosen) if limit <= 100_000 else chosen, "path", "left_semi")
 
 
+#: A read partition's load is counted in so many parts of its bound.
+UNITS = 1024
+
+
+def listing(spark: SparkSession, root: str, pattern: str = "*.[xX][mM][lL]") -> DataFrame:
+    """SRC-1. (path, length) of the files that ``read_filings`` reads, without their contents."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", "length")
+
+
+def first_fit(classes: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """First-fit decreasing of files of equal sizes at once: rows (size, first rank, last rank, bin, files of that size in a bin).
+
+    ``classes``: (size in units, files), the greatest size first. The files of a row go to bins from ``bin`` on, so many
+    to each. Bins that are equally full are one entry, so the work follows the number of sizes and not of files.
+    """
+    out, bins, made = [], [], 0  # bins: [first, number, room] in order of their making
+    for size, files in classes:
+        rank, after = 1, []
+        for first, number, room in bins:
+            each = min(room // size, files - rank + 1) if size <= room else 0
+            if not each or rank > files:
+                after.append([first, number, room])
+                continue
+            whole = min(number, (files - rank + 1) // (room // size))
+            if whole:
+                out.append((size, rank, rank + whole * (room // size) - 1, first, room // size))
+                after.append([first, whole, room - (room // size) * size])
+                rank += whole * (room // size)
+            left = min(files - rank + 1, room // size - 1) if whole < number else 0
+            if left:
+                out.append((size, rank, rank + left - 1, first + whole, left))
+                after.append([first + whole, 1, room - left * size])
+                rank += left
+            rest = number - whole - bool(left)
+            if rest:
+                after.append([first + whole + bool(left), rest, room])
+        left = files - rank + 1
+        if left > 0:
+            each = max(1, UNITS // size)
+            for number, held in ((left // each, each), (1, left % each)):
+                if number and held:
+                    out.append((size, rank, rank + number * held - 1, made, held))
+                    after.append([made, number, max(0, UNITS - held * size)])
+                    rank, made = rank + number * held, made + number
+        bins = after
+    return out
+
+
+def pack_files(files: DataFrame, most_bytes: int) -> DataFrame:
+    """SRC-1. (path, length, bin): files dealt into bins of at most ``most_bytes`` by first-fit decreasing; a larger file has its own.
+
+    Loads are counted in UNITS parts of the bound, rounded up; files of one size go in order of path. To the driver come
+    the numbers of files of at most UNITS + 1 sizes and of each range of paths; files are ranked within ranges.
+    """
+    spark = files.sparkSession
+    unit = -(-most_bytes // UNITS)
+    units = F.least(F.greatest(F.ceil(F.col("length") / unit), F.lit(1)), F.lit(UNITS)).cast("int")
+    sized = files.select("path", "length", units.alias("units"))
+    ranges = sized.repartitionByRange(F.desc("units"), "path").sortWithinPartitions(F.desc("units"), "path")
+    held = stored(ranges.select("*", F.spark_partition_id().alias("range"), F.monotonically_increasing_id().alias("at")), "file-ranges")
+    counts = held.groupBy("units", "range").agg(F.count("*").alias("n"), F.min("at").alias("first")).orderBy(F.desc("units"), "range").collect()
+    classes, starts = {}, []
+    for r in counts:
+        before = classes.get(r["units"], 0)
+        starts.append((r["units"], r["range"], before + 1 - r["first"]))
+        classes[r["units"]] = before + r["n"]
+    fitted: dict[int, list[tuple]] = {}
+    for size, *span in first_fit(sorted(classes.items(), reverse=True)):
+        fitted.setdefault(size, []).append(tuple(span))
+    plan = spark.createDataFrame(starts, "units int, range int, shift long")
+    ranked = held.join(plan, ["units", "range"]).withColumn("rank", F.col("at") + F.col("shift"))
+    spans = spark.createDataFrame(list(fitted.items()), "units int, spans array<struct<first:long,last:long,bin:long,each:long>>")
+    span = F.filter("spans", lambda x: (x["first"] <= F.col("rank")) & (F.col("rank") <= x["last"]))[0]
+    found = ranked.join(spans, "units").withColumn("s", span)
+    return found.select("path", "length", (F.col("s.bin") + F.floor((F.col("rank") - F.col("s.first")) / F.col("s.each"))).cast("int").alias("bin"))
+
+
+def read_packed(spark: SparkSession, root: str, most_bytes: int = 128 << 20, pattern: str = "*.[xX][mM][lL]") -> DataFrame:
+    """SRC-1. ``read_filings`` with one partition for each bin of ``pack_files``, so that tasks parse alike many bytes however sizes are spread."""
+    packed = pack_files(listing(spark, root, pattern), most_bytes).select("path", "bin")
+    n = (packed.agg(F.max("bin")).first()[0] or 0) + 1
+    return read_filings(spark, root, pattern=pattern).join(packed, "path").repartitionById(n, F.col("bin")).select("path", "content")
+
+
 def read_lookup(spark: SparkSession, path: str) -> Dict:
     """SRC-8. A dictionary's JSON document as tables; the schema is given, so no field becomes a column."""
     whole = spark.read.text(path, wholetext=True).select(F.from_json("value", LOOKUP).alias("d"))

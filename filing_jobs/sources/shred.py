@@ -1,14 +1,17 @@
-"""Shredding: XML filings to header rows and element rows, the one place where XML is parsed.
+"""Shredding: XML filings to header rows and element rows, the one place where filings are parsed.
 
-The helper walks each document once, as events, and gives every element its path, its place in
-document order and its enclosing elements. Everything after that is DataFrame operations.
+The helper reads each document as events, piece by piece, and gives every element its path, its place in
+document order and its enclosing elements. It holds the open elements and the header, never the document's
+tree: a first reading checks that the document is well-formed and finds its header, a second one gives the
+elements. Everything after that is DataFrame operations.
 """
 
 from __future__ import annotations
 
-import io
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,28 +26,250 @@ BATCH = 20_000
 WRAPPERS = ("Return", "ReturnData", "ReturnHeader")
 
 
-def local(tag: str) -> tuple[str, str]:
-    """(namespace, name) of a tag."""
-    if tag[:1] == "{":
-        space, _, name = tag[1:].partition("}")
-        return space, name
-    return "", tag
+#: A filing of more bytes comes to the helper in pieces of so many, twice; and bytes parsed at a time.
+PIECE, STEP = 1 << 20, 1 << 16
 
 
-def parse(content: bytes | str) -> ElementTree.Element | None:
-    """The document's root; None if it is malformed or declares entities (expansion bombs)."""
-    if content is None:
-        return None
-    data = content.encode() if isinstance(content, str) else bytes(content)
-    if isinstance(content, str) and data.lstrip()[:5] == b"<?xml":
-        data = data[data.index(b"?>") + 2 :] if b"?>" in data else data  # text is decoded already
-    if b"<!ENTITY" in data:
-        return None
+class Malformed(ValueError):
+    """Not well-formed, or with entities of its own (expansion bombs)."""
+
+
+def refuse(*_: object) -> None:
+    raise Malformed
+
+
+def split_name(name: str) -> tuple[str, str]:
+    """(namespace, name) as the parser joins them."""
+    space, mark, own = name.partition("}")
+    return (space, own) if mark else ("", name)
+
+
+def run_parser(parser: expat.XMLParserType, pieces: Iterable[bytes]) -> Iterator[None]:
+    """Feed all pieces, a step at a time; raises Malformed."""
     try:
-        keep = ElementTree.TreeBuilder(insert_comments=True, insert_pis=True)  # text ends at a comment
-        return ElementTree.parse(io.BytesIO(data), ElementTree.XMLParser(target=keep)).getroot()
-    except (ElementTree.ParseError, ValueError, LookupError):
-        return None
+        for piece in pieces:
+            view = memoryview(piece)
+            for at in range(0, len(view), STEP):
+                parser.Parse(view[at : at + STEP], False)
+                yield
+        parser.Parse(b"", True)
+        yield
+    except (expat.ExpatError, ValueError, LookupError) as e:
+        raise Malformed from e
+
+
+def new_parser(decoded: bool) -> expat.XMLParserType:
+    """``decoded``: the bytes are UTF-8, whatever the document declares."""
+    parser = expat.ParserCreate("utf-8" if decoded else None, "}")
+    parser.EntityDeclHandler = parser.SkippedEntityHandler = refuse
+    parser.buffer_text = True
+    return parser
+
+
+class Outline:
+    """The first reading: the header's small tree, the root's attributes, and whether there is a data element.
+
+    Handlers are taken off as soon as both header and data are found; the rest is only checked.
+    """
+
+    def __init__(self, pieces: Iterable[bytes], decoded: bool):
+        self.space, self.version, self.header, self.has_data = "", "", None, False
+        self.depth, self.builder = 0, None
+        self.parser = new_parser(decoded)
+        self.parser.StartElementHandler, self.parser.EndElementHandler = self.start, self.end
+        for _ in run_parser(self.parser, pieces):
+            pass
+
+    def start(self, name: str, attributes: dict[str, str]) -> None:
+        self.depth += 1
+        space, own = split_name(name)
+        if self.depth == 1:
+            self.space, self.version = space, attributes.get("returnVersion", "")
+        elif self.depth == 2 and space == self.space:
+            if own == "ReturnData" and not self.has_data:
+                self.has_data = True
+                self.rest()
+            elif own == "ReturnHeader" and self.header is None:
+                self.builder = ElementTree.TreeBuilder()
+                self.parser.CharacterDataHandler = self.builder.data
+                # text ends at a comment, which is an element without a name here
+                self.parser.CommentHandler = self.parser.ProcessingInstructionHandler = self.mark
+        if self.builder is not None:
+            self.builder.start("{" + name if "}" in name else name, {})
+
+    def mark(self, *_: str) -> None:
+        self.builder.start("!", {})
+        self.builder.end("!")
+
+    def end(self, name: str) -> None:
+        self.depth -= 1
+        if self.builder is not None:
+            self.builder.end("{" + name if "}" in name else name)
+            if self.depth == 1:
+                self.header, self.builder = self.builder.close(), None
+                self.parser.CharacterDataHandler = self.parser.CommentHandler = self.parser.ProcessingInstructionHandler = None
+                self.rest()
+
+    def rest(self) -> None:
+        if self.has_data and self.header is not None:
+            self.parser.StartElementHandler = self.parser.EndElementHandler = None
+
+
+class Filing:
+    """A document whose pieces can be read twice; None instead of pieces: no document."""
+
+    def __init__(self, pieces: Callable[[], Iterable[bytes]] | None, decoded: bool):
+        self.pieces, self.decoded, self.outline = pieces, decoded, None
+        if pieces is not None:
+            try:
+                self.outline = Outline(pieces(), decoded)
+            except Malformed:
+                pass
+
+    def __bool__(self) -> bool:
+        return self.outline is not None
+
+    def elements(self, wanted: frozenset[str] | None) -> Iterator[tuple]:
+        """(section, xpath, doc_ord, text, anc, in_root_ns) of the elements below the data, else below the root.
+
+        Numbers count all elements of the walk, whatever is wanted. An element is given when its text is known: at
+        the first thing in it, or at its end, and so in document order.
+        """
+        walk = Walk(self, wanted)
+        for _ in run_parser(walk.parser, self.pieces()):
+            if walk.rows:
+                yield from walk.rows
+                walk.rows.clear()
+
+
+class Walk:
+    """The second reading's handlers: a stack of open elements, and the rows found since they were last taken."""
+
+    def __init__(self, filing: Filing, wanted: frozenset[str] | None):
+        self.rows: list[tuple] = []
+        rows, outline = self.rows, filing.outline
+        space, section = outline.space, "data" if outline.has_data else "root_fallback"
+        top = 2 if outline.has_data else 1  # depth of the element whose content is walked
+        names: dict[str, tuple[str, str]] = {}
+        stack: list[tuple[str, tuple, bool]] = []
+        texts: list[str] = []
+        depth = number = 0
+        inside_data = done = False
+        last: tuple | None = None  # the element whose text goes on
+        parser = self.parser = new_parser(filing.decoded)
+
+        def close() -> None:
+            nonlocal last
+            xpath, at, anc, inside = last
+            rows.append((section, xpath, at, "".join(texts).strip() if texts else "", anc, inside))
+            texts.clear()
+            last = None
+
+        def start(name: str, _: dict) -> None:
+            nonlocal depth, number, inside_data, last, done
+            depth += 1
+            if last is not None:
+                close()
+            if not inside_data:
+                if depth == top and not done and (top == 1 or split_name(name) == (space, "ReturnData")):
+                    inside_data = done = True
+                    stack.append(("", (), True))
+                return
+            known = names.get(name)
+            if known is None:
+                known = names[name] = split_name(name)
+            own_space, own = known
+            above, anc, inside = stack[-1]
+            inside = inside and own_space == space
+            if own in WRAPPERS:  # the path begins anew below a wrapper
+                stack.append(("", (), inside))
+            else:
+                xpath = f"{above}/{own}"
+                stack.append((xpath, (*anc, (xpath, number)), inside))
+                if wanted is None or xpath in wanted:
+                    last = (xpath, number, anc, inside)
+            number += 1
+
+        def end(_: str) -> None:
+            nonlocal depth, inside_data
+            if last is not None:
+                close()
+            if inside_data:
+                stack.pop()
+                if depth == top:
+                    inside_data = False
+            depth -= 1
+
+        def text(value: str) -> None:
+            if last is not None:
+                texts.append(value)
+
+        def other(*_: str) -> None:
+            if last is not None:
+                close()
+
+        parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
+        parser.CommentHandler = parser.ProcessingInstructionHandler = other
+
+
+def pieces_of(filings: DataFrame, path_col: str, content_col: str, readings: int = 2) -> DataFrame:
+    """(path, readings, count, decoded, piece): a small filing is one row, a larger one its pieces in order, ``readings`` times.
+
+    A filing's rows follow each other in one partition; nothing is shuffled.
+    """
+    decoded = filings.schema[content_col].dataType.simpleString() == "string"
+    rows = filings.select(F.col(path_col).cast("string").alias("path"), F.col(content_col).cast("binary").alias("content"))
+    rows = rows.withColumn("count", F.greatest(F.ceil(F.octet_length("content") / PIECE).cast("int"), F.lit(1)))
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.when(F.col("count") > 1, readings * F.col("count") - 1).otherwise(0))))
+    piece = F.when(F.col("count") > 1, F.substring("content", (F.pmod("k", "count") * PIECE + 1).cast("int"), F.lit(PIECE))).otherwise(F.col("content"))
+    return rows.select("path", F.lit(readings).alias("readings"), "count", F.lit(decoded).alias("decoded"), piece.alias("piece"))
+
+
+def read_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, int, int, bool, bytes | None]]:
+    for batch in batches:
+        heads = [batch[c].to_pylist() for c in ("path", "readings", "count", "decoded")]
+        for *head, value in zip(*heads, batch["piece"], strict=True):
+            yield *head, value.as_buffer() if value.is_valid else None
+
+
+class Pieces:
+    """The two readings of a large filing, whose first row is taken and whose others are still to come."""
+
+    def __init__(self, rows: Iterator[tuple], first: bytes, half: int, decoded: bool):
+        self.rows, self.first, self.half, self.decoded, self.taken = rows, first, half, decoded, 0
+
+    def upto(self, end: int) -> Iterator[bytes]:
+        while self.taken < end:
+            piece = next(self.rows)[-1] if self.taken else self.first
+            begins, self.taken = self.taken % self.half == 0, self.taken + 1
+            yield stripped(piece) if begins and self.decoded else piece
+
+    def reading(self) -> Iterator[bytes]:
+        return self.upto(self.half if self.taken < self.half else 2 * self.half)
+
+    def skip(self, end: int) -> None:
+        for _ in self.upto(end):
+            pass
+
+
+def filings_in(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, Filing]]:
+    """(path, filing) out of rows of pieces. A filing's elements must be taken before the next filing is."""
+    rows = read_pieces(batches)
+    for path, readings, count, decoded, piece in rows:
+        if count == 1:
+            whole = piece if piece is None or not decoded else stripped(piece)
+            yield path, Filing(None if whole is None else lambda whole=whole: (whole,), decoded)
+            continue
+        held = Pieces(rows, piece, count, decoded)
+        filing = Filing(held.reading, decoded)
+        held.skip(count)  # what a malformed one left
+        yield path, filing
+        held.skip(readings * count)
+
+
+def stripped(piece: bytes) -> bytes:
+    """Decoded text may begin with white space even before its declaration."""
+    return bytes(piece).lstrip()
 
 
 def own_text(element: ElementTree.Element | None) -> str:
@@ -52,15 +277,15 @@ def own_text(element: ElementTree.Element | None) -> str:
     return (element.text or "").strip() if element is not None else ""
 
 
-def header_of(root: ElementTree.Element | None) -> dict[str, str]:
+def header_of(filing: Filing) -> dict[str, str]:
     """Header values by both rules: the extraction's and, with older names, the audit's."""
     out = dict.fromkeys(("return_version", "ein", "tax_period", "org_name", "form_type", "legacy_ein", "legacy_period", "legacy_name"), "")
-    if root is None:
+    if not filing:
         return out | {"status": "malformed"}
-    space = "{%s}" % local(root.tag)[0] if local(root.tag)[0] else ""
-    out["return_version"] = root.get("returnVersion", "")
-    header, data = root.find(f"{space}ReturnHeader"), root.find(f"{space}ReturnData")
-    out["status"] = "no_header" if header is None else "no_data" if data is None else "ok"
+    outline = filing.outline
+    space, header = "{%s}" % outline.space if outline.space else "", outline.header
+    out["return_version"] = outline.version
+    out["status"] = "no_header" if header is None else "ok" if outline.has_data else "no_data"
     if header is None:
         return out
     out["ein"] = own_text(header.find(f".//{space}Filer/{space}EIN"))
@@ -83,34 +308,6 @@ def header_of(root: ElementTree.Element | None) -> dict[str, str]:
     return out
 
 
-def elements_of(root: ElementTree.Element, wanted: frozenset[str] | None) -> Iterator[tuple]:
-    """(section, xpath, doc_ord, text, anc, in_root_ns) of the elements below the data, else below the root.
-
-    A walk with an own stack; numbers count all elements of the walk, whatever is wanted.
-    """
-    space = local(root.tag)[0]
-    prefix = "{%s}" % space if space else ""
-    start = root.find(f"{prefix}ReturnData")
-    section = "data" if start is not None else "root_fallback"
-    start = root if start is None else start
-    number = 0
-    stack: list[tuple[ElementTree.Element, str, tuple, bool]] = [(c, "", (), True) for c in reversed(start)]
-    while stack:
-        element, above, anc, inside = stack.pop()
-        if not isinstance(element.tag, str):  # comments and processing instructions
-            continue
-        own_space, name = local(element.tag)
-        inside = inside and own_space == space
-        if name in WRAPPERS:  # the path begins anew below a wrapper
-            xpath, below = "", ()
-        else:
-            xpath, below = f"{above}/{name}", (*anc, (f"{above}/{name}", number))
-            if wanted is None or xpath in wanted:
-                yield section, xpath, number, own_text(element), anc, inside
-        number += 1
-        stack.extend((c, xpath, below, inside) for c in reversed(element))
-
-
 def headers(filings: DataFrame, *, path_col: str = "path", content_col: str = "content") -> DataFrame:
     """SRC-3, SRC-4, SRC-7. One row per filing: status, version and header values.
 
@@ -120,12 +317,36 @@ def headers(filings: DataFrame, *, path_col: str = "path", content_col: str = "c
     names = [x.split()[0] for x in f"{HEADERS}, {LEGACY}".split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [header_of(parse(batch["content"][k].as_py())) for k in range(batch.num_rows)]
-            columns = [batch["path"], *(pa.array([r[n] for r in rows], pa.string()) for n in names[1:])]
-            yield pa.RecordBatch.from_arrays(columns, names)
+        found = ({"path": path} | header_of(filing) for path, filing in filings_in(batches))
+        while rows := list(islice(found, BATCH)):
+            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], pa.string()) for n in names], names)
+
+    return pieces_of(filings, path_col, content_col, readings=1).mapInArrow(run, f"{HEADERS}, {LEGACY}")
+
 
-    return filings.select(F.col(path_col).cast("string").alias("path"), F.col(content_col).alias("content")).mapInArrow(run, f"{HEADERS}, {LEGACY}")
+#: The header as Spark's own XML reader sees it: text alone, so that leading zeros stay.
+HEADER_SCHEMA = """_returnVersion string, ReturnData struct<_none:string>, ReturnHeader struct<TaxPeriodEndDt:string,TaxPeriodEndDate:string,TaxYr:string,TaxYear:string,ReturnTypeCd:string,
+  Filer:struct<EIN:string,BusinessName:struct<BusinessNameLine1Txt:string,BusinessNameLine1:string>,Name:struct<BusinessNameLine1Txt:string,BusinessNameLine1:string>>>, bad string"""  # the reader wants the last place for what is malformed
+
+
+def headers_by_schema(filings: DataFrame, *, path_col: str = "path", content_col: str = "content") -> DataFrame:
+    """SRC-3, SRC-4. The rows of ``headers`` without a Python worker: Spark's XML reader with a given schema.
+
+    For documents in UTF-8 whose root is ``Return`` and whose filer stands directly in the header. It also takes names
+    of other namespaces, and does not see what follows the root; ``headers`` is exact in these. Malformed documents,
+    null ones and those with entities of their own are told apart.
+    """
+    text = F.col(content_col).cast("string")
+    options = {"rowTag": "Return", "columnNameOfCorruptRecord": "bad", "ignoreNamespace": "true", "ignoreSurroundingSpaces": "true"}
+    # a document without the root is no row of the reader, so all of it is null
+    rows = filings.select(F.col(path_col).cast("string").alias("path"), F.from_xml(text, HEADER_SCHEMA, options).alias("x"), text.contains("<!ENTITY").alias("declares"), text.contains("<").alias("marked"))
+    head, filer = F.col("x.ReturnHeader"), F.col("x.ReturnHeader.Filer")
+    broken = F.col("x").isNull() | F.col("x.bad").isNotNull() | F.coalesce("declares", F.lit(True)) | ~F.coalesce("marked", F.lit(False))
+    status = F.when(broken, "malformed").when(head.isNull(), "no_header").when(F.col("x.ReturnData").isNull(), "no_data").otherwise("ok")
+    older = F.when(filer["BusinessName"].isNotNull(), F.coalesce(filer["BusinessName"]["BusinessNameLine1Txt"], filer["BusinessName"]["BusinessNameLine1"])).otherwise(F.coalesce(filer["Name"]["BusinessNameLine1Txt"], filer["Name"]["BusinessNameLine1"]))
+    period = F.coalesce(*(F.nullif(head[c], F.lit("")) for c in ("TaxPeriodEndDt", "TaxPeriodEndDate", "TaxYr", "TaxYear")))
+    values = {"return_version": F.col("x._returnVersion"), "ein": filer["EIN"], "tax_period": head["TaxPeriodEndDt"], "org_name": filer["BusinessName"]["BusinessNameLine1Txt"], "form_type": head["ReturnTypeCd"], "legacy_ein": filer["EIN"], "legacy_period": period, "legacy_name": older}
+    return rows.select("path", status.alias("status"), *(F.when(broken, "").otherwise(F.coalesce(v, F.lit(""))).alias(n) for n, v in values.items()))
 
 
 def shred_filings(filings: DataFrame, wanted: Iterable[str] | None = None, *, path_col: str = "path", content_col: str = "content") -> DataFrame:
@@ -152,21 +373,19 @@ def shred_filings(filings: DataFrame, wanted: Iterable[str] | None = None, *, pa
             arrays = [pa.array(c, f.type) for c, f in zip(columns[:7], schema, strict=False)]
             return pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs), pa.array(columns[8], pa.bool_())], [f.name for f in schema])
 
-        for batch in batches:
-            for k in range(batch.num_rows):
-                root = parse(batch["content"][k].as_py())
-                if root is None:
-                    continue
-                own, path = header_of(root), batch["path"][k].as_py()
-                for element in elements_of(root, only):
-                    rows.append((path, own["return_version"], own["status"], *element))
-                    if len(rows) >= BATCH:
-                        yield out()
-                        rows = []
+        for path, filing in filings_in(batches):
+            if not filing:
+                continue
+            own = header_of(filing)
+            for element in filing.elements(only):
+                rows.append((path, own["return_version"], own["status"], *element))
+                if len(rows) >= BATCH:
+                    yield out()
+                    rows = []
         if rows:
             yield out()
 
-    return filings.select(F.col(path_col).cast("string").alias("path"), F.col(content_col).alias("content")).mapInArrow(run, ELEMENTS)
+    return pieces_of(filings, path_col, content_col).mapInArrow(run, ELEMENTS)
 
 
 def status_counts(heads: DataFrame) -> DataFrame:
@@ -183,12 +402,12 @@ def forms_present(elements: DataFrame) -> DataFrame:
 
 
 TEXTS = ("texts", "map<string,string>", pa.map_(pa.string(), pa.string()))
-BOXES = ("boxes", "array<struct<container:string,texts:map<string,string>>>", pa.list_(pa.struct([("container", pa.string()), TEXTS[::2]])))
+BOXES = ("boxes", "array<struct<container:string,number:int,texts:map<string,string>>>", pa.list_(pa.struct([("container", pa.string()), ("number", pa.int32()), TEXTS[::2]])))
 PATHS = ("paths", "array<struct<xpath:string,n:long,sample:string>>", pa.list_(pa.struct([("xpath", pa.string()), ("n", pa.int64()), ("sample", pa.string())])))
 
 
-def per_filing(filings: DataFrame, columns: tuple, extra: Callable[[ElementTree.Element | None], tuple[list, ...]], path_col: str, content_col: str) -> DataFrame:
-    """Header rows with further list columns, which ``extra`` makes of a parsed document (None: malformed).
+def per_filing(filings: DataFrame, columns: tuple, extra: Callable[[Filing], tuple[list, ...]], path_col: str, content_col: str) -> DataFrame:
+    """Header rows with further list columns, which ``extra`` makes of a filing (false: malformed).
 
     One row per filing and no shuffle: a filing lies whole in one row.
     """
@@ -196,42 +415,40 @@ def per_filing(filings: DataFrame, columns: tuple, extra: Callable[[ElementTree.
     names, added = [x.split()[0] for x in heads.split(", ")], [name for name, _, _ in columns]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[dict] = []
-            size = 0
-
-            def out() -> pa.RecordBatch:
-                arrays = [pa.array([r[n] for r in rows], pa.string()) for n in names]  # noqa: B023
-                return pa.RecordBatch.from_arrays([*arrays, *(pa.array([r[n] for r in rows], kind) for n, _, kind in columns)], [*names, *added])  # noqa: B023
-
-            for k in range(batch.num_rows):
-                root = parse(batch["content"][k].as_py())
-                found = extra(root)
-                rows.append(header_of(root) | {"path": batch["path"][k].as_py()} | dict(zip(added, found, strict=True)))
-                size += 1 + sum(map(len, found))
-                if size >= BATCH:
-                    yield out()
-                    rows, size = [], 0
-            if rows:
+        rows: list[dict] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            arrays = [pa.array([r[n] for r in rows], pa.string()) for n in names]
+            return pa.RecordBatch.from_arrays([*arrays, *(pa.array([r[n] for r in rows], kind) for n, _, kind in columns)], [*names, *added])
+
+        for path, filing in filings_in(batches):
+            found = extra(filing)
+            rows.append(header_of(filing) | {"path": path} | dict(zip(added, found, strict=True)))
+            size += 1 + sum(map(len, found))
+            if size >= BATCH:
                 yield out()
+                rows, size = [], 0
+        if rows:
+            yield out()
 
     schema = ", ".join([heads, *(f"{name} {ddl}" for name, ddl, _ in columns)])
-    return filings.select(F.col(path_col).cast("string").alias("path"), F.col(content_col).alias("content")).mapInArrow(run, schema)
+    return pieces_of(filings, path_col, content_col).mapInArrow(run, schema)
 
 
 def texts_and_boxes(filings: DataFrame, wanted: Iterable[str], containers: Iterable[str] = (), members: Iterable[str] = (), *, path_col: str = "path", content_col: str = "content") -> DataFrame:
     """Header rows with ``texts``: map of each wanted path to the text of its first element in the root's namespace,
-    and ``boxes``: every element of ``containers`` in document order, with the first text of each of ``members`` inside it.
+    and ``boxes``: every element of ``containers`` in document order, numbered by path, with the first text of each of ``members`` inside it.
 
     Paths that do not occur are not in the maps.
     """
     shared = filings.sparkSession.sparkContext.broadcast(tuple(map(frozenset, (wanted, containers, members))))
 
-    def extra(root: ElementTree.Element | None) -> tuple[list, list]:
+    def extra(filing: Filing) -> tuple[list, list]:
         only, holders, inner = shared.value
         texts: dict[str, str] = {}
         boxes: dict[int, tuple[str, dict[str, str]]] = {}
-        for section, xpath, number, text, anc, inside in elements_of(root, only | holders | inner) if root is not None else ():
+        for section, xpath, number, text, anc, inside in filing.elements(only | holders | inner) if filing else ():
             if not inside or section != "data":
                 continue
             if xpath in only:
@@ -242,7 +459,12 @@ def texts_and_boxes(filings: DataFrame, wanted: Iterable[str], containers: Itera
                         boxes[at][1].setdefault(xpath, text)
             if xpath in holders:
                 boxes[number] = xpath, {}
-        return list(texts.items()), [{"container": xpath, "texts": list(own.items())} for xpath, own in boxes.values()]
+        numbers: dict[str, int] = {}
+        out = []
+        for xpath, own in boxes.values():
+            numbers[xpath] = number = numbers.get(xpath, 0) + 1
+            out.append({"container": xpath, "number": number, "texts": list(own.items())})
+        return list(texts.items()), out
 
     return per_filing(filings, (TEXTS, BOXES), extra, path_col, content_col)
 
@@ -255,9 +477,9 @@ def first_texts(filings: DataFrame, wanted: Iterable[str], *, path_col: str = "p
 def path_counts(filings: DataFrame, sample: int, *, path_col: str = "path", content_col: str = "content") -> DataFrame:
     """Header rows with ``paths``: each path of the filing, how often it occurs and its first text that is not empty, cut to ``sample`` characters."""
 
-    def extra(root: ElementTree.Element | None) -> tuple[list]:
+    def extra(filing: Filing) -> tuple[list]:
         held: dict[str, list] = {}
-        for _, xpath, _, text, _, _ in elements_of(root, None) if root is not None else ():
+        for _, xpath, _, text, _, _ in filing.elements(None) if filing else ():
             own = held.setdefault(xpath, [0, ""])
             own[0] += 1
             own[1] = own[1] or text[:sample]

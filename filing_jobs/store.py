@@ -25,11 +25,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage and survives lost executors.
 
-    The folder goes when the session's JVM ends.
+    With ``by``, its last column, one folder for each value of it. The folder goes when the session's JVM ends.
     """
     spark, path = df.sparkSession, new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    written = df.write.option("compression", "zstd")
+    (written.partitionBy(by) if by else written).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
