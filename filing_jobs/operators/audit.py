@@ -63,11 +63,6 @@ def field_frequency(paths: DataFrame, d: Dict, n_filings: DataFrame) -> DataFram
     return every.select("canonical_name", F.coalesce("present_count", F.lit(0)).alias("present_count"), share(F.col("present_count")).alias("present_pct"), F.coalesce("nontrivial_count", F.lit(0)).alias("nontrivial_count"), share(F.col("nontrivial_count")).alias("nontrivial_pct"))
 
 
-def split_known(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """AUD-5. The paths in the dictionary, and the others."""
-    return stats.where("known"), stats.where("not known")
-
-
 def drop_form_roots(unknown: DataFrame) -> DataFrame:
     """AUD-6. Without paths that are a form alone."""
     one = F.size(segments(F.col("xpath"))) == 1
@@ -82,6 +77,11 @@ def drop_containers(unknown: DataFrame, d: Dict) -> DataFrame:
     return unknown.join(F.broadcast(prefixes), (F.col("xpath") == F.col("above")) & (F.col("sample") == ""), "left_anti")
 
 
+def filing_versions(headers: DataFrame) -> DataFrame:
+    """AUD-8. (version, filings): the versions that filings have; "" where there is none."""
+    return headers.groupBy(F.col("return_version").alias("version")).agg(F.count("*").alias("filings"))
+
+
 def missing_versions(headers: DataFrame, d: Dict) -> DataFrame:
     """AUD-8. The versions of filings that the dictionary lacks."""
     return headers.where("return_version != ''").select(F.col("return_version").alias("version")).distinct().join(F.broadcast(versions_of(d)), "version", "left_anti")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filing_jobs.functions.scalars import joined, older_name, segments
+from filing_jobs.functions.tables import OLDER_NAMES
 from filing_jobs.operators.resolve import resolve_paths
 from filing_jobs.operators.specs import scalars_of, spec_xpaths
 from filing_jobs.sources.shred import first_texts, texts_and_boxes
@@ -179,25 +180,53 @@ def group_counts(values: DataFrame) -> DataFrame:
     return values.groupBy("group_name").agg(F.count_distinct("path", "instance_num").alias("instances"))
 
 
-#: EXT-9. Ready-made questions: column -> the paths that may hold it, the first with a text wins.
+#: EXT-9. Ready-made questions: column -> the paths that may hold it, the first with a text wins. Paths also count with
+#: their leaf's older name, and those of the forms before 2013 stand after the newer ones.
 PRESETS = {
     "organisations": {"total_revenue": ["/IRS990/CYTotalRevenueAmt", "/IRS990/TotalRevenueAmt", "/IRS990EZ/TotalRevenueAmt", "/IRS990PF/TotalRevenueAmt"]},
-    "revenue_and_expenses": {"revenue": ["/IRS990/CYTotalRevenueAmt", "/IRS990/TotalRevenueAmt", "/IRS990EZ/TotalRevenueAmt"], "expenses": ["/IRS990/CYTotalExpensesAmt", "/IRS990/TotalExpensesAmt", "/IRS990EZ/TotalExpensesAmt"]},
+    "revenue_and_expenses": {"revenue": ["/IRS990/CYTotalRevenueAmt", "/IRS990/TotalRevenueAmt", "/IRS990EZ/TotalRevenueAmt", "/IRS990/TotalRevenueCurrentYear", "/IRS990EZ/TotalRevenue"], "expenses": ["/IRS990/CYTotalExpensesAmt", "/IRS990/TotalExpensesAmt", "/IRS990EZ/TotalExpensesAmt", "/IRS990/TotalExpensesCurrentYear", "/IRS990EZ/TotalExpenses"]},
     "officer_pay": {"officer_pay": ["/IRS990ScheduleJ/BsCmpnstnFlngOrgAmt", "/IRS990ScheduleJ/BaseCompensationFilingOrgAmt"]},
-    "public_support": {"public_support": ["/IRS990ScheduleA/PublicSupportTotal170Amt", "/IRS990ScheduleA/PublicSupportTotal509Amt"]},
-    "net_assets": {"net_assets": ["/IRS990/NetAssetsOrFundBalancesEOYAmt", "/IRS990EZ/NetAssetsOrFundBalancesGrp/EOYAmt"]},
+    "public_support": {"public_support": ["/IRS990ScheduleA/PublicSupportTotal170Amt", "/IRS990ScheduleA/PublicSupportTotal509Amt", "/IRS990ScheduleA/PublicSupportTotal170"]},
+    "net_assets": {"net_assets": ["/IRS990/NetAssetsOrFundBalancesEOYAmt", "/IRS990EZ/NetAssetsOrFundBalancesGrp/EOYAmt", "/IRS990/NetAssetsOrFundBalancesEOY"]},
 }
+#: EXT-9. Officers: the groups that list them, and in each the names of a person, a title and the pay.
+OFFICERS = {
+    "/IRS990/Form990PartVIISectionAGrp": ("PersonNm", "TitleTxt", "ReportableCompFromOrgAmt"),
+    "/IRS990/Form990PartVIISectionA": ("NamePerson", "Title", "ReportableCompFromOrganization"),
+    "/IRS990EZ/OfficerDirectorTrusteeEmplGrp": ("PersonNm", "TitleTxt", "CompensationAmt"),
+    "/IRS990PF/OfficerDirTrstKeyEmplInfoGrp/OfficerDirTrstKeyEmplGrp": ("PersonNm", "TitleTxt", "CompensationAmt"),
+}
+
+
+def with_older_names(xpaths: DataFrame) -> DataFrame:
+    """EXT-9. (.., xpath) rows and those with the leaf's older name."""
+    older = older_name(F.substring_index("xpath", "/", -1))
+    aliases = xpaths.where(older.isNotNull()).withColumn("xpath", F.concat(F.regexp_replace("xpath", "[^/]*$", ""), older))
+    return xpaths.unionByName(aliases).distinct()
+
+
+def older_path(xpath: str) -> list[str]:
+    """The path with its leaf's older name, if it has one."""
+    above, _, leaf = xpath.rpartition("/")
+    return [f"{above}/{OLDER_NAMES[leaf]}"] if leaf in OLDER_NAMES else []
 
 
 def preset(filings: DataFrame, name: str, **columns: str) -> DataFrame:
     """EXT-9. Headers and the columns of a ready-made question, for every usable filing; "" where nothing is found."""
-    asked = PRESETS[name]
+    asked = {c: [q for p in paths for q in (p, *older_path(p))] for c, paths in PRESETS[name].items()}
     rows = usable(first_texts(filings, {p for paths in asked.values() for p in paths}, **columns))
     return rows.select("path", *HEADER, *(F.coalesce(*(F.nullif(F.col("texts")[p], F.lit("")) for p in paths), F.lit("")).alias(c) for c, paths in asked.items()))
 
 
-def with_older_names(xpaths: DataFrame) -> DataFrame:
-    """EXT-9. (.., xpath) rows and those with the leaf's older name."""
-    older = older_name(F.substring_index("xpath", "/", -1))
-    aliases = xpaths.where(older.isNotNull()).withColumn("xpath", F.concat(F.regexp_replace("xpath", "[^/]*$", ""), older))
-    return xpaths.unionByName(aliases).distinct()
+def officers(filings: DataFrame, **columns: str) -> DataFrame:
+    """EXT-9. (path, ein, tax_period, number, person, title, pay): everyone that a filing lists, by name and with pay.
+
+    In order of the document, numbered in each group; a business that is listed has its name's first line; "" where nothing is found.
+    """
+    business = ["BusinessName/BusinessNameLine1Txt", "BusinessName/BusinessNameLine1"]
+    paths = {box: {"person": [person, *business], "title": [title], "pay": [pay]} for box, (person, title, pay) in OFFICERS.items()}
+    members = {f"{box}/{m}" for box, fields in paths.items() for names in fields.values() for m in names}
+    rows = usable(texts_and_boxes(filings, (), set(OFFICERS), members, **columns))
+    each = rows.select("path", "ein", "tax_period", F.explode("boxes").alias("b"))
+    value = lambda c: F.coalesce(*(F.nullif(F.col("b.texts")[f"{box}/{m}"], F.lit("")) for box, fields in paths.items() for m in fields[c]), F.lit("")).alias(c)
+    return each.select("path", "ein", "tax_period", F.col("b.container").alias("listed_in"), F.col("b.number").alias("number"), value("person"), value("title"), value("pay"))

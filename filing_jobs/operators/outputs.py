@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filing_jobs.functions.scalars import confidence, form_title
@@ -85,6 +87,53 @@ def renames(matches: DataFrame, n: int = 30) -> DataFrame:
     return matches.withColumn("confidence", confidence(F.col("score"))).orderBy(F.desc("score"), "xpath").limit(n)
 
 
+#: The report's parts in their order, with their headings.
+PARTS = {"summary": "Summary", "warnings": "Warnings", "versions": "Schema versions", "schedules": "Schedules", "matches": "Probable renames", "gaps": "Gaps in covered versions", "uncovered": "Unknown paths of missing versions", "unused": "Fields that no filing has"}
+COUNTS = ["filings_audited", "unique_xpaths_seen", "matched_xpaths", "unknown_xpaths", "unknowns_version_covered", "unknowns_version_missing", "fuzzy_matched", "unused_fields", "missing_versions"]
+
+
+def audit_report(found: NamedTuple, d: Dict, n: int = 30) -> DataFrame:
+    """SNK-7. (part, ord, subject, detail): the audit as one document, at most ``n`` lines of each part and how many more there are.
+
+    ``found`` is what ``workloads.audit_corpus`` gives; all that it counts is there whole, as tables.
+    """
+    matched = found.matches.select("xpath", F.substring_index("match", "/", -1).alias("leaf"))
+    unknown = found.unknown.join(matched, "xpath", "left").withColumn("leaf", F.coalesce("leaf", F.lit("-")))
+    known = d.field_xpaths.select("version").distinct().withColumn("d", F.lit(True))
+    seen = found.versions.where("version != ''").select("version", F.lit(True).alias("s"))
+    where = F.when(F.col("d").isNull(), "only in filings").when(F.col("s").isNull(), "only in the dictionary").otherwise("in both")
+    low = F.when(F.expr("coverage_pct < 50 and total_xpaths > 5"), ", low").otherwise("")
+    counts = found.summary.select(F.posexplode(F.array(*(F.struct(F.lit(c).alias("subject"), F.col(c).cast("string").alias("detail")) for c in COUNTS)))).select("pos", "col.*")
+    parts = {
+        "summary": (counts, ["pos"], F.col("subject"), F.col("detail")),
+        "warnings": (found.warnings, ["kind", "subject"], F.concat_ws(" ", "kind", F.nullif("subject", F.lit(""))), F.col("message")),
+        "versions": (known.join(seen, "version", "full"), ["version"], F.col("version"), where),
+        "schedules": (found.schedules, ["schedule"], F.col("schedule"), F.concat(F.format_string("%d of %d paths are known", "matched", "total_xpaths"), low)),
+        "matches": (renames(found.matches, n), [F.desc("score"), "xpath"], F.col("xpath"), F.concat("confidence", F.lit(" "), "match", F.lit(": "), "reason")),
+        "gaps": (gaps(unknown, n), [F.desc("filing_count"), "xpath"], F.col("xpath"), F.concat_ws(", ", F.format_string("%d filings", "filing_count"), "data_type_guess", "leaf")),
+        "uncovered": (unknown.where("not version_covered"), [F.desc("filing_count"), "xpath"], F.col("xpath"), F.concat_ws(", ", F.format_string("%d filings", "filing_count"), F.array_join("versions", " "), "leaf")),
+        "unused": (found.unused, ["canonical_name"], F.col("canonical_name"), F.lit("")),
+    }
+    whole = {"matches": found.matches, "gaps": unknown.where("version_covered")}
+    out = None
+    for name, (rows, order, subject, detail) in parts.items():
+        first = rows.orderBy(*order).limit(n).withColumn("ord", F.row_number().over(Window.orderBy(*order)))  # at most n rows
+        first = first.select(F.lit(name).alias("part"), "ord", subject.alias("subject"), detail.alias("detail"))
+        rest = whole.get(name, rows).agg(F.count("*").alias("n")).where(F.col("n") > n)
+        first = first.unionByName(rest.select(F.lit(name).alias("part"), F.lit(n + 1).alias("ord"), F.lit("").alias("subject"), F.format_string("and %d more", F.col("n") - n).alias("detail")))
+        out = first if out is None else out.unionByName(first)
+    return out
+
+
+def report_text(report: DataFrame) -> DataFrame:
+    """SNK-7. (value): the report's lines under their headings, in order; at most n + 3 lines of each part, so one task sorts them."""
+    place = F.array_position(F.lit(list(PARTS)), F.col("part"))
+    line = F.when(F.col("subject") == "", F.col("detail")).otherwise(F.concat_ws(": ", F.concat(F.lit("`"), "subject", F.lit("`")), F.nullif("detail", F.lit(""))))
+    lines = report.select(place.alias("place"), "ord", F.concat(F.lit("- "), line).alias("value"))
+    heads = report.select("part").distinct().select(place.alias("place"), F.lit(0).alias("ord"), F.concat(F.lit("\n## "), F.element_at(F.lit(list(PARTS.values())), place.cast("int")), F.lit("\n")).alias("value"))
+    return lines.unionByName(heads).coalesce(1).sortWithinPartitions("place", "ord").select("value")
+
+
 def selection_export(selected: DataFrame, fields: DataFrame, categories: DataFrame, frequency: DataFrame) -> DataFrame:
     """SNK-10. Chosen fields with all that is known of them; the sample path is that of the greatest version string."""
     about = fields.select(F.col("canonical_name").alias("field_name"), "label", "schedule", "type", "description", "xpaths")

@@ -191,6 +191,30 @@ r AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS loads, CAST(0 AS BI
 SELECT CAST(bin - 1 AS INT) AS bin, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM r WHERE i > 0 GROUP BY bin"""
 
 
+REPORT = f"""WITH {BASE}, {INDEX}, {UNKNOWN}, {FUZZY_CORPUS}, n AS (SELECT count(*) AS n FROM base),
+sc AS (SELECT split_part(xpath, '/', 2) AS schedule, count(*) AS t, count(*) FILTER (known) AS m FROM stats GROUP BY 1),
+seen AS (SELECT DISTINCT version FROM base WHERE status <> 'malformed'), known AS (SELECT DISTINCT version FROM dict),
+um AS (SELECT unk.*, coalesce(split_part(match, '/', -1), '-') AS leaf FROM unk LEFT JOIN fz ON unk.xpath = fz.xpath),
+often AS (SELECT count(*) AS c, count(*) FILTER (version_covered) AS v FROM unk, n WHERE filing_count >= greatest(2, n.n * 0.1)),
+bands AS (SELECT count(*) AS c, count(*) FILTER (score >= 0.8) AS h, count(*) FILTER (score >= 0.6 AND score < 0.8) AS m, count(*) FILTER (score < 0.6) AS l FROM fz),
+wn AS (SELECT 'MISSING VERSION' AS kind, version AS subject, 'Filings use schema version ' || version || ', which the dictionary lacks.' AS message FROM seen WHERE version NOT IN (SELECT version FROM known)
+  UNION ALL SELECT 'HIGH-FREQUENCY UNKNOWNS', '', c || ' unknown paths occur in 10% of the filings or more; ' || v || ' of them in covered versions.' FROM often WHERE c > 0
+  UNION ALL SELECT 'FUZZY MATCHES', '', c || ' unknown paths have probable matches: ' || h || ' high, ' || m || ' medium, ' || l || ' low.' FROM bands WHERE c > 0
+  UNION ALL SELECT CASE WHEN schedule NOT IN (SELECT schedule FROM dict) THEN 'MISSING SCHEDULE' WHEN m = 0 THEN 'XPATH MISMATCH' ELSE 'LOW COVERAGE' END, schedule, m || ' of ' || t || ' paths are in the dictionary.' FROM sc WHERE m * 100.0 / t < 50 AND t > 5),
+al AS (
+  SELECT 'summary' AS part, row_number() OVER () AS ord, subject, detail FROM (SELECT unnest(['filings_audited', 'unique_xpaths_seen', 'matched_xpaths', 'unknown_xpaths', 'unknowns_version_covered', 'unknowns_version_missing', 'fuzzy_matched', 'unused_fields', 'missing_versions']) AS subject,
+    unnest([CAST((SELECT count(*) FROM base) AS VARCHAR), CAST((SELECT count(*) FROM stats) AS VARCHAR), CAST((SELECT count(*) FROM stats WHERE known) AS VARCHAR), CAST((SELECT count(*) FROM unk) AS VARCHAR), CAST((SELECT count(*) FROM unk WHERE version_covered) AS VARCHAR), CAST((SELECT count(*) FROM unk WHERE NOT version_covered) AS VARCHAR), CAST((SELECT count(*) FROM fz) AS VARCHAR), CAST((SELECT count(*) FROM unused) AS VARCHAR), CAST((SELECT count(*) FROM seen WHERE version NOT IN (SELECT version FROM known)) AS VARCHAR)]) AS detail)
+  UNION ALL SELECT 'warnings', row_number() OVER (ORDER BY kind, subject), kind || CASE WHEN subject = '' THEN '' ELSE ' ' || subject END, message FROM wn
+  UNION ALL SELECT 'versions', row_number() OVER (ORDER BY version), version, CASE WHEN version NOT IN (SELECT version FROM known) THEN 'only in filings' WHEN version NOT IN (SELECT version FROM seen) THEN 'only in the dictionary' ELSE 'in both' END FROM (SELECT version FROM seen UNION SELECT version FROM known)
+  UNION ALL SELECT 'schedules', row_number() OVER (ORDER BY schedule), schedule, m || ' of ' || t || ' paths are known' || CASE WHEN m * 100.0 / t < 50 AND t > 5 THEN ', low' ELSE '' END FROM sc
+  UNION ALL SELECT 'matches', row_number() OVER (ORDER BY score DESC, xpath), xpath, CASE WHEN score >= 0.8 THEN 'HIGH' WHEN score >= 0.6 THEN 'MED' ELSE 'LOW' END || ' ' || match || ': ' || reason FROM fz
+  UNION ALL SELECT 'gaps', row_number() OVER (ORDER BY filing_count DESC, xpath), xpath, filing_count || ' filings, ' || guess || ', ' || leaf FROM um WHERE version_covered
+  UNION ALL SELECT 'uncovered', row_number() OVER (ORDER BY filing_count DESC, xpath), xpath, filing_count || ' filings, ' || array_to_string(versions, ' ') || ', ' || leaf FROM um WHERE NOT version_covered
+  UNION ALL SELECT 'unused', row_number() OVER (ORDER BY field), field, '' FROM unused),
+cut AS (SELECT part, ord, subject, detail FROM al WHERE ord <= 30 UNION ALL SELECT part, 31, '', 'and ' || (count(*) - 30) || ' more' FROM al GROUP BY part HAVING count(*) > 30)
+SELECT part, CAST(ord AS INT) AS ord, subject, detail, (SELECT count(*) FROM cut) AS lines FROM cut"""
+
+
 def oracle_sql() -> dict[str, str]:
     scalar_columns = ", ".join(
         f"coalesce(max(CASE WHEN field = {quoted(n)} THEN text END), '') AS \"{n}\"" for n in SCALARS
@@ -219,6 +243,11 @@ def oracle_sql() -> dict[str, str]:
         "ext_group_counts": f"WITH {BASE} SELECT 'ContractorCompensationGrp' AS group_name, count(*) AS instances FROM base JOIN li USING (k) WHERE status = 'ok'",
         "ext_preset_revenue": f"WITH {BASE} SELECT {PATH} AS path, {HEADER}, {FORM}, CAST(price + 1 AS VARCHAR) AS total_revenue FROM base WHERE status = 'ok'",
         "ext_preset_pay": f"WITH {BASE} SELECT {PATH} AS path, {HEADER}, {FORM}, coalesce(pay, '') AS officer_pay FROM base JOIN pay USING (k) WHERE status = 'ok'",
+        "ext_preset_expenses": "SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.xml' AS path, lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS ein, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS revenue, CAST(o_orderkey AS VARCHAR) AS expenses FROM orders",
+        "ext_preset_support": "SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.xml' AS path, lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS ein, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey AS VARCHAR) ELSE '' END AS public_support FROM orders",
+        "ext_preset_assets": "SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.xml' AS path, lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS ein, CASE WHEN o_orderstatus = 'O' THEN '' ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END AS net_assets FROM orders",
+        "ext_officers": "SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.xml' AS path, lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS ein, '' AS tax_period, '/IRS990/Form990PartVIISectionA' || CASE WHEN year(o_orderdate) IN (1995, 1996) THEN '' ELSE 'Grp' END AS listed_in, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS INT) AS number, CASE WHEN l_linenumber = 1 THEN 'Firm ' ELSE 'Person ' END || l_suppkey AS person, l_linestatus AS title, CASE WHEN l_returnflag = 'N' THEN '' ELSE CAST(CAST(l_quantity AS INT) AS VARCHAR) END AS pay FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+        "ext_older_names": f"WITH {BASE}, {INDEX} SELECT idx.field AS canonical_name, els.xpath AS xpath, count(*) AS n FROM els JOIN idx ON els.xpath = idx.xpath GROUP BY ALL",
         "dic_exact": f"WITH {EXACT} SELECT cname AS canonical_name, schedule, label, type, raw AS raw_type, description, grp AS \"group\", true AS repeating, {versions('vks')} AS versions, xpath FROM exact",
         "dic_merge": f"WITH {MERGE} SELECT xpath, {versions('allv')} AS versions, array_to_string(list_transform(allv, lambda v: CASE WHEN list_contains(vks, v) THEN xpath ELSE oxpath END), ';') AS paths FROM fields",
         "dic_fields": f"WITH {MERGE} SELECT {dictionary_row} FROM fields",
@@ -270,6 +299,9 @@ def oracle_sql() -> dict[str, str]:
         "val_shared": f"WITH {CLASSIFIED} SELECT schedule <> '' AS in_form, count(*) AS n FROM dx GROUP BY 1",
         "snk_missing": f"WITH {CLASSIFIED} SELECT name AS element_name, pattern, schedule FROM cl WHERE found = 'missing'",
         "snk_tables": scalars,
+        "snk_group_tables": groups,
+        "src_schema_files": f"WITH {DOCS}, n AS (SELECT version, schedule, count(DISTINCT grp) + count(*) + 1 AS elements FROM leaf GROUP BY ALL), v AS (SELECT version, count(*) AS files, CAST(sum(elements) AS BIGINT) AS elements FROM n GROUP BY version) SELECT *, false AS chosen FROM v UNION ALL SELECT *, true FROM v WHERE version = '2020v4.2'",
+        "snk_report": REPORT,
         "snk_categories": f"WITH {CATS}, nd AS (SELECT cname, path, unnest(range(1, len(path) + 1)) AS d FROM cp) SELECT array_to_string(path[1:d], ' > ') AS path, coalesce(string_agg(DISTINCT CASE WHEN d = len(path) THEN cname END, ';' ORDER BY CASE WHEN d = len(path) THEN cname END), '') AS fields, count(DISTINCT cname) AS fields_below, d AS depth FROM nd GROUP BY array_to_string(path[1:d], ' > '), d",
         "src_filing_files": f"WITH {BASE} SELECT status, count(*) AS filings FROM base GROUP BY status",
         "src_lookup_file": f"WITH {MERGE} SELECT xpath, max(cname) AS canonical_name FROM fx GROUP BY xpath",

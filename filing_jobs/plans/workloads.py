@@ -31,6 +31,7 @@ class Audit(NamedTuple):
     schedules: DataFrame
     warnings: DataFrame
     proposals: DataFrame
+    versions: DataFrame
 
 
 def audit_corpus(filings: DataFrame, d: Dict) -> Audit:
@@ -43,7 +44,7 @@ def audit_corpus(filings: DataFrame, d: Dict) -> Audit:
     unused = stored(audit.unused_fields(paths, d), "unused-fields")
     matches = stored(fuzzy.match_unknowns(unknown, d, unused), "matches")
     schedules = audit.schedule_coverage(stats)
-    return Audit(audit.summary(heads, stats, unknown, unused, missing, matches), stats, unknown, matches, unused, missing, audit.field_frequency(paths, d, n), schedules, audit.warnings(missing, unknown, schedules, d, n, matches), audit.proposals(unknown, matches))
+    return Audit(audit.summary(heads, stats, unknown, unused, missing, matches), stats, unknown, matches, unused, missing, audit.field_frequency(paths, d, n), schedules, audit.warnings(missing, unknown, schedules, d, n, matches), audit.proposals(unknown, matches), audit.filing_versions(heads))
 
 
 def build_dictionary(schema_files: DataFrame) -> Dict:

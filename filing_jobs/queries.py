@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from filing_jobs.functions import scalars as fn
 from filing_jobs.operators import audit, browse, categories, dictionary, extract, fuzzy, outputs, select, specs, validate
 from filing_jobs.operators.resolve import resolve_paths
-from filing_jobs.plans.workloads import build_dictionary
+from filing_jobs.plans.workloads import audit_corpus, build_dictionary
 from filing_jobs.sources import io, samples, shred, xsd
-from filing_jobs.store import new_folder
+from filing_jobs.store import new_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +102,28 @@ def ext_preset_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.preset(samples.filings(spark, sf_dir), "officer_pay")
 
 
+def ext_preset_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.preset(samples.question_filings(spark, sf_dir), "revenue_and_expenses").select("path", "ein", "revenue", "expenses")
+
+
+def ext_preset_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.preset(samples.question_filings(spark, sf_dir), "public_support").select("path", "ein", "public_support")
+
+
+def ext_preset_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.preset(samples.question_filings(spark, sf_dir), "net_assets").select("path", "ein", "net_assets")
+
+
+def ext_officers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.officers(samples.question_filings(spark, sf_dir))
+
+
+def ext_older_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each path of the sample dictionary and its older name occur in the filings."""
+    known = extract.with_older_names(samples.dictionary(spark).field_xpaths.select("canonical_name", "xpath").distinct())
+    return elements(spark, sf_dir).groupBy("xpath").agg(F.count("*").alias("n")).join(known, "xpath").select("canonical_name", "xpath", "n")
+
+
 # --- dictionary from part schema elements
 
 
@@ -243,6 +265,15 @@ def aud_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.summary(heads, stats, unknown, unused, audit.missing_versions(heads, d), fuzzy.match_unknowns(unknown, d, unused))
 
 
+def snk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit's report, its text written and read back; the lines of its parts."""
+    d, out = samples.dictionary(spark), new_folder(spark, "report")
+    report = stored(outputs.audit_report(audit_corpus(samples.filings(spark, sf_dir), d), d), "report-rows")
+    outputs.write_table(outputs.report_text(report), out, "text")
+    lines = spark.read.text(out, wholetext=True).select(F.explode(F.split("value", "\n")).alias("line")).where("line like '- %'").agg(F.count("*").alias("lines"))
+    return report.crossJoin(F.broadcast(lines))
+
+
 def snk_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     unknown, _, d, n, unused = unknowns(spark, sf_dir)
     return outputs.unknown_report(unknown, fuzzy.match_unknowns(unknown, d, unused), n)
@@ -430,6 +461,20 @@ def snk_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outputs.missing_report(classified(spark, sf_dir)).select("element_name", "pattern", "schedule")
 
 
+def src_schema_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema files in a directory for each version, read back: all of them, and those of one version."""
+    out = new_folder(spark, "schema-files")
+    documents = stored(samples.schema_documents(spark, sf_dir), "schema-documents")
+    for version in samples.PART_VERSIONS:
+        documents.where(F.col("version") == version).select(F.col("content").cast("string")).write.option("maxRecordsPerFile", 1).text(f"{out}/{version}")
+    found = None
+    for chosen in (None, "2020v4.2"):
+        files = xsd.schema_files(spark, out, chosen, pattern="*.txt")
+        rows = xsd.items(files).where("kind = 'element'").groupBy("version").agg(F.count_distinct("path").alias("files"), F.count("*").alias("elements")).withColumn("chosen", F.lit(chosen is not None))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 # --- files: tables are written below the shared folder and read back by the library's readers
 
 
@@ -454,10 +499,18 @@ def src_categories_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return categories.path_counts(io.read_categories(spark, out))
 
 
-def snk_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def written_tables(spark: SparkSession, sf_dir: str) -> str:
     out = new_folder(spark, "extracted")
     outputs.write_tables(out, *extract.tables_of_filings(samples.filings(spark, sf_dir), sample_specs(spark)))
-    return spark.read.parquet(f"{out}/scalar_fields")
+    return out
+
+
+def snk_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{written_tables(spark, sf_dir)}/scalar_fields")
+
+
+def snk_group_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{written_tables(spark, sf_dir)}/group_ContractorCompensationGrp")
 
 
 def snk_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -496,12 +549,12 @@ def val_missing_by_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NAMES = """src_headers src_headers_by_schema src_packed src_status src_first_filings src_elements src_forms_present ext_resolve ext_scalars ext_scalars_pivot ext_groups
-ext_group_counts ext_preset_revenue ext_preset_pay dic_exact dic_merge dic_fields dic_index dic_aliases dic_counts fn_names fn_versions fn_values
+ext_group_counts ext_preset_revenue ext_preset_pay ext_preset_expenses ext_preset_support ext_preset_assets ext_officers ext_older_names dic_exact dic_merge dic_fields dic_index dic_aliases dic_counts fn_names fn_versions fn_values
 fn_similarity aud_filing_counts aud_path_stats aud_frequency aud_unknown aud_missing_versions aud_unused aud_coverage aud_schedule_coverage
-aud_warnings aud_proposals aud_summary snk_unknown fuz_parts brw_schedules brw_per_schedule brw_schedule_stats brw_overall brw_filter
+aud_warnings aud_proposals aud_summary snk_unknown snk_report fuz_parts brw_schedules brw_per_schedule brw_schedule_stats brw_overall brw_filter
 brw_categories brw_category_counts brw_path_runs brw_facets cat_batches cat_tree cat_paths sel_candidates sel_overflow sel_lines sel_check
 snk_selection snk_dictionary snk_reference snk_lookup snk_specs ext_spec_groups ext_exports xsd_elements w3_dictionary val_named val_dedup
-val_shared snk_missing src_filing_files src_lookup_file src_categories_file snk_tables snk_categories ext_export_specs val_classify val_coverage val_missing_by_pattern val_missing_by_schedule""".split()
+val_shared snk_missing src_filing_files src_lookup_file src_categories_file snk_tables snk_group_tables src_schema_files snk_categories ext_export_specs val_classify val_coverage val_missing_by_pattern val_missing_by_schedule""".split()
 
 
 def queries() -> dict[str, Query]:

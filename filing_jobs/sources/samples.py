@@ -129,3 +129,21 @@ def categories(fields: DataFrame) -> DataFrame:
     return fields.select("canonical_name", paths.alias("paths"))
 
 
+def question_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content): filings that answer the ready-made questions, one of each order, under older and newer names; its lines are officers."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").join(orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    older = F.year("o_orderdate").isin(1995, 1996)
+    either = lambda new, old, value: F.when(older, tag(old, value)).otherwise(tag(new, value))
+    text = lambda c: F.col(c).cast("string")
+    person = F.when(F.col("l_linenumber") == 1, tag("BusinessName", either("BusinessNameLine1Txt", "BusinessNameLine1", F.concat(F.lit("Firm "), text("l_suppkey"))))).otherwise(either("PersonNm", "NamePerson", F.concat(F.lit("Person "), text("l_suppkey"))))
+    pay = F.when(F.col("l_returnflag") == "N", "").otherwise(either("ReportableCompFromOrgAmt", "ReportableCompFromOrganization", F.col("l_quantity").cast("int").cast("string")))
+    officer = either("Form990PartVIISectionAGrp", "Form990PartVIISectionA", F.concat(person, either("TitleTxt", "Title", F.col("l_linestatus")), pay))
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    listed = lines.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, officer.alias("xml")))), lambda x: x["xml"]), "").alias("officers"))
+    price, key = F.floor("o_totalprice").cast("string"), F.col("o_orderkey").cast("string")
+    main = F.concat(either("CYTotalRevenueAmt", "TotalRevenueCurrentYear", price), either("CYTotalExpensesAmt", "TotalExpensesCurrentYear", key), F.when(F.col("o_orderstatus") == "O", "").otherwise(either("NetAssetsOrFundBalancesEOYAmt", "NetAssetsOrFundBalancesEOY", price)), F.coalesce("officers", F.lit("")))
+    support = F.when(F.col("o_orderstatus") == "F", tag("IRS990ScheduleA", either("PublicSupportTotal170Amt", "PublicSupportTotal170", key))).otherwise("")
+    body = F.concat(F.lit("<Return><ReturnHeader>"), tag("Filer", tag("EIN", F.lpad(F.col("o_custkey").cast("string"), 9, "0"))), F.lit("</ReturnHeader><ReturnData>"), tag("IRS990", main), support, F.lit("</ReturnData></Return>"))
+    rows = orders.join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return rows.select(F.concat(F.lpad(key, 10, "0"), F.lit(".xml")).alias("path"), body.alias("content"))

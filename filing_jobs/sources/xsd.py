@@ -22,20 +22,22 @@ NAMED = "version string, name string, file string, pattern string, context strin
 FORM_PREFIXES = ("IRS990", "IRS990EZ", "IRS990PF", "ReturnHeader", "Return")
 
 
-def schema_files(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    """SRC-11. (version, path, content) of all .xsd files; the version is the first directory level, else ``unknown``.
+def schema_files(spark: SparkSession, root: str, version: str | None = None, pattern: str = "*.xsd") -> DataFrame:
+    """SRC-11. (version, path, content) of all schema files; the version is the first directory level below ``root``, else ``unknown``.
 
     With ``version`` only that one; if there is none, files below a directory whose name holds it. Raises if nothing is left.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xsd").load(root).select("path", "content")
-    base = root.rstrip("/").rpartition("/")[2]
-    below = F.element_at(F.split("path", f"/{base}/"), -1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", "content")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    whole = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString().rstrip("/")
+    below = F.regexp_replace(F.substring("path", len(whole) + 1, 1 << 30), "^/+", "")
     named = files.select(F.when(below.contains("/"), F.substring_index(below, "/", 1)).otherwise("unknown").alias("version"), "path", "content")
     if version is None:
         return named
     chosen = named.where(F.col("version") == version)
     if chosen.isEmpty():
-        chosen = named.where(F.col("path").contains(version)).withColumn("version", F.lit(version))
+        folders = F.regexp_replace(F.substring("path", len(whole) + 1, 1 << 30), "[^/]*$", "")
+        chosen = named.where(folders.contains(version)).withColumn("version", F.lit(version))
         if chosen.isEmpty():
             raise ValueError(f"no schema files of version {version}")
     return chosen
