@@ -1,7 +1,7 @@
 """Probable renames: unknown paths against the dictionary's paths, by five rules in a cascade.
 
-Rules compare distinct leaf names through equi-joins (leaf, plain words, last characters, pairs of
-characters, parent). Ties go to the smallest path.
+Rules compare distinct leaf names through equi-joins (leaf, plain words, last characters, rare pairs of
+characters). Ties go to the smallest path.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filing_jobs.functions.scalars import bigrams, dice, leaf_of, parent_of, part_score, plain_words, schedule_of
+from filing_jobs.functions.scalars import bigrams, leaf_of, parent_of, part_score, plain_words, schedule_of
 from filing_jobs.sources.io import Dict
 from filing_jobs.store import stored
 
@@ -68,26 +68,66 @@ def by_part(unknown: DataFrame, leaves: DataFrame) -> DataFrame:
     return best(rows.where("score > 0").withColumn("reason", reason), "part")
 
 
-def by_similarity(unknown: DataFrame, leaves: DataFrame) -> DataFrame:
-    """FUZ-4. Pairs of characters alike by 0.6 or more, within the same schedule.
+def tokens(names: DataFrame) -> DataFrame:
+    """(name, tokens): the pairs of characters of each distinct name, the rarest among all names first."""
+    pairs = names.select("name").distinct().withColumn("pair", F.explode(bigrams(F.col("name"))))
+    order = pairs.groupBy("pair").agg(F.concat(F.lpad(F.count("*").cast("string"), 12, "0"), F.first("pair")).alias("token"))
+    return pairs.join(order, "pair").groupBy("name").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+
 
-    Names meet at shared pairs; a similarity of 0.6 bounds the ratio of their numbers to 7/3 at most.
+def alike(left: DataFrame, right: DataFrame, keys: list[str], least: tuple[int, int]) -> DataFrame:
+    """(keys, left, right, both, n, m): names of ``left`` and ``right`` (columns keys and name) with a Dice similarity of ``least`` or more.
+
+    A similarity of a / b takes a * (n + m) / (2 * b) shared pairs, and neither name has more than (2 * b - a) / a times the
+    other's. So a name and one that is no smaller share a pair among the first n - a * n / b + 1 rarest pairs of the
+    smaller one and the first m - a * m / (2 * b - a) + 1 of the other: only those are join keys. Each two names meet at
+    the rarest pair that both have.
     """
-    mine = unknown.select("element_name", "schedule").distinct().withColumn("b", bigrams(F.col("element_name"))).select("element_name", "schedule", F.size("b").alias("n"), F.explode("b").alias("pair"))
-    theirs = leaves.withColumn("b", bigrams(F.col("leaf"))).select("leaf", "candidate", F.col("c_schedule").alias("schedule"), F.size("b").alias("m"), F.explode("b").alias("pair"))
-    shared = mine.join(theirs, ["schedule", "pair"]).where("n * 7 >= m * 3 and m * 7 >= n * 3").groupBy("element_name", "schedule", "leaf", "candidate", "n", "m").agg(F.count("*").alias("both"))
-    alike = shared.withColumn("score", 2.0 * F.col("both") / (F.col("n") + F.col("m"))).where("score >= 0.6").select("element_name", "schedule", "candidate", "score")
-    return best(unknown.join(alike, ["element_name", "schedule"]).withColumn("reason", F.lit("name similarity")), "similar")
+    a, b = least
+    known = stored(tokens(left.select("name").unionByName(right.select("name"))), "name-tokens")
+
+    def prefixes(rows: DataFrame, name: str, size: str) -> DataFrame:
+        n = F.size("tokens")
+        longest = n - F.ceil(n * a / (2 * b - a)) + 1
+        out = rows.join(known, "name").withColumn(size, n).withColumn("head", F.slice("tokens", 1, longest.cast("int")))
+        return out.select(*keys, F.col("name").alias(name), size, F.col("tokens").alias(f"{name}_tokens"), F.posexplode("head").alias(f"{name}_at", "token"))
+
+    met = prefixes(left, "left", "n").join(prefixes(right, "right", "m"), [*keys, "token"])
+    short = lambda size: F.col(size) - F.ceil(F.col(size) * a / b)
+    close = (F.col("n") * (2 * b - a) >= F.col("m") * a) & (F.col("m") * (2 * b - a) >= F.col("n") * a)
+    near = F.when(F.col("n") <= F.col("m"), F.col("left_at") <= short("n")).otherwise(F.col("right_at") <= short("m"))
+    room = (F.lit(1) + F.least(F.col("n") - F.col("left_at"), F.col("m") - F.col("right_at")) - 1) * 2 * b >= (F.col("n") + F.col("m")) * a
+    common = F.array_intersect("left_tokens", "right_tokens")
+    found = met.where(close & near & room).withColumn("common", common)
+    found = found.where((F.size("common") * 2 * b >= (F.col("n") + F.col("m")) * a) & (F.array_min("common") == F.col("token")))
+    return found.select(*keys, "left", "right", F.size("common").alias("both"), "n", "m")
+
+
+def by_similarity(unknown: DataFrame, leaves: DataFrame) -> DataFrame:
+    """FUZ-4. Pairs of characters alike by 0.6 or more, within the same schedule."""
+    mine = unknown.select("schedule", F.col("element_name").alias("name")).distinct()
+    theirs = leaves.select(F.col("c_schedule").alias("schedule"), F.col("leaf").alias("name"), "candidate")
+    found = alike(mine, theirs.select("schedule", "name").distinct(), ["schedule"], (3, 5)).withColumn("score", 2.0 * F.col("both") / (F.col("n") + F.col("m")))
+    scored = found.join(theirs.withColumnRenamed("name", "right"), ["schedule", "right"]).select("schedule", F.col("left").alias("element_name"), "candidate", "score")
+    return best(unknown.join(scored, ["schedule", "element_name"]).withColumn("reason", F.lit("name similarity")), "similar")
 
 
 def by_parent(unknown: DataFrame, d: Dict, unused: DataFrame) -> DataFrame:
-    """FUZ-5. The parent is in the dictionary and has unused fields."""
+    """FUZ-5. The parent is in the dictionary and has unused fields: the most similar one, else the one with the smallest path.
+
+    Below a similarity of 0.3 all are alike, so only similar names meet; the rest takes one path of each parent.
+    """
     parents = unknown.join(d.xpath_index.select(F.col("xpath").alias("parent_xpath")).distinct(), "parent_xpath", "left_semi")
     free = d.field_xpaths.join(unused, "canonical_name", "left_semi").select(F.col("xpath").alias("candidate")).distinct()
-    rows = parents.join(free.withColumn("parent_xpath", parent_of(F.col("candidate"))), "parent_xpath")
-    alike = dice(F.col("element_name"), leaf_of(F.col("candidate")))
-    rows = rows.withColumn("score", F.when(alike > 0.3, F.greatest(F.lit(0.5), alike)).otherwise(0.45)).withColumn("reason", F.lit("same parent, unused field"))
-    return best(rows, "parent")
+    free = free.select("candidate", parent_of(F.col("candidate")).alias("parent_xpath"), leaf_of(F.col("candidate")).alias("name"))
+    names = parents.select("parent_xpath", F.col("element_name").alias("name")).distinct()
+    found = alike(names, free.select("parent_xpath", "name").distinct(), ["parent_xpath"], (3, 10)).withColumn("dice", 2.0 * F.col("both") / (F.col("n") + F.col("m")))
+    near = found.where("dice > 0.3").join(free.withColumnRenamed("name", "right"), ["parent_xpath", "right"])
+    near = near.select("parent_xpath", F.col("left").alias("element_name"), "candidate", F.greatest(F.lit(0.5), "dice").alias("score"))
+    first = free.groupBy("parent_xpath").agg(F.min("candidate").alias("candidate")).withColumn("score", F.lit(0.45))
+    columns = ["xpath", "candidate", "score"]
+    rows = parents.join(near, ["parent_xpath", "element_name"]).select(columns).unionByName(parents.join(first, "parent_xpath").select(columns))
+    return best(rows.withColumn("reason", F.lit("same parent, unused field")), "parent")
 
 
 def cascade(now: Column, names: tuple[str, ...]) -> Column:

@@ -2,37 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LIMIT = 1500
 
 
-def in_category(chosen: list[str]) -> Column:
-    """Whether one of ``paths`` is a chosen category path, or below or above one."""
-    names = F.array(*(F.lit(c) for c in chosen)) if chosen else F.array().cast("array<string>")
-    step = F.lit(" > ")
+STEP = " > "
 
-    def meets(p: Column) -> Column:
-        text = F.array_join(p, " > ")
-        return F.exists(names, lambda c: (text == c) | text.startswith(F.concat(c, step)) | c.startswith(F.concat(text, step)))
 
-    return F.coalesce(F.exists("paths", meets), F.lit(False))
+def chosen_table(spark: SparkSession, chosen: DataFrame | list[str], name: str) -> DataFrame:
+    """(name): a list or the first column of a table, distinct."""
+    rows = spark.createDataFrame([(c,) for c in chosen], f"{name} string") if isinstance(chosen, list) else chosen.select(F.col(f"`{chosen.columns[0]}`").alias(name))
+    return rows.where(F.col(name).isNotNull()).distinct()
 
 
-def candidates(fields: DataFrame, categories: DataFrame, schedules: list[str], chosen: list[str]) -> DataFrame:
-    """SEL-1. Fields of the schedules, or of a category equal to, below or above a chosen one; with their ``paths``."""
-    rows = fields.join(categories.select("canonical_name", "paths"), "canonical_name", "left")
-    return rows.where(F.col("schedule").isin(schedules) | in_category(chosen))
+def upwards(path: Column) -> Column:
+    """The path and all that are above it."""
+    parts = F.split(path, STEP)
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), STEP))
 
 
-def limit_overflow(rows: DataFrame, frequency: DataFrame, schedules: list[str], chosen: list[str], limit: int = LIMIT) -> DataFrame:
+def in_categories(categories: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(canonical_name) of fields with a path that is a chosen category, or below or above one.
+
+    Of two paths one is above the other, or both are equal, where the whole of one is among the other's ``upwards``: two
+    joins with equality, however many categories are chosen.
+    """
+    paths = categories.select("canonical_name", F.explode("paths").alias("p")).select("canonical_name", F.array_join("p", STEP).alias("path"))
+    below = paths.select("canonical_name", F.explode(upwards(F.col("path"))).alias("category")).join(chosen, "category", "left_semi")
+    above = paths.withColumnRenamed("path", "category").join(chosen.select(F.explode(upwards(F.col("category"))).alias("category")).distinct(), "category", "left_semi")
+    return below.select("canonical_name").unionByName(above.select("canonical_name")).distinct()
+
+
+def hits(fields: DataFrame, categories: DataFrame, schedules: DataFrame | list[str], chosen: DataFrame | list[str]) -> DataFrame:
+    """The fields with their ``paths``, ``by_schedule`` and ``by_category``."""
+    spark = fields.sparkSession
+    found = in_categories(categories, chosen_table(spark, chosen, "category")).withColumn("by_category", F.lit(True))
+    named = chosen_table(spark, schedules, "schedule").withColumn("by_schedule", F.lit(True))
+    rows = fields.join(categories.select("canonical_name", "paths"), "canonical_name", "left").join(found, "canonical_name", "left").join(named, "schedule", "left")
+    return rows.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("by_category", "by_schedule")})
+
+
+def candidates(fields: DataFrame, categories: DataFrame, schedules: DataFrame | list[str], chosen: DataFrame | list[str]) -> DataFrame:
+    """SEL-1. Fields of the schedules, or of a category equal to, below or above a chosen one; with their ``paths``.
+
+    Schedules and categories are lists or tables of any length.
+    """
+    return hits(fields, categories, schedules, chosen).where("by_schedule or by_category").select(*fields.columns, "paths")
+
+
+def limit_overflow(rows: DataFrame, frequency: DataFrame, schedules: DataFrame | list[str], chosen: DataFrame | list[str], limit: int = LIMIT) -> DataFrame:
     """SEL-2. More than ``limit`` candidates: those ever present, if any; still more: those of schedule and category both, if any."""
     if rows.count() > limit:
         present = rows.join(frequency.where("present_pct > 0").select("canonical_name"), "canonical_name", "left_semi")
         rows = rows if present.isEmpty() else present
     if rows.count() > limit:
-        both = rows.where(F.col("schedule").isin(schedules) & in_category(chosen))
+        both = hits(rows.drop("paths"), rows, schedules, chosen).where("by_schedule and by_category").select(rows.columns)
         rows = rows if both.isEmpty() else both
     return rows
 
