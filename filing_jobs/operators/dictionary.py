@@ -46,6 +46,7 @@ def merge_renames(fields: DataFrame) -> DataFrame:
     spoken = fields.where(F.coalesce("description", F.lit("")) != "")
     ends = spoken.groupBy("schedule", "group", said, "versions").agg(F.min(member).alias("first"), F.max(member).alias("most"))
     sets = ends.groupBy("schedule", "group", "said").agg(F.array_sort(F.collect_list("first")).alias("firsts"), F.max("most").alias("primary"))
+    sets = sets.where(F.size("firsts") > 1)  # fields of one list of versions overlap
     sets = sets.withColumn("m", F.filter("firsts", lambda x: x["xpath"] != F.col("primary.xpath")))
     primary = F.col("primary")
     start = F.struct(primary["versions"].alias("versions"), primary["xpaths"].alias("xpaths"), F.array().cast("array<string>").alias("taken"))
@@ -56,16 +57,15 @@ def merge_renames(fields: DataFrame) -> DataFrame:
         return F.when(joins, taken).otherwise(acc)
 
     merged = sets.withColumn("acc", F.aggregate("m", start, fold))
-    # the first of a set has all versions, those it took are gone, the others stay as they are
-    roles = F.concat(F.array(F.struct(primary["xpath"].alias("xpath"), F.lit(True).alias("leads"))), F.transform("acc.taken", lambda x: F.struct(x.alias("xpath"), F.lit(False).alias("leads"))))
-    roles = merged.select("schedule", "group", F.col("said"), F.explode(roles).alias("r"), sorted_versions(F.col("acc.versions")).alias("all_versions"), F.col("acc.xpaths").alias("all_xpaths"))
-    lead = F.col("leads")
-    roles = roles.select(*(F.col(c).alias(f"r_{c}") for c in ("schedule", "group", "said")), F.col("r.xpath").alias("r_xpath"), F.col("r.leads").alias("leads"), F.when(F.col("r.leads"), F.col("all_versions")).alias("all_versions"), F.when(F.col("r.leads"), F.map_from_entries("all_xpaths")).alias("all_xpaths"))
-    same = F.col("schedule").eqNullSafe(F.col("r_schedule")) & F.col("group").eqNullSafe(F.col("r_group")) & (said == F.col("r_said")) & (F.col("xpath") == F.col("r_xpath"))
-    found = spoken.join(roles, same, "left").where(F.coalesce(lead, F.lit(True)))
-    out = found.withColumns({"versions": F.coalesce("all_versions", "versions"), "xpaths": F.coalesce("all_xpaths", "xpaths")})
-    silent = fields.where(F.coalesce("description", F.lit("")) == "")
-    return out.select(fields.columns).unionByName(silent)
+    # only what changes meets the fields again: the first of a set, which has all versions, and those it took
+    changed = sets.withColumn("acc", F.aggregate("m", start, fold)).where(F.size("acc.taken") > 0)
+    roles = F.concat(F.array(F.struct(primary["xpath"].alias("xpath"), F.lit(False).alias("gone"))), F.transform("acc.taken", lambda x: F.struct(x.alias("xpath"), F.lit(True).alias("gone"))))
+    lead = lambda c: F.when(~F.col("role.gone"), c)
+    changed = changed.select("schedule", "group", "said", F.explode(roles).alias("role"), "acc")
+    changed = changed.select(*(F.col(c).alias(f"r_{c}") for c in ("schedule", "group", "said")), F.col("role.xpath").alias("r_xpath"), F.col("role.gone").alias("gone"), lead(sorted_versions(F.col("acc.versions"))).alias("all_versions"), lead(F.map_from_entries("acc.xpaths")).alias("all_xpaths"))
+    same = (F.col("xpath") == F.col("r_xpath")) & F.col("schedule").eqNullSafe(F.col("r_schedule")) & F.col("group").eqNullSafe(F.col("r_group")) & said.eqNullSafe(F.col("r_said"))
+    out = fields.join(changed, same, "left").where(~F.coalesce("gone", F.lit(False)))
+    return out.withColumns({"versions": F.coalesce("all_versions", "versions"), "xpaths": F.coalesce("all_xpaths", "xpaths")}).select(fields.columns)
 
 
 def resolve_collisions(fields: DataFrame) -> DataFrame:

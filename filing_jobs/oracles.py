@@ -294,6 +294,12 @@ def oracle_sql() -> dict[str, str]:
         "ext_spec_groups": f"WITH {MERGE} SELECT grp AS group_name, '/IRS990ScheduleA/' || grp AS group_prefix, 'IRS990ScheduleA' AS schedule, string_agg(cname, ';' ORDER BY cname) AS children FROM fields WHERE schedule = 'IRS990ScheduleA' AND type <> '(group)' GROUP BY grp",
         "ext_exports": "WITH p AS (SELECT p_brand || '.json' AS file, p_partkey AS pos, p_name, p_type FROM part), g AS (SELECT p_name, array_to_string(list_sort(list(DISTINCT file)), ';') AS sources FROM p GROUP BY p_name), f AS (SELECT p_name, p_type FROM p QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY file, pos) = 1) SELECT p_name AS field_name, p_type AS label, sources FROM f JOIN g USING (p_name)",
         "xsd_elements": f"WITH {DOCS} SELECT '/' || schedule || '/' || grp || '/' || name AS xpath, name AS element_name, raw AS xsd_type, doc AS documentation, grp AS parent_group, true AS is_repeating, '' AS min_occurs, '' AS max_occurs, schedule, version FROM leaf UNION ALL SELECT DISTINCT '/' || schedule || '/' || grp, grp, '(group)', '', '', true, '', 'unbounded', schedule, version FROM leaf",
+        "xsd_shared_types": f"""WITH {DOCS}, g AS (SELECT DISTINCT version, schedule, grp FROM leaf), f AS (SELECT DISTINCT version, schedule FROM leaf),
+r AS (SELECT '/' || schedule || '/' || grp || '/' || name AS xpath, name AS element_name, CASE raw WHEN 'efile:IntegerType' THEN 'IntegerType' ELSE raw END AS xsd_type, doc AS documentation, grp AS parent_group, true AS is_repeating, '' AS min_occurs, '' AS max_occurs, schedule, version FROM leaf
+UNION ALL SELECT '/' || schedule || '/' || grp, grp, '(group)', '', '', true, '', 'unbounded', schedule, version FROM g
+UNION ALL SELECT '/' || schedule || '/' || grp || '/BaseId', 'BaseId', 't:IdType', '', grp, true, '', '', schedule, version FROM g
+UNION ALL SELECT '/' || schedule || '/' || grp || '/NoteTxt', 'NoteTxt', 't:NoteType', '', grp, true, '', 'unbounded', schedule, version FROM g
+UNION ALL SELECT '/' || schedule || '/Chain' || repeat('/Next', CAST(k AS INT)) || '/CodeCd', 'CodeCd', 't:CodeType', '', '', false, '', '', schedule, version FROM f, range(29) t(k)) SELECT * FROM r""",
         "val_named": f"WITH {NAMED} SELECT * FROM named",
         "val_dedup": f"WITH {NAMED} SELECT name, max(length(context)) AS size FROM named GROUP BY name",
         "val_shared": f"WITH {CLASSIFIED} SELECT schedule <> '' AS in_form, count(*) AS n FROM dx GROUP BY 1",

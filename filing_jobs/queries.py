@@ -429,6 +429,11 @@ def xsd_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xsd.expand(xsd.items(samples.schema_documents(spark, sf_dir))).drop("seq")
 
 
+def xsd_shared_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements of schemas with base types, restrictions, group references, simple content and a type that contains itself."""
+    return xsd.expand(xsd.items(samples.shared_schema_documents(spark, sf_dir))).drop("seq")
+
+
 def w3_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_dictionary(samples.schema_documents(spark, sf_dir)).fields.select("canonical_name", "schedule", "description", "version_start", "version_end")
 
@@ -553,7 +558,7 @@ ext_group_counts ext_preset_revenue ext_preset_pay ext_preset_expenses ext_prese
 fn_similarity aud_filing_counts aud_path_stats aud_frequency aud_unknown aud_missing_versions aud_unused aud_coverage aud_schedule_coverage
 aud_warnings aud_proposals aud_summary snk_unknown snk_report fuz_parts brw_schedules brw_per_schedule brw_schedule_stats brw_overall brw_filter
 brw_categories brw_category_counts brw_path_runs brw_facets cat_batches cat_tree cat_paths sel_candidates sel_overflow sel_lines sel_check
-snk_selection snk_dictionary snk_reference snk_lookup snk_specs ext_spec_groups ext_exports xsd_elements w3_dictionary val_named val_dedup
+snk_selection snk_dictionary snk_reference snk_lookup snk_specs ext_spec_groups ext_exports xsd_elements xsd_shared_types w3_dictionary val_named val_dedup
 val_shared snk_missing src_filing_files src_lookup_file src_categories_file snk_tables snk_group_tables src_schema_files snk_categories ext_export_specs val_classify val_coverage val_missing_by_pattern val_missing_by_schedule""".split()
 
 

@@ -114,6 +114,37 @@ def schema_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("version", F.concat("version", F.lit("/"), "schedule", F.lit(".xsd")).alias("path"), F.encode(text, "utf-8").alias("content"))
 
 
+def shared_schema_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(version, path, content): the elements of ``schema_documents`` with shared types, and a file of types for each version.
+
+    The types of groups extend one type (those of even brands by a restriction) that the file of types has, and refer to a named group of it; leaves of type
+    IntegerType have simple content; each form also holds a chain of a type that contains itself.
+    """
+    rows = schema_elements(spark, sf_dir).where("xsd_type != '(group)'")
+    leaves = rows.groupBy("version", "schedule", "parent_group", "element_name").agg(F.min_by(F.struct("xsd_type", "documentation"), "seq").alias("e"))
+    note = F.concat(F.lit("<xs:annotation><xs:documentation>"), F.col("e.documentation"), F.lit("</xs:documentation></xs:annotation>"))
+    simple = F.concat(F.lit('">'), note, F.lit('<xs:complexType><xs:simpleContent><xs:extension base="efile:IntegerType"/></xs:simpleContent></xs:complexType></xs:element>'))
+    plain = F.concat(F.lit('" type="'), F.col("e.xsd_type"), F.lit('">'), note, F.lit("</xs:element>"))
+    leaf = F.concat(F.lit('<xs:element name="'), "element_name", F.when(F.col("e.xsd_type") == "efile:IntegerType", simple).otherwise(plain))
+    listed = lambda key, c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, c.alias("x")))), lambda x: x["x"]), "")
+    types = leaves.groupBy("version", "schedule", "parent_group").agg(listed("element_name", leaf).alias("leaves"))
+    how = F.when(F.col("parent_group").isin("Brand0Grp", "Brand2Grp", "Brand4Grp"), "restriction").otherwise("extension")
+    named = F.concat(F.lit('<xs:complexType name="'), "parent_group", F.lit('Type"><xs:complexContent><xs:'), how, F.lit(' base="t:BaseType"><xs:choice>'), "leaves", F.lit('</xs:choice><xs:group ref="t:NoteGroup"/></xs:'), how, F.lit("></xs:complexContent></xs:complexType>"))
+    use = F.concat(F.lit('<xs:element name="'), "parent_group", F.lit('" type="t:'), "parent_group", F.lit('Type" maxOccurs="unbounded"/>'))
+    files = types.groupBy("version", "schedule").agg(listed("parent_group", named).alias("types"), listed("parent_group", use).alias("uses"))
+    head = '<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema" xmlns:t="urn:t">'
+    form = F.concat(F.lit(f'{head}<xs:element name="'), "schedule", F.lit('"><xs:complexType><xs:sequence>'), "uses", F.lit('<xs:element name="Chain" type="t:ChainType"/></xs:sequence></xs:complexType></xs:element>'), "types", F.lit("</xs:schema>"))
+    shared = head + (
+        '<xs:complexType name="RootType"><xs:sequence><xs:element name="BaseId" type="t:IdType"/></xs:sequence></xs:complexType>'
+        '<xs:complexType name="BaseType"><xs:complexContent><xs:extension base="t:RootType"/></xs:complexContent></xs:complexType>'
+        '<xs:group name="NoteGroup"><xs:sequence><xs:element name="NoteTxt" type="t:NoteType" maxOccurs="unbounded"/></xs:sequence></xs:group>'
+        '<xs:complexType name="ChainType"><xs:sequence><xs:element name="CodeCd" type="t:CodeType"/><xs:element name="Next" type="t:ChainType" minOccurs="0"/></xs:sequence></xs:complexType></xs:schema>'
+    )
+    forms = files.select("version", F.concat("version", F.lit("/"), "schedule", F.lit(".xsd")).alias("path"), F.encode(form, "utf-8").alias("content"))
+    libraries = files.select("version").distinct().select("version", F.concat("version", F.lit("/Types.xsd")).alias("path"), F.encode(F.lit(shared), "utf-8").alias("content"))
+    return forms.unionByName(libraries)
+
+
 def frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A frequency per field of the part dictionary: the mean size of the parts of its element name, from parts of even size."""
     e = schema_elements(spark, sf_dir)

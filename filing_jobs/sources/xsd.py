@@ -178,39 +178,52 @@ def resolved(rows: DataFrame) -> DataFrame:
     return done
 
 
+#: What is kept of an element of an expansion: the last one on its way.
+LAST = ("name", "type", "doc", "min_occurs", "max_occurs", "content", "leaf_type", "complex")
+
+
+def composed(above: DataFrame, below: DataFrame) -> DataFrame:
+    """Ways of ``above`` that end in a complex element, each lengthened by every way of ``below`` that begins in what it holds."""
+    keys = ["version", "reader"]
+    inner = below.select(*keys, F.col("owner").alias("inside"), *(F.col(c).alias(f"b_{c}") for c in ("names", "walk", "open", "parent", *LAST)))
+    ends = above.where("complex").withColumnRenamed("content", "inside")
+    met = ends.join(inner, [*keys, "inside"])
+    opened = F.col("open") | (F.col("max_occurs") == "unbounded") | F.col("b_open")
+    return met.select(*keys, "owner", F.concat("names", "b_names").alias("names"), F.concat("walk", "b_walk").alias("walk"), opened.alias("open"), F.coalesce("b_parent", "name").alias("parent"), *(F.col(f"b_{c}").alias(c) for c in LAST))
+
+
 def expand(rows: DataFrame) -> DataFrame:
     """XSD-2, XSD-3. Schema elements with their paths, of all files that have a top-level element.
 
-    Each level joins the elements of the last one with what their content holds, as seen from the same
-    file; at most MAX_DEPTH levels, which ends type cycles. A complex element that repeats, or stands
-    below one that does, also gives a ``(group)`` row and names its children's group. ``seq`` follows
-    the order of files and of the walk.
+    What an owner holds 2, 4, 8 and 16 levels below is composed of what owners hold half as deep, once for all of
+    an owner's uses; the files' own elements are then lengthened by 1, 2, 4, 8 and 16 levels. So the number of jobs follows
+    the logarithm of the depth, at most MAX_DEPTH + 1 levels, which ends type cycles. A complex element that repeats,
+    or stands below one that does, also gives a ``(group)`` row and names its children's group: of a way it is enough
+    to know whether an element above the last one repeats (``open``) and the last one's parent. ``seq`` follows the
+    order of files and of the walk.
     """
     rows = stored(rows, "schema-items")
     heads = rows.where("kind = 'schedule' and content = 'element'").select("version", F.col("path").alias("reader"), F.col("name").alias("schedule"))
     held = stored(resolved(rows).select("version", "reader", "owner", "ords", "name", "type", "doc", "min_occurs", "max_occurs", "content", "leaf_type"), "schema-held")
     owners = held.select("version", "reader", F.col("owner").alias("content")).union(rows.where("kind = 'named'").select("version", "owner").distinct().join(heads, "version").select("version", "reader", "owner")).distinct().withColumn("complex", F.lit(True))
     inline = F.col("content").startswith("inline:")
-    held = stored(held.join(owners, ["version", "reader", "content"], "left").withColumn("complex", inline | F.coalesce("complex", F.lit(False))), "schema-held")
-
-    level = heads.join(held, ["version", "reader"]).where("owner = concat('file:', reader)")
-    path = F.when(F.col("name") == F.col("schedule"), F.concat(F.lit("/"), "name")).otherwise(F.concat(F.lit("/"), "schedule", F.lit("/"), "name"))
-    level = level.select("version", "reader", "schedule", path.alias("xpath"), "name", "type", "doc", "min_occurs", "max_occurs", "content", "leaf_type", "complex", F.lit("").alias("group"), F.lit(False).alias("inherited"), F.array("ords").alias("walk"))
-    out = None
-    for _ in range(MAX_DEPTH + 1):
-        level = stored(level.withColumn("repeats", F.col("inherited") | (F.col("max_occurs") == "unbounded")), "schema-level")
-        if level.isEmpty():
-            break
-        found = level.where("not complex or repeats").select(
-            "xpath", F.col("name").alias("element_name"), F.when(F.col("complex"), "(group)").otherwise(F.col("leaf_type")).alias("xsd_type"), F.col("doc").alias("documentation"), F.col("group").alias("parent_group"),
-            F.when(F.col("complex"), True).otherwise(F.col("inherited")).alias("is_repeating"), "min_occurs", "max_occurs", "schedule", "version", F.col("reader").alias("path"), "walk",
-        )
-        out = found if out is None else out.unionByName(found)
-        above = level.where("complex").select("version", "reader", "schedule", F.col("xpath").alias("above"), F.col("content").alias("owner"), F.when(F.col("repeats"), F.col("name")).otherwise(F.col("group")).alias("group"), F.col("repeats").alias("inherited"), F.col("walk").alias("before"))
-        level = above.join(held, ["version", "reader", "owner"]).select("version", "reader", "schedule", F.concat("above", F.lit("/"), "name").alias("xpath"), "name", "type", "doc", "min_occurs", "max_occurs", "content", "leaf_type", "complex", "group", "inherited", F.concat("before", F.array("ords")).alias("walk"))
-    if out is None:
-        return rows.sparkSession.createDataFrame([], "xpath string, element_name string, xsd_type string, documentation string, parent_group string, is_repeating boolean, min_occurs string, max_occurs string, schedule string, version string, seq struct<path:string,walk:array<array<bigint>>>")
-    return out.withColumn("seq", F.struct("path", "walk")).drop("path", "walk")
+    steps = held.join(owners, ["version", "reader", "content"], "left").withColumn("complex", inline | F.coalesce("complex", F.lit(False)))
+    steps = steps.select("version", "reader", "owner", F.array("name").alias("names"), F.array("ords").alias("walk"), F.lit(False).alias("open"), F.lit(None).cast("string").alias("parent"), *LAST)
+    steps = stored(steps, "schema-steps")
+    found = steps.where(F.col("owner") == F.concat(F.lit("file:"), F.col("reader"))).join(heads.select("version", "reader"), ["version", "reader"], "left_semi")
+    deeper, depth = steps.where(~F.col("owner").startswith("file:")), 1
+    while depth <= MAX_DEPTH and not deeper.isEmpty():  # found: the first ``depth`` levels; deeper: what is ``depth`` levels below an owner
+        found = stored(found.unionByName(composed(found, deeper)).where(F.size("names") <= MAX_DEPTH + 1), "schema-ways")
+        depth *= 2
+        if depth <= MAX_DEPTH:
+            deeper = stored(composed(deeper, deeper), "schema-steps")
+    repeats = F.col("open") | (F.col("max_occurs") == "unbounded")
+    first = F.when(F.col("names")[0] == F.col("schedule"), "").otherwise(F.concat(F.lit("/"), "schedule"))
+    out = found.join(heads, ["version", "reader"]).withColumn("repeats", repeats).where("not complex or repeats")
+    return out.select(
+        F.concat(first, F.lit("/"), F.array_join("names", "/")).alias("xpath"), F.col("name").alias("element_name"), F.when(F.col("complex"), "(group)").otherwise(F.col("leaf_type")).alias("xsd_type"), F.col("doc").alias("documentation"),
+        F.when(F.col("open"), F.col("parent")).otherwise("").alias("parent_group"), F.when(F.col("complex"), True).otherwise(F.col("open")).alias("is_repeating"), "min_occurs", "max_occurs", "schedule", "version", F.struct(F.col("reader").alias("path"), "walk").alias("seq"),
+    )
 
 
 def pattern_of(e: ElementTree.Element) -> str:
