@@ -1,11 +1,14 @@
 """Probable renames: unknown paths against the dictionary's paths, by five rules in a cascade.
 
 Rules compare distinct leaf names through equi-joins (leaf, plain words, last characters, rare pairs of
-characters). Ties go to the smallest path.
+characters) and automata of names. Ties go to the smallest path.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,8 @@ from filing_jobs.store import stored
 RULES = ("leaf", "words", "part", "similar", "parent")
 #: Fixed values. A rule counts below this score of the rules before it.
 GATES = (2.0, 0.8, 0.7, 0.6, 0.5)
+#: Names that a cell of the containment grid runs through its automaton, and names of that automaton.
+TEXTS, PARTS = 100_000, 50_000
 
 
 def dictionary_leaves(d: Dict) -> DataFrame:
@@ -47,19 +52,47 @@ def by_words(unknown: DataFrame, leaves: DataFrame) -> DataFrame:
     return best(rows, "words")
 
 
-def by_part(unknown: DataFrame, leaves: DataFrame) -> DataFrame:
-    """FUZ-3. One name holds the other, or the last eight characters are equal.
+def contained(texts: DataFrame, parts: DataFrame) -> DataFrame:
+    """(text, part): the names of ``parts`` that names of ``texts`` hold (column name, in lower case, distinct), equal ones too.
 
-    Containment has no equi-join key as a whole, but a contained name holds its own first six characters,
-    so names meet at each six characters of the longer one.
+    A grid of blocks of at most about TEXTS and PARTS names: each cell builds an automaton of its parts and runs its
+    texts through it, so what a task holds is bounded, and a piece that many names share is no join key.
     """
+    texts, parts = stored(texts.select("name"), "texts"), stored(parts.select("name"), "parts")
+    down, across = (max(1, -(-df.count() // n)) for df, n in ((texts, TEXTS), (parts, PARTS)))
+    block = lambda n: F.pmod(F.xxhash64("name"), F.lit(n)).cast("int")
+    left = texts.select("name", F.lit(True).alias("is_text"), block(down).alias("d"), F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("a"))
+    right = parts.select("name", F.lit(False).alias("is_text"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("d"), block(across).alias("a"))
+    cells = left.unionByName(right).select((F.col("d") * across + F.col("a")).alias("cell"), "is_text", "name")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        cell, automaton = None, None
+        for batch in batches:
+            found: list[tuple[str, str]] = []
+            for at, is_text, name in zip(batch["cell"].to_pylist(), batch["is_text"].to_pylist(), batch["name"].to_pylist(), strict=True):
+                if at != cell:
+                    cell, automaton = at, ahocorasick.Automaton()
+                if not is_text:  # parts come first
+                    automaton.add_word(name, name)
+                elif len(automaton):
+                    if automaton.kind != ahocorasick.AHOCORASICK:
+                        automaton.make_automaton()
+                    found += ((name, part) for part in {part for _, part in automaton.iter(name)})
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.string())], ["text", "part"])
+
+    return cells.repartitionById(down * across, F.col("cell")).sortWithinPartitions("cell", "is_text").mapInArrow(run, "text string, part string")
+
+
+def by_part(unknown: DataFrame, leaves: DataFrame) -> DataFrame:
+    """FUZ-3. One name holds the other, or the last eight characters are equal."""
     low = lambda c: F.lower(F.col(c))
-    pieces = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(low(c)) - 5, F.lit(1))), lambda k: F.substring(low(c), k, F.lit(6))))
     left, right = unknown.select("element_name").distinct(), leaves.select("leaf").distinct()
+    names = [rows.select(low(c).alias("name")).where(F.length("name") > 5).distinct() for rows, c in ((left, "element_name"), (right, "leaf"))]
+    held = contained(names[0], names[1]).select(F.col("text").alias("l"), F.col("part").alias("r")).union(contained(names[1], names[0]).select("part", "text")).distinct()
     ends = left.join(right, F.right(low("element_name"), F.lit(8)) == F.right(low("leaf"), F.lit(8)))
-    inner = left.withColumn("k", F.substring(low("element_name"), 1, 6)).join(right.withColumn("k", F.explode(pieces("leaf"))), "k").drop("k")
-    outer = left.withColumn("k", F.explode(pieces("element_name"))).join(right.withColumn("k", F.substring(low("leaf"), 1, 6)), "k").drop("k")
-    pairs = ends.unionByName(inner).unionByName(outer).distinct()
+    pairs = ends.unionByName(left.withColumn("l", low("element_name")).join(held, "l").join(right.withColumn("r", low("leaf")), "r").select("element_name", "leaf")).distinct()
     firsts = leaves.groupBy("leaf").agg(F.min("candidate").alias("candidate"), F.collect_set("c_schedule").alias("schedules"))
     rows = unknown.join(pairs, "element_name").join(firsts, "leaf").withColumn("score", part_score(F.col("element_name"), F.col("leaf"), F.array_contains("schedules", F.col("schedule"))))
     x, y = low("element_name"), low("leaf")

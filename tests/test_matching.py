@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from filing_jobs.functions.scalars import bigrams
-from filing_jobs.operators import select
-from filing_jobs.operators.fuzzy import alike
+from filing_jobs.operators import fuzzy, select
+from filing_jobs.operators.fuzzy import alike, contained
 
 
 def pairs_of(name):
@@ -36,6 +36,18 @@ def test_similar_names_equal_all_pairs(spark, least):
     assert got == want and len(got) > 50
 
 
+@pytest.mark.parametrize("sizes", [(100_000, 50_000), (30, 20)])
+def test_contained_names_equal_all_pairs(spark, monkeypatch, sizes):
+    monkeypatch.setattr(fuzzy, "TEXTS", sizes[0])
+    monkeypatch.setattr(fuzzy, "PARTS", sizes[1])
+    r = random.Random(7)
+    texts, parts = ({n.lower() for n in random_names(r, 150) if len(n) > 2} | {"é🙂x", "same"} for _ in range(2))
+    frame = lambda names: spark.createDataFrame([(n,) for n in sorted(names)], "name string").repartition(3)
+    got = sorted(map(tuple, contained(frame(texts), frame(parts)).collect()))
+    assert got == sorted((t, p) for t in texts for p in parts if p in t)
+    assert contained(frame(texts), frame(set())).collect() == contained(frame(set()), frame(parts)).collect() == []
+
+
 def test_rare_pairs_meet_far_less_often(spark):
     r = random.Random(1)
     stems = ["".join(r.choice("bcdfgklmnprstv") + r.choice("aeiou") for _ in range(r.randint(3, 6))).title() for _ in range(80)]
