@@ -48,6 +48,10 @@ def run_parser(parser: expat.XMLParserType, pieces: Iterable[bytes]) -> Iterator
     """Feed all pieces, a step at a time; raises Malformed."""
     try:
         for piece in pieces:
+            if len(piece) <= STEP:
+                parser.Parse(piece, False)
+                yield
+                continue
             view = memoryview(piece)
             for at in range(0, len(view), STEP):
                 parser.Parse(view[at : at + STEP], False)
@@ -66,36 +70,46 @@ def new_parser(decoded: bool) -> expat.XMLParserType:
     return parser
 
 
-class Outline:
-    """The first reading: the header's small tree, the root's attributes, and whether there is a data element.
+class Reading:
+    """One reading of a document: the header's small tree, the root's attributes, whether there is a data element, and rows.
 
-    Handlers are taken off as soon as both header and data are found; the rest is only checked.
+    With ``walks`` the content of the data element (with ``whole``: of the root, and no header) becomes ``rows`` of
+    (section, xpath, doc_ord, text, anc, in_root_ns): for the time of that element the parser has the walk's handlers.
+    As soon as header and data are found and done, the rest is only checked.
     """
 
-    def __init__(self, pieces: Iterable[bytes], decoded: bool):
-        self.space, self.version, self.header, self.has_data = "", "", None, False
-        self.depth, self.builder = 0, None
+    def __init__(self, decoded: bool, walks: bool, wanted: frozenset[str] | None = None, whole: bool = False):
+        self.space, self.version, self.header, self.has_data, self.whole = "", "", None, False, whole
+        self.depth, self.builder, self.rows = 0, None, []
+        self.walks, self.wanted = walks, wanted
         self.parser = new_parser(decoded)
         self.parser.StartElementHandler, self.parser.EndElementHandler = self.start, self.end
-        for _ in run_parser(self.parser, pieces):
-            pass
 
     def start(self, name: str, attributes: dict[str, str]) -> None:
         self.depth += 1
+        if self.builder is not None:
+            self.builder.start("{" + name if "}" in name else name, {})
+            return
+        if self.depth > 2:
+            return
         space, own = split_name(name)
         if self.depth == 1:
             self.space, self.version = space, attributes.get("returnVersion", "")
-        elif self.depth == 2 and space == self.space:
+            if self.whole:
+                self.walk("root_fallback")
+        elif space == self.space:
             if own == "ReturnData" and not self.has_data:
                 self.has_data = True
-                self.rest()
-            elif own == "ReturnHeader" and self.header is None:
+                if self.walks:
+                    self.walk("data")
+                elif self.header is not None:
+                    self.parser.StartElementHandler = self.parser.EndElementHandler = None
+            elif own == "ReturnHeader" and self.header is None and not self.whole:
                 self.builder = ElementTree.TreeBuilder()
                 self.parser.CharacterDataHandler = self.builder.data
                 # text ends at a comment, which is an element without a name here
                 self.parser.CommentHandler = self.parser.ProcessingInstructionHandler = self.mark
-        if self.builder is not None:
-            self.builder.start("{" + name if "}" in name else name, {})
+                self.builder.start("{" + name if "}" in name else name, {})
 
     def mark(self, *_: str) -> None:
         self.builder.start("!", {})
@@ -107,56 +121,23 @@ class Outline:
             self.builder.end("{" + name if "}" in name else name)
             if self.depth == 1:
                 self.header, self.builder = self.builder.close(), None
-                self.parser.CharacterDataHandler = self.parser.CommentHandler = self.parser.ProcessingInstructionHandler = None
-                self.rest()
-
-    def rest(self) -> None:
-        if self.has_data and self.header is not None:
-            self.parser.StartElementHandler = self.parser.EndElementHandler = None
-
-
-class Filing:
-    """A document whose pieces can be read twice; None instead of pieces: no document."""
-
-    def __init__(self, pieces: Callable[[], Iterable[bytes]] | None, decoded: bool):
-        self.pieces, self.decoded, self.outline = pieces, decoded, None
-        if pieces is not None:
-            try:
-                self.outline = Outline(pieces(), decoded)
-            except Malformed:
-                pass
-
-    def __bool__(self) -> bool:
-        return self.outline is not None
-
-    def elements(self, wanted: frozenset[str] | None) -> Iterator[tuple]:
-        """(section, xpath, doc_ord, text, anc, in_root_ns) of the elements below the data, else below the root.
-
-        Numbers count all elements of the walk, whatever is wanted. An element is given when its text is known: at
-        the first thing in it, or at its end, and so in document order.
-        """
-        walk = Walk(self, wanted)
-        for _ in run_parser(walk.parser, self.pieces()):
-            if walk.rows:
-                yield from walk.rows
-                walk.rows.clear()
-
-
-class Walk:
-    """The second reading's handlers: a stack of open elements, and the rows found since they were last taken."""
-
-    def __init__(self, filing: Filing, wanted: frozenset[str] | None):
-        self.rows: list[tuple] = []
-        rows, outline = self.rows, filing.outline
-        space, section = outline.space, "data" if outline.has_data else "root_fallback"
-        top = 2 if outline.has_data else 1  # depth of the element whose content is walked
-        names: dict[str, tuple[str, str]] = {}
-        stack: list[tuple[str, tuple, bool]] = []
+                self.back()
+
+    def back(self) -> None:
+        """The handlers after the header or the walk."""
+        done = self.whole or (self.has_data and self.header is not None)
+        parser = self.parser
+        parser.CharacterDataHandler = parser.CommentHandler = parser.ProcessingInstructionHandler = None
+        parser.StartElementHandler, parser.EndElementHandler = (None, None) if done else (self.start, self.end)
+
+    def walk(self, section: str) -> None:
+        """Handlers for what is in the element that has just begun: a stack of the open elements, and the one whose text goes on."""
+        rows, space, wanted = self.rows, self.space, self.wanted
+        names: dict[str, tuple[str, bool]] = {}
+        stack: list[tuple[str, tuple, bool]] = [("", (), True)]
         texts: list[str] = []
-        depth = number = 0
-        inside_data = done = False
-        last: tuple | None = None  # the element whose text goes on
-        parser = self.parser = new_parser(filing.decoded)
+        number = 0
+        last: tuple | None = None
 
         def close() -> None:
             nonlocal last
@@ -166,21 +147,16 @@ class Walk:
             last = None
 
         def start(name: str, _: dict) -> None:
-            nonlocal depth, number, inside_data, last, done
-            depth += 1
+            nonlocal number, last
             if last is not None:
                 close()
-            if not inside_data:
-                if depth == top and not done and (top == 1 or split_name(name) == (space, "ReturnData")):
-                    inside_data = done = True
-                    stack.append(("", (), True))
-                return
             known = names.get(name)
             if known is None:
-                known = names[name] = split_name(name)
-            own_space, own = known
+                own_space, own = split_name(name)
+                known = names[name] = (own, own_space == space)
+            own, same = known
             above, anc, inside = stack[-1]
-            inside = inside and own_space == space
+            inside = inside and same
             if own in WRAPPERS:  # the path begins anew below a wrapper
                 stack.append(("", (), inside))
             else:
@@ -191,27 +167,66 @@ class Walk:
             number += 1
 
         def end(_: str) -> None:
-            nonlocal depth, inside_data
             if last is not None:
                 close()
-            if inside_data:
-                stack.pop()
-                if depth == top:
-                    inside_data = False
-            depth -= 1
-
-        def text(value: str) -> None:
-            if last is not None:
-                texts.append(value)
+            stack.pop()
+            if not stack:  # the walked element itself
+                self.depth -= 1
+                self.back()
 
         def other(*_: str) -> None:
             if last is not None:
                 close()
 
+        def text(value: str) -> None:
+            if last is not None:
+                texts.append(value)
+
+        parser = self.parser
         parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
         parser.CommentHandler = parser.ProcessingInstructionHandler = other
 
 
+class Filing:
+    """A document whose pieces can be read twice; None instead of pieces: no document. False if it is malformed.
+
+    A ``small`` one is read once and its rows are held, which its size bounds; of a larger one the first reading tells
+    whether it is well-formed, and a second one gives its elements as they come. ``walks``: whether they are wanted at all.
+    """
+
+    def __init__(self, pieces: Callable[[], Iterable[bytes]] | None, decoded: bool, wanted: frozenset[str] | None = None, small: bool = False, walks: bool = True):
+        self.pieces, self.decoded, self.wanted, self.outline, self.rows = pieces, decoded, wanted, None, None
+        if pieces is None:
+            return
+        try:
+            found = Reading(decoded, small and walks, wanted)
+            for _ in run_parser(found.parser, pieces()):
+                pass
+            self.outline = found
+            if small and walks:
+                self.rows = found.rows if found.has_data else list(self.streamed())
+        except Malformed:
+            self.outline = None
+
+    def __bool__(self) -> bool:
+        return self.outline is not None
+
+    def elements(self) -> Iterable[tuple]:
+        """(section, xpath, doc_ord, text, anc, in_root_ns) of the elements below the data, else below the root.
+
+        Numbers count all elements of the walk, whatever is wanted. An element is given when its text is known: at
+        the first thing in it, or at its end, and so in document order.
+        """
+        return self.streamed() if self.rows is None else self.rows
+
+    def streamed(self) -> Iterator[tuple]:
+        reading = Reading(self.decoded, True, self.wanted, whole=not self.outline.has_data)
+        for _ in run_parser(reading.parser, self.pieces()):
+            if reading.rows:
+                yield from reading.rows
+                reading.rows.clear()
+
+
 def pieces_of(filings: DataFrame, path_col: str, content_col: str, readings: int = 2) -> DataFrame:
     """(path, readings, count, decoded, piece): a small filing is one row, a larger one its pieces in order, ``readings`` times.
 
@@ -252,16 +267,16 @@ class Pieces:
             pass
 
 
-def filings_in(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, Filing]]:
+def filings_in(batches: Iterable[pa.RecordBatch], wanted: frozenset[str] | None = None, walks: bool = True) -> Iterator[tuple[str, Filing]]:
     """(path, filing) out of rows of pieces. A filing's elements must be taken before the next filing is."""
     rows = read_pieces(batches)
     for path, readings, count, decoded, piece in rows:
         if count == 1:
             whole = piece if piece is None or not decoded else stripped(piece)
-            yield path, Filing(None if whole is None else lambda whole=whole: (whole,), decoded)
+            yield path, Filing(None if whole is None else lambda whole=whole: (whole,), decoded, wanted, small=True, walks=walks)
             continue
         held = Pieces(rows, piece, count, decoded)
-        filing = Filing(held.reading, decoded)
+        filing = Filing(held.reading, decoded, wanted, walks=walks)
         held.skip(count)  # what a malformed one left
         yield path, filing
         held.skip(readings * count)
@@ -317,7 +332,7 @@ def headers(filings: DataFrame, *, path_col: str = "path", content_col: str = "c
     names = [x.split()[0] for x in f"{HEADERS}, {LEGACY}".split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = ({"path": path} | header_of(filing) for path, filing in filings_in(batches))
+        found = ({"path": path} | header_of(filing) for path, filing in filings_in(batches, walks=False))
         while rows := list(islice(found, BATCH)):
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], pa.string()) for n in names], names)
 
@@ -373,11 +388,11 @@ def shred_filings(filings: DataFrame, wanted: Iterable[str] | None = None, *, pa
             arrays = [pa.array(c, f.type) for c, f in zip(columns[:7], schema, strict=False)]
             return pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs), pa.array(columns[8], pa.bool_())], [f.name for f in schema])
 
-        for path, filing in filings_in(batches):
+        for path, filing in filings_in(batches, only):
             if not filing:
                 continue
             own = header_of(filing)
-            for element in filing.elements(only):
+            for element in filing.elements():
                 rows.append((path, own["return_version"], own["status"], *element))
                 if len(rows) >= BATCH:
                     yield out()
@@ -406,8 +421,8 @@ BOXES = ("boxes", "array<struct<container:string,number:int,texts:map<string,str
 PATHS = ("paths", "array<struct<xpath:string,n:long,sample:string>>", pa.list_(pa.struct([("xpath", pa.string()), ("n", pa.int64()), ("sample", pa.string())])))
 
 
-def per_filing(filings: DataFrame, columns: tuple, extra: Callable[[Filing], tuple[list, ...]], path_col: str, content_col: str) -> DataFrame:
-    """Header rows with further list columns, which ``extra`` makes of a filing (false: malformed).
+def per_filing(filings: DataFrame, columns: tuple, extra: Callable[[Filing], tuple[list, ...]], path_col: str, content_col: str, wanted: Callable[[], frozenset[str] | None] = lambda: None) -> DataFrame:
+    """Header rows with further list columns, which ``extra`` makes of a filing (false: malformed) with its ``wanted`` elements.
 
     One row per filing and no shuffle: a filing lies whole in one row.
     """
@@ -422,7 +437,7 @@ def per_filing(filings: DataFrame, columns: tuple, extra: Callable[[Filing], tup
             arrays = [pa.array([r[n] for r in rows], pa.string()) for n in names]
             return pa.RecordBatch.from_arrays([*arrays, *(pa.array([r[n] for r in rows], kind) for n, _, kind in columns)], [*names, *added])
 
-        for path, filing in filings_in(batches):
+        for path, filing in filings_in(batches, wanted()):
             found = extra(filing)
             rows.append(header_of(filing) | {"path": path} | dict(zip(added, found, strict=True)))
             size += 1 + sum(map(len, found))
@@ -448,7 +463,7 @@ def texts_and_boxes(filings: DataFrame, wanted: Iterable[str], containers: Itera
         only, holders, inner = shared.value
         texts: dict[str, str] = {}
         boxes: dict[int, tuple[str, dict[str, str]]] = {}
-        for section, xpath, number, text, anc, inside in filing.elements(only | holders | inner) if filing else ():
+        for section, xpath, number, text, anc, inside in filing.elements() if filing else ():
             if not inside or section != "data":
                 continue
             if xpath in only:
@@ -466,7 +481,7 @@ def texts_and_boxes(filings: DataFrame, wanted: Iterable[str], containers: Itera
             out.append({"container": xpath, "number": number, "texts": list(own.items())})
         return list(texts.items()), out
 
-    return per_filing(filings, (TEXTS, BOXES), extra, path_col, content_col)
+    return per_filing(filings, (TEXTS, BOXES), extra, path_col, content_col, lambda: frozenset().union(*shared.value))
 
 
 def first_texts(filings: DataFrame, wanted: Iterable[str], *, path_col: str = "path", content_col: str = "content") -> DataFrame:
@@ -479,7 +494,7 @@ def path_counts(filings: DataFrame, sample: int, *, path_col: str = "path", cont
 
     def extra(filing: Filing) -> tuple[list]:
         held: dict[str, list] = {}
-        for _, xpath, _, text, _, _ in filing.elements(None) if filing else ():
+        for _, xpath, _, text, _, _ in filing.elements() if filing else ():
             own = held.setdefault(xpath, [0, ""])
             own[0] += 1
             own[1] = own[1] or text[:sample]

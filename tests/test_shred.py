@@ -67,16 +67,17 @@ def test_events_equal_the_tree(monkeypatch, step):
     for _ in range(1500):
         content = random_document(r).encode()
         cut = r.choice([1, 5, 64, 10**6])
-        filing = Filing(lambda: (content[k : k + cut] for k in range(0, len(content), cut)), False)  # noqa: B023
+        pieces, small = lambda: (content[k : k + cut] for k in range(0, len(content), cut)), r.random() < 0.5  # noqa: B023, E731
+        filing = Filing(pieces, False, small=small)
         tree = whole_tree(content)
         assert bool(filing) == (tree is not None), content
         if tree is None:
             continue
         head = header_of(filing)
         assert tuple(head[c] for c in ("status", "return_version", "ein", "tax_period", "org_name", "form_type")) == tree[0], content
-        assert list(filing.elements(None)) == tree[1], content
+        assert list(filing.elements()) == tree[1], content
         some = frozenset(x[1] for x in tree[1][::2])
-        assert list(filing.elements(some)) == [x for x in tree[1] if x[1] in some]
+        assert list(Filing(pieces, False, some, small=small).elements()) == [x for x in tree[1] if x[1] in some]
         kinds.add(tree[0][0])
     assert kinds == {"ok", "no_header", "no_data"}
 
@@ -111,7 +112,7 @@ def test_memory_follows_depth_and_not_size():
 
     tracemalloc.start()
     filing = Filing(lambda: pieces(400), False)  # 33 MB
-    found = sum(1 for _ in filing.elements(None))
+    found = sum(1 for _ in filing.elements())
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found == 1 + 400 * 500 * 3 and peak < 3_000_000
