@@ -51,7 +51,7 @@ def scalars_of_filings(filings: DataFrame, specs: DataFrame, **columns: str) ->
     Parses each filing once, without a shuffle of the filings: every filing's row holds its own first
     texts, is stored, and the paths of the versions that occur are joined to it.
     """
-    chosen = scalars_of(specs)
+    chosen = stored(scalars_of(specs), "specs")
     wanted = [r["xpath"] for r in spec_xpaths(chosen).select("xpath").distinct().collect()]  # dictionary-sized
     return scalars_of_rows(stored(usable(first_texts(filings, wanted, **columns)), "first-texts"), chosen)
 
@@ -62,6 +62,7 @@ def tables_of_filings(filings: DataFrame, specs: DataFrame, **columns: str) -> t
     A group's table has path, ein, tax_period, instance_num (in document order) and one column per field, "" where missing.
     The instances of all groups are written once, a folder for each group, and each table reads its own folder.
     """
+    specs = stored(specs, "specs")  # a dictionary's fields: read several times below
     chosen, grouped = scalars_of(specs), specs.where("group_name != ''")
     wanted = [r["xpath"] for r in spec_xpaths(chosen).select("xpath").distinct().collect()]  # dictionary-sized, as are the next ones
     possible = possible_children(grouped).collect()
@@ -136,7 +137,7 @@ def possible_children(grouped: DataFrame) -> DataFrame:
 def group_paths(headers: DataFrame, grouped: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(group_name, return_version, container) and (.., field_name, child) for the versions that occur."""
     members = members_of(grouped)
-    resolved = resolved_for(headers, grouped).withColumnRenamed("field", "field_name").join(members, "field_name")
+    resolved = stored(resolved_for(headers, grouped).withColumnRenamed("field", "field_name").join(members, "field_name"), "resolved")
     first = resolved.join(first_members(members), ["group_name", "field_name"])
     containers = first.select("group_name", F.col("version").alias("return_version"), upto_group(F.col("xpath"), F.col("group_name")).alias("container"))
     children = resolved.withColumnRenamed("version", "return_version").join(containers, ["group_name", "return_version"])

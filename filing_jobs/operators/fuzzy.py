@@ -52,18 +52,27 @@ def by_words(unknown: DataFrame, leaves: DataFrame) -> DataFrame:
     return best(rows, "words")
 
 
-def contained(texts: DataFrame, parts: DataFrame) -> DataFrame:
-    """(text, part): the names of ``parts`` that names of ``texts`` hold (column name, in lower case, distinct), equal ones too.
+def holding(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(l, r): names of ``left`` and ``right`` (column name, in lower case, distinct) of which one holds the other.
 
-    A grid of blocks of at most about TEXTS and PARTS names: each cell builds an automaton of its parts and runs its
-    texts through it, so what a task holds is bounded, and a piece that many names share is no join key.
+    Two grids of blocks of at most about TEXTS and PARTS names, one for each direction: each cell builds an automaton of
+    its parts and runs its texts through it, so what a task holds is bounded, and a piece that many names share is no join key.
     """
-    texts, parts = stored(texts.select("name"), "texts"), stored(parts.select("name"), "parts")
-    down, across = (max(1, -(-df.count() // n)) for df, n in ((texts, TEXTS), (parts, PARTS)))
+    names = stored(left.select(F.lit(0).alias("side"), "name").unionByName(right.select(F.lit(1).alias("side"), "name")), "names")
+    sizes = {r["side"]: r["n"] for r in names.groupBy("side").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
+        return left.sparkSession.createDataFrame([], "l string, r string")
+    blocks = lambda side, most: -(-sizes[side] // most)
     block = lambda n: F.pmod(F.xxhash64("name"), F.lit(n)).cast("int")
-    left = texts.select("name", F.lit(True).alias("is_text"), block(down).alias("d"), F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("a"))
-    right = parts.select("name", F.lit(False).alias("is_text"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("d"), block(across).alias("a"))
-    cells = left.unionByName(right).select((F.col("d") * across + F.col("a")).alias("cell"), "is_text", "name")
+    cells, first = None, {}
+    for side, start in ((0, 0), (1, blocks(0, TEXTS) * blocks(1, PARTS))):
+        down, across = blocks(side, TEXTS), blocks(1 - side, PARTS)
+        texts = names.where(F.col("side") == side).select("name", F.lit(True).alias("is_text"), block(down).alias("d"), F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("a"))
+        parts = names.where(F.col("side") != side).select("name", F.lit(False).alias("is_text"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("d"), block(across).alias("a"))
+        own = texts.unionByName(parts).select((F.lit(start) + F.col("d") * across + F.col("a")).alias("cell"), "is_text", "name")
+        cells, first[side] = own if cells is None else cells.unionByName(own), start
+        total = start + down * across
+    turned = first[1]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
@@ -79,10 +88,11 @@ def contained(texts: DataFrame, parts: DataFrame) -> DataFrame:
                 elif len(automaton):
                     if automaton.kind != ahocorasick.AHOCORASICK:
                         automaton.make_automaton()
-                    found += ((name, part) for part in {part for _, part in automaton.iter(name)})
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.string())], ["text", "part"])
+                    found += ((part, name) if at >= turned else (name, part) for part in {part for _, part in automaton.iter(name)})
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.string())], ["l", "r"])
 
-    return cells.repartitionById(down * across, F.col("cell")).sortWithinPartitions("cell", "is_text").mapInArrow(run, "text string, part string")
+    dealt = cells.repartitionById(total, F.col("cell")).sortWithinPartitions("cell", "is_text")
+    return dealt.mapInArrow(run, "l string, r string").distinct()
 
 
 def by_part(unknown: DataFrame, leaves: DataFrame) -> DataFrame:
@@ -90,7 +100,7 @@ def by_part(unknown: DataFrame, leaves: DataFrame) -> DataFrame:
     low = lambda c: F.lower(F.col(c))
     left, right = unknown.select("element_name").distinct(), leaves.select("leaf").distinct()
     names = [rows.select(low(c).alias("name")).where(F.length("name") > 5).distinct() for rows, c in ((left, "element_name"), (right, "leaf"))]
-    held = contained(names[0], names[1]).select(F.col("text").alias("l"), F.col("part").alias("r")).union(contained(names[1], names[0]).select("part", "text")).distinct()
+    held = holding(*names)
     ends = left.join(right, F.right(low("element_name"), F.lit(8)) == F.right(low("leaf"), F.lit(8)))
     pairs = ends.unionByName(left.withColumn("l", low("element_name")).join(held, "l").join(right.withColumn("r", low("leaf")), "r").select("element_name", "leaf")).distinct()
     firsts = leaves.groupBy("leaf").agg(F.min("candidate").alias("candidate"), F.collect_set("c_schedule").alias("schedules"))
@@ -108,16 +118,17 @@ def tokens(names: DataFrame) -> DataFrame:
     return pairs.join(order, "pair").groupBy("name").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
 
 
-def alike(left: DataFrame, right: DataFrame, keys: list[str], least: tuple[int, int]) -> DataFrame:
+def alike(left: DataFrame, right: DataFrame, keys: list[str], least: tuple[int, int], known: DataFrame) -> DataFrame:
     """(keys, left, right, both, n, m): names of ``left`` and ``right`` (columns keys and name) with a Dice similarity of ``least`` or more.
 
+    ``known``: the ``tokens`` of all names, in any one order of rarity.
+
     A similarity of a / b takes a * (n + m) / (2 * b) shared pairs, and neither name has more than (2 * b - a) / a times the
     other's. So a name and one that is no smaller share a pair among the first n - a * n / b + 1 rarest pairs of the
     smaller one and the first m - a * m / (2 * b - a) + 1 of the other: only those are join keys. Each two names meet at
     the rarest pair that both have.
     """
     a, b = least
-    known = stored(tokens(left.select("name").unionByName(right.select("name"))), "name-tokens")
 
     def prefixes(rows: DataFrame, name: str, size: str) -> DataFrame:
         n = F.size("tokens")
@@ -136,16 +147,16 @@ def alike(left: DataFrame, right: DataFrame, keys: list[str], least: tuple[int,
     return found.select(*keys, "left", "right", F.size("common").alias("both"), "n", "m")
 
 
-def by_similarity(unknown: DataFrame, leaves: DataFrame) -> DataFrame:
+def by_similarity(unknown: DataFrame, leaves: DataFrame, known: DataFrame) -> DataFrame:
     """FUZ-4. Pairs of characters alike by 0.6 or more, within the same schedule."""
     mine = unknown.select("schedule", F.col("element_name").alias("name")).distinct()
     theirs = leaves.select(F.col("c_schedule").alias("schedule"), F.col("leaf").alias("name"), "candidate")
-    found = alike(mine, theirs.select("schedule", "name").distinct(), ["schedule"], (3, 5)).withColumn("score", 2.0 * F.col("both") / (F.col("n") + F.col("m")))
+    found = alike(mine, theirs.select("schedule", "name").distinct(), ["schedule"], (3, 5), known).withColumn("score", 2.0 * F.col("both") / (F.col("n") + F.col("m")))
     scored = found.join(theirs.withColumnRenamed("name", "right"), ["schedule", "right"]).select("schedule", F.col("left").alias("element_name"), "candidate", "score")
     return best(unknown.join(scored, ["schedule", "element_name"]).withColumn("reason", F.lit("name similarity")), "similar")
 
 
-def by_parent(unknown: DataFrame, d: Dict, unused: DataFrame) -> DataFrame:
+def by_parent(unknown: DataFrame, d: Dict, unused: DataFrame, known: DataFrame) -> DataFrame:
     """FUZ-5. The parent is in the dictionary and has unused fields: the most similar one, else the one with the smallest path.
 
     Below a similarity of 0.3 all are alike, so only similar names meet; the rest takes one path of each parent.
@@ -154,7 +165,7 @@ def by_parent(unknown: DataFrame, d: Dict, unused: DataFrame) -> DataFrame:
     free = d.field_xpaths.join(unused, "canonical_name", "left_semi").select(F.col("xpath").alias("candidate")).distinct()
     free = free.select("candidate", parent_of(F.col("candidate")).alias("parent_xpath"), leaf_of(F.col("candidate")).alias("name"))
     names = parents.select("parent_xpath", F.col("element_name").alias("name")).distinct()
-    found = alike(names, free.select("parent_xpath", "name").distinct(), ["parent_xpath"], (3, 10)).withColumn("dice", 2.0 * F.col("both") / (F.col("n") + F.col("m")))
+    found = alike(names, free.select("parent_xpath", "name").distinct(), ["parent_xpath"], (3, 10), known).withColumn("dice", 2.0 * F.col("both") / (F.col("n") + F.col("m")))
     near = found.where("dice > 0.3").join(free.withColumnRenamed("name", "right"), ["parent_xpath", "right"])
     near = near.select("parent_xpath", F.col("left").alias("element_name"), "candidate", F.greatest(F.lit(0.5), "dice").alias("score"))
     first = free.groupBy("parent_xpath").agg(F.min("candidate").alias("candidate")).withColumn("score", F.lit(0.45))
@@ -174,12 +185,14 @@ def cascade(now: Column, names: tuple[str, ...]) -> Column:
 def match_unknowns(unknown: DataFrame, d: Dict, unused: DataFrame) -> DataFrame:
     """FUZ-1 to 7. (xpath, match, score, reason) of the unknown paths that have a probable match (0.45 or more), best first."""
     leaves = stored(dictionary_leaves(d), "leaves")
+    names = unknown.select("element_name").union(leaves.select("leaf")).union(d.field_xpaths.select(leaf_of(F.col("xpath"))))
+    known = stored(tokens(names.toDF("name")), "name-tokens")
     nothing = F.struct(F.lit(0.0).alias("score"), F.lit("").alias("match"), F.lit("").alias("reason"))
     rows = unknown.select("xpath", "element_name", "schedule", "parent_xpath").withColumn("b", nothing)
     steps = [("leaf", "words"), ("part",), ("similar",), ("parent",)]
     for names in steps:  # the dearer rules see only what is still below their gate
         below = rows.where(F.col("b.score") < max(GATES[RULES.index(n)] for n in names)).drop("b")
-        rules = {"leaf": lambda x: by_leaf(x, leaves), "words": lambda x: by_words(x, leaves), "part": lambda x: by_part(x, leaves), "similar": lambda x: by_similarity(x, leaves), "parent": lambda x: by_parent(x, d, unused)}
+        rules = {"leaf": lambda x: by_leaf(x, leaves), "words": lambda x: by_words(x, leaves), "part": lambda x: by_part(x, leaves), "similar": lambda x: by_similarity(x, leaves, known), "parent": lambda x: by_parent(x, d, unused, known)}
         joined = rows
         for name in names:
             joined = joined.join(rules[name](below), "xpath", "left")

@@ -37,6 +37,7 @@ class Audit(NamedTuple):
 def audit_corpus(filings: DataFrame, d: Dict) -> Audit:
     """W2. Elements are aggregated to paths per filing before anything is stored or shuffled."""
     heads, paths = audit.digests(filings)
+    d = d._replace(xpath_index=stored(d.xpath_index, "xpath-index"))  # it is asked for in every step
     n = heads.agg(F.count("*").alias("n"))
     stats = stored(audit.path_stats(paths, d), "path-stats")
     missing = audit.missing_versions(heads, d)

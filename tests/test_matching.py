@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from filing_jobs.functions.scalars import bigrams
 from filing_jobs.operators import fuzzy, select
-from filing_jobs.operators.fuzzy import alike, contained
+from filing_jobs.operators.fuzzy import alike, holding, tokens
 
 
 def pairs_of(name):
@@ -26,7 +26,8 @@ def test_similar_names_equal_all_pairs(spark, least):
     r, (a, b) = random.Random(4), least
     left, right = ([(r.choice(["k", "l", None]), n) for n in random_names(r, 120)] for _ in range(2))
     frame = lambda rows: spark.createDataFrame(list(dict.fromkeys(rows)), "k string, name string")
-    got = {(x["k"], x["left"], x["right"]): (x["both"], x["n"], x["m"]) for x in alike(frame(left), frame(right), ["k"], least).collect()}
+    known = tokens(frame(left).union(frame(right)).select("name"))
+    got = {(x["k"], x["left"], x["right"]): (x["both"], x["n"], x["m"]) for x in alike(frame(left), frame(right), ["k"], least, known).collect()}
     want = {}
     for k, x in set(left):
         for q, y in set(right):
@@ -37,15 +38,15 @@ def test_similar_names_equal_all_pairs(spark, least):
 
 
 @pytest.mark.parametrize("sizes", [(100_000, 50_000), (30, 20)])
-def test_contained_names_equal_all_pairs(spark, monkeypatch, sizes):
+def test_names_that_hold_others_equal_all_pairs(spark, monkeypatch, sizes):
     monkeypatch.setattr(fuzzy, "TEXTS", sizes[0])
     monkeypatch.setattr(fuzzy, "PARTS", sizes[1])
     r = random.Random(7)
     texts, parts = ({n.lower() for n in random_names(r, 150) if len(n) > 2} | {"é🙂x", "same"} for _ in range(2))
     frame = lambda names: spark.createDataFrame([(n,) for n in sorted(names)], "name string").repartition(3)
-    got = sorted(map(tuple, contained(frame(texts), frame(parts)).collect()))
-    assert got == sorted((t, p) for t in texts for p in parts if p in t)
-    assert contained(frame(texts), frame(set())).collect() == contained(frame(set()), frame(parts)).collect() == []
+    got = sorted(map(tuple, holding(frame(texts), frame(parts)).collect()))
+    assert got == sorted((t, p) for t in texts for p in parts if p in t or t in p)
+    assert holding(frame(texts), frame(set())).collect() == holding(frame(set()), frame(parts)).collect() == []
 
 
 def test_rare_pairs_meet_far_less_often(spark):
@@ -55,7 +56,7 @@ def test_rare_pairs_meet_far_less_often(spark):
     rows = spark.createDataFrame([("k", n) for n in names], "k string, name string")
     both = [rows.select("k", F.col("name").alias(c), F.explode(bigrams(F.col("name"))).alias("pair")) for c in ("left", "right")]
     plain = both[0].join(both[1], ["k", "pair"]).count()
-    found = alike(rows, rows, ["k"], (3, 5))
+    found = alike(rows, rows, ["k"], (3, 5), tokens(rows.select("name")))
     found.collect()
     met = max(joined_rows(found._jdf.queryExecution().executedPlan()))
     assert met * 10 < plain, (met, plain)
