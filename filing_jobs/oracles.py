@@ -257,7 +257,7 @@ def oracle_sql() -> dict[str, str]:
         "fn_names": f"WITH {ELEMENTS}, n AS (SELECT DISTINCT xpath, schedule, grp, name, raw FROM x) SELECT xpath, raw AS xsd_type, grp || '_' || name AS canonical, {labelled('name')} AS label, {spaced('name')} || ' (within ' || {spaced('grp')} || ')' AS inferred, {case('raw', TYPE_NAMES, 'raw')} AS type, replace(raw, 'efile:', '') AS bare_type, grp AS group_name, '/' || schedule || '/' || grp AS group_prefix, name AS relative, schedule, name AS leaf, '/' || schedule || '/' || grp AS parent, {worded('name')} AS words, {title} AS title FROM n",
         "fn_versions": f"WITH {ELEMENTS} SELECT version, count(*) AS n, CAST(left(version, 4) AS INT) AS year, CAST(split_part(substr(version, 6), '.', 1) AS INT) AS major, CAST(split_part(version, '.', 2) AS INT) AS minor, CAST(left(version, 4) AS INT) AS filing_year, CAST(split_part(substr(version, 6), '.', 1) AS INT) * 10 + CAST(split_part(version, '.', 2) AS INT) AS filing_part FROM x GROUP BY version",
         "fn_values": f"WITH v AS (SELECT ['x', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR), strftime(ts, '%Y-%m-%d'), lpad(CAST(user_id % 100 AS VARCHAR), 2, '0') || '-' || lpad(CAST(event_id AS VARCHAR), 7, '0'), event_type, '0', 'n/a ', repeat(event_type, 12), ''][event_id % 10 + 1] AS sample, CAST(event_id % 110 AS DOUBLE) AS pct FROM events), t AS (SELECT trim(sample) AS sample, pct FROM v) SELECT {GUESS} AS guess, upper(sample) NOT IN ('', '0', '0.00', 'NONE', 'N/A') AS nontrivial, CASE WHEN pct >= 50 THEN 'green' WHEN pct >= 10 THEN 'orange' ELSE 'red' END AS band, CASE WHEN pct / 100 >= 0.8 THEN 'HIGH' WHEN pct / 100 >= 0.6 THEN 'MED' ELSE 'LOW' END AS confidence, count(*) AS n FROM t GROUP BY ALL",
-        "fn_similarity": f"WITH {ELEMENTS}, n AS (SELECT DISTINCT name, schedule FROM x), p AS (SELECT a.name AS a, b.name AS b, bool_or(a.schedule = b.schedule) AS same FROM n a JOIN n b ON left(a.name, 1) = left(b.name, 1) GROUP BY ALL) SELECT a, b, CAST({dice('a', 'b')} AS DOUBLE) AS dice, CAST({part('a', 'b', 'same')} AS DOUBLE) AS part FROM p",
+        "fn_similarity": f"WITH {ELEMENTS}, n AS (SELECT name, list(DISTINCT schedule) AS s, {BIGRAMS.format('name')} AS bg FROM x GROUP BY name), p AS (SELECT a.name AS a, b.name AS b, list_has_any(a.s, b.s) AS same, CASE WHEN length(a.name) < 2 OR length(b.name) < 2 THEN CAST(0 AS DOUBLE) ELSE CAST(2 AS DOUBLE) * len(list_intersect(a.bg, b.bg)) / (len(a.bg) + len(b.bg)) END AS dice FROM n a, n b), q AS (SELECT a, b, dice, CAST({part('a', 'b', 'same')} AS DOUBLE) AS part FROM p) SELECT * FROM q WHERE dice >= 0.6 OR part > 0",
         "aud_filing_counts": f"WITH {BASE} SELECT {PATH} AS path, count(*) AS elements, count(DISTINCT xpath) AS distinct_xpaths FROM els GROUP BY k",
         "aud_path_stats": f"{w}{STATS} SELECT xpath, filing_count, array_to_string(versions, ';') AS versions, sample, known FROM stats",
         "aud_frequency": f"{w}{FP}, t AS (SELECT k, field, bool_or(upper(trim(sample)) NOT IN ('', '0', '0.00', 'NONE', 'N/A')) AS nt FROM paths JOIN idx USING (xpath) GROUP BY ALL), c AS (SELECT field, count(*) AS p, count(*) FILTER (nt) AS q FROM t GROUP BY field), n AS (SELECT count(*) AS n FROM base) SELECT d.field AS canonical_name, coalesce(p, 0) AS present_count, coalesce(p, 0) * 100.0 / n AS present_pct, coalesce(q, 0) AS nontrivial_count, coalesce(q, 0) * 100.0 / n AS nontrivial_pct FROM (SELECT DISTINCT field FROM dict) d LEFT JOIN c USING (field), n".replace("* 100.0 / n", "* CAST(100 AS DOUBLE) / n"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from filing_jobs.functions import scalars as fn
 from filing_jobs.operators import audit, browse, categories, dictionary, extract, fuzzy, outputs, select, specs, validate
 from filing_jobs.operators.resolve import resolve_paths
-from filing_jobs.plans.workloads import audit_corpus, build_dictionary
+from filing_jobs.plans.workloads import Audit, audit_corpus, build_dictionary
 from filing_jobs.sources import io, samples, shred, xsd
 from filing_jobs.store import new_folder, stored
 
@@ -193,9 +193,16 @@ def fn_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fn_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = samples.schema_elements(spark, sf_dir).select("element_name", "schedule").distinct()
-    pairs = names.toDF("a", "sa").join(names.toDF("b", "sb"), F.substring("a", 1, 1) == F.substring("b", 1, 1)).groupBy("a", "b").agg(F.bool_or(F.col("sa") == F.col("sb")).alias("same"))
-    return pairs.select("a", "b", fn.dice(F.col("a"), F.col("b")).alias("dice"), fn.part_score(F.col("a"), F.col("b"), F.col("same")).alias("part"))
+    """All pairs of element names that are alike by 0.6 or more, that hold one another, or that end alike."""
+    names = samples.schema_elements(spark, sf_dir).groupBy(F.col("element_name").alias("name")).agg(F.collect_set("schedule").alias("schedules"))
+    names = stored(names.withColumn("low", F.lower("name")), "names")  # schedules: six
+    side = lambda n, *columns: names.select(*(F.col(c).alias(f"{c}_{n}") for c in columns))
+    one, long = names.select("name"), names.where(F.length("low") > 5).select(F.col("low").alias("name")).distinct()
+    near = fuzzy.alike(one, one, [], (3, 5), stored(fuzzy.tokens(one), "name-tokens")).select(F.col("left").alias("a"), F.col("right").alias("b"))
+    held = fuzzy.holding(long, long).join(side("a", "low", "name"), F.col("l") == F.col("low_a")).join(side("b", "low", "name"), F.col("r") == F.col("low_b")).select("name_a", "name_b")
+    ends = side("a", "low", "name").join(side("b", "low", "name"), F.right("low_a", F.lit(8)) == F.right("low_b", F.lit(8))).select("name_a", "name_b")
+    pairs = near.union(held).union(ends).distinct().join(side("a", "name", "schedules"), F.col("a") == F.col("name_a")).join(side("b", "name", "schedules"), F.col("b") == F.col("name_b"))
+    return pairs.select("a", "b", fn.dice(F.col("a"), F.col("b")).alias("dice"), fn.part_score(F.col("a"), F.col("b"), F.arrays_overlap("schedules_a", "schedules_b")).alias("part")).where("dice >= 0.6 or part > 0")
 
 
 # --- audit
@@ -248,10 +255,12 @@ def aud_schedule_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.schedule_coverage(unknowns(spark, sf_dir)[1])
 
 
+def audited(spark: SparkSession, sf_dir: str) -> Audit:
+    return audit_corpus(samples.filings(spark, sf_dir), samples.dictionary(spark))
+
+
 def aud_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unknown, stats, d, n, unused = unknowns(spark, sf_dir)
-    missing = aud_missing_versions(spark, sf_dir)
-    return audit.warnings(missing, unknown, audit.schedule_coverage(stats), d, n, fuzzy.match_unknowns(unknown, d, unused)).drop("message")
+    return audited(spark, sf_dir).warnings.drop("message")
 
 
 def aud_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,15 +269,13 @@ def aud_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aud_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unknown, stats, d, _, unused = unknowns(spark, sf_dir)
-    heads = src_headers(spark, sf_dir)
-    return audit.summary(heads, stats, unknown, unused, audit.missing_versions(heads, d), fuzzy.match_unknowns(unknown, d, unused))
+    return audited(spark, sf_dir).summary
 
 
 def snk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit's report, its text written and read back; the lines of its parts."""
     d, out = samples.dictionary(spark), new_folder(spark, "report")
-    report = stored(outputs.audit_report(audit_corpus(samples.filings(spark, sf_dir), d), d), "report-rows")
+    report = stored(outputs.audit_report(audited(spark, sf_dir), d), "report-rows")
     outputs.write_table(outputs.report_text(report), out, "text")
     lines = spark.read.text(out, wholetext=True).select(F.explode(F.split("value", "\n")).alias("line")).where("line like '- %'").agg(F.count("*").alias("lines"))
     return report.crossJoin(F.broadcast(lines))
@@ -532,7 +539,7 @@ def ext_export_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct("p_partkey", "p_name", "p_type")))
     fields = F.transform(ordered, lambda x: F.struct(x["p_name"].alias("field_name"), x["p_type"].alias("label"), xpaths(x["p_name"]).alias("xpaths")))
     files = part.groupBy(F.col("p_brand").alias("query")).agg(fields.alias("fields"))
-    files.repartition(1).sortWithinPartitions("query").write.option("maxRecordsPerFile", 1).json(out)
+    files.repartitionByRange("query").sortWithinPartitions("query").write.option("maxRecordsPerFile", 1).json(out)
     return specs.from_exports(spark, out).select("field_name", "label", F.size("sources").cast("long").alias("sources"), "sample_xpath")
 
 
