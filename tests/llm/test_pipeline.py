@@ -30,3 +30,8 @@ def test_stages(spark, tmp_path):
         ids.setdefault(r["doc_id"], []).extend(np.frombuffer(r["ids"], "<u4").tolist())
     assert ids == {i: library.encode(t, add_special_tokens=False).ids + [1] for i, t in text[3].items()}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs[4].count()
+
+
+def test_no_documents_give_no_pieces(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
