@@ -183,10 +183,13 @@ def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_c
     known = np.bincount(slot * k + lang, minlength=len(keys) * k).reshape(len(keys), k)
     total = mass + 0.5 * known + 1  # half an occurrence more of each key that a language has
     floors = np.log(0.5) - np.log(total.max(axis=1))
-    sums = np.log(mass.sum(axis=1, keepdims=True) - mass + 0.5 * np.array([[len(x)] for x in keys.values()]) + 1)
+    alone = np.bincount(row, minlength=n_rows)[row] == 1  # keys that no other language has
+    others = np.array([[len(x)] for x in keys.values()]) - np.bincount(slot * k + lang, alone, len(keys) * k).reshape(len(keys), k)
+    sums = np.log(mass.sum(axis=1, keepdims=True) - mass + 0.5 * others + 1)
     by_row = np.argsort(row, kind="stable")
     gain = np.log(c + 0.5) - np.log(total[slot, lang]) - floors[slot]
-    less = np.log(pooled[row] + 0.5) - np.log(pooled[row] - c + 0.5)
+    without = np.where(alone, sums[slot, lang] + floors[slot], np.log(pooled[row] - c + 0.5))  # what the others never had counts as the floor
+    less = np.log(pooled[row] + 0.5) - without
     words = {g: starts[0] + i for g, i in keys[0].items()}
     rows = {g: starts[n] + i for n in ORDERS for g, i in keys[n].items()}
     first = np.concatenate([[0], np.bincount(row, minlength=n_rows).cumsum()]).astype(np.int64)

@@ -255,8 +255,10 @@ def brute_language(rows, text):
 
     def others(table, key, lang):
         rest = [x for x in langs if x != lang]
-        every = {g for x in table.values() for g in x}
-        return math.log((sum(table[x][key] for x in rest) + 0.5) / (sum(sum(table[x].values()) for x in rest) + 0.5 * len(every) + 1))
+        theirs = sum(table[x][key] for x in rest)
+        if not theirs:
+            return math.log(0.5 / max(half(table, x) for x in langs))
+        return math.log((theirs + 0.5) / (sum(sum(table[x].values()) for x in rest) + 0.5 * len({g for x in rest for g in table[x] if table[x][g]}) + 1))
 
     total, shares = dict.fromkeys(langs, 0.0), dict.fromkeys(langs, 0.0)
     for w in split(text):
