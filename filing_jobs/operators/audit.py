@@ -30,24 +30,54 @@ def filing_counts(paths: DataFrame) -> DataFrame:
     return paths.groupBy("path").agg(F.sum("n").alias("elements"), F.count("*").alias("distinct_xpaths"))
 
 
-def path_stats(paths: DataFrame, d: Dict) -> DataFrame:
-    """AUD-2. (xpath, filing_count, versions, sample, known) over the corpus.
+def version_numbers(headers: DataFrame, d: Dict) -> DataFrame:
+    """AUD-2, AUD-8. (version, missing, number): the versions of filings that are not empty, whether the dictionary lacks them, and their numbers in order.
 
-    The sample is the first one in order of filings; empty versions don't count. Aggregated before it is
-    shuffled: at most the distinct paths of a task leave it.
+    A filer's version is free text, so there may be very many: each task numbers its own range of them, from
+    a multiple of 2^33 on. Stored, so that the numbers stay.
     """
-    seen = paths.groupBy("xpath").agg(
-        F.count("*").alias("filing_count"),
-        F.array_sort(F.collect_set(F.when(F.col("return_version") != "", F.col("return_version")))).alias("versions"),
-        F.coalesce(F.min_by("sample", F.when(F.col("sample") != "", F.col("path"))), F.lit("")).alias("sample"),
+    seen = headers.where("return_version != ''").select(F.col("return_version").alias("version")).distinct()
+    flagged = seen.join(versions_of(d).distinct().withColumn("has", F.lit(True)), "version", "left")
+    return stored(flagged.select("version", F.col("has").isNull().alias("missing")).sort("version").withColumn("number", F.monotonically_increasing_id() + 1), "version-numbers")
+
+
+def path_stats(paths: DataFrame, d: Dict, numbers: DataFrame) -> DataFrame:
+    """AUD-2. (xpath, filing_count, version_sets, version_covered, sample, known) over the corpus.
+
+    The sample is the first one in order of filings; empty versions don't count. Counted per path and version
+    before anything is shuffled; a path's versions are then bits at their ``numbers``, one bitmap (bucket, bits)
+    for each 32768 of them, cut behind its last bit. A path is covered unless the dictionary lacks one of its versions.
+    """
+    each = paths.groupBy("xpath", F.col("return_version").alias("version")).agg(F.count("*").alias("n"), F.min(F.when(F.col("sample") != "", F.struct("path", "sample"))).alias("first"))
+    bit = F.bitmap_bit_position("number")
+    sets = each.join(numbers, "version", "left").groupBy("xpath", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.sum("n").alias("n"),
+        F.min("first").alias("first"),
+        F.bool_or("missing").alias("missing"),
+        F.substring(F.bitmap_construct_agg(bit), F.lit(1), F.floor(F.max(bit) / 8).cast("int") + 1).alias("bits"),
+    )
+    seen = sets.groupBy("xpath").agg(
+        F.sum("n").alias("filing_count"),
+        F.array_sort(F.collect_list(F.when(F.col("bucket").isNotNull(), F.struct("bucket", "bits")))).alias("version_sets"),
+        (~F.coalesce(F.bool_or("missing"), F.lit(False))).alias("version_covered"),
+        F.coalesce(F.min("first")["sample"], F.lit("")).alias("sample"),
     )
     known = d.xpath_index.select("xpath").distinct().withColumn("known", F.lit(True))
-    return seen.join(F.broadcast(known), "xpath", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    return seen.join(known, "xpath", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
+def with_versions(stats: DataFrame, numbers: DataFrame) -> DataFrame:
+    """AUD-2. ``version_sets`` as ``versions``, the sorted names, for rows that are shown: only then a row holds all its names."""
+    byte = "cast(conv(hex(substring(s.bits, cast(p div 8 as int) + 1, 1)), 16, 10) as int)"
+    of = F.expr(f"flatten(transform(version_sets, s -> transform(filter(sequence(0, 8 * length(s.bits) - 1), p -> (shiftright({byte}, p % 8) & 1) = 1), p -> (s.bucket - 1) * 32768 + p + 1)))")
+    names = stats.select("xpath", F.explode(of).alias("number")).join(numbers, "number").groupBy("xpath").agg(F.array_sort(F.collect_list("version")).alias("versions"))
+    none = F.array().cast("array<string>")
+    return stats.drop("version_sets").join(names, "xpath", "left").withColumn("versions", F.coalesce("versions", none))
 
 
 def normalised(paths: DataFrame, d: Dict) -> DataFrame:
     """AUD-3. The rows whose path is in the dictionary, with the stable field name."""
-    return paths.join(F.broadcast(d.xpath_index), "xpath")
+    return paths.join(d.xpath_index, "xpath")
 
 
 def field_frequency(paths: DataFrame, d: Dict, n_filings: DataFrame) -> DataFrame:
@@ -74,7 +104,7 @@ def drop_containers(unknown: DataFrame, d: Dict) -> DataFrame:
     parts = F.split("xpath", "/")
     prefixes = d.xpath_index.select(F.explode(F.transform(F.sequence(F.lit(2), F.greatest(F.size(parts) - 1, F.lit(2))), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).alias("above"), "xpath")
     prefixes = prefixes.where("above != xpath").select("above").distinct()
-    return unknown.join(F.broadcast(prefixes), (F.col("xpath") == F.col("above")) & (F.col("sample") == ""), "left_anti")
+    return unknown.join(prefixes, (F.col("xpath") == F.col("above")) & (F.col("sample") == ""), "left_anti")
 
 
 def filing_versions(headers: DataFrame) -> DataFrame:
@@ -84,18 +114,16 @@ def filing_versions(headers: DataFrame) -> DataFrame:
 
 def missing_versions(headers: DataFrame, d: Dict) -> DataFrame:
     """AUD-8. The versions of filings that the dictionary lacks."""
-    return headers.where("return_version != ''").select(F.col("return_version").alias("version")).distinct().join(F.broadcast(versions_of(d)), "version", "left_anti")
+    return headers.where("return_version != ''").select(F.col("return_version").alias("version")).distinct().join(versions_of(d), "version", "left_anti")
 
 
-def unknown_paths(stats: DataFrame, d: Dict, missing: DataFrame) -> DataFrame:
+def unknown_paths(stats: DataFrame, d: Dict, numbers: DataFrame) -> DataFrame:
     """AUD-5, 6, 7, 9. Unknown paths with their parts, guessed type and whether all their versions are covered."""
-    rest = drop_containers(drop_form_roots(stats.where("not known")), d)
-    gone = missing.agg(F.collect_set("version").alias("missing"))  # tens of versions
-    rows = rest.crossJoin(F.broadcast(gone))
+    rows = with_versions(drop_containers(drop_form_roots(stats.where("not known")), d), numbers)
     x = F.col("xpath")
     return rows.select(
         "xpath", leaf_of(x).alias("element_name"), schedule_of(x).alias("schedule"), parent_of(x).alias("parent_xpath"), "filing_count", "versions",
-        (F.size(F.array_intersect("versions", "missing")) == 0).alias("version_covered"), guessed_type(F.col("sample")).alias("data_type_guess"), F.col("sample").alias("sample_value"),
+        "version_covered", guessed_type(F.col("sample")).alias("data_type_guess"), F.col("sample").alias("sample_value"),
     )
 
 
@@ -127,7 +155,7 @@ def warnings(missing: DataFrame, unknown: DataFrame, per_schedule: DataFrame, d:
         bands = matches.agg(F.count("*").alias("n"), F.count_if(F.expr("score >= 0.8")).alias("high"), F.count_if(F.expr("score >= 0.6 and score < 0.8")).alias("med"), F.count_if(F.expr("score < 0.6")).alias("low")).where("n > 0")
         out = out.unionByName(bands.select(*row("FUZZY MATCHES", F.lit(""), F.col("n"), F.format_string("%d unknown paths have probable matches: %d high, %d medium, %d low.", "n", "high", "med", "low"))))
     has = d.fields.select("schedule").distinct().withColumn("has", F.lit(True))
-    poor = per_schedule.where("coverage_pct < 50 and total_xpaths > 5").join(F.broadcast(has), "schedule", "left")
+    poor = per_schedule.where("coverage_pct < 50 and total_xpaths > 5").join(has, "schedule", "left")
     kind = F.when(F.col("has").isNull(), "MISSING SCHEDULE").when(F.col("matched") == 0, "XPATH MISMATCH").otherwise("LOW COVERAGE")
     low = poor.withColumn("kind", kind).select("kind", F.col("schedule").alias("subject"), F.col("total_xpaths").alias("count"), F.format_string("%d of %d paths are in the dictionary.", "matched", "total_xpaths").alias("message"))
     return out.unionByName(low)

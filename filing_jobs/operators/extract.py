@@ -99,7 +99,7 @@ def scalars(headers: DataFrame, elements: DataFrame, specs: DataFrame) -> DataFr
     chosen = scalars_of(specs)
     names, heads = names_of(chosen), usable(headers)
     wanted = resolved_for(heads, chosen).select(F.col("version").alias("return_version"), "xpath", "field")
-    found = elements.where("section = 'data' and in_root_ns and status = 'ok'").join(F.broadcast(wanted), ["return_version", "xpath"])
+    found = elements.where("section = 'data' and in_root_ns and status = 'ok'").join(for_versions(wanted), ["return_version", "xpath"])
     wide = found.groupBy("path").pivot("field", names).agg(F.min_by("text", "doc_ord")) if names else found.select("path").distinct()
     return heads.join(wide, "path", "left").select("path", *HEADER, *(F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names))
 
@@ -151,13 +151,13 @@ def group_values(headers: DataFrame, elements: DataFrame, specs: DataFrame) -> D
     An instance without any field still has a row, with a null field. Instances are numbered per filing
     and group in document order.
     """
-    containers, children = group_paths(usable(headers), specs.where("group_name != ''"))
+    containers, children = map(for_versions, group_paths(usable(headers), specs.where("group_name != ''")))
 
     own = elements.where("section = 'data' and in_root_ns and status = 'ok'")
-    boxes = own.join(F.broadcast(containers), (own["xpath"] == containers["container"]) & (own["return_version"] == containers["return_version"]))
+    boxes = own.join(containers, (own["xpath"] == containers["container"]) & (own["return_version"] == containers["return_version"]))
     order = Window.partitionBy("path", "group_name").orderBy("doc_ord")
     instances = boxes.select("path", "group_name", "doc_ord", F.row_number().over(order).alias("instance_num"))
-    values = own.join(F.broadcast(children.withColumnRenamed("return_version", "v")), (F.col("xpath") == F.col("child")) & (F.col("return_version") == F.col("v")))
+    values = own.join(children.withColumnRenamed("return_version", "v"), (F.col("xpath") == F.col("child")) & (F.col("return_version") == F.col("v")))
     box = F.element_at(F.filter("anc", lambda a: a["xpath"] == F.col("container")), -1)["ord"]
     values = values.select("path", "group_name", box.alias("box"), "field_name", "text", F.col("doc_ord").alias("at"))
     firsts = values.groupBy("path", "group_name", "box", "field_name").agg(F.min_by("text", "at").alias("text"))

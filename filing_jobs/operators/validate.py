@@ -25,7 +25,7 @@ def classify(forms: DataFrame, d: Dict) -> DataFrame:
     parts = F.split(F.regexp_replace("xpath", "^/+|/+$", ""), "/")
     leaves = d.xpath_index.select(F.element_at(parts, -1).alias("name")).distinct().withColumn("leaf", F.lit(True))
     inside = d.xpath_index.select(F.explode(parts).alias("name")).distinct().withColumn("inside", F.lit(True))
-    rows = forms.join(F.broadcast(leaves), "name", "left").join(F.broadcast(inside), "name", "left")
+    rows = forms.join(leaves, "name", "left").join(inside, "name", "left")
     return rows.withColumn("found", F.when(F.col("leaf"), "leaf").when(F.col("inside"), "group").otherwise("missing")).drop("leaf", "inside")
 
 

@@ -39,9 +39,10 @@ def audit_corpus(filings: DataFrame, d: Dict) -> Audit:
     heads, paths = audit.digests(filings)
     d = d._replace(xpath_index=stored(d.xpath_index, "xpath-index"))  # it is asked for in every step
     n = heads.agg(F.count("*").alias("n"))
-    stats = stored(audit.path_stats(paths, d), "path-stats")
-    missing = audit.missing_versions(heads, d)
-    unknown = stored(audit.unknown_paths(stats, d, missing), "unknown-paths")
+    numbers = audit.version_numbers(heads, d)
+    stats = stored(audit.path_stats(paths, d, numbers), "path-stats")
+    missing = numbers.where("missing").select("version")
+    unknown = stored(audit.unknown_paths(stats, d, numbers), "unknown-paths")
     unused = stored(audit.unused_fields(paths, d), "unused-fields")
     matches = stored(fuzzy.match_unknowns(unknown, d, unused), "matches")
     schedules = audit.schedule_coverage(stats)

@@ -215,8 +215,9 @@ def corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, io.D
 
 def unknowns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, io.Dict, DataFrame, DataFrame]:
     heads, paths, d, n = corpus(spark, sf_dir)
-    stats = audit.path_stats(paths, d)
-    return audit.unknown_paths(stats, d, audit.missing_versions(heads, d)), stats, d, n, audit.unused_fields(paths, d)
+    numbers = audit.version_numbers(heads, d)
+    stats = stored(audit.path_stats(paths, d, numbers), "path-stats")
+    return audit.unknown_paths(stats, d, numbers), stats, d, n, audit.unused_fields(paths, d)
 
 
 def aud_filing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,8 +226,9 @@ def aud_filing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aud_path_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, paths, d, _ = corpus(spark, sf_dir)
-    return one_string(audit.path_stats(paths, d))
+    heads, paths, d, _ = corpus(spark, sf_dir)
+    numbers = audit.version_numbers(heads, d)
+    return one_string(audit.with_versions(stored(audit.path_stats(paths, d, numbers), "path-stats"), numbers).drop("version_covered"))
 
 
 def aud_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
