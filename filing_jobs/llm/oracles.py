@@ -30,10 +30,11 @@ hit AS (SELECT a.r, a.level, a.part, a.pos, length(a.n) AS size, m.conv_id, (SEL
   CASE WHEN f.f.conv IS DISTINCT FROM m.conv_id OR f.f.turn < m.turn THEN f.f END AS f FROM ask a JOIN m USING (r) LEFT JOIN firsts f USING (n) WHERE length(a.n) > 0),
 best AS (SELECT r, CASE WHEN earlier IS NOT NULL THEN conv_id ELSE f.conv END AS c, CASE WHEN earlier IS NOT NULL THEN earlier ELSE f.turn END AS t FROM hit WHERE earlier IS NOT NULL OR f IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY r ORDER BY level, part, size DESC, pos DESC) = 1),
-prev AS (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS last FROM (SELECT DISTINCT conv_id, turn FROM conversations))
-SELECT m.conv_id AS conv_id, m.turn AS turn, m.role AS role, body AS content, (SELECT count(*) FROM pas WHERE pas.r = m.r) AS n_quotes,
+prev AS (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS last FROM (SELECT DISTINCT conv_id, turn FROM conversations)),
+res AS (SELECT m.conv_id AS conv_id, m.turn AS turn, m.role AS role, body AS content, (SELECT count(*) FROM pas WHERE pas.r = m.r) AS n_quotes,
   CASE WHEN best.r IS NOT NULL THEN best.c WHEN last IS NOT NULL THEN m.conv_id END AS reply_conv, CASE WHEN best.r IS NOT NULL THEN best.t ELSE last END AS reply_turn, best.r IS NOT NULL AS by_quote
-FROM m JOIN body USING (r) LEFT JOIN best ON best.r = m.r LEFT JOIN prev ON prev.conv_id = m.conv_id AND prev.turn IS NOT DISTINCT FROM m.turn"""
+FROM m JOIN body USING (r) LEFT JOIN best ON best.r = m.r LEFT JOIN prev ON prev.conv_id = m.conv_id AND prev.turn IS NOT DISTINCT FROM m.turn)
+SELECT *, CAST(floor(turn / 1024) AS BIGINT) AS part, CASE WHEN conv_id IS NULL THEN 0 ELSE row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, content NULLS FIRST, n_quotes, reply_conv NULLS FIRST, reply_turn NULLS FIRST, by_quote) - 1 END AS position FROM res"""
 
 # Shingles as lists of words; components by repeated minima over links.
 JACCARD = r"""

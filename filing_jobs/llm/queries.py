@@ -49,8 +49,8 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages of all built conversations; null text counts as empty, a message without a conversation stands alone, repeated rows stay."""
     chats = stored(quotes.chats(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "chats")
-    found = chats.select("conv_id", F.explode("messages").alias("m")).select("conv_id", "m.*")
-    return found.select("conv_id", "turn", "role", "content", F.col("n_quotes").cast("long").alias("n_quotes"), F.col("to_conv").alias("reply_conv"), F.col("to_turn").alias("reply_turn"), "by_quote")
+    found = chats.select("conv_id", "part", F.explode("messages").alias("m")).select("conv_id", "part", "m.*")
+    return found.select("conv_id", "turn", "role", "content", F.col("n_quotes").cast("long").alias("n_quotes"), F.col("to_conv").alias("reply_conv"), F.col("to_turn").alias("reply_turn"), "by_quote", "part", "position")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

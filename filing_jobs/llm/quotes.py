@@ -115,16 +115,35 @@ def links(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", r
     )
 
 
+def in_reply_order(found: DataFrame) -> DataFrame:
+    """``links`` with ``position``: the place in the conversation, from 0, by turn, role, text and then the other columns; 0 without a conversation.
+
+    Sorted by ranges of conversations and turns, so that a conversation of any length lies in many tasks; a
+    message's place is that in its range behind what the ranges before hold of its conversation.
+    """
+    columns = ("turn", "role", "body", "n_quotes", "to_conv", "to_turn", "by_quote")
+    # identical rows are dealt by their place in the stored table, so they need not lie in one range
+    placed = stored(found.where("conv is not null").withColumn("row", F.monotonically_increasing_id()).orderBy("conv", *columns, "row").withColumn("at", F.monotonically_increasing_id()), "in-order")
+    range_ = F.shiftright("at", 33)
+    starts = placed.groupBy("conv", range_.alias("range")).agg(F.min("at").alias("least"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))  # as many rows as ranges
+    starts = starts.select(F.col("conv").alias("s_conv"), F.col("range").alias("s_range"), (F.coalesce(before, F.lit(0)) - F.col("least")).alias("shift"))
+    joined = placed.join(starts, (F.col("conv") == F.col("s_conv")) & (range_ == F.col("s_range")))
+    alone = found.where("conv is null").withColumn("position", F.lit(0).cast("long"))
+    return joined.select("conv", *columns, (F.col("at") + F.col("shift")).alias("position")).unionByName(alone)
+
+
 def chats(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(conv, part, messages): conversations as lists of (turn, role, content, reply_to) without quotes.
+    """(conv, part, messages): conversations as lists of (position, turn, role, content, reply_to) without quotes.
 
-    A part holds the turns of one range of RANGE, so that a very long conversation is never in one row;
-    the parts in order, and in them the messages, stand in reply order: a link inside a conversation
+    A part holds at most RANGE messages, of one range of RANGE turns, so that neither a very long conversation nor
+    a turn with very many messages is ever in one row; where a range of turns has more messages, several rows have its
+    number. ``position`` is the message's place in the whole conversation, in reply order: a link inside a conversation
     always leads to an earlier turn. Messages without a conversation each are one. ``reply_to`` is null for a first message and for a reply to another
     conversation; ``to_conv`` and ``to_turn`` give the message replied to wherever it is. No rows, no chats.
     """
-    found = stored(links(df, conv_col=conv_col, turn_col=turn_col, role_col=role_col, text_col=text_col), "links")
-    message = F.struct("turn", "role", F.col("body").alias("content"), F.when(F.col("to_conv").eqNullSafe(F.col("conv")), F.col("to_turn")).alias("reply_to"), "to_conv", "to_turn", "n_quotes", "by_quote")
-    part = F.floor(F.col("turn") / RANGE).alias("part")
-    of = found.where("conv is not null").groupBy(F.col("conv").alias(conv_col), part).agg(F.array_sort(F.collect_list(message)).alias("messages"))
+    found = in_reply_order(stored(links(df, conv_col=conv_col, turn_col=turn_col, role_col=role_col, text_col=text_col), "links"))
+    message = F.struct("position", "turn", "role", F.col("body").alias("content"), F.when(F.col("to_conv").eqNullSafe(F.col("conv")), F.col("to_turn")).alias("reply_to"), "to_conv", "to_turn", "n_quotes", "by_quote")
+    part, section = F.floor(F.col("turn") / RANGE).alias("part"), F.floor(F.col("position") / RANGE).alias("section")
+    of = found.where("conv is not null").groupBy(F.col("conv").alias(conv_col), part, section).agg(F.array_sort(F.collect_list(message)).alias("messages")).drop("section")
     return of.unionByName(found.where("conv is null").select(F.col("conv").alias(conv_col), part, F.array(message).alias("messages")))

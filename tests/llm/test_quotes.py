@@ -1,5 +1,7 @@
 """Linking quotes to original messages."""
 
+import random
+
 from filing_jobs.llm import queries, quotes
 
 
@@ -58,7 +60,25 @@ def test_query_is_that_of_the_built_conversations(spark, tmp_path, monkeypatch):
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     built = []
     monkeypatch.setattr(quotes, "chats", lambda df, own=quotes.chats: built.append(own(df)) or built[0])
-    got = {(r["conv_id"], r["turn"]): tuple(r)[3:] for r in queries.op6_chat_quotes(spark, str(tmp_path)).collect()}
+    found = queries.op6_chat_quotes(spark, str(tmp_path)).collect()
+    assert {(r["conv_id"], r["turn"]): (r["part"], r["position"]) for r in found} == {(1, 0): (0, 0), (1, 1): (0, 1), (2, 0): (0, 0), (None, 3): (0, 0)}
+    got = {(r["conv_id"], r["turn"]): tuple(r)[3:8] for r in found}
     assert len(built) == 1 and got == {(1, 0): ("Where is it?", 0, None, None, False), (1, 1): ("Yes", 1, 2, 0, True), (2, 0): ("Boil it for ten minutes.", 0, None, None, False), (None, 3): ("", 0, None, None, False)}
     (chat,) = [r for r in built[0].collect() if r["conv_id"] == 1]
     assert [(m["turn"], m["to_conv"], m["to_turn"]) for m in chat["messages"]] == [(0, None, None), (1, 2, 0)]
+
+
+def test_positions_of_repeated_and_null_turns(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "RANGE", 64)
+    r = random.Random(2)
+    rows = [(k % 3, r.choice([None, 0, 0, 1, 5, 70]), r.choice(["a", "b", None]), r.choice(["yes", "no", "maybe so", None])) for k in range(900)] + [(None, k % 4, "a", "alone") for k in range(5)]
+    rows += [(7, 2, "a", "the very same")] * 300
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    chats = quotes.chats(df).collect()
+    assert all(len(c["messages"]) <= 64 for c in chats) and sum(len(c["messages"]) for c in chats) == len(rows)
+    for conv in (0, 1, 2, 7):
+        key = lambda m: tuple((x is not None, x) for x in (m["turn"], m["role"], m["content"], m["n_quotes"], m["to_conv"], m["to_turn"], m["by_quote"]))
+        messages = sorted((m for c in chats if c["conv_id"] == conv for m in c["messages"]), key=lambda m: m["position"])
+        assert [m["position"] for m in messages] == list(range(len(messages))) and [key(m) for m in messages] == sorted(map(key, messages))
+        assert all(c["messages"] == sorted(c["messages"], key=lambda m: m["position"]) for c in chats)
+    assert [m["position"] for c in chats if c["conv_id"] is None for m in c["messages"]] == [0] * 5
