@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filing_jobs.llm.common import stored
+from filing_jobs.llm.common import stored, while_stored
 
 MARKS = r"^[ \t]*((?:>[ \t]?)+)"
 #: A passage shorter than this many characters, normalised, names messages of its own conversation only.
@@ -115,35 +115,38 @@ def links(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", r
     )
 
 
-def in_reply_order(found: DataFrame) -> DataFrame:
-    """``links`` with ``position``: the place in the conversation, from 0, by turn, role, text and then the other columns; 0 without a conversation.
+def in_order(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``links`` of every message with ``at``: its place among all, by conversation, turn, role, text and then the other columns.
 
-    Sorted by ranges of conversations and turns, so that a conversation of any length lies in many tasks; a
-    message's place is that in its range behind what the ranges before hold of its conversation.
+    Sorted by ranges, so that a conversation of any length lies in many tasks; places skip from one range to the next.
     """
-    columns = ("turn", "role", "body", "n_quotes", "to_conv", "to_turn", "by_quote")
-    # identical rows are dealt by their place in the stored table, so they need not lie in one range
-    placed = stored(found.where("conv is not null").withColumn("row", F.monotonically_increasing_id()).orderBy("conv", *columns, "row").withColumn("at", F.monotonically_increasing_id()), "in-order")
-    range_ = F.shiftright("at", 33)
-    starts = placed.groupBy("conv", range_.alias("range")).agg(F.min("at").alias("least"), F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))  # as many rows as ranges
-    starts = starts.select(F.col("conv").alias("s_conv"), F.col("range").alias("s_range"), (F.coalesce(before, F.lit(0)) - F.col("least")).alias("shift"))
-    joined = placed.join(starts, (F.col("conv") == F.col("s_conv")) & (range_ == F.col("s_range")))
-    alone = found.where("conv is null").withColumn("position", F.lit(0).cast("long"))
-    return joined.select("conv", *columns, (F.col("at") + F.col("shift")).alias("position")).unionByName(alone)
+    with while_stored(links(df, **columns), "links") as found:
+        # identical rows are dealt by their place in the stored table, so they need not lie in one range
+        rows = found.withColumn("row", F.monotonically_increasing_id()).orderBy("conv", "turn", "role", "body", "n_quotes", "to_conv", "to_turn", "by_quote", "row")
+        return stored(rows.drop("row").withColumn("at", F.monotonically_increasing_id()), "in-order")
 
 
 def chats(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv, part, messages): conversations as lists of (position, turn, role, content, reply_to) without quotes.
 
-    A part holds at most RANGE messages, of one range of RANGE turns, so that neither a very long conversation nor
-    a turn with very many messages is ever in one row; where a range of turns has more messages, several rows have its
-    number. ``position`` is the message's place in the whole conversation, in reply order: a link inside a conversation
+    A row holds at most RANGE messages, of one range of RANGE turns (``part``), so that neither a very long conversation
+    nor a turn with very many messages is ever in one row; several rows may have one part.
+    ``position`` is the message's place in the whole conversation, from 0, in reply order: a link inside a conversation
     always leads to an earlier turn. Messages without a conversation each are one. ``reply_to`` is null for a first message and for a reply to another
     conversation; ``to_conv`` and ``to_turn`` give the message replied to wherever it is. No rows, no chats.
     """
-    found = in_reply_order(stored(links(df, conv_col=conv_col, turn_col=turn_col, role_col=role_col, text_col=text_col), "links"))
-    message = F.struct("position", "turn", "role", F.col("body").alias("content"), F.when(F.col("to_conv").eqNullSafe(F.col("conv")), F.col("to_turn")).alias("reply_to"), "to_conv", "to_turn", "n_quotes", "by_quote")
-    part, section = F.floor(F.col("turn") / RANGE).alias("part"), F.floor(F.col("position") / RANGE).alias("section")
-    of = found.where("conv is not null").groupBy(F.col("conv").alias(conv_col), part, section).agg(F.array_sort(F.collect_list(message)).alias("messages")).drop("section")
-    return of.unionByName(found.where("conv is null").select(F.col("conv").alias(conv_col), part, F.array(message).alias("messages")))
+    placed = in_order(df, {"conv_col": conv_col, "turn_col": turn_col, "role_col": role_col, "text_col": text_col})
+    message = {"turn": F.col("turn"), "role": F.col("role"), "content": F.col("body"), "reply_to": F.when(F.col("to_conv").eqNullSafe(F.col("conv")), F.col("to_turn"))} | {c: F.col(c) for c in ("to_conv", "to_turn", "n_quotes", "by_quote")}
+    part = F.floor(F.col("turn") / RANGE)
+    # chunks of at most RANGE places that follow one another; null turns come first in them
+    cut = placed.where("conv is not null").withColumns({"chunk": F.expr(f"at div {RANGE}"), "range": F.coalesce(part, F.lit(-(1 << 54)))})
+    before = lambda *keys: Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = cut.groupBy("conv", "chunk").agg(F.count("*").alias("n")).select("conv", "chunk", F.coalesce(F.sum("n").over(before("conv", "chunk")), F.lit(0)).alias("ahead"))
+    ranges = cut.groupBy("conv", "chunk", "range").agg(F.count("*").alias("n")).select("conv", "chunk", "range", F.coalesce(F.sum("n").over(before("conv", "chunk", "range")), F.lit(0)).alias("inside"))
+    start = ranges.join(chunks, ["conv", "chunk"]).select("conv", "chunk", "range", (F.col("ahead") + F.col("inside")).alias("start"))
+    # only the counts are joined; the messages are shuffled once, into their rows
+    of = cut.groupBy("conv", "chunk", "range").agg(F.array_sort(F.collect_list(F.struct("at", *(c.alias(n) for n, c in message.items())))).alias("m")).join(start, ["conv", "chunk", "range"])
+    numbered = F.transform("m", lambda m, i: F.struct((F.col("start") + i).alias("position"), *(m[n].alias(n) for n in message)))
+    whole = of.select(F.col("conv").alias(conv_col), F.floor(F.element_at("m", 1)["turn"] / RANGE).alias("part"), numbered.alias("messages"))
+    alone = F.array(F.struct(F.lit(0).cast("long").alias("position"), *(c.alias(n) for n, c in message.items())))
+    return whole.unionByName(placed.where("conv is null").select(F.col("conv").alias(conv_col), part.alias("part"), alone.alias("messages")))
