@@ -57,6 +57,29 @@ def test_mixed_texts_in_batches_equal_the_library(name, monkeypatch):
         assert np.frombuffer(got, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
+def test_new_words_go_to_the_library_together():
+    """A call for each new word cost most of op9's time."""
+    path = P.path("word_bpe_49k.json")
+    own, library, r = tokens.PieceEncoder(path), Tokenizer.from_file(path), random.Random(12)
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzßäéñøœıĸŉǆɏ") for _ in range(r.randint(1, 14))) for _ in range(5000)]
+    sent = []
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+    own.library = Counting(own.library)
+    if getattr(own, "bare", None):
+        own.bare = Counting(own.bare)
+    for text, got in zip(words, own.encode_all(words), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert len(sent) <= 10, len(sent)
+
+
 def test_prefix_table_equals_the_library(spark):
     path = P.path("piece_bpe_32k.model")
     own, library = spbpe.encoder(path), sentencepiece.SentencePieceProcessor(model_file=path)
