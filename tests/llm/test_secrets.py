@@ -193,3 +193,12 @@ def test_windows_hold_all_tokens_and_whole_secrets():
     found = list(secrets.windows(text))
     assert sum(w.tags.count(BEGIN) for w in found) == 2 and all(w.tags[0] != INSIDE and len(w.tags) <= secrets.LONGEST for w in found)
     assert {w.kind for w in found} == {0, 2} and sum(len(w.tags) for w in found if w.kind) > 100
+
+
+def test_long_texts_without_white_space_come_in_stretches(monkeypatch):
+    """They used to be held as a whole."""
+    monkeypatch.setattr(secrets, "STRETCH", 100)
+    text = "token=" + "ab1.c_d/e," * 100
+    parts = list(secrets.stretches(text))
+    assert len(parts) > 5 and all(p.joined[4:-1].all() and p.joined[-1] == p.more and (p.joined[3] or p is parts[0]) for p in parts)
+    assert sum(w.tags.count(BEGIN) for w in secrets.windows("token=" + "ab1.c_d/e" * 100)) == 1
