@@ -243,6 +243,19 @@ def test_top_k_where_many_scores_share_few_values(spark, bins):
     assert len(got) == 150 and sorted(tuple(x) for x in got) == brute_top(quantised, 5)
 
 
+def test_top_k_sends_no_blocks_through_the_driver(spark, monkeypatch):
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(topk, "stored", lambda df, name: plans.append(plan(df)) or stored(df, name))
+    r = random.Random(8)
+    rows = [(i, [r.gauss(0, 1) for _ in range(8)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = topk.search(df, F.col("vec_id") % 20 == 0, k=3, block=50, bins=4)
+    plans.append(plan(found))
+    assert len([p for p in plans if "Join" in p]) > 2 and not [p for p in plans if "Broadcast" in p]
+    assert sorted(tuple(x) for x in found.collect()) == brute_top(rows, 3)
+
+
 def test_top_k_of_nothing_and_of_huge_components(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.search(empty, F.col("vec_id") % 20 == 0).count() == 0
