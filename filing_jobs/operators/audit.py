@@ -11,6 +11,17 @@ from filing_jobs.sources.shred import path_counts
 from filing_jobs.store import stored
 
 SAMPLE = 100
+#: Rows of a table that is broadcast to a corpus's paths or versions.
+MANY = 100_000
+
+
+def beside(table: DataFrame) -> DataFrame:
+    """A table to join to a corpus: broadcast if it has at most MANY rows, else merged.
+
+    Spark is told either way. It takes the size of the corpus's rows from compressed files before their arrays are
+    exploded, far too low, and would broadcast those through the driver.
+    """
+    return F.broadcast(table) if table.count() <= MANY else table.hint("merge")
 
 
 def digests(filings: DataFrame, **columns: str) -> tuple[DataFrame, DataFrame]:
@@ -50,7 +61,7 @@ def path_stats(paths: DataFrame, d: Dict, numbers: DataFrame) -> DataFrame:
     """
     each = paths.groupBy("xpath", F.col("return_version").alias("version")).agg(F.count("*").alias("n"), F.min(F.when(F.col("sample") != "", F.struct("path", "sample"))).alias("first"))
     bit = F.bitmap_bit_position("number")
-    sets = each.join(numbers, "version", "left").groupBy("xpath", F.bitmap_bucket_number("number").alias("bucket")).agg(
+    sets = each.join(beside(numbers), "version", "left").groupBy("xpath", F.bitmap_bucket_number("number").alias("bucket")).agg(
         F.sum("n").alias("n"),
         F.min("first").alias("first"),
         F.bool_or("missing").alias("missing"),
@@ -70,14 +81,14 @@ def with_versions(stats: DataFrame, numbers: DataFrame) -> DataFrame:
     """AUD-2. ``version_sets`` as ``versions``, the sorted names, for rows that are shown: only then a row holds all its names."""
     byte = "cast(conv(hex(substring(s.bits, cast(p div 8 as int) + 1, 1)), 16, 10) as int)"
     of = F.expr(f"flatten(transform(version_sets, s -> transform(filter(sequence(0, 8 * length(s.bits) - 1), p -> (shiftright({byte}, p % 8) & 1) = 1), p -> (s.bucket - 1) * 32768 + p + 1)))")
-    names = stats.select("xpath", F.explode(of).alias("number")).join(numbers, "number").groupBy("xpath").agg(F.array_sort(F.collect_list("version")).alias("versions"))
+    names = stats.select("xpath", F.explode(of).alias("number")).join(beside(numbers), "number").groupBy("xpath").agg(F.array_sort(F.collect_list("version")).alias("versions"))
     none = F.array().cast("array<string>")
     return stats.drop("version_sets").join(names, "xpath", "left").withColumn("versions", F.coalesce("versions", none))
 
 
 def normalised(paths: DataFrame, d: Dict) -> DataFrame:
     """AUD-3. The rows whose path is in the dictionary, with the stable field name."""
-    return paths.join(d.xpath_index, "xpath")
+    return paths.join(beside(d.xpath_index), "xpath")
 
 
 def field_frequency(paths: DataFrame, d: Dict, n_filings: DataFrame) -> DataFrame:

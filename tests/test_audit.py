@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from filing_jobs.operators import audit
 from filing_jobs.sources.io import Dict
+from filing_jobs.store import stored
 
 
 def dictionary(spark):
@@ -55,6 +56,24 @@ def test_more_versions_than_a_bitmap_holds(spark):
     assert third["versions"] == [f"free text {k:06}" for k in range(0, n, 3)] and not third["version_covered"]
 
 
+def test_no_corpus_is_broadcast(spark, monkeypatch):
+    """Paths of filings that Spark holds for few bytes: they are alike, compressed, and its estimate is from before they are inlined."""
+    d = dictionary(spark)
+    row = F.struct(F.lit("/R/A").alias("xpath"), F.lit(1).cast("long").alias("n"), F.lit("x").alias("sample"))
+    held = stored(spark.range(20_000).select(F.col("id").cast("string").alias("path"), F.lit("2020v1.0").alias("return_version"), F.array(*[row] * 50).alias("paths")), "few-bytes")
+    heads, paths = held.select("path", "return_version"), held.select("path", "return_version", F.inline("paths"))
+    for most in (100_000, 0):
+        monkeypatch.setattr(audit, "MANY", most)
+        found = audit.field_frequency(paths, d, heads.agg(F.count("*").alias("n")))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BuildLeft" not in plan and ("BroadcastHashJoin" in plan) == (most > 0)
+        assert sorted(tuple(x) for x in found.collect()) == [("a", 20_000, 100.0, 20_000, 100.0), ("b", 0, 0.0, 0, 0.0)]
+        numbers = audit.version_numbers(heads, d)
+        named = audit.with_versions(stored(audit.path_stats(paths, d, numbers), "stats"), numbers)
+        assert "BuildLeft" not in named._jdf.queryExecution().executedPlan().toString()
+        assert [(x["xpath"], x["filing_count"], x["versions"]) for x in named.collect()] == [("/R/A", 1_000_000, ["2020v1.0"])]
+
+
 def test_no_filings(spark):
     d = dictionary(spark)
     heads = spark.createDataFrame([], "path string, return_version string")
