@@ -1,5 +1,10 @@
 """Shredding and extraction on hand-made filings."""
 
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from filing_jobs import queries
 from filing_jobs.operators import audit, extract, specs
 from filing_jobs.plans import workloads
 from filing_jobs.sources import io, samples, shred
@@ -83,6 +88,29 @@ def test_partitioning_does_not_matter(spark):
     assert one == seven
 
 
+def test_files_lie_there_a_part_at_a_time(spark, monkeypatch):
+    listed, own = [], io.read_filings
+
+    def noted(*args, **options):
+        found = own(*args, **options)
+        listed.append([len(bytes(r["content"])) for r in found.select("content").collect()])
+        return found
+
+    monkeypatch.setattr(io, "FILES", 400, raising=False)
+    monkeypatch.setattr(io, "read_filings", noted)
+    found = queries.src_filing_files(spark, "/root/testdata/sf0.001")
+    want = shred.status_counts(shred.headers(samples.filings(spark, "/root/testdata/sf0.001")))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    filled = [sum(n > 0 for n in sizes) for sizes in listed]
+    assert sum(filled) == 1500 and len(listed) == 4 and max(filled) <= 450
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    for texts in ([], ["only one"], ["", "\n", "a\nb", "ä\r\n", "a\nb", *map(str, range(900))]):
+        rows = spark.createDataFrame([(t,) for t in texts], "t string").repartition(5)
+        read = io.through_files(rows, lambda files: files.select(F.col("content").cast("string").alias("t")))
+        assert Counter(r["t"] for r in read.collect()) == Counter(t + "\n" for t in texts)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
 def test_files_and_stream(spark, tmp_path):
     (tmp_path / "in" / "deep").mkdir(parents=True)
     for k, v in DOCS.items():
